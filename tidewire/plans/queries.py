@@ -1,4 +1,337 @@
-"""Registered queries and their SQL."""
+"""Registered queries and their SQL for DuckDB."""
 
-QUERIES: dict = {}
-ORACLE_SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
+
+from tidewire.functions import protection as P
+from tidewire.functions import serialization as S
+from tidewire.operators import inventory as I
+from tidewire.operators import keyed as K
+from tidewire.operators import transforms as T
+from tidewire.operators.validation import CONTRACTS, errors
+from tidewire.plans import cdc
+from tidewire.session import ship
+from tidewire.sources import changes
+from tidewire.streaming.stateful import sessions, windowed_counts
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+TOPICS = {"inventory": "inventory-changes", "transactions": "transaction-changes"}
+
+
+def query(sql: str | None = None):
+    """Register a query under its function's name, with its SQL if it has one."""
+
+    def add(fn):
+        QUERIES[fn.__name__] = fn
+        if sql:
+            ORACLE_SQL[fn.__name__] = sql
+        return fn
+
+    return add
+
+
+def t(spark: SparkSession, sf: str, name: str, *columns: str) -> DataFrame:
+    df = spark.read.parquet(f"{sf}/{name}.parquet")
+    return df.select(*columns) if columns else df
+
+
+#: The changes that sources.changes.from_events makes, in SQL.
+EVENTS = """with ev as (select *, case when user_id % 2 = 0 then 'inventory' else 'transactions' end as collection,
+  case event_id % 3 when 0 then 'insert' when 1 then 'update' else 'delete' end as operation_type,
+  cast(floor(value) as bigint) - case when event_id % 7 = 0 then 1000 else 0 end as quantity,
+  ['sale', 'restock', 'return', 'adjustment', 'gift'][event_id % 5 + 1] as kind from events),
+dd as (select * from (select *, max(ts) over (partition by collection, user_id, operation_type order by event_id rows between unbounded preceding and 1 preceding) as before from ev) where before is null or ts > before),
+er as (select *, case when operation_type = 'delete' then 0 when collection = 'inventory' then case when quantity < 0 then 1 else 0 end else case when kind = 'gift' then 1 else 0 end end as bad from dd)
+"""
+
+
+@query(EVENTS + "select case collection when 'inventory' then 'inventory-changes' else 'transaction-changes' end as topic, operation_type as operation, 'v1' as schema_version, count(*) as n from er where bad = 0 group by all")
+def cdc_pipeline(spark, sf):
+    """Flagship: deduplicate, validate, envelope, route; messages by topic and operation."""
+    messages, _ = cdc.pipeline(changes.from_events(spark, sf), TOPICS)
+    return messages.groupBy("topic", F.col("attributes.operation").alias("operation"), F.col("attributes.schema_version").alias("schema_version")).agg(F.count("*").alias("n"))
+
+
+@query(EVENTS + "select lpad(cast(event_id as varchar), 12, '0') as resume_token, case when collection = 'inventory' then 'quantity: minimum' else 'transaction_type: enum' end as error from er where bad = 1")
+def dead_letters(spark, sf):
+    _, bad = cdc.pipeline(changes.from_events(spark, sf), TOPICS)
+    return bad.select("resume_token", F.explode("errors").alias("error"))
+
+
+@query(EVENTS + "select collection, operation_type, count(*) as n from dd group by all")
+def dedup_latest_wins(spark, sf):
+    return cdc.deduplicated(changes.from_events(spark, sf)).groupBy("collection", "operation_type").agg(F.count("*").alias("n"))
+
+
+@query(EVENTS + "select collection, lpad(cast(max(event_id) as varchar), 12, '0') as token from (select collection, event_id from ev qualify rank() over (partition by collection order by ts desc) = 1) group by all")
+def resume_position(spark, sf):
+    return cdc.resume_positions(changes.from_events(spark, sf)).select("collection", "token")
+
+
+@query(EVENTS + "select collection, max(ts) as last_change_time, count(*) as changes from ev group by all")
+def heartbeat_status(spark, sf):
+    return cdc.heartbeat(changes.from_events(spark, sf), F.lit("2030-01-01").cast("timestamp")).select("collection", F.col("last_change_time").cast("timestamp_ntz").alias("last_change_time"), "changes")
+
+
+@query(EVENTS + """select lpad(cast(e.event_id as varchar), 12, '0') as resume_token, c.c_name as document from ev e left join customer c on c.c_custkey = e.user_id where operation_type = 'update'""")
+def update_lookup(spark, sf):
+    now = t(spark, sf, "customer", "c_custkey", "c_name").select(F.col("c_custkey").cast("string").alias("document_key"), F.col("c_name").alias("document"))
+    ev = changes.from_events(spark, sf).where("operation_type = 'update'").withColumn("full_document", F.lit(None).cast("string"))
+    return cdc.looked_up(ev, now).select("resume_token", F.col("full_document").alias("document"))
+
+
+@query("select event_id, event_type, value from events where event_type = 'click' and value > 10 and user_id not in (1, 2, 3)")
+def watch_filter(spark, sf):
+    return T.watch_filter(t(spark, sf, "events"), [{"$match": {"event_type": "click", "value": {"$gt": 10}, "user_id": {"$nin": [1, 2, 3]}}}, {"$project": {"event_id": 1, "event_type": 1, "value": 1}}])
+
+
+@query("select c_custkey as wh_c_custkey, c_mktsegment as wh_c_mktsegment from customer")
+def remove_and_prefix(spark, sf):
+    chain = T.compose(T.without_fields(["c_acctbal", "c_name", "c_nationkey"]), T.with_prefix("wh"))
+    return chain(t(spark, sf, "customer")).drop("_security_metadata")
+
+
+@query("select l_orderkey, l_linenumber, case when not (l_quantity >= 0 and l_quantity < 40) then 1 else 0 end + case when l_returnflag not in ('A', 'N') then 1 else 0 end as n_errors from (select l_orderkey, l_linenumber, l_returnflag, 40 - l_quantity - 1 as q, l_quantity from lineitem)")
+def contract_errors(spark, sf):
+    from tidewire.operators.validation import FieldRule
+
+    rules = (FieldRule("flag", required=True, among=("A", "N")), FieldRule("left", "integer", True, minimum=0))
+    doc = F.to_json(F.struct(F.col("l_returnflag").alias("flag"), (39 - F.col("l_quantity")).alias("left")))
+    return t(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_quantity").select("l_orderkey", "l_linenumber", F.size(errors(doc, rules)).alias("n_errors"))
+
+
+@query("select c_custkey, 'hash:' || to_base64(unhex(sha256('c_name' || c_name))) as hashed from customer")
+def protect_hash(spark, sf):
+    return t(spark, sf, "customer").select("c_custkey", P.hashed(F.col("c_name"), "c_name").alias("hashed"))
+
+
+@query("select c_custkey, left(c_name, 2) || repeat('*', greatest(length(c_name) - 5, 0)) || right(c_name, 3) as masked from customer")
+def protect_mask(spark, sf):
+    return t(spark, sf, "customer").select("c_custkey", P.masked(F.col("c_name"), 2, 3, "*").alias("masked"))
+
+
+@query("select p_partkey, case when length(p_name) <= 10 then p_name else left(p_name, 7) || '...' end as short from part")
+def protect_truncate(spark, sf):
+    return t(spark, sf, "part").select("p_partkey", P.truncated(F.col("p_name")).alias("short"))
+
+
+@query("select p_partkey, case when p_size between 1 and 10 then 'small' when p_size between 11 and 30 then 'medium' else 'other' end as size_range, case p_brand when 'Brand#11' then 'house' else regexp_replace(p_brand, '[0-9]+', 'N', 'g') end as brand from part")
+def protect_generalize(spark, sf):
+    return t(spark, sf, "part").select("p_partkey", P.ranged(F.col("p_size"), [(1, 10, "small"), (11, 30, "medium")]).alias("size_range"), P.categorised(F.col("p_brand"), {"Brand#11": "house"}, [("[0-9]+", "N")]).alias("brand"))
+
+
+@query("select o_orderkey, strftime(o_orderdate, '%Y-%m') as month, year(o_orderdate) || '-Q' || quarter(o_orderdate) as quarter from orders")
+def protect_dates(spark, sf):
+    return t(spark, sf, "orders").select("o_orderkey", P.dated(F.col("o_orderdate"), "month").alias("month"), P.dated(F.col("o_orderdate"), "quarter").alias("quarter"))
+
+
+@query("select c_custkey, 'TOK_' || left(to_base64(unhex(sha256('c_name' || c_name))), 10) as token from customer")
+def protect_tokenize(spark, sf):
+    return t(spark, sf, "customer").select("c_custkey", P.tokenized(F.col("c_name"), "c_name").alias("token"))
+
+
+@query("select c_custkey, c_name from customer")
+def protect_encrypt_round_trip(spark, sf):
+    key = P.derived_key("example", b"salt")
+    return t(spark, sf, "customer").select("c_custkey", P.decrypted(P.encrypted(F.col("c_name"), key, "c_name"), key, "c_name").alias("c_name"))
+
+
+@query("select c_custkey, repeat('X', greatest(length(c_name) - 4, 0)) || right(c_name, 4) as name, 'hash:' || to_base64(unhex(sha256('contact.segment' || c_mktsegment))) as segment from customer")
+def protect_rules(spark, sf):
+    doc = t(spark, sf, "customer").select("c_custkey", F.struct(F.col("c_name").alias("name"), F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("cvv")).alias("contact"))
+    rules = [P.Rule("contact.name", "mask"), P.Rule("contact.*", "truncate"), P.Rule("contact.segment", "hash"), *P.PII_RULES]
+    return P.Protector(rules)(doc).select("c_custkey", "contact.name", "contact.segment")
+
+
+@query("select event_id, '{\"event_id\":' || event_id || ',\"user_id\":' || user_id || ',\"event_type\":\"' || event_type || '\"}' as body from events")
+def serialize_round_trip(spark, sf):
+    ship(spark)
+    body = F.to_json(F.struct("event_id", "user_id", "event_type"))
+    return t(spark, sf, "events").select("event_id", S.msgpack_to_json(S.json_to_msgpack(body)).alias("body"))
+
+
+@query("select event_id, strftime(date_trunc('second', ts), '%Y-%m-%dT%H:%M:%S+00:00') as wall_time from events")
+def wall_times(spark, sf):
+    return t(spark, sf, "events").select("event_id", S.wall_time(F.unix_timestamp(F.col("ts").cast("timestamp"))).alias("wall_time"))
+
+
+@query("select event_id, cast((row_number() over (partition by user_id order by event_id) - 1) // 5 as bigint) as batch_id from events")
+def message_batches(spark, sf):
+    return K.batched(t(spark, sf, "events", "event_id", "user_id"), ["user_id"], ["event_id"], 5).select("event_id", "batch_id")
+
+
+@query()
+def token_bucket(spark, sf):
+    ship(spark)
+    e = t(spark, sf, "events", "event_id", "event_type", "ts").withColumn("s", F.unix_timestamp(F.col("ts").cast("timestamp")).cast("double"))
+    return K.token_bucket(e.select("event_id", "event_type", "s"), ["event_type"], "s", 0.001, 5, ["event_id"])
+
+
+@query()
+def rate_limited_sample(spark, sf):
+    ship(spark)
+    e = t(spark, sf, "events", "event_id", "event_type", "ts").withColumn("s", F.unix_timestamp(F.col("ts").cast("timestamp")).cast("double"))
+    return K.spaced(e.select("event_id", "event_type", "s"), ["event_type"], "s", 600.0, ["event_id"]).where("kept").select("event_id", "event_type")
+
+
+@query()
+def circuit_breaker_states(spark, sf):
+    ship(spark)
+    e = t(spark, sf, "events", "event_id", "event_type", "value").select("event_id", "event_type", F.col("event_id").cast("double").alias("s"), (F.col("value") < 50).alias("ok"))
+    return K.circuit_breaker(e, ["event_type"], "s", "ok", reset=20.0)
+
+
+@query()
+def adaptive_rates(spark, sf):
+    ship(spark)
+    e = t(spark, sf, "events", "event_type", "ts", "value").withColumn("h", F.date_trunc("day", "ts"))
+    return K.adaptive_rate(K.success_metrics(e, ["event_type", "h"], F.col("value") < 80).select("event_type", F.unix_timestamp(F.col("h").cast("timestamp")).alias("day"), "success_rate"), ["event_type"], ["day"], "success_rate")
+
+
+@query("select event_type, count(*) as operations, cast(sum(case when value < 80 then 1 else 0 end) as bigint) as ok from events group by all")
+def success_counts(spark, sf):
+    m = K.success_metrics(t(spark, sf, "events"), ["event_type"], F.col("value") < 80)
+    return m.select("event_type", "operations", F.round(F.col("success_rate") * F.col("operations")).cast("bigint").alias("ok"))
+
+
+@query("select event_type, count(*) as count from events group by all order by count desc, event_type limit 10")
+def top_types(spark, sf):
+    return K.top_counts(t(spark, sf, "events"), "event_type")
+
+
+@query("select distinct p_size, least(cast(pow(2, p_size % 8) as double), 30.0) as delay, case when p_size >= 40 then 'critical' when p_size >= 20 then 'warning' else 'normal' end as pressure, case p_size % 3 when 0 then 'retryable' when 1 then 'transient' else 'fatal' end as class from part")
+def resilience_rules(spark, sf):
+    p = t(spark, sf, "part").select("p_size").distinct()
+    return p.select("p_size", K.backoff_seconds(F.col("p_size") % 8).alias("delay"), K.ladder(F.col("p_size"), [(20, "warning"), (40, "critical")], "normal").alias("pressure"), K.classified((F.col("p_size") % 3).cast("string"), {"0": "retryable", "1": "transient"}).alias("class"))
+
+
+@query("select event_type, bool_and(value < 100) as healthy from events group by all")
+def component_health(spark, sf):
+    return K.health(t(spark, sf, "events"), ["event_type"], F.col("value") < 100)
+
+
+@query("select event_id from events where cast('0x' || left(md5(event_id || '|' || event_type), 7) as bigint) % 100 < 25")
+def deterministic_sample(spark, sf):
+    return K.hashed_sample(t(spark, sf, "events"), ["event_id", "event_type"], 25).select("event_id")
+
+
+@query("select event_id from (select event_id, row_number() over (partition by event_type order by event_id) as n from events) where n % 10 = 0")
+def systematic_sample(spark, sf):
+    return K.systematic_sample(t(spark, sf, "events", "event_id", "event_type"), ["event_type"], ["event_id"], 10).select("event_id")
+
+
+@query("select event_id, case when event_type = 'click' and user_id % 2 = 0 then 0.5 when event_type = 'click' then 0.25 else 1.0 end as rate from events")
+def sampling_rules(spark, sf):
+    e = t(spark, sf, "events")
+    kind = (F.col("user_id") % 2).cast("string")
+    return e.select("event_id", K.sampling_rate(F.col("event_type"), kind, {("click", "0"): 0.5, ("click", None): 0.25}, 1.0).alias("rate"))
+
+
+@query("select event_id, ts from events order by ts desc, event_id desc limit 100")
+def newest_rows(spark, sf):
+    return t(spark, sf, "events", "event_id", "ts").orderBy(F.desc("ts"), F.desc("event_id")).limit(100)
+
+
+MOVES = "select l_orderkey, l_linenumber, l_suppkey as wh, l_partkey as sku, l_shipdate as ts, l_returnflag, cast(l_quantity as bigint) as q, case l_returnflag when 'N' then -cast(l_quantity as bigint) else cast(l_quantity as bigint) end as impact from lineitem"
+
+
+def moves(spark, sf):
+    q = F.col("l_quantity").cast("bigint")
+    kind = F.when(F.col("l_returnflag") == "N", "sale").when(F.col("l_returnflag") == "A", "restock").otherwise("return")
+    return t(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", F.col("l_suppkey").alias("wh"), F.col("l_partkey").alias("sku"), F.col("l_shipdate").alias("ts"), "l_returnflag", q.alias("q"), I.impact(kind, q).alias("impact"))
+
+
+@query(f"with m as ({MOVES}) select l_orderkey, l_linenumber, wh || ':' || sku as key, cast(sum(impact) over (partition by wh, sku order by ts, l_orderkey, l_linenumber rows unbounded preceding) as bigint) as stock from m")
+def running_stock(spark, sf):
+    return I.running_stock(moves(spark, sf), ["wh", "sku"], ["ts", "l_orderkey", "l_linenumber"], "impact").select("l_orderkey", "l_linenumber", I.stock_key(F.col("wh"), F.col("sku")).alias("key"), "stock")
+
+
+@query(f"""with m as ({MOVES}), s as (select *, case when l_orderkey % 10 = 0 then q end as snap from m),
+e as (select *, count(snap) over (partition by wh, sku order by ts, l_orderkey, l_linenumber rows unbounded preceding) as epoch from s)
+select l_orderkey, l_linenumber, cast(sum(coalesce(snap, impact)) over (partition by wh, sku, epoch order by ts, l_orderkey, l_linenumber rows unbounded preceding) as bigint) as stock from e""")
+def stock_with_snapshots(spark, sf):
+    m = moves(spark, sf).withColumn("snap", F.when(F.col("l_orderkey") % 10 == 0, F.col("q")))
+    return I.running_stock(m, ["wh", "sku"], ["ts", "l_orderkey", "l_linenumber"], "impact", "snap").select("l_orderkey", "l_linenumber", "stock")
+
+
+@query(f"with m as ({MOVES}) select wh, sku, cast(sum(impact) as bigint) as stock, count(*) as transactions, max(ts) as last_change, cast(sum(impact) as bigint) - count(*) as available from m group by all")
+def stock_state(spark, sf):
+    s = I.current_state(moves(spark, sf), ["wh", "sku"], "ts", "impact")
+    return s.withColumn("available", I.available(F.col("stock"), F.col("transactions")))
+
+
+@query(f"with m as ({MOVES}) select p_brand, p_type, cast(sum(impact) as bigint) as total, count(*) as n, cast(2 - grouping(p_brand) - grouping(p_type) as integer) as level from m join part on p_partkey = sku group by rollup (p_brand, p_type)")
+def stock_rollup(spark, sf):
+    m = moves(spark, sf).join(t(spark, sf, "part", "p_partkey", "p_brand", "p_type"), F.col("sku") == F.col("p_partkey"))
+    return I.rolled_up(m, ["p_brand", "p_type"], "impact")
+
+
+@query(f"with m as ({MOVES}) select p_brand, cast(sum(impact) as bigint) as total, count(*) as n from m join part on p_partkey = sku group by all")
+def drill_down(spark, sf):
+    return I.at_level(stock_rollup(spark, sf), 1).select("p_brand", "total", "n")
+
+
+@query(f"with m as ({MOVES}) select sku, cast(sum(impact) as bigint) as stock, count(distinct wh) as warehouses from m group by all")
+def cross_warehouse(spark, sf):
+    return moves(spark, sf).groupBy("sku").agg(F.sum("impact").alias("stock"), F.count_distinct("wh").alias("warehouses"))
+
+
+@query("""select p_partkey, cast(case when p_partkey % 10 = 0 then p_size when p_brand = 'Brand#11' then 77 when p_type like 'PROMO%' then 55 else 9 end as bigint) as threshold from part""")
+def threshold_resolution(spark, sf):
+    p = t(spark, sf, "part").select("p_partkey", F.col("p_partkey").cast("string").alias("sku"), "p_brand", "p_type", F.lit("W1").alias("warehouse"), "p_size")
+    row = lambda df, level, value, amount: df.select(F.lit(level).alias("level"), value.cast("string").alias("value"), F.lit(None).cast("string").alias("warehouse"), amount.cast("bigint").alias("threshold"))
+    th = row(p.where("p_partkey % 10 = 0"), "sku", F.col("sku"), F.col("p_size"))
+    th = th.union(row(p.where("p_brand = 'Brand#11'").select("p_brand").distinct(), "brand", F.col("p_brand"), F.lit(77)))
+    th = th.union(row(p.where("p_type like 'PROMO%'").select("p_type").distinct(), "category", F.col("p_type"), F.lit(55)))
+    return I.resolved_thresholds(p, th, {"sku": "sku", "brand": "p_brand", "category": "p_type"}, 9).select("p_partkey", F.col("threshold").cast("bigint").alias("threshold"))
+
+
+@query(f"""with m as ({MOVES}), d as (select sku, datediff('day', date '1970-01-01', cast(ts as date)) as day, cast(sum(q) as bigint) as sold from m where l_returnflag = 'N' group by all)
+select sku, cast(day as integer) as day, cast(sum(sold) over (partition by sku order by day range between 29 preceding and current row) as bigint) as sold_30 from d""")
+def sales_velocity(spark, sf):
+    d = moves(spark, sf).where("l_returnflag = 'N'").groupBy("sku", F.unix_date(F.to_date("ts")).alias("day")).agg(F.sum("q").alias("sold"))
+    return I.velocity(d, ["sku"], "day", "sold", 30).select("sku", "day", F.round(F.col("per_day") * 30).cast("bigint").alias("sold_30"))
+
+
+@query(f"""with m as ({MOVES}), s as (select *, sum(impact) over (partition by wh, sku order by ts, l_orderkey, l_linenumber rows unbounded preceding) as stock from m),
+b as (select *, stock <= 20 as now, coalesce(lag(stock <= 20) over (partition by wh, sku order by ts, l_orderkey, l_linenumber), false) as was from s)
+select 'alt-' || strftime(ts, '%Y%m%d') || '-' || wh || '-' || sku as alert_id, l_orderkey, l_linenumber, case when stock <= 0 then 'stockout' when 2 * stock <= 20 then 'low_stock' else 'reorder' end as kind,
+case when stock <= 0 then 'critical' when 2 * stock <= 20 then 'high' else 'medium' end as severity, s_name from b join supplier on s_suppkey = wh where now and not was""")
+def stock_alerts(spark, sf):
+    order = ["ts", "l_orderkey", "l_linenumber"]
+    s = I.running_stock(moves(spark, sf), ["wh", "sku"], order, "impact")
+    a = I.breaches(s, ["wh", "sku"], order, F.col("stock") <= 20).withColumn("kind", I.alert_kind(F.col("stock"), F.lit(20)))
+    a = a.join(t(spark, sf, "supplier", "s_suppkey", "s_name"), F.col("wh") == F.col("s_suppkey"))
+    return a.select(I.alert_id(F.col("ts"), F.col("wh").cast("string"), F.col("sku").cast("string")).alias("alert_id"), "l_orderkey", "l_linenumber", "kind", I.severity(F.col("kind")).alias("severity"), "s_name")
+
+
+@query(f"with m as ({MOVES}), s as (select wh, sku, sum(impact) as stock from m group by all) select wh, count(*) as items, count(*) filter (where stock <= 0) as out_of_stock, count(*) filter (where stock <= 20) as below from s group by all")
+def business_metrics(spark, sf):
+    s = moves(spark, sf).groupBy("wh", "sku").agg(F.sum("impact").alias("stock"))
+    return s.groupBy("wh").agg(F.count("*").alias("items"), F.count_if(F.col("stock") <= 0).alias("out_of_stock"), F.count_if(F.col("stock") <= 20).alias("below"))
+
+
+@query("select date_trunc('hour', ts) as start, event_type, count(*) as n from events group by all")
+def windowed(spark, sf):
+    e = t(spark, sf, "events", "ts", "event_type").withColumn("ts", F.col("ts").cast("timestamp"))
+    return windowed_counts(e, "ts", "event_type").select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n")
+
+
+@query("""with g as (select user_id, ts, case when lag(ts) over w is null or ts >= lag(ts) over w + interval 30 minute then 1 else 0 end as fresh from events window w as (partition by user_id order by ts)),
+s as (select user_id, ts, sum(fresh) over (partition by user_id order by ts rows unbounded preceding) as k from g) select user_id, min(ts) as start, count(*) as n from s group by user_id, k""")
+def user_sessions(spark, sf):
+    e = t(spark, sf, "events", "ts", "user_id").withColumn("ts", F.col("ts").cast("timestamp"))
+    return sessions(e, "ts", "user_id").select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), "n")
+
+
+@query("select event_type as collection, count(*) as n from events group by all")
+def fan_in(spark, sf):
+    e = t(spark, sf, "events")
+    kinds = sorted(r[0] for r in e.select("event_type").distinct().collect())
+    return cdc.fan_in([(k, e.where(F.col("event_type") == k)) for k in kinds]).groupBy("collection").agg(F.count("*").alias("n"))
