@@ -122,10 +122,10 @@ def components(edges: DataFrame) -> DataFrame:
         low = both.groupBy("a").agg(F.min("b").alias("m0")).select(F.col("a").alias("k"), F.least("a", "m0").alias("m"))
         joined = both.join(low, F.col("a") == F.col("k"))
         if large:
-            out = joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))
-        else:
-            out = joined.select(F.col("b").alias("a"), F.col("m").alias("b")).union(low.select(F.col("k").alias("a"), F.col("m").alias("b")))
-        return out.where("a > b").distinct()
+            return joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b")
+        # A neighbour goes to the least one, and so does the node itself.
+        ends = F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a").alias("a"), F.col("m").alias("b"))))
+        return joined.select(ends.alias("e")).select("e.a", "e.b").where("a > b").distinct()
 
     now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
     before = None

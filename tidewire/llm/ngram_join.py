@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from tidewire.llm.common import BROADCAST_ROWS, WordHash, components, gram_hashes, mix, streamed_groups, utf8, written
 
 #: A block is cut when it has more classes or more n-grams than this.
-BLOCK_CLASSES, BLOCK_GRAMS = 3_000, 6_000_000
+BLOCK_CLASSES, BLOCK_GRAMS = 500, 2_000_000
 #: Ranges with fewer n-grams than this take no part while enough others remain.
 LIGHT = 3
 
@@ -78,6 +78,7 @@ class Trie:
         self.kids: list[list[int]] = []
         self.node: list[tuple[int, int, int, int, int, int]] = []
         self.top = self._build()
+        self.number()
 
     @staticmethod
     def _common(a: np.ndarray, b: np.ndarray) -> int:
@@ -105,40 +106,53 @@ class Trie:
                     todo.append((lo, hi, end, self.kids[k]))
         return top
 
-    def links(self, q: int, percent: int, root: np.ndarray) -> Iterator[int]:
-        """Sets linked with set q, but for subtrees that lie wholly in q's component (root, changed meanwhile)."""
-        own = self.sets[q]
-        n = len(own)
-        todo = [(k, 0, 0) for k in self.top]
+    def number(self) -> None:
+        """Give every n-gram of the block its rank, so that a set is marked in one array over all of them."""
+        flat = np.concatenate(self.sets) if self.sets else np.empty(0, np.uint64)
+        grams, ranks = np.unique(flat, return_inverse=True)
+        self.ranks = np.split(ranks.astype(np.int64), np.cumsum(self.size)[:-1])
+        self.mark = np.zeros(len(grams) + 1, np.int32)
+
+    def links(self, q: int, percent: int, root: np.ndarray, side: np.ndarray | None = None) -> Iterator[int]:
+        """Sets after set q that link with it, but for subtrees wholly in q's component (root, changed meanwhile) and sets of its side."""
+        n = len(self.ranks[q])
+        self.mark[self.ranks[q] + 1] = 1
+        upto = np.cumsum(self.mark)  # elements of q below each rank
+        todo = [(k, 0) for k in self.top]
         while todo:
-            k, both, at = todo.pop()
+            k, both = todo.pop()
             first, last, start, end, least, most = self.node[k]
-            if least * 100 > n * 100 * 100 // percent or n * percent > most * 100:
+            if last <= q + 1 or least * percent > n * 100 or n * percent > most * 100:
                 continue
-            if (root[first:last] == root[q]).all():
+            leaf = last - first == 1
+            if leaf and side is not None and side[first] == side[q]:
                 continue
-            edge = self.sets[first][start:end]
-            if len(edge):
-                place = np.searchsorted(own[at:], edge) + at
-                inside = place < n
-                both += int((own[np.minimum(place, n - 1)] == edge)[inside].sum())
-                at = int(place[-1])
+            if root[first] == root[q] and (leaf or (root[first:last] == root[q]).all()):
+                continue
+            at = 0
+            if end > start:
+                edge = self.ranks[first][start:end]
+                both += int(self.mark[edge + 1].sum())
+                at = int(upto[edge[-1] + 1])
+            elif end:
+                at = int(upto[self.ranks[first][end - 1] + 1])
             size = min(max(end + n - at, least), most)  # the length at which a partner below fits best
             if (both + min(size - end, n - at)) * (100 + percent) < percent * (n + size):
                 continue
-            if last - first == 1:
-                if both * (100 + percent) >= percent * (n + most):
-                    yield first
+            if leaf:
+                yield first
             else:
-                todo += [(kid, both, at) for kid in self.kids[k]]
+                todo += [(kid, both) for kid in self.kids[k]]
+        self.mark[self.ranks[q] + 1] = 0
 
 
-def joined(sets: list[np.ndarray], percent: int) -> np.ndarray:
-    """For distinct sets: the position of a set of the same component, equal within a component."""
+def joined(sets: list[np.ndarray], percent: int, side: list[int] | None = None) -> np.ndarray:
+    """For distinct sets: the position of a set of the same component, equal within a component. Sets of one side aren't compared."""
     trie = Trie(sets)
     root = np.arange(len(sets))
+    sides = None if side is None else np.array(side)[trie.order]
     for q in range(len(sets)):
-        for other in trie.links(q, percent, root):
+        for other in trie.links(q, percent, root, sides):
             if root[other] != root[q]:
                 root[root == root[other]] = root[q]
     out = np.empty(len(sets), np.int64)
@@ -187,18 +201,19 @@ def near_classes(docs: DataFrame, n: int = 3, percent: int = 90) -> DataFrame:
         placed = F.broadcast(placed)
     texts = docs.join(placed, docs.doc_id == placed.class_id).select("root", "class_id", "chunks", "chunk", "text")
     pairs = texts.select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
-    pairs = pairs.select("root", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "class_id", "chunks", "text")
+    pairs = pairs.select("root", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "class_id", "chunks", "text")
 
     def join_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHash()
-        for _, rows in streamed_groups(batches, ["root", "i", "j"]):
-            sets, ids = {}, {}
-            for key, text in zip(rows["class_id"].to_pylist(), (x for c in rows["text"].chunks for x in utf8(c)), strict=True):
+        for (_, i, j), rows in streamed_groups(batches, ["root", "i", "j"]):
+            sets, ids, side = {}, {}, {}
+            for key, chunk, text in zip(rows["class_id"].to_pylist(), rows["chunk"].to_pylist(), (x for c in rows["text"].chunks for x in utf8(c)), strict=True):
                 grams = gram_set(text, n, words)
+                side.setdefault(grams.tobytes(), chunk)
                 sets.setdefault(grams.tobytes(), grams)  # rows with equal ids may differ in text
                 ids.setdefault(grams.tobytes(), []).append(key)
             group = list(sets)
-            of = joined([sets[g] for g in group], percent)
+            of = joined([sets[g] for g in group], percent, None if i == j else [side[g] for g in group])
             least: dict[int, int] = {}
             for g, r in zip(group, of.tolist(), strict=True):
                 least[r] = min(least.get(r, ids[g][0]), *ids[g])
