@@ -22,8 +22,6 @@ from tidewire.llm.common import BROADCAST_ROWS, WordHash, components, gram_hashe
 
 #: A block is cut when it has more classes or more n-grams than this.
 BLOCK_CLASSES, BLOCK_GRAMS = 500, 2_000_000
-#: Ranges with fewer n-grams than this take no part while enough others remain.
-LIGHT = 3
 
 
 def gram_set(text: bytes | None, n: int, words: WordHash) -> np.ndarray:
@@ -44,7 +42,12 @@ def size_bins(percent: int, top: int) -> list[int]:
 
 
 def signatures(grams: np.ndarray, percent: int) -> np.ndarray:
-    """Digests of the ranges of a set, for its own size bin and, where a larger partner may be in it, the next."""
+    """Digests of the ranges of a set, for its own size bin and, where a larger partner may be in it, the next.
+
+    One more range than a linked partner can differ in is enough: the fullest ones are taken, with all that
+    are as full as the last of them. Of two linked sets, the one with the higher limit has a range in common that it
+    takes, and the other takes that one too; so light ranges, empty ones above all, join nothing.
+    """
     n = len(grams)
     low = size_bins(percent, n)
     if n < low[0]:  # only an equal set can link
@@ -59,8 +62,8 @@ def signatures(grams: np.ndarray, percent: int) -> np.ndarray:
         of = ((grams >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)
         ends = np.searchsorted(of, np.arange(m + 1, dtype=np.uint64))
         digest = mix((sums[ends[1:]] - sums[ends[:-1]]) ^ mix(np.arange(m, dtype=np.uint64) + np.uint64(b << 32)))
-        heavy = np.diff(ends) >= LIGHT
-        out.append(digest[heavy] if m - int(heavy.sum()) <= spare else digest)
+        held = np.diff(ends)
+        out.append(digest[held >= np.partition(held, spare)[spare]])
     return np.concatenate(out)
 
 
