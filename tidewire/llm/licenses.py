@@ -155,8 +155,10 @@ class Scanner:
             done: list[tuple[int, int]] = []  # covered, first
             for k, (at, s, n) in enumerate(runs):
                 top = (n, at)
-                for j in range(k - 1, max(-1, k - 65), -1):
+                for j in range(k - 1, -1, -1):
                     at2, s2, n2 = runs[j]
+                    if at2 + len(self.sequences[t]) + GAP < at:  # a run is no longer than its template
+                        break
                     if at2 + n2 <= at <= at2 + n2 + GAP and s2 + n2 <= s and done[j][0] + n > top[0]:
                         top = (done[j][0] + n, done[j][1])
                 done.append(top)

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/=.@-])(?=[A-Za-z_+/=.@-]*[0-9])[A-Za-z0-9_+/=.@-]{16,512}(?![A-Za-z0-9_+/=@-])")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/=.@-])(?=[A-Za-z_+/=.@-]*[0-9])[A-Za-z0-9_+/=.@-]{16,}(?![A-Za-z0-9_+/=@-])")
 #: Neighbouring words that speak for or against a secret, and word parts of ordinary names.
 FOR = {"token", "secret", "password", "passwd", "pwd", "key", "apikey", "api_key", "api", "auth", "bearer", "credential", "credentials", "private", "access", "access_key", "secret_key", "access_token", "client_secret"}
 AGAINST = {"commit", "sha", "sha1", "sha256", "md5", "checksum", "digest", "hash", "uuid", "id", "rev", "revision", "version", "isbn", "phone", "example", "sample", "dummy", "placeholder", "test", "mail", "email", "see", "file", "path", "etag", "build"}
@@ -159,7 +159,7 @@ def findings(docs: DataFrame, labelled: list[tuple[str, int, int, bool]] | None
     """doc_id, start, length, score, is_secret for each candidate in docs (doc_id, text); start counts characters from 0.
 
     labelled: findings the forest is trained from (bounded by the caller), by default those of example_findings. Null and empty texts and empty
-    tables have no candidates. Repeated rows have theirs each. Candidates have 16 to 512 characters.
+    tables have no candidates. Repeated rows have theirs each. Candidates have 16 characters at least.
     """
     forest = docs.sparkSession.sparkContext.broadcast(train(labelled or example_findings()))
 
