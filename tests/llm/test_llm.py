@@ -274,6 +274,28 @@ def test_lm_counts_all_words(spark):
     assert got == {b"a": 1, b"b": 3, b"c": 1}
 
 
+def test_lm_vocabulary_takes_equal_counts_together(spark):
+    counts = spark.createDataFrame([(b"a", 9), (b"c", 5), (b"b", 5), (b"d", 2), (b"e", 2)], "word binary, n long")
+    want = [(b"a", 9), (b"b", 5), (b"c", 5), (b"d", 2), (b"e", 2)]
+    assert [lm_score.most_frequent(counts, k) for k in (0, 1, 2, 3, 4, 5, 9)] == [[], want[:1], want[:1], want[:3], want[:3], want, want]
+    assert lm_score.most_frequent(counts.limit(0), 5) == []
+
+
+def test_signatures_of_small_sets_hold_grams():
+    rng = np.random.default_rng(6)
+    empty = {int(d) for n in range(9, 60) for k in [len(ngram_join.size_bins(90, n)) - 1] for b in range(k + 1) for d in ngram_join.mix(ngram_join.mix(np.arange(200, dtype=np.uint64) + np.uint64(b << 32)))}
+    for n in (9, 12, 20, 50):
+        for _ in range(20):
+            grams = np.unique(rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2))
+            assert not empty & set(ngram_join.signatures(grams, 90).tolist())
+
+
+def test_long_secret(spark):
+    key = "aB3" * 400
+    df = spark.createDataFrame([(1, f'see token = "{key}" here')], "doc_id long, text string")
+    assert [(r.start, r.length) for r in secrets.findings(df).collect()] == [(13, 1200)]
+
+
 def test_word_hash_forgets(monkeypatch):
     monkeypatch.setattr("tidewire.llm.common.MEMO_LIMIT", 2)
     h = WordHash()
