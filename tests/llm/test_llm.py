@@ -104,8 +104,8 @@ def brute_components(rows, n, percent):
     return {d: (len(sets[d]), find(d)) for d in ids}
 
 
-@pytest.mark.parametrize("classes", [500, 7])
-def test_ngram_join_brute_force(spark, monkeypatch, classes):
+@pytest.mark.parametrize(("classes", "n", "percent"), [(500, 3, 90), (7, 3, 90), (500, 5, 80)])
+def test_ngram_join_brute_force(spark, monkeypatch, classes, n, percent):
     monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", classes)
     rng = np.random.default_rng(1)
     rows = []
@@ -117,8 +117,36 @@ def test_ngram_join_brute_force(spark, monkeypatch, classes):
                 copy[rng.integers(len(copy))] = f"e{rng.integers(1000)}"
             rows.append((len(rows), " ".join(copy + ["common", "tail", "of", "all"])))
     rows += [(200, None), (201, ""), (202, "one"), (203, "ONE"), (204, "one two")]
-    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == brute_components(rows, 3, 90)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_classes(spark.createDataFrame(rows, "doc_id long, text string"), n, percent, percent < 90).collect()}
+    assert got == brute_components(rows, n, percent)
+
+
+@pytest.mark.parametrize(("overlap", "least"), [(0.8, 0.998), (0.82, 0.9998), (0.85, 1.0)])
+def test_likely_digests_meet(overlap, least):
+    """Pairs of exactly the Jaccard index, nested sets and sets of one size, of 8 to 3,000 n-grams."""
+    rng = np.random.default_rng(5)
+    met, exact = [], []
+    for k in range(5000):
+        n = int(np.exp(rng.uniform(np.log(8), np.log(3000))))
+        a = rng.integers(0, 2**64, n, np.uint64)
+        if k % 2:
+            b = a[: -(-n * int(overlap * 100) // 100)]
+        else:
+            both = int(np.ceil(2 * n * overlap / (1 + overlap)))
+            b = np.concatenate([a[:both], rng.integers(0, 2**64, n - both, np.uint64)])
+        a, b = np.unique(a), np.unique(b)
+        hit = bool(np.isin(ngram_join.signatures(a, 80, True), ngram_join.signatures(b, 80, True)).any())
+        (exact if n < ngram_join.LIKELY_FROM else met).append(hit)
+    assert all(exact)
+    assert np.mean(met) >= least
+
+
+def test_likely_digests_pass_over_shared_passages():
+    rng = np.random.default_rng(6)
+    passage = rng.integers(0, 2**64, 46, np.uint64)
+    seen = [set(ngram_join.signatures(np.unique(np.concatenate([passage, rng.integers(0, 2**64, 254, np.uint64)])), 80, True).tolist()) for _ in range(150)]
+    meet = sum(bool(seen[i] & seen[j]) for i in range(150) for j in range(i))
+    assert meet <= 0.005 * 150 * 149 / 2
 
 
 def test_ngram_join_odd(spark):
@@ -311,7 +339,7 @@ def test_pipeline(spark, duck):
         out = stage(spark, kept, SF)
         assert out.columns == corpus_pipeline.COLUMNS, name
         kept = out
-    near = brute_components(given, 3, 90)
+    near = brute_components(given, 5, 80)
     leaked = {d for d, t in given for (b,) in duck.sql("select text from benchmark").fetchall() if b in t}
     left = {r.doc_id for r in kept.select("doc_id").collect()}
     assert left == {d for d, (_, c) in near.items() if c == d} - leaked
