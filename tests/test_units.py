@@ -149,8 +149,8 @@ def test_stream_dedup(spark, tmp_path):
     df = spark.createDataFrame([("a", 5, 1), ("a", 5, 2), ("a", 6, 3), ("b", 1, 4)], "k string, ts long, arrival long")
     df.coalesce(1).write.parquet(str(tmp_path / "in"))
     stream = spark.readStream.schema(df.schema).parquet(str(tmp_path / "in"))
-    q = fresh_stream(stream, "k", "ts").writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
-    q.awaitTermination(120)
+    q = fresh_stream(stream, "k", "ts", ttl_ms=None).writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+    assert q.awaitTermination(120)
     assert sorted(r.arrival for r in spark.read.parquet(str(tmp_path / "out")).collect()) == [1, 3, 4]
 
 

@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 
-def fresh_stream(events: DataFrame, key: str, ts: str, ttl_ms: int = 86_400_000) -> DataFrame:
+def fresh_stream(events: DataFrame, key: str, ts: str, ttl_ms: int | None = 86_400_000) -> DataFrame:
     """Rows whose ts is above every earlier one of their key. State: the largest ts, kept for ttl_ms of processing time.
 
-    A micro-batch's rows of a key are taken in order of arrival (column arrival).
+    A micro-batch's rows of a key are taken in order of arrival (column arrival). With a ttl Spark runs batches for
+    ever to look for timeouts, so a query triggered by availableNow ends only where ttl_ms is None (state is kept).
     """
 
     def step(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -27,10 +28,12 @@ def fresh_stream(events: DataFrame, key: str, ts: str, ttl_ms: int = 86_400_000)
             keep.append(top is None or t > top)
             top = t if top is None else max(top, t)
         state.update((int(top),))
-        state.setTimeoutDuration(ttl_ms)
+        if ttl_ms is not None:
+            state.setTimeoutDuration(ttl_ms)
         yield frame[keep]
 
-    return events.groupBy(key).applyInPandasWithState(step, events.schema, "top long", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    timeout = GroupStateTimeout.NoTimeout if ttl_ms is None else GroupStateTimeout.ProcessingTimeTimeout
+    return events.groupBy(key).applyInPandasWithState(step, events.schema, "top long", "append", timeout)
 
 
 def stock_stream(changes: DataFrame, key: str, change: str) -> DataFrame:
