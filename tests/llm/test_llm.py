@@ -309,6 +309,34 @@ def test_lm_vocabulary_takes_equal_counts_together(spark):
     assert lm_score.most_frequent(counts.limit(0), 5) == []
 
 
+def test_lm_long_words_are_told_apart(spark):
+    rows = [(1, "x" * 70 + "a " + "x" * 70 + "b"), (2, "x" * 70 + "a")]
+    assert sorted(r.n for r in lm_score.word_counts(spark.createDataFrame(rows, "doc_id long, text string")).collect()) == [1, 2]
+
+
+def test_lm_words_past_the_vocabulary_have_their_own_probabilities(spark):
+    rng = np.random.default_rng(8)
+    words = [f"w{k}" for k in range(300)] + ["é" * 50, "é" * 51]
+    rows = [(k, " ".join(words[min(int(j), len(words) - 1)] for j in rng.zipf(1.3, 80) - 1)) for k in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    whole, joined = ({r.doc_id: r.log_prob for r in lm_score.scores(df, vocabulary=v).collect()} for v in (50_000, 40))
+    assert all(abs(whole[k] - joined[k]) < 1e-3 for k in whole) and len(whole) == len(joined) == 60
+
+
+def test_lm_learns_from_all_documents(spark, monkeypatch):
+    monkeypatch.setattr(lm_score, "TRAIN_DOCS", 1)
+    texts = [" ".join(["ab", "cd", "ef", "gh"] * 250)] * 40
+    rows = [(k, t) for k, t in enumerate(texts)]
+    first = spark.createDataFrame(rows, "doc_id long, text string").orderBy(F.xxhash64("doc_id")).first().doc_id
+    found = []
+    for turn in (1, -1):
+        df = spark.createDataFrame([(k, t if k == first else " ".join(t.split()[::turn])) for k, t in rows], "doc_id long, text string")
+        model, _ = lm_score.fit(df, lm_score.word_counts(df))
+        cls, *_ = model.classes(texts[0].encode().split()[::-1])
+        found.append(model.log_probs(model.sides(cls), cls).mean())
+    assert found[1] > found[0] + 0.1
+
+
 def test_signatures_of_small_sets_hold_grams():
     rng = np.random.default_rng(6)
     empty = {int(d) for n in range(9, 60) for k in [len(ngram_join.size_bins(90, n)) - 1] for b in range(k + 1) for d in ngram_join.mix(ngram_join.mix(np.arange(200, dtype=np.uint64) + np.uint64(b << 32)))}
