@@ -230,6 +230,24 @@ def test_decontamination_recall(spark):
     assert decontaminate.leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_decontamination_finds_edits_at_either_end(spark):
+    rng = np.random.default_rng(4)
+    words = [f"w{k}" for k in range(3000)]
+    items = [(k, " ".join(rng.choice(words, n))) for k, n in enumerate([8, *rng.integers(9, 190, 30).tolist()])]
+    rows, want = [], set()
+    for k, text in items:
+        w = text.split()
+        e = len(w) // 5
+        for made in (w[e:], ["new"] * e + w[e:], w[: len(w) - e], w[: len(w) - e] + ["new"] * e, ["new" if j % 5 == 4 else x for j, x in enumerate(w)], w[:4] + ["new"] * e + w[4:]):
+            want.add((len(rows), k))
+            rows.append((len(rows), " ".join([*rng.choice(words, 50), *made, *rng.choice(words, 50)])))
+    for k, text in items:
+        w, e = text.split(), len(text.split()) // 5 + 1
+        rows.append((len(rows), " ".join([*rng.choice(words, 50), *["new"] * e, *w[e:], *rng.choice(words, 50)])))
+    got = {(r.doc_id, r.item_id): r.edits for r in decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert set(got) == want and all(n <= len(items[k][1].split()) // 5 for (_, k), n in got.items())
+
+
 def brute_base(text):
     import re
 

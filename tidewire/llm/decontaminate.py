@@ -1,11 +1,10 @@
-"""Benchmark decontamination by CGK random walks, bit-sampling LSH and exact edit verification.
+"""Benchmark decontamination by anchors, a count filter and exact edit verification; no leak is lost.
 
 Texts and items are sequences of word hashes (A-Z lower-cased; words are runs of letters, digits and
 non-ASCII bytes). A document leaks an item when some window of it is within floor(|item| * rate) word
 edits of the item. An item is cut into that many pieces plus one, so a leak holds one piece untouched:
-only windows that such a piece anchors are embedded (this loses none). The CGK walk maps a sequence to a string in which
-edit distance k becomes Hamming distance O(k^2), so windows and items meet in LSH tables keyed by
-sampled positions of it; candidates that meet in any table are verified by banded edit distance.
+only stretches around such a piece's first words are looked at. A leak is at most |item| + edits words of a stretch, at least
+|item| - edits of which are words of the item; stretches with such a part are verified by edit distance.
 """
 
 from __future__ import annotations
@@ -17,13 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import WordHash, gram_hashes, mix, utf8
+from tidewire.llm.common import WordHash, gram_hashes, utf8
 
 #: Bytes that belong to a word; others separate words.
 WORD = bytes(c if chr(c).isdigit() and c < 128 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
 #: Benchmark items of one index; more items are searched in several passes, so an index stays small.
 ITEMS_A_PASS = 20_000
-WALKS, TABLES, BITS = 4, 6, 3
 ANCHOR = 4
 
 
@@ -31,23 +29,6 @@ def sequence(text: bytes | None, words: WordHash) -> np.ndarray:
     return words.of(text.translate(WORD).split()) if text else np.empty(0, np.uint64)
 
 
-def walk(seqs: np.ndarray, lengths: np.ndarray, seed: int, steps: np.ndarray) -> np.ndarray:
-    """CGK embedding of many sequences at once, at the given (ascending) steps; past the end it pads with 0.
-
-    Step j emits the present element and moves on by a random bit that depends on j and that element.
-    """
-    at = np.zeros(len(seqs), np.int64)
-    rows = np.arange(len(seqs))
-    out = np.zeros((len(steps), len(seqs)), np.uint64)
-    keep = {int(s): k for k, s in enumerate(steps)}
-    for j in range(int(steps[-1]) + 1):
-        here = np.where(at < lengths, seqs[rows, np.minimum(at, seqs.shape[1] - 1)], np.uint64(0))
-        if j in keep:
-            out[keep[j]] = here
-        at += (mix(here + np.uint64(seed * 1_000_003 + j)) & np.uint64(1)).astype(np.int64)
-    return out
-
-
 def edit_window(item: np.ndarray, window: np.ndarray, most: int) -> tuple[int, int] | None:
     """Least edits from item to a substring of window, and the end of that substring; None if over most."""
     cost = np.arange(len(item) + 1)
@@ -64,7 +45,7 @@ def edit_window(item: np.ndarray, window: np.ndarray, most: int) -> tuple[int, i
 
 
 class Index:
-    """Anchors and LSH tables of a bounded number of items."""
+    """Anchors of a bounded number of items."""
 
     def __init__(self, items: list[tuple[int, bytes | None]], rate: float, least: int):
         words = WordHash()
@@ -72,8 +53,6 @@ class Index:
         self.items = [(i, s) for i, s in seqs if len(s) >= least]
         self.rate = rate
         self.edits = [int(len(s) * rate) for _, s in self.items]
-        self.size = max((len(s) for _, s in self.items), default=0)
-        rng = np.random.default_rng(11)
         self.anchors: dict[int, dict[int, list[tuple[int, int]]]] = {}
         for k, (_, s) in enumerate(self.items):
             pieces = self.edits[k] + 1
@@ -83,16 +62,6 @@ class Index:
                 self.anchors.setdefault(n, {}).setdefault(int(gram_hashes(s[lo : lo + n], n)[0]), []).append((k, lo))
         self.keys = {n: np.sort(np.fromiter(a, np.uint64, len(a))) for n, a in self.anchors.items()}
         self.bits = {n: self._bitmap(k) for n, k in self.keys.items()}
-        # Sampled steps lie early and late alike in the walk of the shortest item; a walk has its own randomness.
-        reach = 2 * min((len(s) for _, s in self.items), default=1)
-        self.steps = [np.unique(np.concatenate([np.sort(rng.choice(max(reach, BITS), BITS, replace=False)) for _ in range(TABLES)])) for _ in range(WALKS)]
-        self.samples = [[rng.choice(len(s), min(BITS, len(s)), replace=False) for _ in range(TABLES)] for s in self.steps]
-        self.tables: list[dict[int, set[int]]] = [{} for _ in range(WALKS * TABLES)]
-        if self.items:
-            block, lengths = self._padded([s for _, s in self.items])
-            for t, keys in enumerate(self._buckets(block, lengths)):
-                for k, key in enumerate(keys.tolist()):
-                    self.tables[t].setdefault(key, set()).add(k)
 
     @staticmethod
     def _bitmap(keys: np.ndarray) -> np.ndarray:
@@ -100,62 +69,45 @@ class Index:
         bits[(keys >> np.uint64(44)).astype(np.int64)] = True
         return bits
 
-    @staticmethod
-    def _padded(seqs: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-        lengths = np.array([len(s) for s in seqs])
-        block = np.zeros((len(seqs), max(1, int(lengths.max()))), np.uint64)
-        for row, s in zip(block, seqs, strict=True):
-            row[: len(s)] = s
-        return block, lengths
-
-    def _buckets(self, block: np.ndarray, lengths: np.ndarray) -> Iterator[np.ndarray]:
-        for w in range(WALKS):
-            emitted = walk(block, lengths, w, self.steps[w])
-            for picks in self.samples[w]:
-                key = np.zeros(len(block), np.uint64)
-                for p in picks:
-                    key = mix(key + emitted[p])
-                yield key
-
     def leaks(self, s: np.ndarray) -> dict[int, tuple[int, int, int]]:
         """item position -> (edits, first word, words) of its best window in s."""
-        windows: dict[tuple[int, int], None] = {}
+        windows: dict[int, set[int]] = {}
         for n, table in self.anchors.items():
             grams = gram_hashes(s, n)
             hits = np.flatnonzero(self.bits[n][(grams >> np.uint64(44)).astype(np.int64)])
             for at in hits.tolist():
                 for k, offset in table.get(int(grams[at]), ()):
-                    windows[k, at - offset] = None
+                    windows.setdefault(k, set()).add(at - offset)
         found: dict[int, tuple[int, int, int]] = {}
-        if not windows:
-            return found
-        # Around an anchor the item may have shifted by up to its edits: these starts are embedded.
-        starts: list[tuple[int, int]] = []
-        for k, at in windows:
-            e = self.edits[k]
-            starts += [(k, a) for a in range(max(0, at - e), min(at + e, len(s) - 1) + 1)]
-        starts = list(dict.fromkeys(starts))
-        met: set[tuple[int, int]] = set()
-        for lo in range(0, len(starts), 4096):
-            part = starts[lo : lo + 4096]
-            block, lengths = self._padded([s[a : a + len(self.items[k][1])] for k, a in part])
-            for t, keys in enumerate(self._buckets(block, lengths)):
-                for (k, a), key in zip(part, keys.tolist(), strict=True):
-                    if k in self.tables[t].get(key, ()):
-                        met.add((k, a))
-        for k, a in sorted(met):
-            if k in found and found[k][0] == 0:
-                continue
+        for k, starts in windows.items():
             item, e = self.items[k][1], self.edits[k]
-            lo = max(0, a - e)
-            got = edit_window(item, s[lo : a + len(item) + e], e)
-            if got and (k not in found or got[0] < found[k][0]):
-                end = lo + got[1]
-                back = edit_window(item[::-1], s[lo:end][::-1], e)
-                words = back[1] if back else got[1]
-                found[k] = (got[0], end - words, words)
+            # Around an anchor the item may have shifted by up to its edits either way; what overlaps is one stretch.
+            stretches: list[list[int]] = []
+            for a in sorted(starts):
+                lo, hi = max(0, a - e), a + len(item) + 2 * e
+                if stretches and lo <= stretches[-1][1]:
+                    stretches[-1][1] = hi
+                else:
+                    stretches.append([lo, hi])
+            for lo, hi in stretches:
+                part = s[lo:hi]
+                if not self._likely(item, part, e):
+                    continue
+                got = edit_window(item, part, e)
+                if got and (k not in found or got[0] < found[k][0]):
+                    end = lo + got[1]
+                    back = edit_window(item[::-1], s[lo:end][::-1], e)
+                    words = back[1] if back else got[1]
+                    found[k] = (got[0], end - words, words)
         return found
 
+    @staticmethod
+    def _likely(item: np.ndarray, part: np.ndarray, edits: int) -> bool:
+        """Whether some |item| + edits words of part have |item| - edits words of the item among them."""
+        seen = np.concatenate([[0], np.cumsum(np.isin(part, item))])
+        size = min(len(part), len(item) + edits)
+        return bool((seen[size:] - seen[: len(seen) - size]).max() >= len(item) - edits)
+
 
 def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.2, least: int = 8) -> DataFrame:
     """doc_id, item_id, edits, first_word, n_words: the best window of each item that a document leaks.
