@@ -55,6 +55,22 @@ def test_restored(text):
     assert not toxicity.Reader(lexicon, words).words("the 10 of them 3d a b c d e f")
 
 
+@pytest.mark.parametrize("text", ["a f @ g there", "a f4g", "f a g"])
+def test_restored_three_letters(text):
+    words = toxicity.LetterModel({"fag": 40, "the": 90, "there": 30})
+    reader = toxicity.Reader({"fag": 5.0}, words)
+    assert reader.words(text) == {"fag"}
+    assert not reader.words("the 10% of 3d a b f") and not reader.words("f a")
+
+
+def test_toxicity_learns_rare_words_of_many_toxic_texts(spark):
+    name = lambda k: "".join(chr(97 + k // 26**j % 26) for j in range(3))
+    rows = [(k, f"p{name(k)} {'vile' if k < 400 else 'fine'} q{name(k)} {'ruin' if k < 7 else 'calm'} r{name(k)}") for k in range(3600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, int(k < 400)) for k, _ in rows], "doc_id long, toxic int")
+    assert set(toxicity.learn(docs, labels, F.lit(True))[0]) == {"vile", "ruin"}
+
+
 def test_toxicity_learns_only_what_it_may(spark):
     fill = ["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa"]
     rows = [(k, " ".join(fill[(k * j + j) % 7] + str(k) for j in range(9)) + f" {fill[k % 7]}{k} {'vile' if k % 3 == 0 else 'fine'} {fill[k % 5]}{k}") for k in range(300)]
