@@ -303,6 +303,23 @@ def test_secrets_held_out():
     assert np.mean([(x >= 0.5) == s for x, (*_, s) in zip(p, fresh, strict=True)]) > 0.95
 
 
+def test_secrets_assigned():
+    forest = secrets.train(secrets.example_findings())
+    rng = np.random.default_rng(2)
+    letters = list("ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnpqrstuvwxyz")
+    made = lambda alphabet, n: "".join(rng.choice(alphabet, n))
+    found, whole = 0, 0
+    for lead in ("API_KEY=", "export DB_PASSWORD=", "http://a.example.com/x?token=", "see http://a.example.com/x?a=1&access_token=", 'client_secret: "', "run AUTH_TOKEN="):
+        for _ in range(20):
+            for value in (made(list("0123456789abcdef"), 40), "AKIA" + made(letters[:24], 16), "ghp_" + made(letters + list("0123456789"), 36), made(letters + list("23456789"), 12), made(letters, 16)):
+                got = [(a, b) for a, b, p in secrets.spans(f"{lead}{value} and more words", forest) if p >= 0.5]
+                found += got == [(len(lead), len(lead) + len(value))]
+                whole += 1
+    assert found > 0.95 * whole, found / whole
+    for text in ("commit=" + "0f" * 20 + " is in", "password: something else", "the secretary: appointment at ten", "mail=ab.34@mail7.example.com now"):
+        assert not [x for x in secrets.spans(text, forest) if x[2] >= 0.5], text
+
+
 def test_secrets_redacted(spark):
     key = "0f" * 20
     df = spark.createDataFrame([(1, f'see token = "{key}" and {key[:8]}', "a"), (2, None, "b"), (3, "mail ab.34@mail7.example.com now", "c")], "doc_id long, text string, start string")

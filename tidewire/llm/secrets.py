@@ -1,6 +1,7 @@
 """Secret scans: a random forest removes the false positives of a wide candidate pattern.
 
-Candidates are long runs of key-like characters with a digit. The forest sees length, character
+Candidates are long runs of key-like characters with a digit, without the NAME= before them, and shorter ones, with or
+without a digit, that are assigned to a key-like name. The forest sees length, character
 transitions, dictionary coverage, surroundings that look like a path, and neighbouring words, and is
 trained from labelled findings: (text, start, end, secret).
 """
@@ -18,6 +19,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/=.@-])(?=[A-Za-z_+/=.@-]*[0-9])[A-Za-z0-9_+/=.@-]{16,}(?![A-Za-z0-9_+/=@-])")
+#: A name and its '=' at the head of a candidate; the value is what follows.
+NAMED = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*=(?=[^=])")
+#: Values assigned to key-like names.
+ASSIGNED = re.compile(r"(?i)(?:token|secret|password|passwd|passphrase|pwd|api[_-]?key|auth|bearer|credential|(?:private|access|secret|signing|encryption)[_-]?key)(?:s|[_-][a-z0-9_-]{0,32})?[\"']?[ \t]{0,3}(?:=>|=|:)[ \t]{0,3}[\"'`]?([A-Za-z0-9_+/=.@-]{8,})")
 #: Neighbouring words that speak for or against a secret, and word parts of ordinary names.
 FOR = {"token", "secret", "password", "passwd", "pwd", "key", "apikey", "api_key", "api", "auth", "bearer", "credential", "credentials", "private", "access", "access_key", "secret_key", "access_token", "client_secret"}
 AGAINST = {"commit", "sha", "sha1", "sha256", "md5", "checksum", "digest", "hash", "uuid", "id", "rev", "revision", "version", "isbn", "phone", "example", "sample", "dummy", "placeholder", "test", "mail", "email", "see", "file", "path", "etag", "build"}
@@ -116,11 +121,12 @@ def example_findings(n: int = 3_000, seed: int = 13) -> list[tuple[str, int, int
     for k in range(n):
         if k % 2:
             name = r.choice(["token", "api_key", "secret", "password", "auth_token", "access_token", "client_secret", "private_key", "SECRET_KEY", "TOKEN", "API_KEY"])
-            value = r.choice([lambda: chars(hexa, r.choice([32, 40, 40, 48, 64])), lambda: chars(hexa, 40).upper(), lambda: chars(alnum, r.randint(20, 64)), lambda: "AKIA" + chars("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16), lambda: "ghp_" + chars(alnum, 36), lambda: "sk_live_" + chars(alnum, 24), lambda: chars(alnum + "+/", 40) + "=="])() 
-            join = r.choice([' = "', '="', ": ", "=", ": '", " = '", ' = "', ' = "'])
+            value = r.choice([lambda: chars(hexa, r.choice([32, 40, 40, 48, 64])), lambda: chars(hexa, 40).upper(), lambda: chars(alnum, r.randint(20, 64)), lambda: "AKIA" + chars("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16), lambda: "ghp_" + chars(alnum, 36), lambda: "sk_live_" + chars(alnum, 24), lambda: chars(alnum + "+/", 40) + "==", lambda: chars(alnum, r.randint(8, 15)), lambda: chars(alnum[:52], r.randint(12, 24))])()
+            join = r.choice([' = "', '="', ": ", "=", ": '", " = '", ' = "', ' = "', "=", "="])
             if r.random() < 0.15 and re.match("AKIA|ghp_|sk_live_", value):
                 name, join = word(), " "
-            before, value, after = f"{prose()} {name}{join}", value + "0" * (not re.search("[0-9]", value)), join[-1].strip(" =:") + " " + prose()
+            lead = r.choice(["", "", "", "export ", "http://" + word() + ".example.com/" + word() + "?", "x=1&"]) if join == "=" else ""
+            before, after = f"{prose()} {lead}{name}{join}", join[-1].strip(" =:") + " " + prose()
         else:
             before, value, after = r.choice([
                 lambda: (prose() + " ", f"{word()}.{r.randint(1, 99)}@mail{r.randint(1, 9)}.example.com", " "),
@@ -134,12 +140,40 @@ def example_findings(n: int = 3_000, seed: int = 13) -> list[tuple[str, int, int
                 lambda: (prose() + " ", f"{word()}_{word()}_{word()}{r.randint(1, 2030)}_{word()}", " "),
                 lambda: (prose() + " version ", f"{r.randint(1, 20)}.{r.randint(0, 20)}.{r.randint(0, 99)}-release-build{r.randint(1, 999)}", " "),
                 lambda: (prose() + ' password = "', f"example-{word()}-{word()}-placeholder{r.randint(0, 9)}", '" '),
+                lambda: (f"{prose()} {r.choice(['token', 'password', 'secret', 'Auth', 'api_key'])}{r.choice([': ', '=', ' = '])}", f"{word()}{word()}{word()}{word()}ing", " "),
+                lambda: (f"{prose()} {r.choice(['commit', 'id', 'etag', 'sha1', 'width'])}=", chars(hexa, r.choice([32, 40])), " "),
+                lambda: (f"{prose()} {word()}=", f"{word()}-{word()}_{word()}.{r.randint(100, 9999)}", " "),
                 lambda: (prose() + " ", f"{word()}{word()}{word()}{r.randint(0, 99)}{word()}{word()}", ". "),
             ])()
-        out.append((before + value + after, len(before), len(before) + len(value), bool(k % 2)))
+        text, start, end = before + value + after, len(before), len(before) + len(value)
+        # The spans are those that a scan finds.
+        start, end = next(((a, b) for a, b in candidates(text) if a < end and start < b), (start, end))
+        out.append((text, start, end, bool(k % 2)))
     return out
 
 
+def candidates(text: str) -> list[tuple[int, int]]:
+    """Start and end of each candidate, in order and apart from each other."""
+    out = [m.span(1) for m in ASSIGNED.finditer(text)]
+    values, k = list(out), 0
+    for m in CANDIDATE.finditer(text):
+        a, end = m.span()
+        while k < len(values) and values[k][1] <= a:
+            k += 1
+        # What is assigned to a key-like name is a candidate already; what lies before and behind it may be another.
+        holes = []
+        for j in range(k, len(values)):
+            if values[j][0] >= end:
+                break
+            holes.append(values[j])
+        for lo, hi in zip([a, *(h for _, h in holes)], [*(v for v, _ in holes), end], strict=True):
+            while n := NAMED.match(text, lo, hi):
+                lo = n.end()
+            if hi - lo >= 16 and any("0" <= c <= "9" for c in text[lo:hi]):
+                out.append((lo, hi))
+    return sorted(out)
+
+
 def train(findings: list[tuple[str, int, int, bool]]) -> Forest:
     x = np.array([features(t, a, b) for t, a, b, _ in findings])
     return Forest(x, np.array([float(s) for *_, s in findings]))
@@ -149,7 +183,7 @@ def spans(text: str | None, forest: Forest) -> list[tuple[int, int, float]]:
     """Candidates of a text with the forest's share of secret votes."""
     if not text:
         return []
-    at = [(m.start(), m.end()) for m in CANDIDATE.finditer(text)]
+    at = candidates(text)
     if not at:
         return []
     return [(a, b, float(p)) for (a, b), p in zip(at, forest.predict(np.array([features(text, a, b) for a, b in at])), strict=True)]
@@ -159,7 +193,7 @@ def findings(docs: DataFrame, labelled: list[tuple[str, int, int, bool]] | None
     """doc_id, start, length, score, is_secret for each candidate in docs (doc_id, text); start counts characters from 0.
 
     labelled: findings the forest is trained from (bounded by the caller), by default those of example_findings. Null and empty texts and empty
-    tables have no candidates. Repeated rows have theirs each. Candidates have 16 characters at least.
+    tables have no candidates. Repeated rows have theirs each. Candidates have 16 characters at least, 8 after a key-like name.
     """
     forest = docs.sparkSession.sparkContext.broadcast(train(labelled or example_findings()))
 
