@@ -219,6 +219,20 @@ def test_packing_round_trip(spark):
     assert packing.packed(frame(spark, ODD).limit(0)).count() == 0
 
 
+def test_packing_brings_related_documents_together(spark):
+    pytest.importorskip("tiktoken")
+    pytest.importorskip("public_tokenizers")
+    encoding = packing.Tokens().encoding
+    words = [w for w in (encoding.decode([k]) for k in range(2000, 40_000)) if w[0] == " " and w[1:].isascii() and w[1:].isalpha()]
+    rng = np.random.default_rng(6)
+    topics = [rng.choice(words, 60) for _ in range(560)]
+    rows = [(k, "".join(rng.choice(topics[k % 560], 600))) for k in range(1120)]
+    sequences = {}
+    for r in packing.packed(spark.createDataFrame(rows, "doc_id long, text string")).collect():
+        sequences.setdefault(r.doc_id, set()).add(r.sequence_id)
+    assert len(sequences) == 1120 and sum(bool(sequences[k] & sequences[k + 560]) for k in range(560)) > 0.4 * 560
+
+
 def test_neighbours_are_alike():
     df = np.ones(1 << 16)
     docs = [np.array(x, np.uint16) for x in ([5, 6, 7, 8], [50, 60, 70], [5, 6, 9], [80, 81])]

@@ -1,7 +1,8 @@
 """Lexical retrieval packing: sharded BM25 indexes fill each window with neighbours of its seed.
 
-Documents are tokenised once, where they are read, into shards of bounded size (a row holds a whole
-shard). Document frequencies and the mean length are taken over all documents. In a shard, whole
+Documents are tokenised once, where they are read. Document frequencies and the mean length are taken over all
+documents. A weighted min-hash by these frequencies places documents that share rare terms next to each other, wherever
+they lie in the file; shards of bounded size are cut from that order. In a shard, whole
 windows of long documents stand alone; their tails and the short documents go into an inverted index with BM25
 weights. The first unused one seeds a window, its best-scored unused neighbours fill it greedily, and
 the last is cut to fit. What is left at a shard's end is cut into powers of two, so nothing is padded.
@@ -126,6 +127,27 @@ class Shard:
             sequence += 1
 
 
+def priorities(df: np.ndarray, total: int) -> np.ndarray:
+    """A random rank (from 1) of each term, low for rare shared ones: the least rank of a document is a min-hash weighted by squared
+    inverse document frequency. Terms of one document rank last."""
+    weight = np.log1p((total - df + 0.5) / (df + 0.5)) ** 2
+    drawn = np.random.default_rng(17).exponential(size=len(df)) / np.maximum(weight, 1e-9)
+    drawn[df < 2] = np.inf
+    ranks = np.empty(len(df), np.int64)
+    ranks[np.argsort(drawn, kind="stable")] = np.arange(len(df))
+    return np.minimum(ranks + 1, 0xFFFF)
+
+
+def place(ranks: np.ndarray) -> int:
+    """The three least different ranks, as one number that sorts by the first, then the next."""
+    out, low = 0, -1
+    for _ in range(3):
+        left = ranks[ranks > low]
+        low = int(left.min()) if len(left) else 0xFFFF
+        out = out << 16 | low
+    return out
+
+
 def packed(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset for each piece.
 
@@ -134,49 +156,68 @@ def packed(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
-    def shards(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def tokenised(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens(vocabulary)
-        base, count = TaskContext.get().partitionId() << 40, 0
+        row = TaskContext.get().partitionId() << 40
         end = np.array([END], np.uint16).tobytes()
-        ids, rows, size = [], [], 0
+        seen = np.zeros(1 << 16, np.int64)
 
-        def close() -> pa.RecordBatch:
-            seen = np.bincount(np.concatenate([np.unique(np.frombuffer(r, np.uint16)) for r in rows]))
-            terms = np.flatnonzero(seen)
-            ends = pa.array([0, len(rows)], pa.int32())
-            return pa.RecordBatch.from_arrays([pa.array([base + (count << 20)], pa.int64()), pa.ListArray.from_arrays(ends, pa.array(ids, pa.int64())), pa.ListArray.from_arrays(ends, pa.array([len(r) // 2 for r in rows], pa.int64())), pa.array([b"".join(rows)], pa.binary()), pa.array([terms.tolist()], pa.list_(pa.int32())), pa.array([seen[terms].tolist()], pa.list_(pa.int64()))], ["shard", "ids", "sizes", "tokens", "terms", "seen"])
+        def out(ids: list, rows: list[bytes], sizes: list[int], terms: list, counts: list) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + len(ids))), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(rows, pa.binary()), pa.array(terms, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int64()))], ["row", "id", "size", "tokens", "terms", "seen"])
 
         for batch in batches:
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                packed_ids = tokens.packed(text) + end
-                ids.append(doc)
-                rows.append(packed_ids)
-                size += len(packed_ids) // 2
-                if len(rows) >= SHARD_DOCS or size >= SHARD_TOKENS:
-                    yield close()
-                    ids, rows, size, count = [], [], 0, count + 1
-        if rows:
-            yield close()
-
-    kept = written(docs.mapInArrow(shards, "shard long, ids array<long>, sizes array<long>, tokens binary, terms array<int>, seen array<long>"), "shards")
-    counts = kept.select(F.explode(F.arrays_zip("terms", "seen").alias("x")).alias("x")).groupBy("x.terms").agg(F.sum("x.seen").alias("n"))
+            rows = [tokens.packed(text) + end for text in batch.column(1).to_pylist()]
+            for r in rows:
+                seen[np.unique(np.frombuffer(r, np.uint16))] += 1
+            yield out(batch.column(0).to_pylist(), rows, [len(r) // 2 for r in rows], [None] * len(rows), [None] * len(rows))
+            row += len(rows)
+        # The last row of a task holds no document but its document frequencies.
+        used = np.flatnonzero(seen)
+        if len(used):
+            yield out([None], [b""], [0], [used.tolist()], [seen[used].tolist()])
+
+    kept = written(docs.mapInArrow(tokenised, "row long, id long, size long, tokens binary, terms array<int>, seen array<long>"), "tokens")
+    counts = kept.where("size = 0").select(F.explode(F.arrays_zip("terms", "seen").alias("x")).alias("x")).groupBy("x.terms").agg(F.sum("x.seen").alias("n"))
     df = np.zeros(1 << 16, np.float64)  # at most one row for each entry of the vocabulary
     for r in counts.collect():
         df[r.terms] = r.n
-    total, size = kept.agg(F.sum(F.size("ids")), F.sum(F.aggregate("sizes", F.lit(0).cast("long"), lambda a, x: a + x))).first()
-    stats = docs.sparkSession.sparkContext.broadcast((df, total or 0, (size or 1) / (total or 1)))
+    kept = kept.where("size > 0").drop("terms", "seen")
+    total, size = kept.agg(F.count("*"), F.sum("size")).first()
+    stats = docs.sparkSession.sparkContext.broadcast((df, total or 0, (size or 1) / (total or 1), priorities(df, total or 0)))
+
+    def keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first = stats.value[3]
+        for batch in batches:
+            keys = [place(first[np.frombuffer(raw.as_buffer(), np.uint16)]) for raw in batch.column(3)]
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *batch.columns], ["place", "row", "id", "size", "tokens"])
+
+    placed = written(kept.mapInArrow(keyed, "place long, row long, id long, size long, tokens binary"), "placed")
+    # Rows are told apart, so many documents of one place are split too.
+    placed = placed.repartitionByRange("place", "row").sortWithinPartitions("place", "row")
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
+        base, count = TaskContext.get().partitionId() << 40, 0
+        ids: list[int | None] = []
+        rows: list[np.ndarray] = []
+        tokens = 0
+
+        def close() -> pa.RecordBatch:
+            out = []
+            for k, start, n, sequence, offset in Shard(rows, *stats.value[:3]).pieces():
+                crc = zlib.crc32(rows[k][start : start + n].astype("<u4").tobytes())
+                out.append((ids[k], start, n, crc, len(rows[k]), base + (count << 20) + sequence, offset))
+            return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names)
+
         for batch in batches:
-            for shard, ids, sizes, raw in zip(*(batch.column(k) for k in range(4)), strict=True):
-                ids, sizes = ids.as_py(), sizes.as_py()
-                flat = np.frombuffer(raw.as_buffer(), np.uint16)
-                docs = np.split(flat, np.cumsum(sizes)[:-1])
-                out = []
-                for k, start, n, sequence, offset in Shard(docs, *stats.value).pieces():
-                    crc = zlib.crc32(docs[k][start : start + n].astype("<u4").tobytes())
-                    out.append((ids[k], start, n, crc, sizes[k], shard.as_py() + sequence, offset))
-                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names)
-
-    return kept.select("shard", "ids", "sizes", "tokens").mapInArrow(pack, ", ".join(f"{c} long" for c in ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]))
+            for doc, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                ids.append(doc)
+                rows.append(np.frombuffer(raw, np.uint16))
+                tokens += len(rows[-1])
+                if len(rows) >= SHARD_DOCS or tokens >= SHARD_TOKENS:
+                    yield close()
+                    ids, rows, tokens, count = [], [], 0, count + 1
+        if rows:
+            yield close()
+
+    return placed.select("id", "tokens").mapInArrow(pack, ", ".join(f"{c} long" for c in ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]))
