@@ -349,6 +349,16 @@ def test_urls(spark):
     assert [g[4] for g in got][4:6] == ["block", "block"] and got[0][4] == "allow"
 
 
+def test_urls_are_told_apart_to_their_last_segment(spark):
+    rules = (url_filter.Rule("a.org", "/blog/post/spam/", False), url_filter.Rule("a.org", "/blog/post/news/", True))
+    urls = [f"http://a.org/blog/post/{k}/x/{j}" for k, n in (("spam", 9), ("news", 5)) for j in range(n)]
+    urls += ["http://b.org/blog/post/spam/x/77", "http://b.org/blog/post/news/x/77", "http://b.org/blog/post/news/y/z", "http://b.org/blog/post"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r.page_id: (r.verdict, r.template) for r in url_filter.judged(pages, rules).collect()}
+    assert got[14] == ("block", "/blog/post/spam/x/*") and got[15] == ("allow", "/blog/post/news/x/*")
+    assert got[16] == ("allow", "/blog/post/news/y/z") and got[17] == ("block", "/blog/post") and len(got) == len(urls)
+
+
 def test_url_plan_is_native(spark):
     plan = url_filter.judged(spark.createDataFrame([(1, "http://a.com/")], "page_id long, url string"))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan

@@ -1,9 +1,9 @@
 """URL filters by a path-template tree, in DataFrame functions only.
 
-A page lies in a tree of its host: first path segment, second, and so on, variable segments being wildcards
+A page lies in a tree of its host: first path segment, second, and so on to its last, variable segments being wildcards
 (a segment with a digit, or one of a branch with too many values). Rules label the pages they fit.
-Branches of a host whose smoothed purities fall in the same tenth are merged; a page without a rule is judged
-by the deepest branch with labelled pages: its own, else the same template under its host's suffix, else anywhere.
+Branches of a host and depth whose smoothed purities fall in the same tenth are merged; a page without a rule is judged
+by the deepest branch with labelled pages, up to the one of LEAST segments: its own, else the same template under its host's suffix, else anywhere.
 """
 
 from __future__ import annotations
@@ -14,8 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A branch with more distinct children than this has a wildcard child instead; segments beyond DEPTH aren't told apart.
-CHILDREN, DEPTH = 50, 2
+#: A branch with more distinct children than this has a wildcard child instead, and so have all below; no branch has fewer segments than LEAST.
+CHILDREN, LEAST = 50, 2
 
 
 @dataclass(frozen=True)
@@ -63,31 +63,35 @@ def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     split = split.withColumn("fit", fitting(F.col("host"), F.col("path"), rules))
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
     digit = lambda s: F.when(s.rlike("[0-9]"), "*").otherwise(s)
-    split = split.withColumn("segs", F.transform(F.slice(segments, 1, DEPTH), digit))
-    split = split.select("page_id", "host", "path", "fit", F.coalesce(F.try_element_at("segs", F.lit(1)), F.lit("")).alias("one"), F.coalesce(F.try_element_at("segs", F.lit(2)), F.lit("")).alias("two"))
-    keys = split.groupBy("host", "one", "two").agg(F.count("*").alias("n"), F.sum(F.when(F.col("fit.allow"), 1).otherwise(0)).alias("good"), F.sum(F.when(~F.col("fit.allow"), 1).otherwise(0)).alias("bad"))
+    split = split.withColumn("segs", F.transform(segments, digit)).withColumn("way", F.concat_ws("/", "segs"))
+    keys = split.groupBy("host", "way", "segs").agg(F.sum(F.when(F.col("fit.allow"), 1).otherwise(0)).alias("good"), F.sum(F.when(~F.col("fit.allow"), 1).otherwise(0)).alias("bad"))
     # Branches with many children get a wildcard: counted on the grouped table, which holds a host's distinct templates.
-    ones = keys.groupBy("host").agg(F.count_distinct("one").alias("c1")).withColumnRenamed("host", "h1")
-    twos = keys.groupBy("host", "one").agg(F.count_distinct("two").alias("c2")).select(F.col("host").alias("h2"), F.col("one").alias("o2"), "c2")
-    tree = keys.join(ones, F.col("host") == F.col("h1")).join(twos, (F.col("host") == F.col("h2")) & (F.col("one") == F.col("o2")))
-    tree = tree.select("host", "one", "two", "n", "good", "bad", F.when((F.col("c1") > CHILDREN) & (F.col("one") != ""), "*").otherwise(F.col("one")).alias("t1"), F.when(((F.col("c2") > CHILDREN) | (F.col("c1") > CHILDREN)) & (F.col("two") != ""), "*").otherwise(F.col("two")).alias("t2"))
-    tree = tree.withColumn("template", F.concat_ws("/", F.lit(""), "t1", "t2")).withColumn("suffix", F.substring_index("host", ".", -1))
+    levels = keys.select("host", "way", "segs", F.explode(F.sequence(F.lit(1), F.size("segs") + 1)).alias("level"))
+    levels = levels.select("host", "way", "level", F.concat_ws("/", F.slice("segs", F.lit(1), F.col("level") - 1)).alias("above"), F.coalesce(F.try_element_at("segs", F.col("level")), F.lit("")).alias("child"))
+    wide = levels.groupBy("host", "level", "above").agg(F.count_distinct("child").alias("c")).where(F.col("c") > CHILDREN).drop("c")
+    wild = levels.join(wide, ["host", "level", "above"]).groupBy("host", "way").agg(F.min("level").alias("wild"))
+    tree = keys.join(wild, ["host", "way"], "left")
+    tree = tree.withColumn("segs", F.transform("segs", lambda s, k: F.when(k + 1 >= F.col("wild"), "*").otherwise(s)))
+    tree = tree.withColumn("segs", F.concat("segs", F.array_repeat(F.lit(""), F.greatest(F.lit(0), LEAST - F.size("segs")))))
+    tree = tree.withColumn("suffix", F.substring_index("host", ".", -1))
+    nodes = tree.withColumn("depth", F.explode(F.sequence(F.lit(LEAST), F.size("segs")))).withColumn("template", F.concat_ws("/", F.lit(""), F.concat_ws("/", F.slice("segs", F.lit(1), F.col("depth")))))
     # Purity in tenths, smoothed by one page of either kind; like branches of a host are one.
     tenth = lambda good, bad: F.expr(f"(10 * ({good} + 1)) div ({good} + {bad} + 2)")
-    branch = tree.groupBy("host", "suffix", "template").agg(F.sum("n").alias("n"), F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    branch = nodes.groupBy("host", "suffix", "depth", "template").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
     branch = branch.withColumn("tenth", F.when(F.col("good") + F.col("bad") > 0, tenth("good", "bad")))
-    merged = branch.where("tenth is not null").groupBy("host", "tenth").agg(F.sum("good").alias("mg"), F.sum("bad").alias("mb")).select(F.col("host").alias("mh"), F.col("tenth").alias("mt"), "mg", "mb")
+    merged = branch.where("tenth is not null").groupBy("host", "depth", "tenth").agg(F.sum("good").alias("mg"), F.sum("bad").alias("mb")).select(F.col("host").alias("mh"), F.col("depth").alias("md"), F.col("tenth").alias("mt"), "mg", "mb")
     under = branch.groupBy("suffix", "template").agg(F.sum("good").alias("sg"), F.sum("bad").alias("sb")).select(F.col("suffix").alias("s2"), F.col("template").alias("st"), "sg", "sb")
     anywhere = under.groupBy("st").agg(F.sum("sg").alias("ag"), F.sum("sb").alias("ab")).select(F.col("st").alias("at"), "ag", "ab")
     told = (
-        branch.join(merged, (F.col("host") == F.col("mh")) & (F.col("tenth") == F.col("mt")), "left")
+        branch.join(merged, (F.col("host") == F.col("mh")) & (F.col("depth") == F.col("md")) & (F.col("tenth") == F.col("mt")), "left")
         .join(under, (F.col("suffix") == F.col("s2")) & (F.col("template") == F.col("st")))
         .join(anywhere, F.col("template") == F.col("at"))
     )
     pure = lambda good, bad: F.when(F.col(good) + F.col(bad) > 0, 2 * (F.col(good) + 1) >= F.col(good) + F.col(bad) + 2)
-    told = told.select("host", "template", F.coalesce(pure("mg", "mb"), pure("sg", "sb"), pure("ag", "ab"), F.lit(True)).alias("pure"))
-    verdicts = tree.join(told, ["host", "template"]).select(F.col("host").alias("vh"), F.col("one").alias("v1"), F.col("two").alias("v2"), "template", "pure")
-    out = split.join(verdicts, (F.col("host") == F.col("vh")) & (F.col("one") == F.col("v1")) & (F.col("two") == F.col("v2")))
+    told = told.select("host", "template", F.coalesce(pure("mg", "mb"), pure("sg", "sb"), pure("ag", "ab")).alias("pure"))
+    deepest = F.max(F.when(F.col("pure").isNotNull(), F.struct("depth", "pure")))["pure"]
+    verdicts = nodes.join(told, ["host", "template"]).groupBy(F.col("host").alias("vh"), F.col("way").alias("vw")).agg(F.max_by("template", "depth").alias("template"), F.coalesce(deepest, F.lit(True)).alias("pure"))
+    out = split.join(verdicts, (F.col("host") == F.col("vh")) & (F.col("way") == F.col("vw")))
     return out.select("page_id", "host", "path", F.col("fit.name").alias("rule"), F.when(F.coalesce("fit.allow", "pure"), "allow").otherwise("block").alias("verdict"), "template")
 
 
