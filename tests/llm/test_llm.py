@@ -390,28 +390,70 @@ def test_lm_long_words_are_told_apart(spark):
 
 
 def test_lm_words_past_the_vocabulary_have_their_own_probabilities(spark):
+    """Scores equal the network's, given the slots, plus log(count / count of the slot) of every word, held by the model or joined."""
     rng = np.random.default_rng(8)
-    words = [f"w{k}" for k in range(300)] + ["é" * 50, "é" * 51]
+    words = [f"w{k}" for k in range(300)] + ["\u00e9" * 50, "\u00e9" * 51]
     rows = [(k, " ".join(words[min(int(j), len(words) - 1)] for j in rng.zipf(1.3, 80) - 1)) for k in range(60)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
-    whole, joined = ({r.doc_id: r.log_prob for r in lm_score.scores(df, vocabulary=v).collect()} for v in (50_000, 40))
-    assert all(abs(whole[k] - joined[k]) < 1e-3 for k in whole) and len(whole) == len(joined) == 60
-
-
-def test_lm_learns_from_all_documents(spark, monkeypatch):
-    monkeypatch.setattr(lm_score, "TRAIN_DOCS", 1)
+    counts = Counter(lm_score.key(w) for _, t in rows for w in lm_score.split(t.encode()))
+    got = {r.doc_id: r.log_prob for r in lm_score.scores(df, vocabulary=40).collect()}
+    net, texts, _ = lm_score.fit(df, lm_score.word_counts(df), 40)
+    slots = {r.doc_id: np.frombuffer(r.slots, np.uint16) for r in texts.where("row is not null").collect()}
+    mass = Counter()
+    for d, t in rows:
+        mass.update(slots[d].tolist())
+    for d, t in rows:
+        inner = sum(np.log(counts[lm_score.key(w)] / mass[s]) for w, s in zip(lm_score.split(t.encode()), slots[d].tolist(), strict=True))
+        assert abs(got[d] - net.log_probs([slots[d]]).sum(dtype=np.float64) - inner) < 1e-2
+    assert len(got) == 60
+
+
+def test_lm_probabilities_sum_to_one():
+    """Over all slots in one place, from both sides."""
+    rng = np.random.default_rng(9)
+    mass = rng.integers(0, 50, lm_score.SLOTS).astype(float)
+    net = lm_score.Network(lm_score.codes(rng.integers(0, 9, (lm_score.SLOTS, 2 * lm_score.PIVOTS)).astype(float), mass), mass)
+    net.train([rng.integers(0, 50, 400).astype(np.uint16) for _ in range(20)], rng)
+    texts = [np.array([3, 9, s, 4, 7], np.uint16) for s in range(lm_score.SLOTS)]
+    assert abs(np.exp(net.log_probs(texts).reshape(-1, 5)[:, 2].astype(float)).sum() - 1) < 1e-3
+
+
+def test_lm_predicts_words_from_both_sides():
+    """After "a" and before "b" stands "x", and "y" between "c" and "d": each is likelier where it belongs."""
+    rng = np.random.default_rng(10)
+    counts = np.zeros((lm_score.SLOTS, 2 * lm_score.PIVOTS))
+    near = [(0, 2, 1), (3, 5, 4)]
+    text = np.concatenate([near[k] for k in rng.integers(0, 2, 4000)]).astype(np.uint16)
+    for lo, hi in zip(text, text[1:], strict=False):
+        counts[hi, lo] += 1
+        counts[lo, lm_score.PIVOTS + hi] += 1
+    mass = np.bincount(text, minlength=lm_score.SLOTS).astype(float)
+    net = lm_score.Network(lm_score.codes(counts, mass), mass)
+    for _ in range(3):
+        net.train([text], rng, masked=1.0)
+    score = lambda *slots: float(net.log_probs([np.array(slots, np.uint16)])[1])
+    assert score(0, 2, 1) > score(3, 2, 4) + 2 and score(3, 5, 4) > score(0, 5, 1) + 2
+
+
+def test_lm_learns_from_all_documents(spark):
     texts = [" ".join(["ab", "cd", "ef", "gh"] * 250)] * 40
-    rows = [(k, t) for k, t in enumerate(texts)]
-    first = spark.createDataFrame(rows, "doc_id long, text string").orderBy(F.xxhash64("doc_id")).first().doc_id
     found = []
     for turn in (1, -1):
-        df = spark.createDataFrame([(k, t if k == first else " ".join(t.split()[::turn])) for k, t in rows], "doc_id long, text string")
-        model, _ = lm_score.fit(df, lm_score.word_counts(df))
-        cls, *_ = model.classes(texts[0].encode().split()[::-1])
-        found.append(model.log_probs(model.sides(cls), cls).mean())
+        df = spark.createDataFrame([(k, t if k == 7 else " ".join(t.split()[::turn])) for k, t in enumerate(texts)], "doc_id long, text string")
+        net, encoded, _ = lm_score.fit(df, lm_score.word_counts(df))
+        slots = np.frombuffer(encoded.where("doc_id = 7").first().slots, np.uint16)
+        found.append(net.log_probs([slots[::-1]]).mean())
     assert found[1] > found[0] + 0.1
 
 
+def test_lm_odd(spark):
+    got = lm_score.scores(frame(spark, ODD)).collect()
+    assert len(got) == len(ODD)
+    by = {r.doc_id: r for r in got}
+    assert by[4].log_prob == by[5].log_prob and by[1].log_prob == by[2].log_prob == 0 and by[3].mean_log_prob is None
+    assert lm_score.scores(frame(spark, ODD).limit(0)).count() == 0
+
+
 def test_signatures_of_small_sets_hold_grams():
     rng = np.random.default_rng(6)
     empty = {int(d) for n in range(9, 60) for k in [len(ngram_join.size_bins(90, n)) - 1] for b in range(k + 1) for d in ngram_join.mix(ngram_join.mix(np.arange(200, dtype=np.uint64) + np.uint64(b << 32)))}
