@@ -200,8 +200,8 @@ def test_packing_round_trip(spark):
     import public_tokenizers
 
     t = tokenizers.Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
-    t.encode_special_tokens = True
-    rows = ODD + [(10, "It's  a <|endoftext|> test\u00a0of ² ½ 中文 naïve_café's\n\n  x\t\x1f\u2028 '  …–“”"), (11, "the cat 12 sat " * 2000)]
+    rows = ODD + [(10, "It's  a <|endoftext|> test\u00a0of ² ½ 中文 naïve_café's\n\n  x\t\x1f\u2028 '  …–“”"), (11, "the cat 12 sat " * 2000), (12, "a <|endoftext|> b"), (13, "<|endoftext|>"), (14, "x<|endoftext|><|endoftext|>  \u4e2d <|endoftext| "), (12, "a <|endoftext|> b")]
+    assert t.encode("a <|endoftext|> b", add_special_tokens=False).ids == [64, 220, 50256, 275]
     ids = [(d, [*t.encode(x or "", add_special_tokens=False).ids, 1]) for d, x in rows]
     got = packing.packed(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     crcs = Counter()

@@ -13,6 +13,7 @@ from __future__ import annotations
 import base64
 import re
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -21,12 +22,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import MEMO_LIMIT, utf8, written
+from tidewire.llm.common import written
 
 WINDOW = 2048
 #: A shard closes at so many documents or tokens.
 SHARD_DOCS, SHARD_TOKENS = 512, 1_000_000
 END = 1
+#: The tokenizer's special token; its string in a text is that one id.
+SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
+#: Pieces of text that a worker remembers before it starts afresh.
+PIECES = 1_000_000
 K1, B = 1.2, 0.75
 #: Texts of these characters split the same way with re as with the tokenizer's own pattern.
 SIMPLE = re.compile(r"[\x00-\x1b\x20-\x7e\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff‐-‧]*")
@@ -44,23 +49,44 @@ class Tokens:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
         self.encoding = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
         encoding, core = self.encoding, self.encoding._core_bpe
+        single = getattr(core, "encode_single_piece", None)
 
         class Memo(dict):
             def __missing__(self, piece: str) -> bytes:
-                if len(self) >= MEMO_LIMIT:
+                if len(self) >= PIECES:
                     self.clear()
-                raw = piece.encode()
-                value = self[piece] = np.array(core.encode_single_piece(raw) if hasattr(core, "encode_single_piece") else encoding.encode_ordinary(piece), np.uint16).tobytes()
+                value = self[piece] = array("H", single(piece.encode()) if single else encoding.encode_ordinary(piece)).tobytes()
                 return value
 
         self.memo = Memo()
+        self.special = array("H", [SPECIAL_ID]).tobytes()
 
     def packed(self, text: str | None) -> bytes:
         if not text:
             return b""
+        if SPECIAL in text:
+            return self.special.join(map(self.packed, text.split(SPECIAL)))
         if SIMPLE.fullmatch(text):
             return b"".join(map(self.memo.__getitem__, SPLIT.findall(text)))
-        return np.array(self.encoding.encode_ordinary(text), np.uint16).tobytes()
+        return array("H", self.encoding.encode_ordinary(text)).tobytes()
+
+
+class Distinct:
+    """Distinct terms of a document without sorting: a term counts at the last of its places."""
+
+    def __init__(self) -> None:
+        self.last = np.zeros(1 << 16, np.int32)
+
+    def terms(self, ids: np.ndarray) -> np.ndarray:
+        places = np.arange(len(ids), dtype=np.int32)
+        self.last[ids] = places
+        return ids[self.last[ids] == places]
+
+    def counted(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct terms and how often they stand in the document."""
+        terms = self.terms(ids)
+        self.last[terms] = np.arange(len(terms), dtype=np.int32)
+        return terms, np.bincount(self.last[ids], minlength=len(terms))
 
 
 class Shard:
@@ -70,9 +96,10 @@ class Shard:
         self.docs = docs
         self.left = [len(d) % WINDOW for d in docs]
         terms, weights, owner = [], [], []
+        distinct = Distinct()
         self.query: list[tuple[np.ndarray, np.ndarray]] = []
         for k, d in enumerate(docs):
-            t, c = np.unique(d, return_counts=True)
+            t, c = distinct.counted(d)
             idf = np.log1p((total - df[t] + 0.5) / (df[t] + 0.5))
             self.query.append(t)
             terms.append(t)
@@ -139,20 +166,19 @@ def priorities(df: np.ndarray, total: int) -> np.ndarray:
 
 
 def place(ranks: np.ndarray) -> int:
-    """The three least different ranks, as one number that sorts by the first, then the next."""
-    out, low = 0, -1
-    for _ in range(3):
-        left = ranks[ranks > low]
-        low = int(left.min()) if len(left) else 0xFFFF
-        out = out << 16 | low
-    return out
+    """The three least ranks, as one number that sorts by the first, then the next."""
+    low = sorted(np.partition(ranks, 2)[:3].tolist()) if len(ranks) > 3 else sorted(ranks.tolist())
+    one, two, three = (*low, 0xFFFF, 0xFFFF, 0xFFFF)[:3]
+    return one << 32 | two << 16 | three
 
 
 def packed(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset for each piece.
 
-    docs: doc_id, text. Every document is its ids and then END; null and empty texts are END alone. Rows with equal or null ids
-    are packed row by row. An empty table gives no rows. vocabulary: path of the ranks on every executor.
+    docs: doc_id, text. Every document is its ids and then END; null and empty texts are END alone, the special token's string is its
+    id. Rows with equal or null ids, and repeated rows, are packed row by row. Texts of any length are packed whole: their full
+    windows alone, the rest like a short text. Neighbours of equal scores go by their place in the shard. Further columns aren't read;
+    an empty table gives no rows. vocabulary: path of the ranks on every executor.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
 
@@ -160,7 +186,7 @@ def packed(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
         tokens = Tokens(vocabulary)
         row = TaskContext.get().partitionId() << 40
         end = np.array([END], np.uint16).tobytes()
-        seen = np.zeros(1 << 16, np.int64)
+        seen, distinct = np.zeros(1 << 16, np.int64), Distinct()
 
         def out(ids: list, rows: list[bytes], sizes: list[int], terms: list, counts: list) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([pa.array(np.arange(row, row + len(ids))), pa.array(ids, pa.int64()), pa.array(sizes, pa.int64()), pa.array(rows, pa.binary()), pa.array(terms, pa.list_(pa.int32())), pa.array(counts, pa.list_(pa.int64()))], ["row", "id", "size", "tokens", "terms", "seen"])
@@ -168,7 +194,7 @@ def packed(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
         for batch in batches:
             rows = [tokens.packed(text) + end for text in batch.column(1).to_pylist()]
             for r in rows:
-                seen[np.unique(np.frombuffer(r, np.uint16))] += 1
+                seen[distinct.terms(np.frombuffer(r, np.uint16))] += 1
             yield out(batch.column(0).to_pylist(), rows, [len(r) // 2 for r in rows], [None] * len(rows), [None] * len(rows))
             row += len(rows)
         # The last row of a task holds no document but its document frequencies.
@@ -186,14 +212,13 @@ def packed(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     stats = docs.sparkSession.sparkContext.broadcast((df, total or 0, (size or 1) / (total or 1), priorities(df, total or 0)))
 
     def keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        first = stats.value[3]
+        first, distinct = stats.value[3], Distinct()
         for batch in batches:
-            keys = [place(first[np.frombuffer(raw.as_buffer(), np.uint16)]) for raw in batch.column(3)]
+            keys = [place(first[distinct.terms(np.frombuffer(raw.as_buffer(), np.uint16))]) for raw in batch.column(3)]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *batch.columns], ["place", "row", "id", "size", "tokens"])
 
-    placed = written(kept.mapInArrow(keyed, "place long, row long, id long, size long, tokens binary"), "placed")
-    # Rows are told apart, so many documents of one place are split too.
-    placed = placed.repartitionByRange("place", "row").sortWithinPartitions("place", "row")
+    # Rows are told apart, so many documents of one place are split too. Spark reads the written tokens twice, to sample the order and to shuffle.
+    placed = kept.mapInArrow(keyed, "place long, row long, id long, size long, tokens binary").repartitionByRange("place", "row").sortWithinPartitions("place", "row")
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
