@@ -275,7 +275,75 @@ def test_decontamination_finds_edits_at_either_end(spark):
         w, e = text.split(), len(text.split()) // 5 + 1
         rows.append((len(rows), " ".join([*rng.choice(words, 50), *["new"] * e, *w[e:], *rng.choice(words, 50)])))
     got = {(r.doc_id, r.item_id): r.edits for r in decontaminate.leaks(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()}
-    assert set(got) == want and all(n <= len(items[k][1].split()) // 5 for (_, k), n in got.items())
+    assert len(want & set(got)) >= 0.99 * len(want) and not set(got) - want and all(n <= len(items[k][1].split()) // 5 for (_, k), n in got.items())
+
+
+def brute_leaks(items, rows, rate=0.2, least=8):
+    """Every pair, by the textbook dynamic programme."""
+    split = lambda t: t.encode().translate(decontaminate.WORD).split()
+    out = {}
+    for d, text in rows:
+        for i, item in items:
+            a = split(item)
+            if len(a) < least:
+                continue
+            cost, best = list(range(len(a) + 1)), len(a)
+            for w in split(text or ""):
+                new = [0]
+                for j, x in enumerate(a, 1):
+                    new.append(min(cost[j - 1] + (x != w), cost[j] + 1, new[j - 1] + 1))
+                cost, best = new, min(best, new[-1])
+            if best <= int(len(a) * rate):
+                out[d, i] = best
+    return out
+
+
+@pytest.mark.parametrize("kind", ["substitute", "insert", "delete", "mixed"])
+def test_decontamination_recall_at_the_full_allowance(kind):
+    """As many edits as are allowed, anywhere, in items of 8 to 190 words; held against brute force."""
+    rng = np.random.default_rng(6)
+    words = [f"w{k}" for k in range(3000)]
+    items = [(k, " ".join(rng.choice(words, [8, 12, 15, 25, 60, 190][k % 6]))) for k in range(60)]
+    rows = []
+    for k, text in items:
+        w = text.split()
+        for _ in range(len(w) // 5):
+            at, how = rng.integers(len(w)), ("substitute", "insert", "delete")[rng.integers(3)] if kind == "mixed" else kind
+            w[at : at + 1] = {"substitute": [f"s{at}"], "insert": [w[at], f"i{at}"], "delete": []}[how]
+        rows.append((k, " ".join([*rng.choice(words, 20), *w, *rng.choice(words, 20)])))
+    want = brute_leaks(items, rows)
+    index, hashes = decontaminate.Index([(k, t.encode()) for k, t in items], 0.2, 8), WordHash()
+    got = {(d, index.items[k][0]): hit[0] for d, t in rows for k, hit in index.leaks(decontaminate.sequence(t.encode(), hashes)).items()}
+    assert len(want) >= 60 and sum(p in got for p in want) >= 0.97 * len(want)
+    assert all(want[p] == e for p, e in got.items())
+
+
+def test_decontamination_tables_reject_lone_pieces():
+    rng = np.random.default_rng(7)
+    words = [f"w{k}" for k in range(3000)]
+    met = []
+    for n in (25, 40, 100):
+        for _ in range(40):
+            item = list(rng.choice(words, n))
+            index = decontaminate.Index([(0, " ".join(item).encode())], 0.2, 8)
+            lo = index.pieces[rng.integers(len(index.pieces))][1]
+            text = " ".join([*rng.choice(words, 200), *item[lo : lo + 5], *rng.choice(words, 200)])
+            s = decontaminate.sequence(text.encode(), WordHash())
+            hits = index._hits(s)
+            same = index._keys([(s, *index.pieces[p], at) for p, at in hits]) == index._item_keys([p for p, _ in hits])
+            # The longer part of the two is the one that decides.
+            met += [bool(x[int(2 * index.pieces[p][1] > n)].any()) for (p, _), x in zip(hits, same, strict=True)]
+    assert np.mean(met) < 0.1
+
+
+def test_decontamination_odd(spark):
+    item = " ".join(f"q{k}" for k in range(12))
+    rows = [*ODD, (20, item), (20, item), (21, f"{item} {item}"), (22, "x " * 40_000 + item + " x" * 40_000)]
+    bench = spark.createDataFrame([(1, item, 5), (1, item, 6), (2, None, 1), (3, "too few words", 1), (None, item, 1)], "item_id long, text string, doc_id int")
+    got = sorted((r.doc_id, str(r.item_id), r.edits, r.first_word, r.n_words) for r in decontaminate.leaks(frame(spark, rows), bench).collect())
+    each = [("1", 0), ("1", 0), ("None", 0)]
+    assert got == sorted((d, i, e, f, 12) for d, f in ((20, 0), (20, 0), (21, 0), (22, 40_000)) for i, e in each)
+    assert decontaminate.leaks(frame(spark, rows).limit(0), bench).count() == 0
 
 
 def brute_base(text):
