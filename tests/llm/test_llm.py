@@ -417,14 +417,51 @@ def test_urls(spark):
     assert [g[4] for g in got][4:6] == ["block", "block"] and got[0][4] == "allow"
 
 
+def verdicts(spark, rules, urls):
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    return {urls[r.page_id]: (r.verdict, r.template) for r in url_filter.judged(pages, rules).collect()}
+
+
 def test_urls_are_told_apart_to_their_last_segment(spark):
     rules = (url_filter.Rule("a.org", "/blog/post/spam/", False), url_filter.Rule("a.org", "/blog/post/news/", True))
     urls = [f"http://a.org/blog/post/{k}/x/{j}" for k, n in (("spam", 9), ("news", 5)) for j in range(n)]
-    urls += ["http://b.org/blog/post/spam/x/77", "http://b.org/blog/post/news/x/77", "http://b.org/blog/post/news/y/z", "http://b.org/blog/post"]
-    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
-    got = {r.page_id: (r.verdict, r.template) for r in url_filter.judged(pages, rules).collect()}
-    assert got[14] == ("block", "/blog/post/spam/x/*") and got[15] == ("allow", "/blog/post/news/x/*")
-    assert got[16] == ("allow", "/blog/post/news/y/z") and got[17] == ("block", "/blog/post") and len(got) == len(urls)
+    urls += ["http://b.org/blog/post/spam/x/77", "http://b.org/blog/post/news/x/77", "http://b.org/blog/post/news/y/z", "http://b.org/blog/post", "http://b.org/" + "deep/" * 60 + "1"]
+    got = verdicts(spark, rules, urls)
+    assert got[urls[14]] == ("block", "/blog/post/spam/x/*") and got[urls[15]] == ("allow", "/blog/post/news/x/*")
+    assert got[urls[16]] == ("allow", "/blog/post/news/y/z") and got[urls[17]] == ("block", "/blog/post") and got[urls[18]] == ("block", "/" + "deep/" * 60 + "*")
+
+
+def purity_case():
+    """Branch /x/d has one good and one bad page, its sibling /x/e seven and one, and most labelled pages elsewhere are bad."""
+    host, rule = "http://a.org", url_filter.Rule
+    rules = (rule("a.org", "/x/d/good", True), rule("a.org", "/x/d/bad", False), rule("a.org", "/x/e/good", True), rule("a.org", "/x/e/bad", False), rule("b.org", "/", False))
+    urls = [f"{host}/x/d/good", f"{host}/x/d/bad", *(f"{host}/x/e/good{c}" for c in "abcdefg"), f"{host}/x/e/bad", *(f"http://b.org/q/{c}" for c in "abcdefghijklmnopqr")]
+    return rules, urls, f"{host}/x/d/other"
+
+
+@pytest.mark.parametrize(("alike", "verdict"), [(2.706, "allow"), (-1.0, "block")])
+def test_merging_like_branches_decides(spark, monkeypatch, alike, verdict):
+    monkeypatch.setattr(url_filter, "ALIKE", alike)
+    rules, urls, page = purity_case()
+    assert verdicts(spark, rules, [*urls, page])[page] == (verdict, "/x/d/other")
+
+
+@pytest.mark.parametrize(("strength", "verdict"), [(2, "block"), (0, "allow")])
+def test_smoothing_decides(spark, monkeypatch, strength, verdict):
+    monkeypatch.setattr(url_filter, "STRENGTH", strength)
+    rules, urls, page = purity_case()
+    urls = [u for u in urls if "/x/e/" not in u] + ["http://a.org/x/d/goodb"]  # two good of three, few good elsewhere
+    assert verdicts(spark, rules, [*urls, page])[page][0] == verdict
+
+
+def test_urls_odd(spark):
+    wide = [(k, f"http://a.com/c{'abcdefghijklmnopqrstuvwxyz'[k // 26]}{'abcdefghijklmnopqrstuvwxyz'[k % 26]}/z") for k in range(60)]
+    rows = [*wide, (None, "http://a.com/"), (90, "http://A.com//x//y/"), (90, "http://A.com//x//y/"), (91, "http://a.com/" + "s" * 20_000)]
+    pages = spark.createDataFrame([(i, u, "b", 1, 2, True) for i, u in rows], "page_id long, url string, verdict string, good int, depth int, alike boolean")
+    got = url_filter.judged(pages).collect()
+    assert len(got) == len(rows) and {r.verdict for r in got} == {"allow"}
+    assert {r.template for r in got if r.page_id is not None and r.page_id < 60} == {"/*/*"}
+    assert url_filter.judged(pages.limit(0)).count() == 0
 
 
 def test_url_plan_is_native(spark):

@@ -1,9 +1,11 @@
 """URL filters by a path-template tree, in DataFrame functions only.
 
-A page lies in a tree of its host: first path segment, second, and so on to its last, variable segments being wildcards
-(a segment with a digit, or one of a branch with too many values). Rules label the pages they fit.
-Branches of a host and depth whose smoothed purities fall in the same tenth are merged; a page without a rule is judged
-by the deepest branch with labelled pages, up to the one of LEAST segments: its own, else the same template under its host's suffix, else anywhere.
+A page lies in the tree of its host: the root, first path segment, second, and so on to its last, whatever its depth.
+Variable segments are wildcards: a segment with a digit, or one of a branch with too many values. Rules label the pages they
+fit. Sibling branches whose labelled purity can't be told from the rest of their parent's (a chi-square test) are merged and
+share their labels. A template is rejected if its purity, smoothed towards that of all labelled pages, is too low. A page
+without a rule is judged by the deepest template on its way with labelled pages: its host's own, else that of its host's
+suffix, else that of any host.
 """
 
 from __future__ import annotations
@@ -13,9 +15,15 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.llm.common import written
+
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-#: A branch with more distinct children than this has a wildcard child instead, and so have all below; no branch has fewer segments than LEAST.
-CHILDREN, LEAST = 50, 2
+#: A branch with more distinct children than this has a wildcard child instead, and so have all below.
+CHILDREN = 50
+#: Chi-square (one degree of freedom, 10 %) up to which a branch is like its siblings.
+ALIKE = 2.706
+#: Pages that the overall purity counts as in smoothing, and the purity in tenths below which a template is rejected.
+STRENGTH, PURE_TENTHS = 2, 6
 
 
 @dataclass(frozen=True)
@@ -51,46 +59,62 @@ def fitting(host: Column, path: Column, rules: tuple[Rule, ...]) -> Column:
     return out
 
 
+def alike(good: Column, bad: Column, all_good: Column, all_bad: Column) -> Column:
+    """Whether a branch's share of good pages can't be told from that of its siblings; also without siblings, or if all are of one kind."""
+    g, b, gg, bb = (x.cast("double") for x in (good, bad, all_good, all_bad))
+    n, other = g + b, gg + bb - g - b
+    differ = g * (bb - b) - b * (gg - g)
+    return (gg + bb) * differ * differ <= F.lit(ALIKE) * n * other * gg * bb
+
+
 def judged(pages: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     """page_id, host, path, rule, verdict, template for each row of pages (page_id, url).
 
-    Null urls and those without :// have an empty host and path and no rule, and are judged as one template.
-    Without any labelled page the verdict is allow. Repeated rows are judged alike and count each; an empty table
-    gives no rows; further columns, html too, aren't read.
+    Null urls and those without :// have an empty host and path and no rule, and are judged by the template of an empty path.
+    template: the page's own, with wildcards. Without any labelled page the verdict is allow. A path is read to its end.
+    Repeated rows are judged alike and count each; a purity of exactly PURE_TENTHS is allowed; an empty table
+    gives no rows; further columns, html too, aren't read. Pages are read twice, to count templates and to give verdicts.
     """
     host, path = parts(F.col("url"))
     split = pages.select("page_id", host.alias("host"), path.alias("path"))
     split = split.withColumn("fit", fitting(F.col("host"), F.col("path"), rules))
     segments = F.filter(F.split("path", "/"), lambda s: s != "")
-    digit = lambda s: F.when(s.rlike("[0-9]"), "*").otherwise(s)
-    split = split.withColumn("segs", F.transform(segments, digit)).withColumn("way", F.concat_ws("/", "segs"))
+    split = split.withColumn("segs", F.transform(segments, lambda s: F.when(s.rlike("[0-9]"), "*").otherwise(s))).withColumn("way", F.concat_ws("/", "segs"))
     keys = split.groupBy("host", "way", "segs").agg(F.sum(F.when(F.col("fit.allow"), 1).otherwise(0)).alias("good"), F.sum(F.when(~F.col("fit.allow"), 1).otherwise(0)).alias("bad"))
-    # Branches with many children get a wildcard: counted on the grouped table, which holds a host's distinct templates.
+    # One row for each distinct template of a host: small beside the pages, and read more than once.
+    keys = written(keys, "url-keys")
+    below = lambda upto: F.concat_ws("/", F.slice("segs", F.lit(1), upto))
+    # Branches with many children get a wildcard.
     levels = keys.select("host", "way", "segs", F.explode(F.sequence(F.lit(1), F.size("segs") + 1)).alias("level"))
-    levels = levels.select("host", "way", "level", F.concat_ws("/", F.slice("segs", F.lit(1), F.col("level") - 1)).alias("above"), F.coalesce(F.try_element_at("segs", F.col("level")), F.lit("")).alias("child"))
+    levels = levels.select("host", "way", "level", below(F.col("level") - 1).alias("above"), F.coalesce(F.try_element_at("segs", F.col("level")), F.lit("")).alias("child"))
     wide = levels.groupBy("host", "level", "above").agg(F.count_distinct("child").alias("c")).where(F.col("c") > CHILDREN).drop("c")
     wild = levels.join(wide, ["host", "level", "above"]).groupBy("host", "way").agg(F.min("level").alias("wild"))
     tree = keys.join(wild, ["host", "way"], "left")
     tree = tree.withColumn("segs", F.transform("segs", lambda s, k: F.when(k + 1 >= F.col("wild"), "*").otherwise(s)))
-    tree = tree.withColumn("segs", F.concat("segs", F.array_repeat(F.lit(""), F.greatest(F.lit(0), LEAST - F.size("segs")))))
-    tree = tree.withColumn("suffix", F.substring_index("host", ".", -1))
-    nodes = tree.withColumn("depth", F.explode(F.sequence(F.lit(LEAST), F.size("segs")))).withColumn("template", F.concat_ws("/", F.lit(""), F.concat_ws("/", F.slice("segs", F.lit(1), F.col("depth")))))
-    # Purity in tenths, smoothed by one page of either kind; like branches of a host are one.
-    tenth = lambda good, bad: F.expr(f"(10 * ({good} + 1)) div ({good} + {bad} + 2)")
-    branch = nodes.groupBy("host", "suffix", "depth", "template").agg(F.sum("good").alias("good"), F.sum("bad").alias("bad"))
-    branch = branch.withColumn("tenth", F.when(F.col("good") + F.col("bad") > 0, tenth("good", "bad")))
-    merged = branch.where("tenth is not null").groupBy("host", "depth", "tenth").agg(F.sum("good").alias("mg"), F.sum("bad").alias("mb")).select(F.col("host").alias("mh"), F.col("depth").alias("md"), F.col("tenth").alias("mt"), "mg", "mb")
-    under = branch.groupBy("suffix", "template").agg(F.sum("good").alias("sg"), F.sum("bad").alias("sb")).select(F.col("suffix").alias("s2"), F.col("template").alias("st"), "sg", "sb")
-    anywhere = under.groupBy("st").agg(F.sum("sg").alias("ag"), F.sum("sb").alias("ab")).select(F.col("st").alias("at"), "ag", "ab")
-    told = (
-        branch.join(merged, (F.col("host") == F.col("mh")) & (F.col("depth") == F.col("md")) & (F.col("tenth") == F.col("mt")), "left")
-        .join(under, (F.col("suffix") == F.col("s2")) & (F.col("template") == F.col("st")))
-        .join(anywhere, F.col("template") == F.col("at"))
-    )
-    pure = lambda good, bad: F.when(F.col(good) + F.col(bad) > 0, 2 * (F.col(good) + 1) >= F.col(good) + F.col(bad) + 2)
-    told = told.select("host", "template", F.coalesce(pure("mg", "mb"), pure("sg", "sb"), pure("ag", "ab")).alias("pure"))
-    deepest = F.max(F.when(F.col("pure").isNotNull(), F.struct("depth", "pure")))["pure"]
-    verdicts = nodes.join(told, ["host", "template"]).groupBy(F.col("host").alias("vh"), F.col("way").alias("vw")).agg(F.max_by("template", "depth").alias("template"), F.coalesce(deepest, F.lit(True)).alias("pure"))
+    node = F.explode(F.sequence(F.lit(0), F.size("segs")))
+    nodes = tree.withColumn("depth", node).withColumn("node", F.concat(F.lit("/"), below(F.col("depth")))).withColumn("parent", F.concat(F.lit("/"), below(F.greatest(F.col("depth") - 1, F.lit(0)))))
+    nodes = written(nodes.select("host", F.substring_index("host", ".", -1).alias("suffix"), "way", "depth", "node", "parent", F.concat(F.lit("/"), F.concat_ws("/", "segs")).alias("template"), "good", "bad"), "url-nodes")
+    counts = [F.sum("good").alias("good"), F.sum("bad").alias("bad")]
+    branch = nodes.groupBy("host", "suffix", "depth", "parent", "node").agg(*counts)
+    labelled = branch.where("good + bad > 0")
+    # Siblings that are like the rest of their parent are one branch.
+    whole = labelled.groupBy("host", "depth", "parent").agg(F.sum("good").alias("gg"), F.sum("bad").alias("bb"))
+    tested = labelled.join(whole, ["host", "depth", "parent"]).withColumn("alike", alike(F.col("good"), F.col("bad"), F.col("gg"), F.col("bb")))
+    pooled = tested.where("alike").groupBy("host", "depth", "parent").agg(F.sum("good").alias("mg"), F.sum("bad").alias("mb"))
+    merged = tested.join(pooled, ["host", "depth", "parent"], "left").select("host", "depth", "node", F.when(F.col("alike"), F.col("mg")).otherwise(F.col("good")).alias("hg"), F.when(F.col("alike"), F.col("mb")).otherwise(F.col("bad")).alias("hb"))
+    under = labelled.groupBy("suffix", "depth", "node").agg(F.sum("good").alias("sg"), F.sum("bad").alias("sb"))
+    anywhere = under.groupBy("depth", "node").agg(F.sum("sg").alias("ag"), F.sum("sb").alias("ab"))
+    total = keys.agg(F.coalesce(F.sum("good"), F.lit(0)).alias("g"), F.coalesce(F.sum("bad"), F.lit(0)).alias("b")).first()
+    told = branch.select("host", "suffix", "depth", "node").join(merged, ["host", "depth", "node"], "left").join(under, ["suffix", "depth", "node"], "left").join(anywhere, ["depth", "node"], "left")
+
+    def pure(good: str, bad: str) -> Column:
+        """Whether the smoothed purity, (good + STRENGTH share) / (all + STRENGTH), reaches PURE_TENTHS; in whole numbers. Null without pages."""
+        n, every = F.col(good) + F.col(bad), max(1, total.g + total.b)
+        return F.when(n > 0, 10 * (F.col(good) * every + STRENGTH * total.g) >= PURE_TENTHS * (n + STRENGTH) * every)
+
+    told = told.select("host", "node", F.coalesce(pure("hg", "hb"), pure("sg", "sb"), pure("ag", "ab")).alias("pure")).where("pure is not null")
+    verdicts = nodes.join(told, ["host", "node"], "left").groupBy("host", "way").agg(F.first("template").alias("template"), F.max_by("pure", F.when(F.col("pure").isNotNull(), F.col("depth"))).alias("pure"))
+    verdicts = written(verdicts.select(F.col("host").alias("vh"), F.col("way").alias("vw"), "template", F.coalesce("pure", F.lit(True)).alias("pure")), "url-verdicts")
     out = split.join(verdicts, (F.col("host") == F.col("vh")) & (F.col("way") == F.col("vw")))
     return out.select("page_id", "host", "path", F.col("fit.name").alias("rule"), F.when(F.coalesce("fit.allow", "pure"), "allow").otherwise("block").alias("verdict"), "template")
 
@@ -100,26 +124,34 @@ ORACLE = r"""
 with p as (
   select page_id, case when contains(coalesce(url, ''), '://') then translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') else '' end as host,
     case when contains(coalesce(url, ''), '://') then regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) else '' end as path from pages),
-r as (
+s as (
   select *, case
     when (host = 'www.example.com' or host like '%.www.example.com') and starts_with(path, '/en/') then 'www.example.com/en/'
     when (host = 'example.com' or host like '%.example.com') and starts_with(path, '/en/') then 'example.com/en/'
     when (host = 'net' or host like '%.net') and starts_with(path, '/fr/') then 'net/fr/'
     when (host = 'net' or host like '%.net') and starts_with(path, '/es/') then 'net/es/'
     when (host = 'com' or host like '%.com') and starts_with(path, '/') then 'com/' end as rule,
+    rule in ('com/', 'www.example.com/en/') as allow,
     list_transform(list_filter(string_split(path, '/'), lambda x: x <> ''), lambda x: case when regexp_matches(x, '[0-9]') then '*' else x end) as segs from p),
-s as (select page_id, host, path, rule, rule in ('com/', 'www.example.com/en/') as allow, coalesce(segs[1], '') as one, coalesce(segs[2], '') as two from r),
-k as (select host, one, two, count(*) as n, count(*) filter (where allow) as good, count(*) filter (where not allow) as bad from s group by all),
-c as (select host, count(distinct one) as c1 from k group by all),
-d as (select host, one, count(distinct two) as c2 from k group by all),
-t as (select k.*, '/' || case when c1 > 50 and k.one <> '' then '*' else k.one end || '/' || case when (c2 > 50 or c1 > 50) and two <> '' then '*' else two end as template,
-  string_split(k.host, '.')[-1] as suffix from k join c using (host) join d on d.host = k.host and d.one = k.one),
-b as (select host, suffix, template, sum(good) as good, sum(bad) as bad, case when sum(good) + sum(bad) > 0 then (10 * (sum(good) + 1)) // (sum(good) + sum(bad) + 2) end as tenth from t group by all),
-m as (select host, tenth, sum(good) as mg, sum(bad) as mb from b where tenth is not null group by all),
-u as (select suffix, template, sum(good) as sg, sum(bad) as sb from b group by all),
-a as (select template, sum(sg) as ag, sum(sb) as ab from u group by all),
-v as (select b.host, b.template, coalesce(case when mg + mb > 0 then mg >= mb end, case when sg + sb > 0 then sg >= sb end, case when ag + ab > 0 then ag >= ab end, true) as pure
-  from b left join m on m.host = b.host and m.tenth = b.tenth join u on u.suffix = b.suffix and u.template = b.template join a on a.template = b.template)
-select page_id, s.host, path, rule, case when coalesce(allow, pure) then 'allow' else 'block' end as verdict, t.template
-from s join t on t.host = s.host and t.one = s.one and t.two = s.two join v on v.host = t.host and v.template = t.template
+k as (select host, segs, count(*) filter (where allow) as good, count(*) filter (where not allow) as bad from s group by all),
+l as (select host, segs, unnest(range(1, len(segs) + 2)) as level from k),
+c as (select host, level, segs[1:level - 1] as above, count(distinct coalesce(segs[level], '')) as c from l group by all),
+w as (select l.host, l.segs, min(l.level) as wild from l join c on c.host = l.host and c.level = l.level and c.above = l.segs[1:l.level - 1] where c.c > 50 group by all),
+t as (select k.host, k.segs, string_split(k.host, '.')[-1] as suffix, good, bad, list_transform(k.segs, lambda x, i: case when i >= wild then '*' else x end) as way from k left join w on w.host = k.host and w.segs = k.segs),
+n as (select *, '/' || array_to_string(way, '/') as template, way[1:depth] as node, way[1:depth - 1] as parent from (select *, unnest(range(0, len(way) + 1)) as depth from t)),
+b as (select host, suffix, depth, parent, node, sum(good) as good, sum(bad) as bad from n group by all),
+a as (select * from b where good + bad > 0),
+f as (select a.*, cast(gg as double) as gd, cast(bb as double) as bd, cast(good as double) as g, cast(bad as double) as h from a join (select host, depth, parent, sum(good) as gg, sum(bad) as bb from a group by all) using (host, depth, parent)),
+z as (select *, (gd + bd) * (g * (bd - h) - h * (gd - g)) * (g * (bd - h) - h * (gd - g)) <= 2.706::double * (g + h) * (gd + bd - g - h) * gd * bd as alike from f),
+m as (select host, depth, node, case when alike then sum(good) filter (where alike) over q else good end as hg, case when alike then sum(bad) filter (where alike) over q else bad end as hb from z window q as (partition by host, depth, parent)),
+u as (select suffix, depth, node, sum(good) as sg, sum(bad) as sb from a group by all),
+e as (select depth, node, sum(sg) as ag, sum(sb) as ab from u group by all),
+o as (select sum(good) as tg, greatest(1, sum(good) + sum(bad)) as tn from k),
+v as (select b.host, b.node, case
+    when hg + hb > 0 then 10 * (hg * tn + 2 * tg) >= 6 * (hg + hb + 2) * tn
+    when sg + sb > 0 then 10 * (sg * tn + 2 * tg) >= 6 * (sg + sb + 2) * tn
+    when ag + ab > 0 then 10 * (ag * tn + 2 * tg) >= 6 * (ag + ab + 2) * tn end as pure
+  from b cross join o left join m on m.host = b.host and m.depth = b.depth and m.node = b.node left join u on u.suffix = b.suffix and u.depth = b.depth and u.node = b.node left join e on e.depth = b.depth and e.node = b.node),
+j as (select n.host, n.segs, any_value(template) as template, coalesce(arg_max(pure, depth) filter (where pure is not null), true) as pure from n join v on v.host = n.host and v.node = n.node group by all)
+select page_id, s.host, path, rule, case when coalesce(allow, pure) then 'allow' else 'block' end as verdict, template from s join j on j.host = s.host and j.segs = s.segs
 """
