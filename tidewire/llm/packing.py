@@ -11,7 +11,6 @@ the last is cut to fit. What is left at a shard's end is cut into powers of two,
 from __future__ import annotations
 
 import base64
-import re
 import zlib
 from array import array
 from collections.abc import Iterable, Iterator
@@ -30,16 +29,11 @@ SHARD_DOCS, SHARD_TOKENS = 512, 1_000_000
 END = 1
 #: The tokenizer's special token; its string in a text is that one id.
 SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
-#: Pieces of text that a worker remembers before it starts afresh.
-PIECES = 1_000_000
 K1, B = 1.2, 0.75
-#: Texts of these characters split the same way with re as with the tokenizer's own pattern.
-SIMPLE = re.compile(r"[\x00-\x1b\x20-\x7e\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff‐-‧]*")
-SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?[^\W\d_]+| ?\d+| ?[^\sA-Za-z0-9\xaa\xb5\xba\xc0-\xd6\xd8-\xf6\xf8-\xff]+|\s+(?!\S)|\s+")
 
 
 class Tokens:
-    """Byte-level BPE ids as packed unsigned 16-bit numbers, with a memo of pieces."""
+    """Byte-level BPE ids as packed unsigned 16-bit numbers."""
 
     def __init__(self, vocabulary: str | None = None):
         import public_tokenizers
@@ -48,17 +42,6 @@ class Tokens:
         path = vocabulary or public_tokenizers.path("byte_bpe_50k.tiktoken")
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, open(path, "rb"))}
         self.encoding = tiktoken.Encoding("packing", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        encoding, core = self.encoding, self.encoding._core_bpe
-        single = getattr(core, "encode_single_piece", None)
-
-        class Memo(dict):
-            def __missing__(self, piece: str) -> bytes:
-                if len(self) >= PIECES:
-                    self.clear()
-                value = self[piece] = array("H", single(piece.encode()) if single else encoding.encode_ordinary(piece)).tobytes()
-                return value
-
-        self.memo = Memo()
         self.special = array("H", [SPECIAL_ID]).tobytes()
 
     def packed(self, text: str | None) -> bytes:
@@ -66,8 +49,6 @@ class Tokens:
             return b""
         if SPECIAL in text:
             return self.special.join(map(self.packed, text.split(SPECIAL)))
-        if SIMPLE.fullmatch(text):
-            return b"".join(map(self.memo.__getitem__, SPLIT.findall(text)))
         return array("H", self.encoding.encode_ordinary(text)).tobytes()
 
 
