@@ -55,6 +55,60 @@ def test_restored(text):
     assert not toxicity.Reader(lexicon, words).words("the 10 of them 3d a b c d e f")
 
 
+#: Whatever its length or spacing, each is restored; the last two are hidden in long texts.
+SPACED = ["id iot", "mo ron", "i d i ot", "i d i o t", "1d 10t", "m0-r on!", "1d1" + "." * 60 + "0t", "i" + "d" * 30 + "i" * 40 + "ot", "i . - . - . - . - d i o t", "you " * 5000 + "id iot", "o " * 3000 + "m o r o n"]
+
+
+@pytest.mark.parametrize("text", SPACED, ids=[t[:12] for t in SPACED])
+def test_restored_over_spaces(text):
+    words = toxicity.LetterModel({"idiot": 40, "moron": 40, "the": 90, "there": 30, "you": 30})
+    reader = toxicity.Reader({"idiot": 5.0, "moron": 5.0}, words, frozenset({"the", "there", "you", "id"}))
+    assert reader.words(text) & {"idiot", "moron"}
+    assert not reader.words("the id there you") and not reader.words("a m or o no")
+
+
+def test_usual_words_side_by_side_are_not_one_word():
+    words = toxicity.LetterModel({"toad": 40, "to": 200, "ad": 50, "an": 60})
+    reader = toxicity.Reader({"toad": 5.0}, words, frozenset({"to", "ad", "an"}))
+    assert not reader.words("to ad an") and reader.words("to @d") == {"toad"} and reader.words("t oad") == {"toad"}
+
+
+def test_skeletons_lose_no_restoration():
+    """What Viterbi restores to a lexicon word has that word's skeleton: against decoding without the test."""
+    rng = np.random.default_rng(12)
+    lexicon = ["idiot", "moron", "scum", "ass", "bell"]
+    words = toxicity.LetterModel(dict.fromkeys(lexicon, 40))
+    back: dict[str, str] = {}
+    for c, letters in toxicity.LEET.items():
+        for x in letters:
+            back[x] = back.get(x, "") + c
+    hits = 0
+    for _ in range(400):
+        w = lexicon[rng.integers(len(lexicon))]
+        made = "".join((str(rng.choice(list(back[c]))) if c in back and rng.random() < 0.4 else c) * int(rng.choice([1, 1, 2, 3])) + ("" if rng.random() < 0.7 else str(rng.choice(list(toxicity.SEPARATORS)))) for c in w)
+        if toxicity.restore(made, words) in lexicon:
+            hits += 1
+            assert toxicity.skeleton(made) in {toxicity.skeleton(x) for x in lexicon}, made
+    assert hits > 200
+
+
+def test_toxicity_odd(spark):
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 8)] + [(5, 0), (None, 1)], "doc_id long, toxic int")
+    got = toxicity.score(frame(spark, ODD), labels, F.lit(True)).collect()
+    assert len(got) == len(ODD) and all(0 <= r.score <= 1 for r in got)
+    by = {r.doc_id: r.score for r in got}
+    assert by[4] == by[5] and by[1] == by[2]
+    assert toxicity.score(frame(spark, ODD).limit(0), labels, F.lit(True)).count() == 0
+
+
+@needs_tables
+def test_toxicity_held_out(spark):
+    got = [r for r in queries.op2_toxicity(spark, SF.replace("0.001", "0.01")).collect() if r.held_out]
+    toxic = dict(duckdb.sql(f"select doc_id, toxic from '{SF.replace('0.001', '0.01')}/labels.parquet'").fetchall())
+    called = [toxic[r.doc_id] for r in got if r.predicted and r.doc_id in toxic]
+    assert np.mean(called) > 0.9
+
+
 @pytest.mark.parametrize("text", ["a f @ g there", "a f4g", "f a g"])
 def test_restored_three_letters(text):
     words = toxicity.LetterModel({"fag": 40, "the": 90, "there": 30})

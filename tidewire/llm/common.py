@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
@@ -10,7 +11,7 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Entries a worker keeps per memo before it starts afresh; bounds the memory of a Python worker.
@@ -25,9 +26,11 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
 
 
 def shared_root(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; a local one only where the session names none."""
+    """The folder that the driver and all executors share; a local one only where the session names none and all runs in one machine."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
         root = getattr(spark, "_tidewire_scratch", None)
         if root is None:
             root = spark._tidewire_scratch = "file://" + tempfile.mkdtemp(prefix="tidewire-")
@@ -51,6 +54,12 @@ def _remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def chosen_by_hash(h: Column, rows: int, whole: int) -> Column:
+    """Whether a row is among about `rows` of `whole`, by its 64-bit hash; even of more rows than there are hashes of 32 bits some are chosen."""
+    share = rows / max(1, whole)
+    return F.lit(True) if share >= 1 else h < F.lit(int(-(2**63) + share * 2.0**64))
+
+
 def utf8(column: pa.Array) -> list[bytes | None]:
     """UTF-8 bytes of a string column without decoding it."""
     kind = pa.large_binary() if pa.types.is_large_string(column.type) else pa.binary()
