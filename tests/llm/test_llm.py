@@ -55,6 +55,35 @@ def test_restored(text):
     assert not toxicity.Reader(lexicon, words).words("the 10 of them 3d a b c d e f")
 
 
+def brute_topk(rows, k, queries):
+    from math import floor, isfinite
+
+    whole = [(i, [floor(64 * x) if abs(x) < 1e300 else int(x) * 64 for x in v]) for i, v in rows if v is not None and all(x is not None and isfinite(x) for x in v)]
+    out = []
+    for q, a in dict.fromkeys((i, tuple(v)) for i, v in whole if queries(i)):
+        scores = [(min(max(sum(x * y for x, y in zip(a, b)), -(2**63) + 2), 2**63 - 1), i) for i, b in whole if i != q]  # noqa: B905
+        out += [(q, n, i, s) for n, (s, i) in enumerate(sorted(scores, key=lambda x: (-x[0], x[1]))[:k], 1)]
+    return sorted(out)
+
+
+def test_topk_brute_force(spark):
+    """Vectors of several widths, ties, and components of any size: 2^24 and 2^31 weights, and beyond any long."""
+    rng = np.random.default_rng(13)
+    rows = [(k, [float(x) for x in rng.normal(0, 1, rng.integers(1, 9)).round(1)]) for k in range(120)]
+    rows += [(200, [300_000.0, 1.0]), (201, [262_145.0]), (220, [-5e9, 5e9, 7.5]), (221, [1e18, 1e18]), (222, [-1e18, 3.0]), (223, [1.7e308, 1.0]), (240, [2.0**60]), (241, []), (260, [])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in topk.search(df, F.col("vec_id") % 20 == 0, k=7).collect())
+    assert got == brute_topk(rows, 7, lambda i: i % 20 == 0)
+
+
+def test_topk_wide_vectors(spark, monkeypatch):
+    monkeypatch.setattr(topk, "WEIGHTS_A_PASS", 50_000)
+    rows = [(k, [float((k * j) % 7) - 3 for j in range(40_000)]) for k in range(0, 60, 5)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in topk.search(df, F.col("vec_id") % 20 == 0, k=3).collect())
+    assert got == brute_topk(rows, 3, lambda i: i % 20 == 0)
+
+
 #: Whatever its length or spacing, each is restored; the last two are hidden in long texts.
 SPACED = ["id iot", "mo ron", "i d i ot", "i d i o t", "1d 10t", "m0-r on!", "1d1" + "." * 60 + "0t", "i" + "d" * 30 + "i" * 40 + "ot", "i . - . - . - . - d i o t", "you " * 5000 + "id iot", "o " * 3000 + "m o r o n"]
 
