@@ -7,28 +7,36 @@ vectors of its texts. A text gets the language whose prototype has the greatest
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewire.llm.common import chosen_by_hash
+
 DIMENSIONS = 512
-#: 0 separates words, 1-26 are a-z, 27-31 share all other letters by code point.
-SYMBOLS = 32
+#: 0 separates words, 1-26 are a-z, the others are shared by all other letters, by code point.
+BITS = 6
+SYMBOLS = 1 << BITS
 #: Labelled texts that prototypes are fitted on, about; chosen by a hash of id and text.
 LEARN_ROWS = 20_000
+#: Trigrams of a text from which on they are counted in one array, not by sorting.
+MANY = 20_000
 
 
+@lru_cache(1)
 def symbol_table() -> np.ndarray:
-    """Symbol of each code point of the basic plane; further planes use letters' rule through it modulo 65536."""
-    out = np.zeros(1 << 16, np.uint8)
-    for c in range(1 << 16):
+    """Symbol of every code point; 0 for what is no letter."""
+    out = np.zeros(sys.maxunicode + 1, np.uint8)
+    for c in range(sys.maxunicode + 1):
         ch = chr(c)
         if ch.isalpha():
             low = ch.lower()[0]
-            out[c] = ord(low) - 96 if "a" <= low <= "z" else 27 + ord(low) % 5
+            out[c] = ord(low) - 96 if "a" <= low <= "z" else 27 + ord(low) % (SYMBOLS - 27)
     return out
 
 
@@ -37,13 +45,14 @@ class Encoder:
         base = np.random.default_rng(seed).choice(np.array([-1, 1], np.int8), (SYMBOLS, DIMENSIONS))
         self.rolled = [np.roll(base, k, axis=1) for k in (2, 1, 0)]
         self.table = symbol_table()
+        # Filled where a trigram is met, so only those take memory.
         self.grams = np.zeros((SYMBOLS**3, DIMENSIONS), np.int8)
         self.known = np.zeros(SYMBOLS**3, bool)
 
     def bound(self, g: np.ndarray) -> np.ndarray:
         new = g[~self.known[g]]
         if len(new):
-            self.grams[new] = self.rolled[0][new >> 10] * self.rolled[1][(new >> 5) & 31] * self.rolled[2][new & 31]
+            self.grams[new] = self.rolled[0][new >> 2 * BITS] * self.rolled[1][(new >> BITS) & (SYMBOLS - 1)] * self.rolled[2][new & (SYMBOLS - 1)]
             self.known[new] = True
         return self.grams[g]
 
@@ -52,21 +61,25 @@ class Encoder:
         if not text:
             return None
         codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
-        s = self.table[codes & 0xFFFF].astype(np.int32)
+        s = self.table[codes].astype(np.int32)
         s = s[(s > 0) | (np.concatenate([[1], s[:-1]]) > 0)]  # one separator between words
         if not s.any():
             return None
         s = np.concatenate([[0], s, [0]])
-        counts = np.bincount((s[:-2] << 10) | (s[1:-1] << 5) | s[2:], minlength=SYMBOLS**3)
-        g = np.flatnonzero(counts)
-        return np.sqrt(counts[g]).astype(np.float32) @ self.bound(g).astype(np.float32)
+        grams = (s[:-2] << 2 * BITS) | (s[1:-1] << BITS) | s[2:]
+        if len(grams) < MANY:
+            g, counts = np.unique(grams, return_counts=True)
+        else:
+            whole = np.bincount(grams, minlength=SYMBOLS**3)
+            g = np.flatnonzero(whole)
+            counts = whole[g]
+        return np.sqrt(counts).astype(np.float32) @ self.bound(g).astype(np.float32)
 
 
 def fit(docs: DataFrame, learn_rows: int = LEARN_ROWS) -> tuple[list[str], np.ndarray]:
     """Languages and unit prototypes from rows (doc_id, text, lang); rows without lang or letters don't count."""
     docs = docs.select("doc_id", "text", "lang").where("lang is not null and text is not null")
-    share = min(1.0, learn_rows / max(1, docs.count()))
-    chosen = docs.where(F.pmod(F.xxhash64("doc_id", "lang", F.length("text")), F.lit(1_000_000)) < int(share * 1_000_000))
+    chosen = docs.where(chosen_by_hash(F.xxhash64("doc_id", "lang", F.length("text")), learn_rows, docs.count()))
 
     def bundle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, sums = Encoder(), {}
@@ -96,7 +109,7 @@ def identify(docs: DataFrame, learn: Column, *, keep: list[str] | None = None, l
 
     learn: condition on doc_id for the rows that prototypes may be fitted on. lang_pred is und with score 0 for null
     texts and those without a letter, or if nothing could be learned; ties go to the first language by name.
-    score: (1 + cosine) / 2. Columns of docs called lang_pred or score are replaced; empty tables give no rows.
+    score: (1 + cosine) / 2. Texts of any length are read whole, repeated rows are judged alike. Columns of docs called lang_pred or score are replaced; empty tables give no rows.
     """
     keep = [c for c in (keep or ["doc_id"]) if c not in ("lang_pred", "score")]
     spark = docs.sparkSession
