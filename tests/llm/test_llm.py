@@ -175,6 +175,43 @@ def test_language_held_out(spark, duck):
     assert np.mean([r.lang_pred == lang[r.doc_id] for r in held]) > 0.97
 
 
+def test_language_letters_by_code_point(spark):
+    """Letters of every plane count, and nothing else does; a bundle is the sum of its trigrams' bound vectors."""
+    table = language_id.symbol_table()
+    assert all(bool(table[ord(c)]) == c.isalpha() for c in "aZ\u00e9\u4e2d\U00020000\U0001f914\U0001f9e1 1_")
+    encoder = language_id.Encoder()
+    assert encoder.vector("\U0001f914") is None and encoder.vector("\U00020000\U00020001") is not None
+    got = {r.doc_id: r.lang_pred for r in language_id.identify(spark.createDataFrame([(1, "\U0001f914", "en"), (2, "\U0001f9e1 12", "en"), (3, "\U00020000\U00020001", "xx"), (4, "one two", "en")], "doc_id long, text string, lang string"), F.lit(True)).collect()}
+    assert got == {1: "und", 2: "und", 3: "xx", 4: "en"}
+    text = "to be or not \u00e9t\u00e9"
+    s = [0, *(int(x) for k, x in enumerate(table[[ord(c) for c in text]])), 0]
+    counts = Counter(zip(s, s[1:], s[2:], strict=False))
+    base = np.random.default_rng(5).choice(np.array([-1, 1], np.int8), (language_id.SYMBOLS, language_id.DIMENSIONS)).astype(float)
+    want = sum(np.sqrt(n) * np.roll(base[a], 2) * np.roll(base[b], 1) * base[c] for (a, b, c), n in counts.items())
+    assert np.allclose(encoder.vector(text), want, atol=1e-3)
+
+
+def test_language_counts_alike_however_long(monkeypatch):
+    text = "der die das und the of and " * 50
+    one = language_id.Encoder().vector(text)
+    monkeypatch.setattr(language_id, "MANY", 1)
+    assert np.allclose(language_id.Encoder().vector(text), one)
+
+
+def test_language_ties_and_nothing_to_learn(spark):
+    df = spark.createDataFrame([(1, "same words", "b"), (2, "same words", "a"), (3, "same words", None)], "doc_id long, text string, lang string")
+    assert {r.lang_pred for r in language_id.identify(df, F.lit(True)).collect()} == {"a"}
+    assert {r.lang_pred for r in language_id.identify(df, F.lit(False)).collect()} == {"und"}
+    assert language_id.identify(df.limit(0), F.lit(True)).count() == 0
+
+
+def test_samples_never_run_dry():
+    from tidewire.llm.common import chosen_by_hash
+
+    bound = lambda whole: chosen_by_hash(F.col("h"), 20_000, whole)
+    assert str(bound(10**15)) != str(bound(10**14)) and "true" in str(bound(10)).lower()
+
+
 def test_language_odd(spark):
     got = language_id.identify(frame(spark, ODD), F.lit(True)).collect()
     assert len(got) == len(ODD) and sum(r.lang_pred == "und" for r in got) == 4
@@ -461,6 +498,42 @@ def test_automaton_statistics():
         assert n == max((m for m in range(1, k + 2) if tuple(text[k - m + 1 : k + 1]) in runs), default=0)
 
 
+def test_licenses_find_matches_inside_longer_ones():
+    scanner = licenses.Scanner(licenses.TEMPLATES, licenses.PHRASES)
+    words = licenses.words_of(b"provided that the above copyright notice and this permission notice appear")
+    ids = np.array([scanner.ids[w] for w in words], np.int32)
+    assert sorted((scanner.labels[t], at, n) for t, at, _, n in scanner.matches(ids)) == [("isc", 0, 11), ("mit", 2, 8)]
+
+
+def test_license_matches_are_all_maximal_runs():
+    """Against every pair of a place in the text and one in a template."""
+    rng = np.random.default_rng(14)
+    vocabulary = list("abc")
+    templates = {f"t{k}": " ".join(rng.choice(vocabulary, 40)) for k in range(4)}
+    scanner = licenses.Scanner(templates, {})
+    for _ in range(10):
+        text = [*rng.choice([*vocabulary, "z"], 60, p=[0.32, 0.32, 0.32, 0.04])]
+        ids = np.array([scanner.ids[w.encode()] for w in text], np.int32)
+        want = set()
+        for t, template in enumerate(templates.values()):
+            w = template.split()
+            for i in range(len(text)):
+                for j in range(len(w)):
+                    if text[i] == w[j] and not (i and j and text[i - 1] == w[j - 1]):
+                        n = 0
+                        while i + n < len(text) and j + n < len(w) and text[i + n] == w[j + n]:
+                            n += 1
+                        if n >= licenses.RUN:
+                            want.add((t, i, j, n))
+        got = list(scanner.matches(ids))
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_licenses_odd(spark):
+    got = licenses.scan(frame(spark, ODD).withColumn("labels", F.lit(1))).collect()
+    assert len(got) == len(ODD) and licenses.scan(frame(spark, ODD).limit(0)).count() == 0
+
+
 def test_secrets_held_out():
     forest = secrets.train(secrets.example_findings(2000, seed=1))
     fresh = secrets.example_findings(600, seed=2)

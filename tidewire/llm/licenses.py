@@ -44,36 +44,53 @@ def words_of(text: bytes | None) -> list[bytes]:
 
 
 class Automaton:
-    """Suffix automaton of several word sequences; every state knows one place (template, end) of its words."""
+    """Suffix automaton of several word sequences; every state knows all places (sequence, end) of its words."""
 
-    def __init__(self, sequences: list[list[int]]):
+    def __init__(self, sequences: list[list[int]], least: int = 1):
+        """least: places of runs of fewer words aren't kept."""
         self.next: list[dict[int, int]] = [{}]
-        self.link, self.length, self.place = [-1], [0], [(-1, -1)]
+        self.link, self.length, self.least = [-1], [0], least
+        self.places: list[set[tuple[int, int]]] = [set()]
         for t, seq in enumerate(sequences):
             last = 0
             for k, word in enumerate(seq):
-                last = self._extend(last, word, (t, k))
-
-    def _state(self, nexts: dict[int, int], link: int, length: int, place: tuple[int, int]) -> int:
+                last = self._extend(last, word)
+                self.places[last].add((t, k))
+        # What ends with a state's words ends with those of its suffix link, too.
+        for v in sorted(range(1, len(self.next)), key=lambda v: -self.length[v]):
+            if self.length[self.link[v]] >= least:
+                self.places[self.link[v]] |= self.places[v]
+
+    def _state(self, nexts: dict[int, int], link: int, length: int) -> int:
         self.next.append(nexts)
         self.link.append(link)
         self.length.append(length)
-        self.place.append(place)
+        self.places.append(set())
         return len(self.next) - 1
 
+    def occurrences(self, state: int, length: int) -> dict[tuple[int, int], int]:
+        """Every place (sequence, end) that shares at least `least` last words with a matched run, and how many it shares."""
+        out: dict[tuple[int, int], int] = {}
+        while length >= self.least and state > 0:
+            for place in self.places[state]:
+                out.setdefault(place, length)
+            state = self.link[state]
+            length = self.length[state]
+        return out
+
     def _clone(self, p: int, q: int, word: int) -> int:
-        copy = self._state(dict(self.next[q]), self.link[q], self.length[p] + 1, self.place[q])
+        copy = self._state(dict(self.next[q]), self.link[q], self.length[p] + 1)
         while p != -1 and self.next[p].get(word) == q:
             self.next[p][word] = copy
             p = self.link[p]
         self.link[q] = copy
         return copy
 
-    def _extend(self, last: int, word: int, place: tuple[int, int]) -> int:
+    def _extend(self, last: int, word: int) -> int:
         if word in self.next[last]:
             q = self.next[last][word]
             return q if self.length[q] == self.length[last] + 1 else self._clone(last, q, word)
-        new, p = self._state({}, 0, self.length[last] + 1, place), last
+        new, p = self._state({}, 0, self.length[last] + 1), last
         while p != -1 and word not in self.next[p]:
             self.next[p][word] = new
             p = self.link[p]
@@ -104,13 +121,7 @@ class Scanner:
         self.size = len(vocabulary) + 1
         self.sequences = [[vocabulary[w] for w in s] for s in sequences]
         self.phrases = [(np.array([vocabulary[w] for w in p]), label) for p, label in names]
-        self.automaton = Automaton(self.sequences)
-        self.where: list[dict[tuple[int, ...], list[int]]] = []
-        for s in self.sequences:
-            starts: dict[tuple[int, ...], list[int]] = {}
-            for k in range(len(s) - RUN + 1):
-                starts.setdefault(tuple(s[k : k + RUN]), []).append(k)
-            self.where.append(starts)
+        self.automaton = Automaton(self.sequences, RUN)
         self.pairs = np.zeros((self.size, self.size), bool)
         for s in self.sequences:
             self.pairs[s[:-1], s[1:]] = True
@@ -126,23 +137,20 @@ class Scanner:
         self.ids = Ids(vocabulary)
 
     def matches(self, ids: np.ndarray) -> Iterator[tuple[int, int, int, int]]:
-        """Maximal runs: (template, start in text, start in template, words), in every template that has the run's start."""
+        """Maximal runs of RUN words or more: (template, start in text, start in template, words), at every place that has them,
+        whether or not another template has a longer run there."""
         good = np.concatenate([[False], self.pairs[ids[:-1], ids[1:]], [False]])
         edges = np.flatnonzero(good[1:] != good[:-1])
         for lo, hi in zip(edges[::2].tolist(), edges[1::2].tolist(), strict=True):
             if hi - lo + 1 < RUN:
                 continue
-            run = ids[lo : hi + 1].tolist()
-            stats = [(k, n) for k, n, _ in self.automaton.statistics(run)]
-            for (k, n), (_, after) in zip(stats, [*stats[1:], (0, 0)], strict=True):
-                if n >= RUN and after <= n:  # it can't be extended to the right
-                    words = run[k - n + 1 : k + 1]
-                    for t, starts in enumerate(self.where):
-                        for s in starts.get(tuple(words[:RUN]), ()):
-                            m = RUN
-                            while m < n and s + m < len(self.sequences[t]) and self.sequences[t][s + m] == words[m]:
-                                m += 1
-                            yield t, lo + k - n + 1, s, m
+            before: dict[tuple[int, int], int] = {}
+            for k, n, state in [*self.automaton.statistics(ids[lo : hi + 1].tolist()), (hi - lo + 1, 0, 0)]:
+                now = self.automaton.occurrences(state, n)
+                for (t, end), m in before.items():
+                    if (t, end + 1) not in now:  # it can't be extended to the right
+                        yield t, lo + k - m, end - m + 1, m
+                before = now
 
     def chains(self, ids: np.ndarray) -> dict[int, tuple[int, int, int]]:
         """template -> (template words covered, first word, last word) of its best chain of runs."""
@@ -197,7 +205,8 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, phrases: dict
     """One row for each row of docs (doc_id, text): words, phrase places, labels, and the best covered template span.
 
     Null and empty texts have no words, empty labels, score 0 and null places. score: 1 with a phrase, else the
-    largest share of a template that a chain covers. Repeated rows give equal rows; an empty table none; further columns aren't read.
+    largest share of a template that a chain covers; of equal shares the last by label, and its first span. Texts of any length are
+    read whole; repeated rows give equal rows; an empty table none; further columns aren't read.
     """
     templates, phrases = templates or TEMPLATES, phrases or PHRASES
 
