@@ -1,37 +1,68 @@
 """Secret scans: a random forest removes the false positives of a wide candidate pattern.
 
-Candidates are long runs of key-like characters with a digit, without the NAME= before them, and shorter ones, with or
-without a digit, that are assigned to a key-like name. The forest sees length, character
+Candidates are long runs of key-like characters with a digit or a key's change of case, without the NAME= before them; values of
+known prefixes; and shorter ones, of any characters, that are assigned to a key-like name. The forest sees length, character
 transitions, dictionary coverage, surroundings that look like a path, and neighbouring words, and is
 trained from labelled findings: (text, start, end, secret).
 """
 
 from __future__ import annotations
 
+import base64
 import math
 import random
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/=.@-])(?=[A-Za-z_+/=.@-]*[0-9])[A-Za-z0-9_+/=.@-]{16,}(?![A-Za-z0-9_+/=@-])")
+from tidewire.llm.common import chosen_by_hash
+
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/=.@-])(?=[A-Za-z_+/=.@-]*[0-9]|(?:[A-Za-z_+/=.@-]*?[a-z][A-Z]){3})[A-Za-z0-9_+/=.@-]{16,}(?![A-Za-z0-9_+/=@-])")
+#: What makes a part of a candidate one: a digit, or three changes from a small to a capital letter.
+KEYLIKE = re.compile(r"[0-9]|(?:[^0-9]*?[a-z][A-Z]){3}")
+#: Values that are told by their head.
+PREFIXED = re.compile(r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{12,}|gh[pousr]_[A-Za-z0-9]{20,}|sk_live_[A-Za-z0-9]{16,}|sk-[A-Za-z0-9]{16,}|xox[bp]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{20,}|glpat-[A-Za-z0-9_-]{16,}|eyJ[A-Za-z0-9_.-]{16,})(?![A-Za-z0-9_+/=@-])")
 #: A name and its '=' at the head of a candidate; the value is what follows.
 NAMED = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*=(?=[^=])")
 #: Values assigned to key-like names.
 ASSIGNED = re.compile(r"(?i)(?:token|secret|password|passwd|passphrase|pwd|api[_-]?key|auth|bearer|credential|(?:private|access|secret|signing|encryption)[_-]?key)(?:s|[_-][a-z0-9_-]{0,32})?[\"']?[ \t]{0,3}(?:=>|=|:)[ \t]{0,3}[\"'`]?([A-Za-z0-9_+/=.@-]{8,})")
-#: Neighbouring words that speak for or against a secret, and word parts of ordinary names.
+#: Neighbouring words that speak for or against a secret, and word parts of ordinary names besides the dictionary's.
 FOR = {"token", "secret", "password", "passwd", "pwd", "key", "apikey", "api_key", "api", "auth", "bearer", "credential", "credentials", "private", "access", "access_key", "secret_key", "access_token", "client_secret"}
 AGAINST = {"commit", "sha", "sha1", "sha256", "md5", "checksum", "digest", "hash", "uuid", "id", "rev", "revision", "version", "isbn", "phone", "example", "sample", "dummy", "placeholder", "test", "mail", "email", "see", "file", "path", "etag", "build"}
+#: Labelled findings that a forest is trained from, about, if a table of them is given.
+LABELLED = 20_000
+#: Letters of a dictionary word at the least and at the most that are looked up.
+SHORTEST, LONGEST = 4, 14
 PARTS = ("http", "www", "com", "org", "net", "mail", "example", "user", "file", "image", "page", "index", "html", "json", "test", "home", "data", "src", "lib", "main", "conf", "version", "release", "build", "tion", "ing", "ent", "the", "and", "der", "sch", "est", "que", "les", "ado", "mente")
 NEAR = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
 FEATURES = ("length", "entropy", "digits", "upper", "lower", "symbols", "switches", "longest_letters", "longest_digits", "coverage", "hex", "slashes", "dots", "at_sign", "uuid", "path_before", "assigned", "quoted", "for_words", "against_words", "prefix")
 PREFIXES = ("AKIA", "ghp_", "gho_", "sk_live_", "sk-", "xoxb-", "xoxp-", "AIza", "glpat-", "eyJ")
 
 
+@lru_cache(4)
+def dictionary(path: str | None = None) -> frozenset[str]:
+    """Words in small letters: a public tokenizer's pieces of SHORTEST to LONGEST letters (path: its ranks), and PARTS."""
+    import public_tokenizers
+
+    pieces = (base64.b64decode(line.split()[0]).strip().lower() for line in open(path or public_tokenizers.path("byte_bpe_50k.tiktoken"), "rb"))
+    return frozenset(p.decode() for p in pieces if SHORTEST <= len(p) <= LONGEST and p.isalpha() and p.isascii()) | frozenset(PARTS)
+
+
+def covered(token: str, words: frozenset[str]) -> int:
+    """Characters of a token that are in dictionary words: from the left, the longest one each time."""
+    k = total = 0
+    while k < len(token):
+        n = next((n for n in range(min(LONGEST, len(token) - k), 2, -1) if token[k : k + n] in words), 0)
+        total += n
+        k += n or 1
+    return total
+
+
 def kind(c: str) -> int:
     return 0 if c.isdigit() else 1 if c.isupper() else 2 if c.islower() else 3
 
@@ -44,12 +75,11 @@ def features(text: str, start: int, end: int) -> list[float]:
     freq = [token.count(c) / n for c in set(token)]
     low = token.lower()
     longest = lambda pattern: max(map(len, re.findall(pattern, token)), default=0)
-    covered = sum(len(p) * low.count(p) for p in PARTS)
     before, after = text[max(0, start - 40) : start], text[end : end + 24]
     near = [w.lower() for w in NEAR.findall(before)[-3:]]
     return [
         n, -sum(f * math.log2(f) for f in freq), counts[0], counts[1], counts[2], counts[3],
-        sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / max(1, n - 1), longest(r"[A-Za-z]+"), longest(r"[0-9]+"), min(1.0, covered / n),
+        sum(a != b for a, b in zip(kinds, kinds[1:], strict=False)) / max(1, n - 1), longest(r"[A-Za-z]+"), longest(r"[0-9]+"), covered(low, dictionary()) / n,
         float(bool(re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", token))), token.count("/"), token.count("."), float("@" in token), float(bool(re.fullmatch(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", token))),
         float(before.endswith(("://", "/", "\\"))), float(bool(re.search(r"[=:]\s*[\"']?$", before))), float(before[-1:] in "\"'`" and after[:1] in "\"'`" and bool(before)),
         sum(w in FOR or any(p in FOR for p in w.split("_")) for w in near), sum(w in AGAINST for w in near), float(token.startswith(PREFIXES)),
@@ -121,9 +151,9 @@ def example_findings(n: int = 3_000, seed: int = 13) -> list[tuple[str, int, int
     for k in range(n):
         if k % 2:
             name = r.choice(["token", "api_key", "secret", "password", "auth_token", "access_token", "client_secret", "private_key", "SECRET_KEY", "TOKEN", "API_KEY"])
-            value = r.choice([lambda: chars(hexa, r.choice([32, 40, 40, 48, 64])), lambda: chars(hexa, 40).upper(), lambda: chars(alnum, r.randint(20, 64)), lambda: "AKIA" + chars("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16), lambda: "ghp_" + chars(alnum, 36), lambda: "sk_live_" + chars(alnum, 24), lambda: chars(alnum + "+/", 40) + "==", lambda: chars(alnum, r.randint(8, 15)), lambda: chars(alnum[:52], r.randint(12, 24))])()
+            value = r.choice([lambda: chars(hexa, r.choice([32, 40, 40, 48, 64])), lambda: chars(hexa, 40).upper(), lambda: chars(alnum, r.randint(20, 64)), lambda: "AKIA" + chars("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16), lambda: "ghp_" + chars(alnum, 36), lambda: "sk_live_" + chars(alnum, 24), lambda: chars(alnum + "+/", 40) + "==", lambda: chars(alnum, r.randint(8, 15)), lambda: chars(alnum[:52], r.randint(12, 28)), lambda: "AKIA" + chars(alnum[:26], 16), lambda: word() + str(r.randint(1, 9999)) + word()])()
             join = r.choice([' = "', '="', ": ", "=", ": '", " = '", ' = "', ' = "', "=", "="])
-            if r.random() < 0.15 and re.match("AKIA|ghp_|sk_live_", value):
+            if r.random() < 0.15 and (re.match("AKIA|ghp_|sk_live_", value) or len(value) >= 24 and value.isalpha()):
                 name, join = word(), " "
             lead = r.choice(["", "", "", "export ", "http://" + word() + ".example.com/" + word() + "?", "x=1&"]) if join == "=" else ""
             before, after = f"{prose()} {lead}{name}{join}", join[-1].strip(" =:") + " " + prose()
@@ -144,6 +174,7 @@ def example_findings(n: int = 3_000, seed: int = 13) -> list[tuple[str, int, int
                 lambda: (f"{prose()} {r.choice(['commit', 'id', 'etag', 'sha1', 'width'])}=", chars(hexa, r.choice([32, 40])), " "),
                 lambda: (f"{prose()} {word()}=", f"{word()}-{word()}_{word()}.{r.randint(100, 9999)}", " "),
                 lambda: (prose() + " ", f"{word()}{word()}{word()}{r.randint(0, 99)}{word()}{word()}", ". "),
+                lambda: (prose() + " ", r.choice(["get", "set", "make"]) + "".join(r.choice(["Element", "Name", "Value", "Index", "Field", "With", "From", "Page", "Class", word().title()]) for _ in range(5)), "() "),
             ])()
         text, start, end = before + value + after, len(before), len(before) + len(value)
         # The spans are those that a scan finds.
@@ -155,6 +186,14 @@ def example_findings(n: int = 3_000, seed: int = 13) -> list[tuple[str, int, int
 def candidates(text: str) -> list[tuple[int, int]]:
     """Start and end of each candidate, in order and apart from each other."""
     out = [m.span(1) for m in ASSIGNED.finditer(text)]
+    # Values told by their heads, where they don't overlap those.
+    heads, k = [], 0
+    for m in PREFIXED.finditer(text):
+        while k < len(out) and out[k][1] <= m.start():
+            k += 1
+        if k == len(out) or m.end() <= out[k][0]:
+            heads.append(m.span())
+    out = sorted(out + heads)
     values, k = list(out), 0
     for m in CANDIDATE.finditer(text):
         a, end = m.span()
@@ -169,7 +208,7 @@ def candidates(text: str) -> list[tuple[int, int]]:
         for lo, hi in zip([a, *(h for _, h in holes)], [*(v for v, _ in holes), end], strict=True):
             while n := NAMED.match(text, lo, hi):
                 lo = n.end()
-            if hi - lo >= 16 and any("0" <= c <= "9" for c in text[lo:hi]):
+            if hi - lo >= 16 and KEYLIKE.search(text[lo:hi]):
                 out.append((lo, hi))
     return sorted(out)
 
@@ -189,13 +228,35 @@ def spans(text: str | None, forest: Forest) -> list[tuple[int, int, float]]:
     return [(a, b, float(p)) for (a, b), p in zip(at, forest.predict(np.array([features(text, a, b) for a, b in at])), strict=True)]
 
 
-def findings(docs: DataFrame, labelled: list[tuple[str, int, int, bool]] | None = None, threshold: float = 0.5) -> DataFrame:
+Findings = list[tuple[str, int, int, bool]]
+
+
+def labelled_findings(labelled: DataFrame, rows: int = LABELLED) -> Findings:
+    """About `rows` rows of a table (text, start, length, secret), chosen by a hash; rows with a null in any of them don't count."""
+    labelled = labelled.select("text", F.col("start").cast("long").alias("start"), F.col("length").cast("long").alias("length"), F.col("secret").cast("boolean").alias("secret")).dropna()
+    chosen = labelled.where(chosen_by_hash(F.xxhash64("text", "start", "length"), rows, labelled.count()))
+    # Only what surrounds a finding is read.
+    near = F.greatest(F.col("start") - 80, F.lit(0))
+    cut = chosen.select(F.expr("substring(text, cast(greatest(start - 80, 0) + 1 as int), cast(length + 160 as int))").alias("text"), (F.col("start") - near).alias("start"), "length", "secret")
+    return sorted((r.text, r.start, r.start + r.length, r.secret) for r in cut.collect())
+
+
+def forest_of(labelled: DataFrame | Findings | None) -> Forest:
+    """Trained from a table, a list, or the findings made by rule."""
+    if isinstance(labelled, DataFrame):
+        labelled = labelled_findings(labelled)
+    return train(labelled or example_findings())
+
+
+def findings(docs: DataFrame, labelled: DataFrame | Findings | None = None, threshold: float = 0.5) -> DataFrame:
     """doc_id, start, length, score, is_secret for each candidate in docs (doc_id, text); start counts characters from 0.
 
-    labelled: findings the forest is trained from (bounded by the caller), by default those of example_findings. Null and empty texts and empty
-    tables have no candidates. Repeated rows have theirs each. Candidates have 16 characters at least, 8 after a key-like name.
+    labelled: findings the forest is trained from: a table (text, start, length, secret), of which about LABELLED rows are used, a list,
+    or by default those of example_findings. Candidates have 16 characters at least, 8 after a key-like name, and 16 or more of
+    them a digit or three changes of case; values of known prefixes are candidates too. Null and empty texts and empty
+    tables have no candidates. Repeated rows have theirs each; texts of any length are scanned whole; further columns aren't read.
     """
-    forest = docs.sparkSession.sparkContext.broadcast(train(labelled or example_findings()))
+    forest = docs.sparkSession.sparkContext.broadcast(forest_of(labelled))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,18 +267,22 @@ def findings(docs: DataFrame, labelled: list[tuple[str, int, int, bool]] | None
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(run, "doc_id long, start long, length long, score double, is_secret boolean")
 
 
-def redacted(docs: DataFrame, threshold: float = 0.5, mark: str = "[SECRET]") -> DataFrame:
-    """docs with every secret of its text replaced by mark; all rows and columns stay, null texts too."""
-    forest = docs.sparkSession.sparkContext.broadcast(train(example_findings()))
+def redacted(docs: DataFrame, labelled: DataFrame | Findings | None = None, threshold: float = 0.5, mark: str = "[SECRET]") -> DataFrame:
+    """docs with every secret of its text replaced by mark; all rows and columns stay, null texts too. labelled: as for findings."""
+    forest = docs.sparkSession.sparkContext.broadcast(forest_of(labelled))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             k = batch.schema.get_field_index("text")
             texts = batch.column(k).to_pylist()
             for i, text in enumerate(texts):
-                for a, b, p in reversed(spans(text, forest.value)):
+                parts, end = [], 0
+                for a, b, p in spans(text, forest.value):
                     if p >= threshold:
-                        texts[i] = texts[i][:a] + mark + texts[i][b:]
+                        parts += [text[end:a], mark]
+                        end = b
+                if parts:
+                    texts[i] = "".join(parts) + text[end:]
             yield batch.set_column(k, batch.schema.field(k), pa.array(texts, batch.schema.field(k).type))
 
     return docs.mapInArrow(run, docs.schema)
