@@ -257,6 +257,50 @@ def test_ngram_join_brute_force(spark, monkeypatch, classes, n, percent):
     assert got == brute_components(rows, n, percent)
 
 
+def family(size, edits, seed, words=120):
+    """Near copies of one text that meet in one block."""
+    rng = np.random.default_rng(seed)
+    base = [f"w{x}" for x in rng.integers(0, 4000, words)]
+    out = []
+    for k in range(size):
+        copy = list(base)
+        for _ in range(edits(k)):
+            copy[rng.integers(len(copy))] = f"e{rng.integers(10**9)}"
+        out.append((k, " ".join(copy)))
+    return out
+
+
+@pytest.mark.parametrize("edits", [lambda k: 1, lambda k: k % 4, lambda k: 1 + 5 * (k % 3)], ids=["one", "few", "many"])
+def test_ngram_join_of_a_cut_block(spark, monkeypatch, edits):
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 20)
+    monkeypatch.setattr(ngram_join, "PIVOTS", 4)
+    rows = family(150, edits, 16)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in ngram_join.near_classes(spark.createDataFrame(rows, "doc_id long, text string"), 3, 90).collect()}
+    assert got == brute_components(rows, 3, 90)
+
+
+def test_ngram_join_ships_a_large_block_in_proportion(spark, monkeypatch):
+    """A block of c classes in one component ships each text about once, whatever c; what stays apart meets every chunk."""
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 50)
+    for c in (2000, 8000):
+        members = spark.range(c).select(F.lit(1).cast("long").alias("root"), F.col("id").alias("class_id"), F.lit(100).cast("long").alias("n"))
+        placed = ngram_join.placed_in_chunks(members)
+        first = ngram_join.first_rows(placed).groupBy("i").count().toPandas()
+        assert first["count"].sum() < 2 * c and first["count"].max() < 150
+        one = spark.range(c).select("id", F.lit(0).cast("long").alias("root"))
+        assert ngram_join.second_rows(placed, one).count() == 0
+        apart = one.where("id >= 60")  # sixty stay alone
+        rest = ngram_join.second_rows(placed, apart.union(spark.range(0, 1).select("id", F.lit(0).cast("long").alias("root"))))
+        assert rest.count() < 5 * c
+
+
+def test_ngram_join_of_thousands_of_copies(spark):
+    rows = [(k, "the very same words as all the others have here") for k in range(4000)] + family(40, lambda k: 1, 17)[1:]
+    rows = [(k, t) for k, (_, t) in enumerate(rows)]
+    got = ngram_join.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).groupBy("component_id").count().collect()
+    assert max(r["count"] for r in got) == 4000 and {r.component_id for r in got} >= {0}
+
+
 @pytest.mark.parametrize(("overlap", "least"), [(0.8, 0.998), (0.82, 0.9998), (0.85, 1.0)])
 def test_likely_digests_meet(overlap, least):
     """Pairs of exactly the Jaccard index, nested sets and sets of one size, of 8 to 3,000 n-grams."""

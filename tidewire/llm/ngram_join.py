@@ -7,7 +7,8 @@ a linked pair has at least one range with exactly the same, not too small, conte
 the digest of a range, never by a single frequent n-gram. For thresholds so low that ranges
 would hold two or three n-grams each, DIGESTS ranges of more n-grams find links with a high probability
 instead (likely). Classes that meet (directly or in a chain) form a block; each block is stored in a trie of the ordered sets and joined by traversing it.
-Blocks that are too large for one task are cut into chunks and joined chunk against chunk.
+Blocks that are too large for one task are cut into chunks, each joined in itself and with a few pivots of the block. What
+that leaves apart from the block's largest component, and only that, is then joined with all chunks.
 """
 
 from __future__ import annotations
@@ -23,6 +24,8 @@ from tidewire.llm.common import BROADCAST_ROWS, WordHash, components, gram_hashe
 
 #: A block is cut when it has more classes or more n-grams than this.
 BLOCK_CLASSES, BLOCK_GRAMS = 500, 2_000_000
+#: Classes of a cut block, about, that every chunk of it is joined with.
+PIVOTS = 16
 #: Likely digests: ranges a set is looked at by, n-grams a range holds on average at the least, n-grams below
 #: which a range says nothing, and the set size below which the exact ranges are used all the same.
 DIGESTS, RANGE_GRAMS, LEAST_GRAMS, LIKELY_FROM = 80, 6.5, 6, 36
@@ -144,8 +147,8 @@ class Trie:
         self.ranks = np.split(ranks.astype(np.int64), np.cumsum(self.size)[:-1])
         self.mark = np.zeros(len(grams) + 1, np.int32)
 
-    def links(self, q: int, percent: int, root: np.ndarray, side: np.ndarray | None = None) -> Iterator[int]:
-        """Sets after set q that link with it, but for subtrees wholly in q's component (root, changed meanwhile) and sets of its side."""
+    def links(self, q: int, percent: int, root: np.ndarray) -> Iterator[int]:
+        """Sets after set q that link with it, but for subtrees wholly in q's component (root, changed meanwhile)."""
         n = len(self.ranks[q])
         self.mark[self.ranks[q] + 1] = 1
         upto = np.cumsum(self.mark)  # elements of q below each rank
@@ -156,8 +159,6 @@ class Trie:
             if last <= q + 1 or least * percent > n * 100 or n * percent > most * 100:
                 continue
             leaf = last - first == 1
-            if leaf and side is not None and side[first] == side[q]:
-                continue
             if root[first] == root[q] and (leaf or (root[first:last] == root[q]).all()):
                 continue
             at = 0
@@ -177,13 +178,16 @@ class Trie:
         self.mark[self.ranks[q] + 1] = 0
 
 
-def joined(sets: list[np.ndarray], percent: int, side: list[int] | None = None) -> np.ndarray:
-    """For distinct sets: the position of a set of the same component, equal within a component. Sets of one side aren't compared."""
+def joined(sets: list[np.ndarray], percent: int, known: list | None = None) -> np.ndarray:
+    """For distinct sets: the position of a set of the same component, equal within a component. known: sets of equal values are in one."""
     trie = Trie(sets)
     root = np.arange(len(sets))
-    sides = None if side is None else np.array(side)[trie.order]
+    if known is not None:
+        first: dict = {}
+        for k, i in enumerate(trie.order):
+            root[k] = first.setdefault(known[i], k)
     for q in range(len(sets)):
-        for other in trie.links(q, percent, root, sides):
+        for other in trie.links(q, percent, root):
             if root[other] != root[q]:
                 root[root == root[other]] = root[q]
     out = np.empty(len(sets), np.int64)
@@ -192,13 +196,48 @@ def joined(sets: list[np.ndarray], percent: int, side: list[int] | None = None)
     return out
 
 
+def small(df: DataFrame) -> DataFrame:
+    """df, written and so of a known size, marked to be broadcast if it has no more than BROADCAST_ROWS rows."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
+def placed_in_chunks(members: DataFrame) -> DataFrame:
+    """root, class_id, chunks, chunk, pivot for each row (root, class_id, n) of a block's classes."""
+    size = members.groupBy("root").agg(F.count("*").alias("c"), F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("chunks"))
+    cut = written(size.where("chunks > 1"), "cuts")
+    placed = members.join(small(cut), "root", "left").withColumn("chunks", F.coalesce("chunks", F.lit(1)))
+    pivot = F.coalesce(F.pmod(F.xxhash64("class_id", F.lit(7)), F.col("c")) < PIVOTS, F.lit(False))
+    return written(placed.select("root", "class_id", "chunks", F.pmod(F.xxhash64("class_id"), F.col("chunks")).cast("int").alias("chunk"), pivot.alias("pivot")), "placed")
+
+
+def first_rows(placed: DataFrame) -> DataFrame:
+    """root, i, j, class_id: what is joined together first, a chunk each, with the pivots of its block."""
+    own = F.array("chunk")
+    every = F.when(F.col("pivot"), F.sequence(F.lit(0), F.col("chunks") - 1)).otherwise(own)
+    return placed.select("root", F.explode(every).alias("i"), F.lit(-1).alias("j"), "class_id", F.lit(None).cast("long").alias("comp"), "chunks")
+
+
+def second_rows(placed: DataFrame, found: DataFrame) -> DataFrame:
+    """What is joined then, for cut blocks: the classes apart from the largest component so far (found: id, root), in chunks j, with
+    every chunk i. comp: the component that a class is known to be in."""
+    cut = placed.where("chunks > 1").join(found.select(F.col("id").alias("class_id"), F.col("root").alias("comp")), "class_id", "left").withColumn("comp", F.coalesce("comp", "class_id"))
+    cut = written(cut.select("root", "class_id", "chunks", "chunk", "comp"), "cut")
+    largest = cut.groupBy("root", "comp").agg(F.count("*").alias("n")).groupBy("root").agg(F.max_by("comp", F.struct("n", "comp")).alias("main"), F.sum("n").alias("all"), F.max("n").alias("most"))
+    largest = written(largest.where("most < all").select("root", "main", F.ceil((F.col("all") - F.col("most")) / BLOCK_CLASSES).cast("int").alias("parts")), "apart")
+    cut = cut.join(small(largest), "root")
+    apart = cut.where("comp <> main").select("root", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("i"), F.pmod(F.xxhash64("class_id", F.lit(11)), F.col("parts")).cast("int").alias("j"), "class_id", "comp", "chunks")
+    return cut.select("root", F.col("chunk").alias("i"), F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("j"), "class_id", "comp", "chunks").union(apart)
+
+
 def near_classes(docs: DataFrame, n: int = 3, percent: int = 90, likely: bool = False) -> DataFrame:
     """doc_id, n_shingles, class_id (smallest doc_id with the same set), component_id for each row of docs.
 
     docs: doc_id long, text string. Two documents link when 100 |a & b| >= percent |a | b| over their
     distinct word n-grams (A-Z lower-cased, words split at ASCII white space). Null and empty texts have no
     n-grams and stay alone; a null doc_id keeps its row with null ids; rows with equal doc_ids count as
-    separate texts of which both link; empty tables give none. Further columns aren't read.
+    separate texts of which both link; repeated rows are one class; empty tables give none. Texts of any length are read whole.
+    Further columns aren't read. A block is held in memory in chunks of BLOCK_CLASSES classes; if many of a large block's classes stay
+    apart from its largest component, as many chunks are joined as it has, times those that stay apart.
     likely finds candidates by likely_digests, for thresholds from 80 percent on; every link is verified either way.
     """
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
@@ -218,7 +257,8 @@ def near_classes(docs: DataFrame, n: int = 3, percent: int = 90, likely: bool =
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sizes, pa.int64()), pa.array(high, pa.int64()), pa.array(low, pa.int64()), pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))], ["doc_id", "n_shingles", "high", "low", "sigs"])
 
     digest = written(docs.mapInArrow(digests, "doc_id long, n_shingles long, high long, low long, sigs array<long>"), "digests")
-    classes = digest.where("high is not null and doc_id is not null").groupBy("high", "low").agg(F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("n"))
+    # Written, so that the joins with it can split a class that holds much of the rows.
+    classes = written(digest.where("high is not null and doc_id is not null").groupBy("high", "low").agg(F.min("doc_id").alias("class_id"), F.first("n_shingles").alias("n")), "classes")
 
     # Meeting points: one row for each range of each distinct set.
     met = digest.where("size(sigs) > 0").groupBy("high").agg(F.first("sigs").alias("sigs")).select("high", F.explode("sigs").alias("sig"))
@@ -227,37 +267,39 @@ def near_classes(docs: DataFrame, n: int = 3, percent: int = 90, likely: bool =
     blocks = components(edges)
 
     members = written(blocks.join(classes, blocks.id == classes.high).select("root", "class_id", "n"), "members")
-    cuts = members.groupBy("root").agg(F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_GRAMS), F.lit(1)).cast("int").alias("chunks"))
-    placed = members.join(cuts, "root").select("root", "class_id", "chunks", F.pmod(F.xxhash64("class_id"), F.col("chunks")).cast("int").alias("chunk"))
-    if members.count() <= BROADCAST_ROWS:
-        placed = F.broadcast(placed)
-    texts = docs.join(placed, docs.doc_id == placed.class_id).select("root", "class_id", "chunks", "chunk", "text")
-    pairs = texts.select("*", F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("other"))
-    pairs = pairs.select("root", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j"), "chunk", "class_id", "chunks", "text")
+    placed = placed_in_chunks(members)
 
     def join_blocks(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHash()
-        for (_, i, j), rows in streamed_groups(batches, ["root", "i", "j"]):
-            sets, ids, side = {}, {}, {}
-            for key, chunk, text in zip(rows["class_id"].to_pylist(), rows["chunk"].to_pylist(), (x for c in rows["text"].chunks for x in utf8(c)), strict=True):
+        for _, rows in streamed_groups(batches, ["root", "i", "j"]):
+            sets, ids, comp = {}, {}, {}
+            for key, known, text in zip(rows["class_id"].to_pylist(), rows["comp"].to_pylist(), (x for c in rows["text"].chunks for x in utf8(c)), strict=True):
                 grams = gram_set(text, n, words)
-                side.setdefault(grams.tobytes(), chunk)
-                sets.setdefault(grams.tobytes(), grams)  # rows with equal ids may differ in text
-                ids.setdefault(grams.tobytes(), []).append(key)
+                name = grams.tobytes()
+                sets.setdefault(name, grams)  # rows with equal ids may differ in text
+                comp.setdefault(name, len(sets) if known is None else ("comp", known))
+                ids.setdefault(name, []).append(key)
             group = list(sets)
-            of = joined([sets[g] for g in group], percent, None if i == j else [side[g] for g in group])
+            of = joined([sets[g] for g in group], percent, [comp[g] for g in group])
             least: dict[int, int] = {}
             for g, r in zip(group, of.tolist(), strict=True):
                 least[r] = min(least.get(r, ids[g][0]), *ids[g])
-            names = [(key, least[r]) for g, r in zip(group, of.tolist(), strict=True) for key in ids[g]]
+            names = [(key, least[r]) for g, r in zip(group, of.tolist(), strict=True) for key in dict.fromkeys(ids[g])]
             yield pa.RecordBatch.from_arrays([pa.array([a for a, _ in names], pa.int64()), pa.array([b for _, b in names], pa.int64()), pa.array([rows["chunks"][0].as_py()] * len(names), pa.int32())], ["a", "b", "chunks"])
 
-    ordered = pairs.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
-    found = written(ordered.mapInArrow(join_blocks, "a long, b long, chunks int"), "found")
+    def join_rows(rows: DataFrame, name: str) -> DataFrame:
+        texts = docs.join(small(rows), F.col("doc_id") == F.col("class_id")).select("root", "i", "j", "class_id", "comp", "chunks", "text")
+        ordered = texts.repartition("root", "i", "j").sortWithinPartitions("root", "i", "j")
+        return written(ordered.mapInArrow(join_blocks, "a long, b long, chunks int"), name)
+
+    found = join_rows(first_rows(placed), "found")
     # A block in one piece is final; the pieces of a cut one are joined by their links. A doc_id on several rows has its least root.
     roots = found.where("chunks = 1").select(F.col("a").alias("id"), F.col("b").alias("root"))
-    if found.where("chunks > 1").limit(1).count():
-        roots = roots.union(components(found.where("chunks > 1").select("a", "b")))
+    parts = found.where("chunks > 1").select("a", "b")
+    if parts.limit(1).count():
+        known = components(parts)
+        more = join_rows(written(second_rows(placed, known), "rest"), "more")
+        roots = roots.union(components(known.select(F.col("id").alias("a"), F.col("root").alias("b")).union(more.select("a", "b"))))
     root_of = roots.groupBy(F.col("id").alias("class_id")).agg(F.min("root").alias("root"))
 
     own = digest.select("doc_id", "n_shingles", "high", "low").join(classes.select("high", "low", "class_id"), ["high", "low"], "left")
