@@ -838,3 +838,63 @@ def test_pipeline(spark, duck):
     assert left == {d for d, (_, c) in near.items() if c == d} - leaked
     pieces = corpus_pipeline.run(spark, SF).collect()
     assert {r.doc_id for r in pieces} == left
+
+
+CORPUS = "doc_id long, text string, lang string, source string, n_chars long"
+
+
+@pytest.fixture(scope="module")
+def corpus(spark, tmp_path_factory):
+    """A folder of tables with languages to learn from, foreign texts, odd rows, repeated rows and a leak."""
+    rng = np.random.default_rng(18)
+    speech = {"en": "the of and to in that it was for on with as his they at be this".split(), "de": "der die und in den von zu das mit sich des auf f\u00fcr ist im dem".split()}
+    clean = [(100 + k, " ".join(rng.choice(speech[lang], 120)) + f" {k}", lang, "a", 7) for k, lang in enumerate(["en", "de"] * 60)]
+    random_letters = lambda a, b, n: " ".join("".join(map(chr, rng.integers(a, b, rng.integers(2, 9)))) for _ in range(n))
+    foreign = [(500 + k, random_letters(0x430, 0x44F, 100), None, "a", 7) for k in range(10)]
+    item = " ".join(f"q{k} w{k}" for k in range(12))
+    odd = [(600, None, None, None, None), (601, "", "en", "a", 0), (602, "123", "en", "a", 3), (603, "the", None, None, None), (None, "no id", "en", "a", 1), (605, clean[0][1], "en", "b", 7)]
+    odd += [(606, "all of the words in this are new to it", "en", "a", 1)] * 3 + [(607, "das ist neu", "de", "a", 1), (607, "und das ist sich", "de", "a", 1)]
+    odd += [(608, " ".join(rng.choice(speech["en"], 40)) + f" {item} " + " ".join(rng.choice(speech["en"], 40)), "en", "a", 1), (609, "the of and to in " + 'token = "' + "0f" * 20 + '"', "en", "a", 1)]
+    odd += [(610, " ".join(rng.choice(speech["en"], 40_000)), "en", "a", 1)]
+    path = tmp_path_factory.mktemp("corpus")
+    df = spark.createDataFrame(clean + foreign + odd, CORPUS).withColumn("component_id", F.lit("x")).withColumn("score", F.lit("y"))
+    df.write.parquet(str(path / "documents.parquet"))
+    spark.createDataFrame([(1, item), (2, None)], "item_id long, text string").write.parquet(str(path / "benchmark.parquet"))
+    return str(path), [c[0] for c in clean]
+
+
+def test_pipeline_stages_on_odd_rows(spark, corpus):
+    path, clean = corpus
+    docs, ids = spark.read.parquet(f"{path}/documents.parquet"), {}
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        docs = stage(spark, docs, path)
+        assert docs.columns == corpus_pipeline.COLUMNS
+        ids[name] = Counter(r.doc_id for r in docs.select("doc_id").collect())
+    # Foreign texts, those without letters and without an id go; clean ones and short ones stay.
+    assert set(ids["language_id"]) == {*clean, *range(603, 611)} - {604} and ids["language_id"][606] == 3
+    # A copy goes; equal rows of one id are one document, different ones two.
+    assert set(ids["near_duplicates"]) == set(ids["language_id"]) - {605} and ids["near_duplicates"][606] == 1 and ids["near_duplicates"][607] == 2
+    assert set(ids["decontamination"]) == set(ids["near_duplicates"]) - {608} and ids["secrets"] == ids["decontamination"]
+    assert "[SECRET]" in docs.where("doc_id = 609").first().text
+    pieces = corpus_pipeline.run(spark, path).collect()
+    assert {r.doc_id for r in pieces} == set(ids["secrets"])
+
+
+def test_pipeline_of_nothing(spark, corpus, tmp_path):
+    path, _ = corpus
+    spark.read.parquet(f"{path}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.read.parquet(f"{path}/benchmark.parquet").limit(0).write.parquet(str(tmp_path / "benchmark.parquet"))
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+
+
+def test_scratch_must_be_shared():
+    from types import SimpleNamespace
+
+    from tidewire.llm.common import shared_root
+
+    session = lambda master, root: SimpleNamespace(conf=SimpleNamespace(get=lambda *_: root), sparkContext=SimpleNamespace(master=master))
+    assert shared_root(session("spark://host:7077", "hdfs://x/y/")) == "hdfs://x/y/tidewire"
+    for master in ("spark://host:7077", "yarn", "local-cluster[2,1,1024]"):
+        with pytest.raises(ValueError, match="checkpoint.dir"):
+            shared_root(session(master, None))
+    assert shared_root(session("local[4]", None)).startswith("file:")

@@ -41,12 +41,13 @@ def written(df: DataFrame, name: str, partitions_hint: int | None = None) -> Dat
     """Write df to the shared folder and read it again: cuts lineage and survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
-    atexit.register(_remove, spark, path)
+    atexit.register(removed, spark, path)
     df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _remove(spark: SparkSession, path: str) -> None:
+def removed(spark: SparkSession, path: str) -> None:
+    """Delete a folder, if the session still runs."""
     jvm = getattr(spark.sparkContext, "_jvm", None)
     if jvm is None or spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
         return
