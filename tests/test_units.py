@@ -55,6 +55,72 @@ def test_arrays_are_protected(spark):
     assert [p and p.email for p in out.people] == ["a***", None]
 
 
+def protected(spark, rules, value, schema):
+    return json.loads(P.Protector(rules)(spark.createDataFrame([(value,)], schema)).toJSON().first())
+
+
+def test_protection_of_single_elements(spark):
+    """A rule for an index applies to that index alone."""
+    people = [{"ssn": "1"}, {"ssn": "2"}, {"ssn": "3"}]
+    out = protected(spark, [P.Rule("people[1].ssn", "hash", {"salt": False}), P.Rule("people[*].ssn", "truncate")], people, "people array<struct<ssn:string>>")
+    assert [p["ssn"][:5] for p in out["people"]] == ["1", "hash:", "3"]
+    out = protected(spark, [P.Rule("people[1].ssn", "remove")], people, "people array<struct<ssn:string>>")
+    assert [p.get("ssn") for p in out["people"]] == ["1", None, "3"]
+
+
+def test_protection_of_maps(spark):
+    value = {"ssn": "123456789", "home_PHONE": "5551234567", "note": "x"}
+    out = protected(spark, [P.Rule("m.ssn", "remove"), *P.PII_RULES], value, "m map<string,string>")
+    assert out["m"] == {"home_PHONE": "******4567", "note": "x"}
+    assert protected(spark, [P.Rule("m.*", "remove")], value, "m map<string,string>")["m"] == {}
+    out = protected(spark, [P.Rule("m.b", "mask", {"right": 1})], {"a": 12, "b": 345}, "m map<string,int>")
+    assert out["m"] == {"a": "12", "b": "XX5"}
+    out = protected(spark, P.PII_RULES, {"x": [{"Email": "ab@c"}]}, "m map<string,array<struct<Email:string>>>")
+    assert out["m"]["x"][0]["Email"] == "ab**"
+
+
+def test_rules_that_cannot_apply_raise(spark):
+    df = spark.createDataFrame([({"a": "x"}, [1], {"k": "v"})], "s struct<a:string>, n array<int>, m map<string,string>")
+    for name in ("s", "n", "m"):
+        with pytest.raises(ValueError, match="no leaf"):
+            P.Protector([P.Rule(name, "mask")])(df)
+    with pytest.raises(ValueError, match="function"):
+        P.Protector([P.Rule(lambda path: True, "mask")])(df)
+    for wrong in (("a", "generalize", {}), ("a", "mask", {"colour": 1}), ("a", "generalize", {"unit": "week"}), ("", "mask", {})):
+        with pytest.raises(ValueError):
+            P.Rule(*wrong)
+    with pytest.raises(ValueError, match="key"):
+        P.Protector([P.Rule("s.a", "encrypt")])(df)
+
+
+@pytest.mark.parametrize("name", ["customer_email", "EMAIL_ADDR", "email", "x_Email_y"])
+def test_personal_data_is_told_by_any_part_of_a_name(spark, name):
+    assert protected(spark, P.PII_RULES[:1], "someone@x.org", f"`{name}` string")[name] == "so***********"
+
+
+@pytest.mark.parametrize(("address", "shown"), [("123 Main St", "[NUMBER] Main St"), ("5 Elm, 90210-1234", "[NUMBER] Elm, [POSTAL]"), ("Main St Suite B", "Main St [UNIT]"), ("no number", "no number")])
+def test_addresses(spark, address, shown):
+    assert protected(spark, P.PII_RULES, address, "billing_address string")["billing_address"] == shown
+
+
+def test_payments(spark):
+    value = {"cardNumber": "4111111111111111", "CVC": "9", "expiration": "2027-03-01", "total_price": "12.5", "amount": 2.5, "price": "n/a"}
+    out = protected(spark, P.PAYMENT_RULES, value, "p struct<cardNumber:string,CVC:string,expiration:string,total_price:string,amount:double,price:string>")
+    assert out["p"] == {"cardNumber": "XXXXXXXXXXXX1111", "expiration": "2027-03", "total_price": 12.0, "amount": 2.0}
+
+
+def test_other_hashes(spark):
+    import base64
+    import hashlib
+
+    df = spark.createDataFrame([("a",), (None,)], "v string")
+    for name in ("sha3_256", "blake2b", "md5", "sha384"):
+        got = [r.h for r in df.select(P.hashed(F.col("v"), "p", name).alias("h")).collect()]
+        assert got == ["hash:" + base64.b64encode(hashlib.new(name, b"pa").digest()).decode(), None]
+    with pytest.raises(ValueError):
+        P.hashed(F.col("v"), "p", "rot13")
+
+
 def test_registry(spark):
     df, r = spark.range(1), T.Registry()
     seen = []

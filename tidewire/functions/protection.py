@@ -1,28 +1,44 @@
 """Field-level data protection as Column expressions: none, remove, hash, mask, truncate, generalize, encrypt, tokenize.
 
-Every function fails closed: a value it can't protect becomes null. The strongest of several matching
-rules wins by rank, and the first added on ties.
+Everything fails closed: a value that can't be protected becomes null, and a rule that can't be applied raises. The strongest of
+several matching rules wins by rank, and the first added on ties.
 """
 
 from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, NumericType, StringType, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, NumericType, StructType
 
 #: From weakest to strongest.
 LEVELS = ("none", "truncate", "generalize", "mask", "tokenize", "hash", "encrypt", "remove")
 
 
-def hashed(value: Column, path: str = "", algorithm: str = "sha256") -> Column:
-    text = F.concat(F.lit(path), value.cast("string"))
-    digest = {"md5": lambda: F.unhex(F.md5(text)), "sha1": lambda: F.unhex(F.sha1(text))}.get(algorithm, lambda: F.unhex(F.sha2(text, int(algorithm.removeprefix("sha")))))()
-    return F.concat(F.lit("hash:"), F.base64(digest))
+#: Hash names with a built-in function; every other name that hashlib has runs as a vectorised UDF.
+BUILT_IN: dict[str, Callable[[Column], Column]] = {"md5": F.md5, "sha1": F.sha1} | {f"sha{n}": (lambda text, n=n: F.sha2(text, n)) for n in (224, 256, 384, 512)}
+
+
+def hashed(value: Column, path: str | Column = "", algorithm: str = "sha256") -> Column:
+    """hash: and the base 64 of the digest of path and value."""
+    text = F.concat(F.lit(path) if isinstance(path, str) else path, value.cast("string"))
+    if algorithm in BUILT_IN:
+        return F.concat(F.lit("hash:"), F.base64(F.unhex(BUILT_IN[algorithm](text))))
+    if algorithm not in hashlib.algorithms_available or algorithm.startswith("shake"):
+        raise ValueError(f"unknown hash {algorithm!r}")
+
+    @F.pandas_udf("binary")
+    def digest(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for s in texts:
+            yield s.map(lambda x: None if x is None else hashlib.new(algorithm, x.encode()).digest())
+
+    return F.concat(F.lit("hash:"), F.base64(digest(text)))
 
 
 def masked(value: Column, left: int = 0, right: int | None = None, char: str = "X") -> Column:
@@ -55,8 +71,7 @@ def rounded(value: Column, places: int = 0) -> Column:
 
 def categorised(value: Column, categories: dict[str, str], rules: Sequence[tuple[str, str]] = ()) -> Column:
     """An exact category, else the rules (regular expression, replacement) in turn."""
-    text = value.cast("string")
-    out = text
+    text = out = value.cast("string")
     for pattern, replacement in rules:
         out = F.regexp_replace(out, pattern, replacement)
     for key, label in categories.items():
@@ -64,14 +79,19 @@ def categorised(value: Column, categories: dict[str, str], rules: Sequence[tuple
     return out
 
 
+UNITS = ("year", "month", "quarter")
+
+
 def dated(value: Column, unit: str) -> Column:
     """year, month or quarter of a date."""
+    if unit not in UNITS:
+        raise ValueError(f"unknown unit {unit!r}")
     if unit == "quarter":
         return F.concat(F.year(value).cast("string"), F.lit("-Q"), F.quarter(value).cast("string"))
     return F.date_format(value, {"year": "yyyy", "month": "yyyy-MM"}[unit])
 
 
-def tokenized(value: Column, path: str = "", prefix: str = "TOK", length: int = 10) -> Column:
+def tokenized(value: Column, path: str | Column = "", prefix: str = "TOK", length: int = 10) -> Column:
     """prefix, _ and the first characters of the hash's base 64."""
     return F.concat(F.lit(prefix + "_"), F.substring(F.substring_index(hashed(value, path), ":", -1), 1, length))
 
@@ -80,9 +100,9 @@ def derived_key(password: str, salt: bytes, rounds: int = 100_000) -> bytes:
     return hashlib.pbkdf2_hmac("sha256", password.encode(), salt, rounds, 32)
 
 
-def encrypted(value: Column, key: bytes, context: str = "") -> Column:
+def encrypted(value: Column, key: bytes, context: str | Column = "") -> Column:
     """enc: and AES-GCM in base 64, different at every call; context is authenticated."""
-    sealed = F.aes_encrypt(F.encode(value.cast("string"), "UTF-8"), F.lit(key), F.lit("GCM"), F.lit("DEFAULT"), F.lit(b""), F.lit(context.encode()))
+    sealed = F.aes_encrypt(F.encode(value.cast("string"), "UTF-8"), F.lit(key), F.lit("GCM"), F.lit("DEFAULT"), F.lit(b""), F.lit(context.encode()) if isinstance(context, str) else F.encode(context, "UTF-8"))
     return F.concat(F.lit("enc:"), F.base64(sealed))
 
 
@@ -91,24 +111,46 @@ def decrypted(value: Column, key: bytes, context: str = "") -> Column:
     return F.decode(F.aes_decrypt(raw, F.lit(key), F.lit("GCM"), F.lit("DEFAULT"), F.lit(context.encode())), "UTF-8")
 
 
+#: Options of each level; a generalization needs one of its own.
+OPTIONS = {
+    "none": (), "remove": (), "hash": ("salt", "algorithm"), "mask": ("left", "right", "char"), "truncate": ("most", "suffix"),
+    "tokenize": ("prefix", "length"), "encrypt": (), "generalize": ("ranges", "places", "categories", "rules", "unit"),
+}
+
+Matcher = str | re.Pattern | Callable[[str], bool]
+
+
 @dataclass(frozen=True)
 class Rule:
     """matcher: dotted path with * and [*], a compiled pattern (matched from the start), or a function of the path."""
 
-    matcher: str | re.Pattern | Callable[[str], bool]
+    matcher: Matcher
     level: str
     options: dict = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if self.level not in LEVELS:
             raise ValueError(f"unknown protection level {self.level!r}")
+        if not self.matcher:
+            raise ValueError("a rule needs a matcher")
+        if unknown := set(self.options) - set(OPTIONS[self.level]):
+            raise ValueError(f"{self.level} has no option {sorted(unknown)[0]!r}")
+        if self.level == "generalize" and not self.options:
+            raise ValueError("generalize needs one of " + ", ".join(OPTIONS["generalize"]))
+        if self.options.get("unit", "year") not in UNITS:
+            raise ValueError(f"unknown unit {self.options['unit']!r}")
+
+
+def level_name(rule: Rule | None) -> str:
+    """The level of a rule as text; none without one."""
+    return rule.level if rule else "none"
 
 
 def segments(path: str) -> list[str]:
     return re.findall(r"[^.\[\]]+|\[[^.\[\]]+\]", path)
 
 
-def path_matches(path: str, matcher: str | re.Pattern | Callable[[str], bool]) -> bool:
+def path_matches(path: str, matcher: Matcher) -> bool:
     """Segments must be equally many; * stands for one name, [*] for one index."""
     if not path or not matcher:
         return False
@@ -121,20 +163,87 @@ def path_matches(path: str, matcher: str | re.Pattern | Callable[[str], bool]) -
     return len(own) == len(wanted) and all(map(fits, own, wanted))
 
 
+def by_strength(rules: Sequence[Rule]) -> list[Rule]:
+    """Strongest first; equally strong ones as they were added."""
+    return sorted(rules, key=lambda r: -LEVELS.index(r.level))
+
+
 def chosen_rule(path: str, rules: Sequence[Rule]) -> Rule | None:
-    fitting = [r for r in rules if path_matches(path, r.matcher)]
-    return max(fitting, key=lambda r: LEVELS.index(r.level), default=None)
+    return next((r for r in by_strength(rules) if path_matches(path, r.matcher)), None)
+
+
+@dataclass(frozen=True)
+class Path:
+    """Where a value stands. names: field names, and None for an array's index or a map's key, which each row has its own of."""
+
+    names: tuple[str | None, ...] = ()
+    kinds: tuple[str, ...] = ()  # name, index or key
+    own: tuple[Column | None, ...] = ()
+
+    def field(self, name: str) -> Path:
+        return Path((*self.names, name), (*self.kinds, "name"), (*self.own, None))
+
+    def index(self, k: Column) -> Path:
+        return Path((*self.names, None), (*self.kinds, "index"), (*self.own, F.concat(F.lit("["), k.cast("string"), F.lit("]"))))
+
+    def key(self, k: Column) -> Path:
+        return Path((*self.names, None), (*self.kinds, "key"), (*self.own, k.cast("string")))
+
+    @property
+    def fixed(self) -> bool:
+        return None not in self.names
+
+    def text(self) -> str:
+        """As rules are written, with [*] and * for what rows have their own of."""
+        parts = [n if n is not None else {"index": "[*]", "key": "*"}[k] for n, k in zip(self.names, self.kinds, strict=True)]
+        return "".join(p if p.startswith("[") or not i else f".{p}" for i, p in enumerate(parts))
+
+    def column(self) -> Column:
+        """Each row's path."""
+        parts = []
+        for i, (n, k, c) in enumerate(zip(self.names, self.kinds, self.own, strict=True)):
+            parts += [F.lit(".")] if i and k != "index" else []
+            parts.append(F.lit(n) if c is None else c)
+        return F.concat(*parts)
+
+    def fits(self, matcher: Matcher) -> bool | Column:
+        """Whether a matcher fits: known from the schema, or told for each row."""
+        if self.fixed:
+            return path_matches(self.text(), matcher)
+        if isinstance(matcher, str):
+            wanted, rest = segments(matcher), []
+            if len(wanted) != len(self.names):
+                return False
+            for w, n, k, c in zip(wanted, self.names, self.kinds, self.own, strict=True):
+                if n is not None:
+                    if n != w and w != "*":
+                        return False
+                elif w != {"index": "[*]", "key": "*"}[k]:
+                    if (w[0] == "[") != (k == "index"):
+                        return False
+                    rest.append(c == w)
+            return reduce(lambda a, b: a & b, rest) if rest else True
+        if isinstance(matcher, re.Pattern):
+            flags = "".join(f for f, on in (("i", re.IGNORECASE), ("m", re.MULTILINE), ("s", re.DOTALL), ("x", re.VERBOSE)) if matcher.flags & on)
+            return self.column().rlike(f"^(?{flags}:{matcher.pattern})" if flags else f"^(?:{matcher.pattern})")
+        raise ValueError(f"a function can't tell the paths below {self.text()!r}, which each row has its own of: give a path or a pattern")
 
 
 class Protector:
-    """Applies rules to the leaves of a DataFrame's schema; the plan stays free of Python code."""
+    """Applies rules to the leaves of a DataFrame's schema: fields of structs, elements of arrays, values of maps.
+
+    The plan is made of Column expressions alone. A rule whose path names an object, an array or a map raises, as only leaves are
+    protected; so does a function as matcher where a path depends on the row. keep: columns that aren't looked into.
+    """
 
-    def __init__(self, rules: Sequence[Rule], key: bytes | None = None):
-        self.rules, self.key = list(rules), key
+    def __init__(self, rules: Sequence[Rule], key: bytes | None = None, keep: Sequence[str] = ()):
+        self.rules, self.key, self.keep = list(rules), key, set(keep)
 
-    def _leaf(self, value: Column, kind: DataType, path: str, rule: Rule) -> Column:
+    def _leaf(self, value: Column, kind: DataType, path: str | Column, rule: Rule) -> Column:
         o = rule.options
         match rule.level:
+            case "remove":
+                return F.lit(None).cast(kind)
             case "hash":
                 return hashed(value, path if o.get("salt", True) else "", o.get("algorithm", "sha256"))
             case "mask":
@@ -149,58 +258,113 @@ class Protector:
                 return encrypted(value, self.key, path)
             case "generalize":
                 if "ranges" in o:
-                    return ranged(value, o["ranges"])
+                    return ranged(value.try_cast("double"), o["ranges"])
                 if "unit" in o:
                     return dated(F.try_to_timestamp(value.cast("string")), o["unit"])
-                if isinstance(kind, NumericType):
-                    return rounded(value, o.get("places", 0))
+                if "places" in o:
+                    # Text is read as a number; what is none is lost, not shown.
+                    return rounded(value if isinstance(kind, NumericType) else value.try_cast("double"), o["places"])
                 return categorised(value, o.get("categories", {}), o.get("rules", ()))
         return value
 
-    def _node(self, value: Column, kind: DataType, path: str, found: dict[str, str], in_array: bool = False) -> Column | None:
+    def _options(self, path: Path) -> list[tuple[Rule, bool | Column]]:
+        """Rules that fit or may fit, strongest first, up to the first that surely does."""
+        out = []
+        for rule in by_strength(self.rules):
+            fits = path.fits(rule.matcher)
+            if fits is not False:
+                out.append((rule, fits))
+            if fits is True:
+                break
+        return out
+
+    def _value(self, value: Column, kind: DataType, path: Path, found: dict[str, str]) -> tuple[Column | None, Column | None]:
+        """The protected value (None: leave it out), and where only rows tell: when to leave it out."""
+        if isinstance(kind, StructType | ArrayType | MapType):
+            named = [r for r in self.rules if isinstance(r.matcher, str) and r.level != "none" and segments(r.matcher)[-1] not in ("*", "[*]") and (path.fits(r.matcher) is True or "*" not in r.matcher and path.fits(r.matcher) is not False)]
+            if named:
+                raise ValueError(f"rule {named[0].matcher!r} names {path.text()!r}, which is no leaf: give rules for what is in it")
+            return self._inner(value, kind, path, found), None
+        options = self._options(path)
+        if not options or options[0][0].level == "none" and options[0][1] is True:
+            return value, None
+        found[path.text()] = options[0][0].level
+        at = path.text() if path.fixed else path.column()
+        if options[0][1] is True:
+            return (None, None) if options[0][0].level == "remove" else (self._leaf(value, kind, at, options[0][0]), None)
+        # Each row's path chooses; what is protected as text makes all of them text.
+        parts = [(fits, rule, self._leaf(value, kind, at, rule)) for rule, fits in options]
+        text = any(rule.level not in ("none", "remove") for _, rule, _ in parts)
+        cast = (lambda c: c.cast("string")) if text else (lambda c: c)
+        out, gone = cast(value), F.lit(False)
+        for fits, rule, made in reversed(parts):
+            when = F.lit(True) if fits is True else F.coalesce(fits, F.lit(True))
+            out = F.when(when, cast(made)).otherwise(out)
+            gone = F.when(when, F.lit(rule.level == "remove")).otherwise(gone)
+        return out, gone
+
+    def _inner(self, value: Column, kind: DataType, path: Path, found: dict[str, str]) -> Column:
         if isinstance(kind, StructType):
             kept = []
             for f in kind.fields:
-                c = self._node(value[f.name], f.dataType, f"{path}.{f.name}" if path else f.name, found)
+                c, _ = self._value(value[f.name], f.dataType, path.field(f.name), found)
                 if c is not None:
                     kept.append(c.alias(f.name))
             return F.when(value.isNotNull(), F.struct(*kept)) if kept else F.lit(None)
         if isinstance(kind, ArrayType):
-            inner: dict[str, str] = {}
-            out = F.transform(value, lambda x: self._node(x, kind.elementType, path + "[*]", inner, True))
-            found |= inner
-            return out
-        # A rule for an index stands for any: elements of an array share one expression.
-        rule = chosen_rule(re.sub(r"\[\*\]", "[0]", path), self.rules)
-        if rule is None or rule.level == "none":
-            return value
-        found[path] = rule.level
-        if rule.level == "remove":
-            return F.lit(None).cast(kind) if in_array else None
-        return self._leaf(value, kind, path, rule)
+
+            def element(x: Column, k: Column) -> Column:
+                c, _ = self._value(x, kind.elementType, path.index(k), found)
+                return F.lit(None).cast(kind.elementType) if c is None else c
+
+            return F.transform(value, element)
+
+        def entry(e: Column) -> Column:
+            c, gone = self._value(e["value"], kind.valueType, path.key(e["key"]), found)
+            c = F.lit(None).cast(kind.valueType) if c is None else c
+            return F.struct(e["key"].alias("key"), c.alias("value"), (F.lit(False) if gone is None else gone).alias("gone"))
+
+        # Every value under a rule that fits all keys is left out.
+        whole = self._options(path.key(F.lit("")))
+        if whole and whole[0][1] is True and whole[0][0].level == "remove" and not isinstance(kind.valueType, StructType | ArrayType | MapType):
+            found[path.key(F.lit("")).text()] = "remove"
+            return F.when(value.isNotNull(), F.create_map().cast(kind))
+        entries = F.filter(F.transform(F.map_entries(value), entry), lambda e: ~e["gone"])
+        return F.map_from_entries(F.transform(entries, lambda e: F.struct(e["key"], e["value"])))
 
     def __call__(self, df: DataFrame) -> DataFrame:
         """Protected columns, and _protected: path -> level, when some rule applies."""
         found: dict[str, str] = {}
-        out = [(f.name, self._node(F.col(f"`{f.name}`"), f.dataType, f.name, found)) for f in df.schema.fields]
-        cols = [c.alias(n) for n, c in out if c is not None]
+        cols = []
+        for f in df.schema.fields:
+            c = F.col(f"`{f.name}`")
+            if f.name not in self.keep:
+                c, _ = self._value(c, f.dataType, Path().field(f.name), found)
+            if c is not None:
+                cols.append(c.alias(f.name))
         if found:
             cols.append(F.create_map(*(F.lit(x) for kv in sorted(found.items()) for x in kv)).alias("_protected"))
         return df.select(*cols)
 
 
+def contains(names: str) -> re.Pattern:
+    """A path with one of these names anywhere in it, in small letters or capitals."""
+    return re.compile(f".*({names}).*", re.IGNORECASE)
+
+
 #: Rules for personal data and for payments.
 PII_RULES = (
-    Rule(re.compile(r"(.*\.)?email$"), "mask", {"left": 2, "right": 0, "char": "*"}),
-    Rule(re.compile(r"(.*\.)?phone$"), "mask", {"right": 4, "char": "*"}),
-    Rule(re.compile(r"(.*\.)?address$"), "generalize", {"rules": ((r"\b\d{5}(-\d{4})?\b", "[POSTAL]"), (r"\b\d+\b", "[NUMBER]"), (r"(?i)\b(apt|unit|suite)\b", "[UNIT]"))}),
+    Rule(contains("email"), "mask", {"left": 2, "right": 0, "char": "*"}),
+    Rule(contains("phone"), "mask", {"right": 4, "char": "*"}),
+    # Postal codes come before numbers, which they are, too.
+    Rule(contains("address"), "generalize", {"rules": ((r"\b\d{5}(-\d{4})?\b", "[POSTAL]"), (r"\b\d+\b", "[NUMBER]"), (r"(?i)\b(apt|unit|suite|#)\s*[-#]?\s*\w+\b", "[UNIT]"))}),
     Rule("*.card_number", "mask", {"right": 4, "char": "X"}),
-    Rule(re.compile(r"(.*\.)?(cvv|cvc|security_code)$"), "remove"),
-    Rule(re.compile(r"(.*\.)?(ssn|social_security)$"), "remove"),
+    Rule(contains("cvv|cvc|security_code"), "remove"),
+    Rule(contains("ssn|social_security"), "remove"),
 )
 PAYMENT_RULES = (
-    Rule(re.compile(r"(.*\.)?card_number$"), "mask", {"right": 4, "char": "X"}),
-    Rule(re.compile(r"(.*\.)?cvv$"), "remove"),
-    Rule(re.compile(r"(.*\.)?expiry$"), "generalize", {"unit": "month"}),
-    Rule(re.compile(r"(.*\.)?(amount|total|price)$"), "generalize", {"places": 0}),
+    Rule(contains("card.*number"), "mask", {"right": 4, "char": "X"}),
+    Rule(contains("cvv|cvc|security_code"), "remove"),
+    Rule(contains("expiry|expiration"), "generalize", {"unit": "month"}),
+    Rule(contains("amount|total|price"), "generalize", {"places": 0}),
 )
