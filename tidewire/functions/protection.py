@@ -25,11 +25,16 @@ LEVELS = ("none", "truncate", "generalize", "mask", "tokenize", "hash", "encrypt
 BUILT_IN: dict[str, Callable[[Column], Column]] = {"md5": F.md5, "sha1": F.sha1} | {f"sha{n}": (lambda text, n=n: F.sha2(text, n)) for n in (224, 256, 384, 512)}
 
 
+def base64_of(raw: Column) -> Column:
+    """In one line; Spark breaks long ones."""
+    return F.translate(F.base64(raw), "\r\n", "")
+
+
 def hashed(value: Column, path: str | Column = "", algorithm: str = "sha256") -> Column:
     """hash: and the base 64 of the digest of path and value."""
     text = F.concat(F.lit(path) if isinstance(path, str) else path, value.cast("string"))
     if algorithm in BUILT_IN:
-        return F.concat(F.lit("hash:"), F.base64(F.unhex(BUILT_IN[algorithm](text))))
+        return F.concat(F.lit("hash:"), base64_of(F.unhex(BUILT_IN[algorithm](text))))
     if algorithm not in hashlib.algorithms_available or algorithm.startswith("shake"):
         raise ValueError(f"unknown hash {algorithm!r}")
 
@@ -38,7 +43,7 @@ def hashed(value: Column, path: str | Column = "", algorithm: str = "sha256") ->
         for s in texts:
             yield s.map(lambda x: None if x is None else hashlib.new(algorithm, x.encode()).digest())
 
-    return F.concat(F.lit("hash:"), F.base64(digest(text)))
+    return F.concat(F.lit("hash:"), base64_of(digest(text)))
 
 
 def masked(value: Column, left: int = 0, right: int | None = None, char: str = "X") -> Column:
@@ -103,7 +108,7 @@ def derived_key(password: str, salt: bytes, rounds: int = 100_000) -> bytes:
 def encrypted(value: Column, key: bytes, context: str | Column = "") -> Column:
     """enc: and AES-GCM in base 64, different at every call; context is authenticated."""
     sealed = F.aes_encrypt(F.encode(value.cast("string"), "UTF-8"), F.lit(key), F.lit("GCM"), F.lit("DEFAULT"), F.lit(b""), F.lit(context.encode()) if isinstance(context, str) else F.encode(context, "UTF-8"))
-    return F.concat(F.lit("enc:"), F.base64(sealed))
+    return F.concat(F.lit("enc:"), base64_of(sealed))
 
 
 def decrypted(value: Column, key: bytes, context: str = "") -> Column:
