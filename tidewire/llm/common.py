@@ -46,6 +46,11 @@ def written(df: DataFrame, name: str, partitions_hint: int | None = None) -> Dat
     return spark.read.schema(df.schema).parquet(path)
 
 
+def small(df: DataFrame) -> DataFrame:
+    """df, which must be written, marked to be broadcast if it has no more than BROADCAST_ROWS rows; joined by a shuffle beyond."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def removed(spark: SparkSession, path: str) -> None:
     """Delete a folder, if the session still runs."""
     jvm = getattr(spark.sparkContext, "_jvm", None)
@@ -129,7 +134,8 @@ def components(edges: DataFrame) -> DataFrame:
 
     def star(e: DataFrame, large: bool) -> DataFrame:
         both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else e
-        low = both.groupBy("a").agg(F.min("b").alias("m0")).select(F.col("a").alias("k"), F.least("a", "m0").alias("m"))
+        # Written, so that the join can split the rows of a node that much of the edges meet in.
+        low = written(both.groupBy("a").agg(F.min("b").alias("m0")).select(F.col("a").alias("k"), F.least("a", "m0").alias("m")), "low")
         joined = both.join(low, F.col("a") == F.col("k"))
         if large:
             return joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b")

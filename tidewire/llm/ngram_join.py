@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import BROADCAST_ROWS, WordHash, components, gram_hashes, mix, streamed_groups, utf8, written
+from tidewire.llm.common import WordHash, components, gram_hashes, mix, small, streamed_groups, utf8, written
 
 #: A block is cut when it has more classes or more n-grams than this.
 BLOCK_CLASSES, BLOCK_GRAMS = 500, 2_000_000
@@ -196,11 +196,6 @@ def joined(sets: list[np.ndarray], percent: int, known: list | None = None) -> n
     return out
 
 
-def small(df: DataFrame) -> DataFrame:
-    """df, written and so of a known size, marked to be broadcast if it has no more than BROADCAST_ROWS rows."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def placed_in_chunks(members: DataFrame) -> DataFrame:
     """root, class_id, chunks, chunk, pivot for each row (root, class_id, n) of a block's classes."""
     size = members.groupBy("root").agg(F.count("*").alias("c"), F.greatest(F.ceil(F.count("*") / BLOCK_CLASSES), F.ceil(F.sum("n") / BLOCK_GRAMS)).cast("int").alias("chunks"))
