@@ -125,30 +125,37 @@ def streamed_groups(batches: Iterable[pa.RecordBatch], keys: list[str]) -> Itera
         yield now, pa.Table.from_batches(parts)
 
 
+#: Edges of one task of the small tables that components are made of.
+EDGES_A_TASK = 100_000
+
+
 def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (a, b: long): one row (id, root) per node, root its smallest node.
 
-    Alternating large-star and small-star; every round is a written table, so nothing but two numbers
-    of a round reaches the driver. No edges: no rows. Self loops and repeated edges are allowed.
+    Alternating large-star and small-star; every round is a written table, so nothing but a number and a yes or no
+    of a round reaches the driver. Where the nodes are few enough, each node's least neighbour is sent to all tasks, and no node's edges meet
+    in one; beyond, they are joined by a shuffle. No edges: no rows. Self loops and repeated edges are allowed.
     """
 
-    def star(e: DataFrame, large: bool) -> DataFrame:
+    def star(e: DataFrame, large: bool, few: bool) -> DataFrame:
         both = e.select("a", "b").union(e.select(F.col("b").alias("a"), F.col("a").alias("b"))) if large else e
-        # Written, so that the join can split the rows of a node that much of the edges meet in.
-        low = written(both.groupBy("a").agg(F.min("b").alias("m0")).select(F.col("a").alias("k"), F.least("a", "m0").alias("m")), "low")
-        joined = both.join(low, F.col("a") == F.col("k"))
+        low = both.groupBy("a").agg(F.min("b").alias("m0")).select(F.col("a").alias("k"), F.least("a", "m0").alias("m"))
+        joined = both.join(F.broadcast(low) if few else low, F.col("a") == F.col("k"))
         if large:
             return joined.where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).where("a > b")
         # A neighbour goes to the least one, and so does the node itself.
         ends = F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct(F.col("a").alias("a"), F.col("m").alias("b"))))
         return joined.select(ends.alias("e")).select("e.a", "e.b").where("a > b").distinct()
 
+    def unfinished(e: DataFrame) -> bool:
+        """Whether some node has two edges to lesser ones, or one and is itself the least of another: then it's no star yet."""
+        seen = e.select(F.col("a").alias("x"), F.lit(1).alias("up"), F.lit(0).alias("down")).union(e.select("b", F.lit(0), F.lit(1)))
+        return bool(seen.groupBy("x").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up + down > 1").limit(1).count())
+
     now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "edges")
-    before = None
-    while True:
-        mark = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(20,0)"))).first())
-        if mark == before or mark[0] == 0:
+    while size := now.count():
+        if not unfinished(now):
             break
-        before = mark
-        now = written(star(star(now, True), False), "stars")
-    return now.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("id"), "root").union(now.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct())
+        few = 2 * size <= BROADCAST_ROWS  # an edge has two nodes
+        now = written(star(star(now, True, few), False, few).coalesce(max(8, size // EDGES_A_TASK)), "stars")
+    return now.select(F.col("a").alias("id"), F.col("b").alias("root")).union(now.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct())

@@ -294,7 +294,13 @@ def near_classes(docs: DataFrame, n: int = 3, percent: int = 90, likely: bool =
     if parts.limit(1).count():
         known = components(parts)
         more = join_rows(written(second_rows(placed, known), "rest"), "more")
-        roots = roots.union(components(known.select(F.col("id").alias("a"), F.col("root").alias("b")).union(more.select("a", "b"))))
+        # What the second pass links are components of the first; only those that it links are joined anew.
+        names = known.select("id", F.col("root").alias("to"))
+        links = more.join(names.select(F.col("id").alias("a"), F.col("to").alias("ra")), "a", "left").join(names.select(F.col("id").alias("b"), F.col("to").alias("rb")), "b", "left")
+        links = written(links.select(F.coalesce("ra", "a").alias("a"), F.coalesce("rb", "b").alias("b")).where("a <> b").distinct(), "links")
+        above = components(links).select(F.col("id").alias("to"), F.col("root").alias("top")) if links.limit(1).count() else None
+        mine = names if above is None else names.union(above.select(F.col("to").alias("id"), "to")).distinct().join(above, "to", "left").select("id", F.coalesce("top", "to").alias("to"))
+        roots = roots.union(mine.select("id", F.col("to").alias("root")))
     root_of = roots.groupBy(F.col("id").alias("class_id")).agg(F.min("root").alias("root"))
 
     own = digest.select("doc_id", "n_shingles", "high", "low").join(classes.select("high", "low", "class_id"), ["high", "low"], "left")
