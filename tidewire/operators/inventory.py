@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewire.operators.keyed import spaced
+
 #: From the most to the least specific level of a threshold.
 LEVELS = ("sku", "product", "brand", "category", "department", "global")
 
@@ -47,27 +49,32 @@ def at_level(rollup: DataFrame, level: int) -> DataFrame:
     return rollup.where(F.col("level") == level)
 
 
-def resolved_thresholds(items: DataFrame, thresholds: DataFrame, columns: dict[str, str], default: int) -> DataFrame:
+def resolved_thresholds(items: DataFrame, thresholds: DataFrame, columns: dict[str, str], default: int, key: Sequence[str]) -> DataFrame:
     """threshold of each item: the most specific level whose value matches, of its warehouse before any.
 
-    thresholds: level, value, warehouse (null: all), threshold: at most one row each. Equi joins only, one a level.
+    thresholds: level, value, warehouse (null: all), threshold: at most one row each. key: columns that tell items apart. One join
+    of an item's levels with the thresholds, and the best of each item.
+    """
+    named = [lv for lv in LEVELS if lv in columns]
+    level = lambda name, value: F.struct(F.lit(name).alias("level"), value.cast("string").alias("value"), F.lit(LEVELS.index(name)).alias("rank"))
+    asked = F.array(*(level(lv, F.col(columns[lv])) for lv in named), level("global", F.lit("all")))
+    rows = items.select(*key, "warehouse", F.explode(asked).alias("l")).select(*key, F.col("warehouse").alias("_own"), "l.*")
+    given = thresholds.select("level", F.when(F.col("level") == "global", "all").otherwise(F.col("value")).alias("value"), F.col("warehouse").alias("_for"), "threshold")
+    met = rows.join(given, ["level", "value"]).where(F.col("_for").isNull() | (F.col("_for") == F.col("_own")))
+    best = met.groupBy(*key).agg(F.min_by("threshold", F.struct("rank", F.col("_for").isNull())).alias("threshold"))
+    return items.join(best, list(key), "left").withColumn("threshold", F.coalesce("threshold", F.lit(default)))
+
+
+def current_thresholds(events: DataFrame, updates: DataFrame, keys: Sequence[str], ts: str, column: str = "threshold") -> DataFrame:
+    """events with the threshold that was last set for their keys at or before their time (updates: keys, ts, column); null before the first.
+
+    Updates and events of a key are read in the order of time, an update before events of the same time: no join by ranges.
     """
-    found = []
-    for k, level in enumerate(LEVELS):
-        if level not in columns and level != "global":
-            continue
-        for local in (True, False):
-            t = thresholds.where((F.col("level") == level) & (F.col("warehouse").isNotNull() if local else F.col("warehouse").isNull()))
-            name = f"_t{k}{int(local)}"
-            t = t.select(F.col("value").alias(name + "v"), F.col("warehouse").alias(name + "w"), F.col("threshold").alias(name))
-            on = F.lit(True) if level == "global" else F.col(columns[level]) == F.col(name + "v")
-            if local:
-                on &= F.col("warehouse") == F.col(name + "w")
-            elif level == "global":
-                t, on = t.withColumn(name + "v", F.lit("all")), F.lit("all") == F.col(name + "v")
-            items = items.join(t, on, "left").drop(name + "v", name + "w")
-            found.append(name)
-    return items.withColumn("threshold", F.coalesce(*map(F.col, found), F.lit(default))).drop(*found)
+    rows = events.withColumn("_set", F.lit(None).cast(updates.schema[column].dataType)).withColumn("_event", F.lit(True))
+    sets = updates.select(*keys, ts, F.col(column).alias("_set"), F.lit(False).alias("_event"))
+    w = Window.partitionBy(*keys).orderBy(ts, "_event").rowsBetween(Window.unboundedPreceding, 0)
+    both = rows.unionByName(sets, allowMissingColumns=True).withColumn(column, F.last("_set", ignorenulls=True).over(w))
+    return both.where("_event").drop("_event", "_set")
 
 
 def velocity(df: DataFrame, keys: Sequence[str], day: str, sold: str, days: int) -> DataFrame:
@@ -80,6 +87,28 @@ def cover_days(stock: Column, per_day: Column) -> Column:
     return F.when(per_day > 0, stock / per_day)
 
 
+def cover_threshold(per_day: Column, days: float) -> Column:
+    """The stock that lasts so many days, in whole pieces."""
+    return F.ceil(per_day * F.lit(float(days))).cast("long")
+
+
+def depletion(df: DataFrame, keys: Sequence[str], day: str, change: str) -> DataFrame:
+    """per_day: what a key loses a day, net, between its first and last day with a change; 0 for keys that gain."""
+    days = F.max(day) - F.min(day) + 1
+    return df.groupBy(*keys).agg(days.cast("long").alias("days"), F.sum(change).alias("change")).withColumn("per_day", F.greatest(-F.col("change") / F.col("days"), F.lit(0.0)))
+
+
+def across_warehouses(df: DataFrame, warehouse: str, item: str, measure: str) -> DataFrame:
+    """stock and warehouses of each item over all of them."""
+    return df.groupBy(item).agg(F.sum(measure).alias("stock"), F.count_distinct(warehouse).alias("warehouses"))
+
+
+def stock_metrics(stock: DataFrame, keys: Sequence[str], threshold: int) -> DataFrame:
+    """items, out_of_stock, below (threshold or less), and the share out of stock, from one row an item (column stock)."""
+    counted = stock.groupBy(*keys).agg(F.count("*").alias("items"), F.count_if(F.col("stock") <= 0).alias("out_of_stock"), F.count_if(F.col("stock") <= threshold).alias("below"))
+    return counted.withColumn("stockout_rate", F.col("out_of_stock") / F.col("items"))
+
+
 def dynamic_threshold(df: DataFrame, keys: Sequence[str], measure: str, deviations: float) -> DataFrame:
     return df.groupBy(*keys).agg(F.avg(measure).alias("mean"), F.stddev_samp(measure).alias("deviation")).withColumn("threshold", F.col("mean") + F.lit(deviations) * F.coalesce("deviation", F.lit(0.0)))
 
@@ -100,9 +129,20 @@ def breaches(df: DataFrame, keys: Sequence[str], order: Sequence[str], breached:
     return df.withColumn("_was", F.coalesce(F.lag("_now").over(w), F.lit(False))).where(F.col("_now") & ~F.col("_was")).drop("_now", "_was")
 
 
+def alerts(df: DataFrame, keys: Sequence[str], seconds: str, order: Sequence[str], breached: Column, cooldown: float) -> DataFrame:
+    """Rows that alert: when a key becomes breached, and again each time that it still is after `cooldown` seconds since its last alert.
+    A key that recovers starts afresh."""
+    w = Window.partitionBy(*keys).orderBy(seconds, *order)
+    now = F.coalesce(breached, F.lit(False))
+    starts = df.withColumn("_now", now).withColumn("_start", (F.col("_now") & ~F.coalesce(F.lag("_now").over(w), F.lit(False))).cast("int"))
+    runs = starts.withColumn("breach_run", F.sum("_start").over(w)).where("_now").drop("_now", "_start")
+    return spaced(runs, [*keys, "breach_run"], seconds, cooldown, order).where("kept").drop("kept", "breach_run")
+
+
 def alert_id(day: Column, warehouse: Column, sku: Column) -> Column:
     return F.concat_ws("-", F.lit("alt"), F.date_format(day, "yyyyMMdd"), warehouse, sku)
 
 
-def expired(df: DataFrame, ts: str, now: Column, ttl_seconds: int) -> Column:
-    return F.unix_timestamp(now) - F.unix_timestamp(ts) > ttl_seconds
+def unexpired(df: DataFrame, ts: str, now: Column, ttl_seconds: int) -> DataFrame:
+    """State without the rows that weren't touched for longer than ttl_seconds."""
+    return df.where(F.unix_timestamp(now) - F.unix_timestamp(ts) <= ttl_seconds)

@@ -14,18 +14,27 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+#: Parts that rows without a key are dealt into, as no key needs them together.
+KEYLESS = 1024
+
+
 def fresh(df: DataFrame, keys: Sequence[str], ts: str, arrival: str) -> DataFrame:
-    """Rows whose ts is above every earlier one of their key, in order of arrival; rows with a null key all stay."""
-    w = Window.partitionBy(*keys).orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
-    has_key = F.lit(True)
+    """Rows whose ts is above every earlier one of their key, in order of arrival; rows with a null key all stay.
+
+    One key's rows pass through one task, a sorted stream that isn't held; rows without a key are spread.
+    """
+    keyless = F.lit(False)
     for k in keys:
-        has_key &= F.col(k).isNotNull()
-    return df.withColumn("_before", F.max(ts).over(w)).where(~has_key | F.col("_before").isNull() | (F.col(ts) > F.col("_before"))).drop("_before")
+        keyless |= F.col(k).isNull()
+    df = df.withColumn("_part", F.when(keyless, F.pmod(F.xxhash64(arrival), F.lit(KEYLESS))))
+    w = Window.partitionBy(*keys, "_part").orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
+    return df.withColumn("_before", F.max(ts).over(w)).where(F.col("_part").isNotNull() | F.col("_before").isNull() | (F.col(ts) > F.col("_before"))).drop("_before", "_part")
 
 
-def newest(df: DataFrame, ts: str, most: int) -> DataFrame:
-    """The rows of the most recent times: a bounded store's content."""
-    return df.orderBy(F.desc(ts)).limit(most)
+def newest(df: DataFrame, ts: str, most: int, *ties: str, since: Column | None = None) -> DataFrame:
+    """The rows of the most recent times, of equal times those highest by ties: a bounded store's content. since: older ones are left out."""
+    kept = df if since is None else df.where(F.col(ts) >= since)
+    return kept.orderBy(F.desc(ts), *map(F.desc, ties)).limit(most)
 
 
 def batched(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int) -> DataFrame:
@@ -34,8 +43,25 @@ def batched(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int)
     return df.withColumn("batch_id", F.floor((F.row_number().over(w) - 1) / size))
 
 
+def batched_in_time(df: DataFrame, keys: Sequence[str], seconds: str, size: int, latency: float, order: Sequence[str] = ()) -> DataFrame:
+    """batch_id: runs of rows for each key that close at `size` rows, or once `latency` seconds have passed since their first."""
+
+    def step(state: tuple[int, int, float], row: Any) -> tuple[tuple[int, int, float], int]:
+        batch, count, first = state
+        now = float(getattr(row, seconds))
+        if count and (count >= size or now - first >= latency):
+            batch, count = batch + 1, 0
+        return (batch, count + 1, first if count else now), batch
+
+    return folded(df, keys, [seconds, *order], lambda: (0, 0, 0.0), step, "batch_id", "long")
+
+
 def folded(df: DataFrame, keys: Sequence[str], order: Sequence[str], start: Callable[[], Any], step: Callable[[Any, Any], tuple[Any, Any]], name: str, kind: str) -> DataFrame:
-    """A column from an ordered fold per key: step(state, row) -> (state, value)."""
+    """A column from an ordered fold per key: step(state, row) -> (state, value).
+
+    Each state follows from the one before, so a key's rows pass through one task in their order; only the state is held.
+    More keys (a device, a warehouse) are the way to more tasks.
+    """
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields), f"`{name}` {kind}"])
     keys = list(keys)
 
@@ -116,6 +142,11 @@ def backoff_seconds(attempt: Column, first: float = 1.0, factor: float = 2.0, mo
     return F.least(F.lit(first) * F.pow(F.lit(factor), attempt), F.lit(most))
 
 
+def jittered_backoff(attempt: Column, first: float = 1.0, factor: float = 2.0, jitter: float = 0.1, most: float = 60.0) -> Column:
+    """Delay before reconnection number attempt (from 0): each is the last one times factor plus its share of jitter, up to most."""
+    return F.least(F.lit(first) * F.pow(F.lit(factor + jitter), attempt), F.lit(most))
+
+
 def classified(error: Column, classes: dict[str, str]) -> Column:
     """The class of an error type; unknown ones are fatal."""
     return F.coalesce(F.create_map(*(F.lit(x) for kv in classes.items() for x in kv))[error], F.lit("fatal"))
@@ -152,8 +183,9 @@ def random_sample(df: DataFrame, rate: float, seed: int = 0) -> DataFrame:
     return df.sample(rate, seed)
 
 
-def reservoir_sample(df: DataFrame, k: int, seed: int = 0) -> DataFrame:
-    return df.orderBy(F.rand(seed)).limit(k)
+def reservoir_sample(df: DataFrame, k: int, columns: Sequence[str], seed: int = 0) -> DataFrame:
+    """k rows, all equally likely, and the same ones at every run: those of the least hashes of these columns."""
+    return df.orderBy(F.md5(F.concat_ws("|", F.lit(str(seed)), *(F.col(c).cast("string") for c in columns))), *columns).limit(k)
 
 
 def sampling_rate(level: Column, kind: Column, rules: dict[tuple[str, str | None], float], default: float) -> Column:

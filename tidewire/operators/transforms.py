@@ -30,6 +30,10 @@ class Registry:
         fns = self._by.setdefault((stage, doc_type), [])
         fns.insert(len(fns) if position is None else min(position, len(fns)), fn)
 
+    def registered(self, doc_type: str, *stages: str) -> bool:
+        """Whether a document type has any transformation at these stages."""
+        return any(self._by.get((stage, doc_type)) for stage in stages or STAGES)
+
     def clear(self, stage: str | None = None, doc_type: str | None = None) -> None:
         for key in [k for k in self._by if stage in (None, k[0]) and doc_type in (None, k[1])]:
             del self._by[key]
@@ -78,8 +82,9 @@ def without_fields(paths: Sequence[str], now: datetime | None = None) -> Transfo
     return remove_fields
 
 
-def with_prefix(prefix: str, fields: Sequence[str] | None = None) -> Transform:
-    """Rename fields to prefix_name: all at every struct level, or the listed original paths; names with _ first stay as they are."""
+def with_prefix(prefix: str, fields: Sequence[str] | None = None, now: datetime | None = None) -> Transform:
+    """Rename fields to prefix_name: all at every struct level, or the listed original paths; names with _ first stay as they are.
+    _security_metadata then tells of the prefix, in place of what it told before."""
 
     def rename(kind: StructType, value: Column | None, path: str) -> list[Column]:
         out = []
@@ -95,7 +100,10 @@ def with_prefix(prefix: str, fields: Sequence[str] | None = None) -> Transform:
         return out
 
     def add_prefix(df: DataFrame) -> DataFrame:
-        return df.select(*rename(df.schema, None, ""))
+        at = F.lit(now) if now else F.current_timestamp()
+        listed = F.lit(None).cast("array<string>") if fields is None else F.array(*map(F.lit, fields))
+        about = F.struct(F.lit(prefix).alias("field_prefix"), at.alias("prefixed_at"), listed.alias("prefixed_fields"))
+        return df.select(*rename(df.schema, None, "")).withColumn("_security_metadata", about)
 
     return add_prefix
 
@@ -108,6 +116,32 @@ def with_processing_metadata(now: datetime | None = None, version: str = "1.0")
     return add_metadata
 
 
+#: What the default transformations take out of transactions, and which of their fields they give the prefix.
+PRIVATE = ("customer_email", "customer_phone", "customer.address", "payment.card_number", "payment.cvv", "shipping.address")
+LOCAL = ("product_id", "warehouse_id", "location", "shelf")
+
+
+def default_registry(warehouse: str, now: datetime | None = None) -> Registry:
+    """The transformations that documents are published with: a warehouse's prefix, no private fields, processing metadata."""
+    registry, prefix = Registry(), f"wh_{warehouse}_"
+    registry.register("pre_publish", "inventory", with_prefix(prefix, now=now))
+    registry.register("pre_publish", "transaction", without_fields(PRIVATE, now))
+    registry.register("pre_publish", "transaction", with_prefix(prefix, LOCAL, now))
+    for kind in ("inventory", "transaction"):
+        registry.register("pre_publish", kind, with_processing_metadata(now))
+    return registry
+
+
+def not_cancelled(df: DataFrame, status: str = "status") -> DataFrame:
+    """Without cancelled events, however the word is written; those without a status stay."""
+    return df.where(F.col(status).isNull() | ~F.upper(F.trim(status)).isin("CANCELLED", "CANCELED"))
+
+
+def normalised_numbers(df: DataFrame, columns: Sequence[str], kind: str = "double") -> DataFrame:
+    """Columns as numbers, text with spaces around and thousands' commas too; what is no number becomes null."""
+    return df.withColumns({c: F.translate(F.trim(F.col(c).cast("string")), ",", "").try_cast(kind) for c in columns})
+
+
 def watch_filter(df: DataFrame, pipeline: Sequence[dict]) -> DataFrame:
     """A list of $match, $project, $unset, $addFields, $set and $replaceRoot stages as DataFrame operations."""
 

@@ -6,9 +6,13 @@ from collections import deque
 from collections.abc import Callable
 from dataclasses import dataclass
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: The field that holds a document's version.
+VERSION = "_schema_version"
 RFC3339 = r"^\d{4}-(0[1-9]|1[0-2])-(0[1-9]|[12]\d|3[01])T([01]\d|2[0-3]):[0-5]\d:[0-5]\d(\.\d+)?(Z|[+-]([01]\d|2[0-3]):[0-5]\d)$"
 
 
@@ -84,13 +88,23 @@ def errors(json: Column, rules: tuple[FieldRule, ...], strict_times: bool = True
 
 
 def _broken(doc: Column, rules: tuple[FieldRule, ...], strict_times: bool) -> Column:
+    fields = {r.name: F.try_variant_get(doc, f"$.{r.name}", "variant") for r in rules}
+    return F.when(_is_object(doc), _broken_rules(fields, rules, strict_times)).otherwise(F.array(F.lit("document: object")))
+
+
+def _is_object(doc: Column) -> Column:
+    return F.coalesce(F.schema_of_variant(doc).startswith("OBJECT"), F.lit(False))
+
+
+def _broken_rules(fields: dict[str, Column], rules: tuple[FieldRule, ...], strict_times: bool = True) -> Column:
+    """Broken rules of a document's fields, each a variant that is null where the document lacks it."""
     found = []
     for r in rules:
-        value = F.try_variant_get(doc, f"$.{r.name}", "variant")
+        value = fields[r.name]
         kind = F.schema_of_variant(value)
         here = value.isNotNull()
-        text = F.try_variant_get(doc, f"$.{r.name}", "string")
-        number = F.try_variant_get(doc, f"$.{r.name}", "double")
+        text = F.try_variant_get(value, "$", "string")
+        number = F.try_variant_get(value, "$", "double")
         if r.required:
             found.append(F.when(value.isNull(), F.lit(f"{r.name}: required")))
         if r.kind == "integer":
@@ -105,8 +119,41 @@ def _broken(doc: Column, rules: tuple[FieldRule, ...], strict_times: bool) -> Co
         if r.date_time and strict_times:
             real = text.rlike(RFC3339) & F.try_to_timestamp(F.substring(text, 1, 19), F.lit("yyyy-MM-dd'T'HH:mm:ss")).isNotNull()
             found.append(F.when((kind == "STRING") & ~F.coalesce(real, F.lit(False)), F.lit(f"{r.name}: date-time")))
-    is_object = F.schema_of_variant(doc).startswith("OBJECT")
-    return F.when(F.coalesce(is_object, F.lit(False)), F.array_compact(F.array(*found))).otherwise(F.array(F.lit("document: object")))
+    return F.array_compact(F.array(*found))
+
+
+def _with_fields(df: DataFrame, json: str, names: set[str]) -> tuple[DataFrame, dict[str, Column]]:
+    """df with each document parsed once and each field taken out of it once; they stand in projections of their own."""
+    names = sorted(names)
+    df = df.withColumn("_doc", F.try_parse_json(json))
+    df = df.withColumns({f"_field{k}": F.try_variant_get("_doc", f"$.{n}", "variant") for k, n in enumerate(names)})
+    return df, {n: F.col(f"_field{k}") for k, n in enumerate(names)}
+
+
+def with_broken(df: DataFrame, json: str, rules: tuple[FieldRule, ...], out: str = "errors") -> DataFrame:
+    """df with the broken rules of the JSON documents in a column, as errors() gives them."""
+    parsed, fields = _with_fields(df, json, {r.name for r in rules})
+    return parsed.select(*df.columns, F.when(_is_object(F.col("_doc")), _broken_rules(fields, rules)).otherwise(F.array(F.lit("document: object"))).alias(out))
+
+
+def validated(df: DataFrame, json: str, doc_type: Column, contracts: Contracts | None = None, out: str = "errors") -> DataFrame:
+    """df with the broken rules of each document by the contract of its own type and version in a column.
+
+    A document whose _schema_version is missing, null or empty is read by the latest contract; one with a version that has none
+    breaks 'Invalid schema version for <type>: <version>'.
+    """
+    contracts = contracts or Contracts()
+    kinds = sorted({t for t, _ in contracts.contracts})
+    parsed, fields = _with_fields(df, json, {r.name for rules in contracts.contracts.values() for r in rules} | {VERSION})
+    version = F.nullif(F.try_variant_get(fields[VERSION], "$", "string"), F.lit(""))
+    out_column = F.array(F.concat(F.lit("unknown document type: "), doc_type))
+    for kind in kinds:
+        own = F.coalesce(version, F.lit(contracts.latest(kind)))
+        # The version chooses the contract, so its own rule is met.
+        each = [(v, _broken_rules(fields, tuple(r for r in contracts.rules(kind, v) if r.name != VERSION))) for v in contracts.versions(kind)]
+        unknown = F.array(F.concat(F.lit(f"Invalid schema version for {kind}: "), own))
+        out_column = F.when(doc_type == kind, reduce(lambda rest, e, own=own: F.when(own == e[0], e[1]).otherwise(rest), reversed(each), unknown)).otherwise(out_column)
+    return parsed.select(*df.columns, F.when(_is_object(F.col("_doc")), out_column).otherwise(F.array(F.lit("document: object"))).alias(out))
 
 
 class Migrations:
@@ -131,14 +178,30 @@ class Migrations:
                     todo.append((b, [*steps, (a, b)]))
         raise ValueError(f"no migration of {doc_type} from {old} to {new}")
 
-    def apply(self, df: DataFrame, doc_type: str, new: str, versions: list[str], column: str = "_schema_version") -> DataFrame:
-        """Rows of each version migrate apart and meet again by name; a missing version counts as v1."""
-        df = df.withColumn(column, F.coalesce(F.col(column), F.lit("v1")))
-        out = None
-        for old in versions:
+    def versions(self, doc_type: str) -> list[str]:
+        """Versions that some migration starts from or leads to."""
+        return sorted({v for edge in self._edges.get(doc_type, {}) for v in edge}, key=number_of)
+
+    def apply(self, df: DataFrame, doc_type: str, new: str, versions: list[str] | None = None, column: str = VERSION) -> DataFrame:
+        """Rows of each version (by default all that migrations know) migrate apart and meet again by name; a missing or empty version counts as v1.
+
+        No row is lost: those of other versions, or without a path, keep what they have and say so in _migration_error.
+        """
+        df = df.withColumn(column, F.coalesce(F.nullif(F.col(column).cast("string"), F.lit("")), F.lit("v1")))
+        none = F.lit(None).cast("string")
+        out = df.where(F.col(column) == new).withColumn("_migration_error", none)
+        done = [new]
+        for old in versions if versions is not None else self.versions(doc_type):
+            if old == new:
+                continue
+            try:
+                steps = self.path(doc_type, old, new)
+            except ValueError:
+                continue
             part = df.where(F.col(column) == old)
-            for step in self.path(doc_type, old, new):
+            for step in steps:
                 part = self._edges[doc_type][step](part)
-            part = part.withColumn(column, F.lit(new))
-            out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-        return df.limit(0) if out is None else out
+            out = out.unionByName(part.withColumn(column, F.lit(new)).withColumn("_migration_error", none), allowMissingColumns=True)
+            done.append(old)
+        lost = F.concat(F.lit(f"no migration of {doc_type} from "), F.col(column), F.lit(f" to {new}"))
+        return out.unionByName(df.where(~F.col(column).isin(done)).withColumn("_migration_error", lost), allowMissingColumns=True)

@@ -1,18 +1,28 @@
-"""The change-data plan: events are deduplicated, validated, transformed, enveloped and routed; invalid ones are set aside."""
+"""The change-data plan: events are deduplicated, transformed, migrated, validated, protected, enveloped and routed; invalid ones are set aside.
+
+The order: deduplication, transformations before validation, migration, those after it, validation of each document by its own
+version, transformations and protection before publishing, the envelope. What is published is the document so made.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from dataclasses import dataclass, field
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tidewire.functions.serialization import serialized, wall_time
+from tidewire.functions.protection import Protector
+from tidewire.functions.serialization import JSON_OPTIONS, iso_time, serialized
 from tidewire.operators.keyed import fresh
-from tidewire.operators.validation import Contracts, doc_type_of, errors
+from tidewire.operators.transforms import Registry
+from tidewire.operators.validation import VERSION, Contracts, Migrations, doc_type_of, validated
 
 EVENT = ("resume_token", "collection", "operation_type", "document_key", "cluster_time", "full_document")
+#: Where an event's other columns wait while its document is transformed.
+HELD = "_change_event"
 
 
 def dedup_key(collection: Column, key: Column, operation: Column) -> Column:
@@ -31,35 +41,126 @@ def looked_up(events: DataFrame, current: DataFrame) -> DataFrame:
     return joined.withColumn("full_document", F.coalesce("full_document", F.when(F.col("operation_type") == "update", F.col("_doc")))).drop("_k", "_doc")
 
 
-def with_errors(events: DataFrame, contracts: Contracts | None = None) -> DataFrame:
-    """errors: broken rules of inserted and updated documents; other operations are published unread."""
-    contracts = contracts or Contracts()
-    # A document without a version is read as version 1.
-    body = F.col("full_document")
-    given = F.get_json_object(body, "$._schema_version")
-    filled = F.when(given.isNull() & body.startswith("{"), F.regexp_replace(body, r"^\{\s*", '{"_schema_version":"v1",')).otherwise(body)
-    filled = F.regexp_replace(filled, r",\}$", "}")
-    found = F.when(doc_type_of(F.col("collection")) == "inventory", errors(filled, contracts.rules("inventory"))).otherwise(errors(filled, contracts.rules("transaction")))
-    checked = F.col("operation_type").isin("insert", "update")
-    return events.withColumn("errors", F.when(checked, found).otherwise(F.array().cast("array<string>")))
+@dataclass
+class Plan:
+    """What is done to documents; by default they are validated and published as they are.
+
+    protectors: by document type. schemas: of the documents of a type, for their transformation; without one it is taken
+    from the documents themselves, which a stream can't.
+    """
+
+    registry: Registry = field(default_factory=Registry)
+    migrations: Migrations = field(default_factory=Migrations)
+    contracts: Contracts = field(default_factory=Contracts)
+    protectors: dict[str, Protector] = field(default_factory=dict)
+    schemas: dict[str, StructType | str] = field(default_factory=dict)
+
+    def types(self) -> list[str]:
+        return sorted({t for t, _ in self.contracts.contracts})
+
+    def before_publishing(self, doc_type: str) -> list[Callable[[DataFrame], DataFrame]]:
+        steps: list[Callable[[DataFrame], DataFrame]] = [lambda df: self.registry.apply(df, "pre_publish", doc_type)]
+        if (p := self.protectors.get(doc_type)) is not None:
+            steps.append(Protector(p.rules, p.key, [*p.keep, HELD]))
+        return steps
+
+    def before_validation(self, doc_type: str) -> list[Callable[[DataFrame], DataFrame]]:
+        migrate = [lambda df: self.migrations.apply(df, doc_type, self.contracts.latest(doc_type))] if self.migrations.versions(doc_type) else []
+        return [lambda df: self.registry.apply(df, "pre_validation", doc_type), *migrate, lambda df: self.registry.apply(df, "post_validation", doc_type)]
+
+
+def has_document(operation: Column, body: Column) -> Column:
+    """Documents of inserts and updates are read; other operations are published as they are."""
+    return operation.isin("insert", "update") & body.isNotNull()
+
+
+def schema_of(events: DataFrame, body: str = "full_document") -> StructType:
+    """The schema that all documents of a batch have in common; fields of several types are variants."""
+    if events.isStreaming:
+        raise ValueError("a stream's documents need a schema to be transformed")
+    found = events.agg(F.schema_of_variant_agg(F.try_parse_json(body))).first()[0]
+    if not found.startswith("OBJECT<"):
+        return StructType()
+    return StructType.fromDDL("doc " + found.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING"))["doc"].dataType
+
+
+def reshaped(events: DataFrame, schema: StructType | str | None, steps: Sequence[Callable[[DataFrame], DataFrame]]) -> DataFrame:
+    """events with their documents' fields sent through the steps as columns, and made documents again. Events without a JSON object pass by.
+
+    A document that a migration leaves behind keeps its reason in _migration_error.
+    """
+    is_object = F.coalesce(F.schema_of_variant(F.try_parse_json("full_document")).startswith("OBJECT"), F.lit(False))
+    fine = has_document(F.col("operation_type"), F.col("full_document")) & is_object
+    inside = events.where(fine)
+    schema = schema if schema is not None else schema_of(inside)
+    if isinstance(schema, str):
+        schema = StructType.fromDDL(schema)
+    if VERSION not in schema.names:
+        schema = StructType([*schema.fields]).add(VERSION, "string")
+    held = [c for c in events.columns if c != "full_document"]
+    documents = inside.select(F.struct(*held).alias(HELD), F.from_json("full_document", schema).alias("_doc")).select(HELD, "_doc.*")
+    for step in steps:
+        documents = step(documents)
+    own = [F.col(f"`{c}`") for c in documents.columns if c not in (HELD, "_migration_error")]
+    why = F.col("_migration_error") if "_migration_error" in documents.columns else F.lit(None).cast("string")
+    made = documents.select(*(F.col(f"{HELD}.{c}").alias(c) for c in held), F.to_json(F.struct(*own), JSON_OPTIONS).alias("full_document"), why.alias("_migration_error"))
+    return made.unionByName(events.where(~F.coalesce(fine, F.lit(False))).withColumn("_migration_error", F.lit(None).cast("string")))
+
+
+def by_type(events: DataFrame, plan: Plan, steps_of: Callable[[str], list], wanted: Callable[[str], bool]) -> DataFrame:
+    """events with the documents of each type that has something to be done sent through its steps."""
+    kinds = [t for t in plan.types() if wanted(t)]
+    kind = doc_type_of(F.col("collection"))
+    rest = events.where(~F.coalesce(kind.isin(kinds), F.lit(False))) if kinds else events
+    parts = [reshaped(events.where(kind == t), plan.schemas.get(t), steps_of(t)) for t in kinds]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts, rest)
+
+
+def checked(events: DataFrame, plan: Plan | None = None) -> DataFrame:
+    """events after deduplication and migration, with errors: broken rules of inserted and updated documents."""
+    plan = plan or Plan()
+    events = by_type(deduplicated(events), plan, plan.before_validation, lambda t: bool(plan.migrations.versions(t)) or plan.registry.registered(t, "pre_validation", "post_validation"))
+    if "_migration_error" not in events.columns:
+        events = events.withColumn("_migration_error", F.lit(None).cast("string"))
+    found = validated(events, "full_document", doc_type_of(F.col("collection")), plan.contracts, "_found")
+    read = has_document(F.col("operation_type"), F.col("full_document"))
+    nothing = F.array().cast("array<string>")
+    errors = F.when(F.col("_migration_error").isNotNull(), F.array("_migration_error")).when(read, F.col("_found")).otherwise(nothing)
+    return found.select(*(c for c in events.columns if c != "_migration_error"), errors.alias("errors"))
+
+
+def published(fine: DataFrame, plan: Plan | None = None) -> DataFrame:
+    """Valid events with their documents as they are published."""
+    plan = plan or Plan()
+    out = by_type(fine, plan, plan.before_publishing, lambda t: t in plan.protectors or plan.registry.registered(t, "pre_publish"))
+    return out.select(*fine.columns)
 
 
 def enveloped(events: DataFrame, topics: dict[str, str], form: str = "json") -> DataFrame:
-    """topic, value, attributes. The published document is the transformed one."""
+    """topic, value, attributes. Consumers find the change under data, its document as an object, by the names that change streams use."""
     topic = reduce(lambda c, kv: c.when(F.col("collection") == kv[0], kv[1]), topics.items(), F.when(F.lit(False), ""))
     seconds = F.unix_timestamp("cluster_time")
-    data = F.struct(*(F.col(c) for c in EVENT if c in events.columns), wall_time(seconds).alias("wallTime"))
+    key = F.when(F.col("document_key").isNotNull(), F.struct(F.col("document_key").alias("_id")))
+    data = F.struct(F.col("resume_token").alias("_id"), F.col("operation_type").alias("operationType"), key.alias("documentKey"), seconds.alias("clusterTime"), F.try_parse_json("full_document").alias("fullDocument"), iso_time(F.timestamp_seconds(seconds)).alias("wallTime"))
     body = F.struct(F.col("collection"), F.col("operation_type").alias("operation"), seconds.alias("timestamp"), data.alias("data"))
-    version = F.coalesce(F.get_json_object("full_document", "$._schema_version"), F.lit("v1"))
+    version = F.coalesce(F.nullif(F.get_json_object("full_document", f"$.{VERSION}"), F.lit("")), F.lit("v1"))
     attributes = F.create_map(*(x for k, v in (("collection", F.col("collection")), ("operation", F.col("operation_type")), ("schema_version", version), ("serialization_format", F.lit(form))) for x in (F.lit(k), v)))
     return events.select(topic.alias("topic"), serialized(body, form).alias("value"), attributes.alias("attributes"))
 
 
-def pipeline(events: DataFrame, topics: dict[str, str], form: str = "json") -> tuple[DataFrame, DataFrame]:
-    """(messages, dead letters)"""
-    checked = with_errors(deduplicated(events))
-    fine, bad = checked.where(F.size("errors") == 0), checked.where(F.size("errors") > 0)
-    return enveloped(fine.drop("errors"), topics, form), bad
+def split(rows: DataFrame, topics: dict[str, str], form: str = "json", plan: Plan | None = None) -> tuple[DataFrame, DataFrame]:
+    """(messages, dead letters) of checked rows."""
+    fine, bad = rows.where(F.size("errors") == 0), rows.where(F.size("errors") > 0)
+    return enveloped(published(fine.drop("errors"), plan), topics, form), bad
+
+
+def pipeline(events: DataFrame, topics: dict[str, str], form: str = "json", plan: Plan | None = None, store: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(messages, dead letters). store: a shared folder; checked rows are written there once, for whoever wants both."""
+    rows = checked(events, plan)
+    if store is not None:
+        rows.write.parquet(store)
+        rows = events.sparkSession.read.schema(rows.schema).parquet(store)
+    return split(rows, topics, form, plan)
 
 
 def heartbeat(events: DataFrame, now: Column) -> DataFrame:

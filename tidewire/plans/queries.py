@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -12,10 +13,10 @@ from tidewire.functions import serialization as S
 from tidewire.operators import inventory as I
 from tidewire.operators import keyed as K
 from tidewire.operators import transforms as T
-from tidewire.operators.validation import CONTRACTS, errors
+from tidewire.operators.validation import CONTRACTS, Contracts, FieldRule, Migrations, with_broken
 from tidewire.plans import cdc
 from tidewire.session import ship
-from tidewire.sources import changes
+from tidewire.sources import changes, sinks
 from tidewire.streaming.stateful import sessions, windowed_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -51,11 +52,113 @@ er as (select *, case when operation_type = 'delete' then 0 when collection = 'i
 """
 
 
-@query(EVENTS + "select case collection when 'inventory' then 'inventory-changes' else 'transaction-changes' end as topic, operation_type as operation, 'v1' as schema_version, count(*) as n from er where bad = 0 group by all")
+#: The envelope of a row (doc: its document's JSON text, null for none), in SQL.
+VALUE = """'{"collection":"' || collection || '","operation":"' || operation_type || '","timestamp":' || sec || ',"data":{"_id":"' || lpad(cast(event_id as varchar), 12, '0') || '","operationType":"' || operation_type ||
+  '","documentKey":{"_id":"' || user_id || '"},"clusterTime":' || sec || coalesce(',"fullDocument":' || doc, '') || ',"wallTime":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S+00:00') || '"}}'"""
+#: Valid events, with the parts of their documents.
+VALID = EVENTS + """, ok as (select *, cast(floor(epoch(ts)) as bigint) as sec, 'P' || user_id % 50 as p, 'W' || user_id % 5 as w, strftime(ts, '%Y-%m-%dT%H:%M:%SZ') as stamp, collection = 'inventory' as inv from er where bad = 0)
+"""
+PLAIN = """case when operation_type = 'delete' then null when inv then '{"_schema_version":"v1","last_updated":"' || stamp || '","product_id":"' || p || '","quantity":' || quantity || ',"warehouse_id":"' || w || '"}'
+  else '{"_schema_version":"v1","product_id":"' || p || '","quantity":' || quantity || ',"timestamp":"' || stamp || '","transaction_id":"T' || event_id || '","transaction_type":"' || kind || '","warehouse_id":"' || w || '"}' end"""
+MESSAGE = "select case collection when 'inventory' then 'inventory-changes' else 'transaction-changes' end as topic, operation_type as operation, collection, 'v1' as schema_version, 'json' as serialization_format, "
+
+
+def shown(messages: DataFrame) -> DataFrame:
+    """Messages with their bytes as text and each attribute in a column."""
+    names = ("operation", "collection", "schema_version", "serialization_format")
+    return messages.select("topic", *(F.col("attributes")[n].alias(n) for n in names), F.decode("value", "UTF-8").alias("value"))
+
+
+@query(VALID + f", m as (select *, {PLAIN} as doc from ok) " + MESSAGE + f"{VALUE} as value from m")
 def cdc_pipeline(spark, sf):
-    """Flagship: deduplicate, validate, envelope, route; messages by topic and operation."""
+    """Flagship: deduplicate, validate, envelope, route; every message with its body and attributes."""
     messages, _ = cdc.pipeline(changes.from_events(spark, sf), TOPICS)
-    return messages.groupBy("topic", F.col("attributes.operation").alias("operation"), F.col("attributes.schema_version").alias("schema_version")).agg(F.count("*").alias("n"))
+    return shown(messages)
+
+
+AT = datetime(2024, 6, 1, tzinfo=UTC)
+SEEN = "2024-06-01T00:00:00.000000+00:00"
+
+
+@query(VALID + f""", m as (select *, case when operation_type = 'delete' then null when inv then
+  '{{"_processing_metadata":{{"processed_at":"{SEEN}","processor_version":"1.0"}},"_protected":{{"wh_W9__product_id":"tokenize"}},"_schema_version":"v1","_security_metadata":{{"field_prefix":"wh_W9_","prefixed_at":"{SEEN}"}},"wh_W9__last_updated":"' || stamp ||
+  '","wh_W9__product_id":"TOK_' || left(to_base64(unhex(sha256('wh_W9__product_id' || p))), 10) || '","wh_W9__quantity":' || quantity || ',"wh_W9__warehouse_id":"' || w || '"}}'
+  else '{{"_processing_metadata":{{"processed_at":"{SEEN}","processor_version":"1.0"}},"_schema_version":"v1","_security_metadata":{{"field_prefix":"wh_W9_","prefixed_at":"{SEEN}","prefixed_fields":["product_id","warehouse_id","location","shelf"]}},"quantity":' || quantity ||
+  ',"timestamp":"' || stamp || '","transaction_id":"T' || event_id || '","transaction_type":"' || kind || '","wh_W9__product_id":"' || p || '","wh_W9__warehouse_id":"' || w || '"}}' end as doc from ok) """ + MESSAGE + f"{VALUE} as value from m")
+def published_documents(spark, sf):
+    """The plan with the transformations that documents are published with, and a rule that protects inventory."""
+    plan = cdc.Plan(T.default_registry("W9", AT), protectors={"inventory": P.Protector([P.Rule("wh_W9__product_id", "tokenize")])})
+    messages, _ = cdc.pipeline(changes.from_events(spark, sf), TOPICS, plan=plan)
+    return shown(messages)
+
+
+@query(VALID + """select lpad(cast(event_id as varchar), 12, '0') as resume_token, '{"email":"so***********","home_phone":"********' || lpad(cast(user_id % 10000 as varchar), 4, '0') || '","note":"[NUMBER] Main St [UNIT], [POSTAL]"}' as customer,
+  'XXXXXXXXXXXX' || lpad(cast(event_id % 10000 as varchar), 4, '0') as card, false as has_cvv from ok where not inv and operation_type <> 'delete'""")
+def protected_documents(spark, sf):
+    """The plan with the rules for personal data, on documents that have some in a struct and in a map."""
+    def with_people(df):
+        customer = F.struct(F.lit("someone@x.org").alias("email"), F.concat(F.lit("55500000"), F.lpad((F.col("_change_event.document_key").cast("long") % 10000).cast("string"), 4, "0")).alias("home_phone"), F.lit("12 Main St Suite B, 90210").alias("address_note"))
+        return df.withColumn("customer", customer).withColumn("payment", F.create_map(F.lit("card_number"), F.concat(F.lit("411111111111"), F.substring(F.col("_change_event.resume_token"), -4, 4)), F.lit("cvv"), F.lit("123")))
+
+    registry = T.Registry()
+    registry.register("pre_publish", "transaction", with_people)
+    plan = cdc.Plan(registry, protectors={"transaction": P.Protector(P.PII_RULES)})
+    messages, _ = cdc.pipeline(changes.from_events(spark, sf).where("collection = 'transactions'"), TOPICS, plan=plan)
+    doc = lambda path: F.get_json_object(F.decode("value", "UTF-8"), "$.data" + path)
+    customer = F.struct(doc(".fullDocument.customer.email").alias("email"), doc(".fullDocument.customer.home_phone").alias("home_phone"), doc(".fullDocument.customer.address_note").alias("note"))
+    found = messages.where("attributes.operation <> 'delete'").select(doc("._id").alias("resume_token"), F.to_json(customer).alias("customer"), doc(".fullDocument.payment.card_number").alias("card"), doc(".fullDocument.payment.cvv").isNotNull().alias("has_cvv"))
+    return found
+
+
+@query(EVENTS + """, vs as (select *, case event_id % 11 when 0 then 'v999' when 3 then 'v2' else 'v1' end as version from dd where operation_type <> 'delete')
+select lpad(cast(event_id as varchar), 12, '0') as resume_token, case when version = 'v999' then 'no migration of ' || case collection when 'inventory' then 'inventory' else 'transaction' end || ' from v999 to v2'
+  when collection = 'inventory' then case when quantity < 0 then 'quantity: minimum' end when kind = 'gift' then 'transaction_type: enum' end as error,
+  case when version = 'v999' then 'v999' else 'v2' end as version, case version when 'v1' then 'migrated' when 'v2' then 'new' end as origin from vs""")
+def migrated_documents(spark, sf):
+    """Documents of three versions, one unknown: migrated to the latest contract, validated by it, or set aside with the reason."""
+    contracts = Contracts(CONTRACTS | {(t, "v2"): (*rules, FieldRule("origin", required=True)) for (t, _), rules in CONTRACTS.items()})
+    migrations = Migrations()
+    for kind in ("inventory", "transaction"):
+        migrations.register(kind, "v1", "v2", lambda d: d.withColumn("origin", F.lit("migrated")))
+    events = changes.from_events(spark, sf).where("operation_type <> 'delete'")
+    n = F.col("resume_token").cast("long") % 11
+    body = F.when(n == 0, F.replace("full_document", F.lit('"v1"'), F.lit('"v999"'))).when(n == 3, F.replace("full_document", F.lit('"v1"'), F.lit('"v2","origin":"new"'))).when(n == 5, F.replace("full_document", F.lit('"_schema_version":"v1",'), F.lit(""))).otherwise(F.col("full_document"))
+    rows = cdc.checked(events.withColumn("full_document", body), cdc.Plan(migrations=migrations, contracts=contracts))
+    return rows.select("resume_token", F.try_element_at("errors", F.lit(1)).alias("error"), F.get_json_object("full_document", "$._schema_version").alias("version"), F.get_json_object("full_document", "$.origin").alias("origin"))
+
+
+@query(EVENTS + """select lpad(cast(event_id as varchar), 12, '0') as resume_token, case event_id % 5 when 0 then case when collection = 'inventory' then 'Invalid schema version for inventory: v999' else 'Invalid schema version for transaction: v999' end
+  when 4 then 'document: object' else case when collection = 'inventory' then case when quantity < 0 then 'quantity: minimum' end when kind = 'gift' then 'transaction_type: enum' end end as error from dd where operation_type <> 'delete'""")
+def versions_of_documents(spark, sf):
+    """Each document by its own version: one unknown, one null, one missing, and what is no document."""
+    n = F.col("resume_token").cast("long") % 5
+    edited = lambda new: F.replace("full_document", F.lit('"_schema_version":"v1",'), F.lit(new))
+    body = F.when(n == 0, edited('"_schema_version":"v999",')).when(n == 1, edited('"_schema_version":null,')).when(n == 2, edited("")).when(n == 4, F.lit("[1]")).otherwise(F.col("full_document"))
+    events = changes.from_events(spark, sf).where("operation_type <> 'delete'")
+    return cdc.checked(events.withColumn("full_document", body)).select("resume_token", F.try_element_at("errors", F.lit(1)).alias("error"))
+
+
+@query(VALID + "select lpad(cast(event_id as varchar), 12, '0') as resume_token, operation_type as operation, form, sec, case when operation_type <> 'delete' then p else '' end as product, case when operation_type <> 'delete' then quantity else 0 end as quantity from ok cross join (select unnest(['json', 'msgpack']) as form)")
+def consumed_messages(spark, sf):
+    """Messages of both forms, read again by a consumer."""
+    ship(spark)
+    schema = "operation string, data struct<_id:string,clusterTime:bigint,fullDocument:struct<product_id:string,quantity:bigint>>"
+    rows = cdc.checked(changes.from_events(spark, sf))
+    out = None
+    for form in ("json", "msgpack"):
+        messages, _ = cdc.split(rows, TOPICS, form)
+        m = messages.select(S.parsed(F.col("value"), form, schema).alias("m"), F.col("attributes.serialization_format").alias("form"))
+        m = m.select(F.col("m.data._id").alias("resume_token"), F.col("m.operation").alias("operation"), "form", F.col("m.data.clusterTime").alias("sec"), F.coalesce("m.data.fullDocument.product_id", F.lit("")).alias("product"), F.coalesce("m.data.fullDocument.quantity", F.lit(0)).alias("quantity"))
+        out = m if out is None else out.union(m)
+    return out
+
+
+@query(EVENTS + """, last as (select collection, max(ts) as ts from ev group by all)
+select collection, '{"type":"heartbeat","collection":"' || collection || '","timestamp":1893456000,"status":{"is_running":true,"last_change_time":"' || strftime(ts, '%Y-%m-%dT%H:%M:%S') || case when extract(microsecond from ts) % 1000000 <> 0 then strftime(ts, '.%f') else '' end ||
+  '+00:00","time_since_last_change":' || (1893456000 - cast(floor(epoch(ts)) as bigint)) || ',"has_resume_token":true}}' as value from last""")
+def status_messages(spark, sf):
+    now = F.lit("2030-01-01").cast("timestamp")
+    return sinks.status_messages(cdc.heartbeat(changes.from_events(spark, sf), now), now).select(F.col("attributes.collection").alias("collection"), "value")
 
 
 @query(EVENTS + "select lpad(cast(event_id as varchar), 12, '0') as resume_token, case when collection = 'inventory' then 'quantity: minimum' else 'transaction_type: enum' end as error from er where bad = 1")
@@ -99,11 +202,10 @@ def remove_and_prefix(spark, sf):
 
 @query("select l_orderkey, l_linenumber, case when not (l_quantity >= 0 and l_quantity < 40) then 1 else 0 end + case when l_returnflag not in ('A', 'N') then 1 else 0 end as n_errors from (select l_orderkey, l_linenumber, l_returnflag, 40 - l_quantity - 1 as q, l_quantity from lineitem)")
 def contract_errors(spark, sf):
-    from tidewire.operators.validation import FieldRule
-
     rules = (FieldRule("flag", required=True, among=("A", "N")), FieldRule("left", "integer", True, minimum=0))
     doc = F.to_json(F.struct(F.col("l_returnflag").alias("flag"), (39 - F.col("l_quantity")).alias("left")))
-    return t(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_quantity").select("l_orderkey", "l_linenumber", F.size(errors(doc, rules)).alias("n_errors"))
+    rows = t(spark, sf, "lineitem", "l_orderkey", "l_linenumber", "l_returnflag", "l_quantity").select("l_orderkey", "l_linenumber", doc.alias("doc"))
+    return with_broken(rows, "doc", rules).select("l_orderkey", "l_linenumber", F.size("errors").alias("n_errors"))
 
 
 @query("select c_custkey, 'hash:' || to_base64(unhex(sha256('c_name' || c_name))) as hashed from customer")
@@ -166,34 +268,66 @@ def message_batches(spark, sf):
     return K.batched(t(spark, sf, "events", "event_id", "user_id"), ["user_id"], ["event_id"], 5).select("event_id", "batch_id")
 
 
-@query()
+def recursive(source: str, key: str, order: str, start: str, step: str, out: str) -> str:
+    """SQL of an ordered fold: rows of source get a number n in each key; start are the state's columns before the first, step those after row o
+    following state r, in two parts: what is computed first (|) and from it."""
+    first, _, then = step.partition("|")
+    return f"""with recursive src as ({source}), o as (select *, row_number() over (partition by {key} order by {order}) as n from src),
+r as (select {start}, * from (select *, 0 as n from (select * exclude (n) from o where n = 1))
+  union all select {then}, x.* exclude (st0, {', '.join(c.split(' as ')[-1] for c in first.split(';'))}) from (select o.*, 0 as st0, {first.replace(';', ', ')} from r join o on o.{key} = r.{key} and o.n = r.n + 1) x)
+select {out} from r where n > 0"""
+
+
+SECONDS = "select event_id, event_type, cast(floor(epoch(ts)) as double) as s from events"
+
+
+def timed(spark, sf):
+    return t(spark, sf, "events", "event_id", "event_type", "ts").select("event_id", "event_type", F.unix_timestamp(F.col("ts").cast("timestamp")).cast("double").alias("s"))
+
+
+@query(recursive(SECONDS, "event_type", "s, event_id", "5.0::double as tokens, null::double as at, false as granted", "case when r.at is null then 5.0::double else least(5.0::double, r.tokens + (o.s - r.at) * 0.001::double) end as have | case when have >= 1 then have - 1 else have end, s, have >= 1", "event_id, event_type, s, granted"))
 def token_bucket(spark, sf):
     ship(spark)
-    e = t(spark, sf, "events", "event_id", "event_type", "ts").withColumn("s", F.unix_timestamp(F.col("ts").cast("timestamp")).cast("double"))
-    return K.token_bucket(e.select("event_id", "event_type", "s"), ["event_type"], "s", 0.001, 5, ["event_id"])
+    return K.token_bucket(timed(spark, sf), ["event_type"], "s", 0.001, 5, ["event_id"])
 
 
-@query()
+@query(recursive(SECONDS, "event_type", "s, event_id", "null::double as last, false as kept", "r.last is null or o.s - r.last >= 600 as keep; r.last as was | case when keep then s else was end, keep", "event_id, event_type") + " and kept")
 def rate_limited_sample(spark, sf):
     ship(spark)
-    e = t(spark, sf, "events", "event_id", "event_type", "ts").withColumn("s", F.unix_timestamp(F.col("ts").cast("timestamp")).cast("double"))
-    return K.spaced(e.select("event_id", "event_type", "s"), ["event_type"], "s", 600.0, ["event_id"]).where("kept").select("event_id", "event_type")
+    return K.spaced(timed(spark, sf), ["event_type"], "s", 600.0, ["event_id"]).where("kept").select("event_id", "event_type")
 
 
-@query()
+@query(recursive("select event_id, event_type, cast(event_id as double) as s, value < 50 as ok from events", "event_type", "s", "'closed' as state, 0 as fails, 0.0::double as since",
+    "case when r.state = 'open' and o.s - r.since >= 20 then 'half_open' else r.state end as was; case when r.state = 'open' then 0 else r.fails end as had; r.since as before | "
+    "case when was = 'open' then 'open' when was = 'half_open' then case when not ok then 'open' when had + 1 >= 3 then 'closed' else 'half_open' end when ok or had + 1 < 3 then 'closed' else 'open' end, "
+    "case when was = 'open' then had when was = 'half_open' then case when ok and had + 1 < 3 then had + 1 else 0 end when ok or had + 1 >= 3 then 0 else had + 1 end, case when was = 'open' then before else s end", "event_id, event_type, s, ok, state"))
 def circuit_breaker_states(spark, sf):
     ship(spark)
     e = t(spark, sf, "events", "event_id", "event_type", "value").select("event_id", "event_type", F.col("event_id").cast("double").alias("s"), (F.col("value") < 50).alias("ok"))
     return K.circuit_breaker(e, ["event_type"], "s", "ok", reset=20.0)
 
 
-@query()
+@query(recursive("select event_type, cast(epoch(date_trunc('day', ts)) as bigint) as day, avg(case when value < 80 then 1.0::double else 0 end) as success_rate from events group by all", "event_type", "day", "1000.0::double as rate",
+    "r.rate as was | case when success_rate >= 0.95::double then least(5000.0::double, was * 1.1::double) when success_rate <= 0.8::double then greatest(100.0::double, was * 0.8::double) else was end", "event_type, day, success_rate, rate"))
 def adaptive_rates(spark, sf):
     ship(spark)
     e = t(spark, sf, "events", "event_type", "ts", "value").withColumn("h", F.date_trunc("day", "ts"))
     return K.adaptive_rate(K.success_metrics(e, ["event_type", "h"], F.col("value") < 80).select("event_type", F.unix_timestamp(F.col("h").cast("timestamp")).alias("day"), "success_rate"), ["event_type"], ["day"], "success_rate")
 
 
+@query(recursive(SECONDS, "event_type", "s, event_id", "0::bigint as batch_id, 0 as count, 0.0::double as first",
+    "r.count > 0 and (r.count >= 8 or o.s - r.first >= 3600) as closed; r.batch_id as b; r.count as c; r.first as f | case when closed then b + 1 else b end, case when closed then 1 else c + 1 end, case when closed or c = 0 then s else f end", "event_id, batch_id"))
+def timed_batches(spark, sf):
+    """Batches of eight messages, or of what an hour brings."""
+    ship(spark)
+    return K.batched_in_time(timed(spark, sf), ["event_type"], "s", 8, 3600.0, ["event_id"]).select("event_id", "batch_id")
+
+
+@query("select n as attempt, least(pow(2.5, n), 60.0) as delay from range(12) t(n)")
+def reconnect_delays(spark, sf):
+    return spark.range(12).select(F.col("id").alias("attempt"), K.jittered_backoff(F.col("id"), 1.0, 2.0, 0.5, 60.0).alias("delay"))
+
+
 @query("select event_type, count(*) as operations, cast(sum(case when value < 80 then 1 else 0 end) as bigint) as ok from events group by all")
 def success_counts(spark, sf):
     m = K.success_metrics(t(spark, sf, "events"), ["event_type"], F.col("value") < 80)
@@ -235,7 +369,21 @@ def sampling_rules(spark, sf):
 
 @query("select event_id, ts from events order by ts desc, event_id desc limit 100")
 def newest_rows(spark, sf):
-    return t(spark, sf, "events", "event_id", "ts").orderBy(F.desc("ts"), F.desc("event_id")).limit(100)
+    return K.newest(t(spark, sf, "events", "event_id", "ts"), "ts", 100, "event_id")
+
+
+@query("select event_id, event_type from events order by md5('7|' || event_id || '|' || event_type), event_id limit 50")
+def reservoir(spark, sf):
+    return K.reservoir_sample(t(spark, sf, "events", "event_id", "event_type"), 50, ["event_id", "event_type"], 7)
+
+
+@query("select o_orderkey, o_orderstatus, cast(round(o_totalprice) as bigint) as price from orders where o_orderstatus <> 'F'")
+def not_cancelled(spark, sf):
+    """Cancelled events are left out, numbers are read from text with commas."""
+    o = t(spark, sf, "orders", "o_orderkey", "o_orderstatus", "o_totalprice")
+    o = o.withColumn("status", F.when(F.col("o_orderstatus") == "F", " Cancelled ").when(F.col("o_orderstatus") == "O", "open"))
+    o = T.not_cancelled(o.withColumn("price", F.concat(F.lit(" "), F.format_number(F.round("o_totalprice"), 0))))
+    return T.normalised_numbers(o, ["price"], "bigint").select("o_orderkey", "o_orderstatus", "price")
 
 
 MOVES = "select l_orderkey, l_linenumber, l_suppkey as wh, l_partkey as sku, l_shipdate as ts, l_returnflag, cast(l_quantity as bigint) as q, case l_returnflag when 'N' then -cast(l_quantity as bigint) else cast(l_quantity as bigint) end as impact from lineitem"
@@ -279,7 +427,59 @@ def drill_down(spark, sf):
 
 @query(f"with m as ({MOVES}) select sku, cast(sum(impact) as bigint) as stock, count(distinct wh) as warehouses from m group by all")
 def cross_warehouse(spark, sf):
-    return moves(spark, sf).groupBy("sku").agg(F.sum("impact").alias("stock"), F.count_distinct("wh").alias("warehouses"))
+    return I.across_warehouses(moves(spark, sf), "wh", "sku", "impact")
+
+
+@query(f"""with m as ({MOVES}), d as (select wh, sku, datediff('day', date '1970-01-01', cast(ts as date)) as day, impact from m), k as (select wh, sku, max(day) - min(day) + 1 as days, sum(impact) as change from d group by all)
+select wh, sku, cast(days as bigint) as days, cast(change as bigint) as change, greatest(-change / days, 0.0::double) as per_day from k""")
+def depletion_rates(spark, sf):
+    m = moves(spark, sf).select("wh", "sku", F.unix_date(F.to_date("ts")).alias("day"), "impact")
+    return I.depletion(m, ["wh", "sku"], "day", "impact")
+
+
+@query(f"with m as ({MOVES}), s as (select wh, sku, sum(impact) as stock, max(ts) as last_change, count(*) as transactions from m group by all) select wh, sku, cast(stock as bigint) as stock, transactions, last_change from s where epoch(timestamp '1998-06-01') - epoch(last_change) <= 86400 * 365")
+def unexpired_state(spark, sf):
+    s = I.current_state(moves(spark, sf), ["wh", "sku"], "ts", "impact")
+    return I.unexpired(s, "last_change", F.lit("1998-06-01").cast("timestamp"), 86400 * 365)
+
+
+@query("""with u as (select user_id, ts, max(cast(floor(value) as bigint)) as threshold from events where event_type = 'purchase' group by all)
+select e.event_id, coalesce(u.threshold, -1) as threshold from (select * from events where event_type = 'view') e asof left join u on e.user_id = u.user_id and e.ts >= u.ts""")
+def threshold_updates(spark, sf):
+    """Each view with the threshold that its user's last purchase set."""
+    e = t(spark, sf, "events", "event_id", "event_type", "user_id", "ts", "value")
+    updates = e.where("event_type = 'purchase'").groupBy("user_id", "ts").agg(F.max(F.floor("value")).alias("threshold"))
+    return I.current_thresholds(e.where("event_type = 'view'").select("event_id", "user_id", "ts"), updates, ["user_id"], "ts").select("event_id", F.coalesce("threshold", F.lit(-1)).alias("threshold"))
+
+
+@query(f"""with m as ({MOVES}), d as (select sku, datediff('day', date '1970-01-01', cast(ts as date)) as day, cast(sum(q) as bigint) as sold from m where l_returnflag = 'N' group by all),
+v as (select sku, day, sum(sold) over (partition by sku order by day range between 29 preceding and current row) / 30.0::double as per_day from d)
+select sku, cast(day as integer) as day, cast(ceil(per_day * 14.0::double) as bigint) as threshold, case when per_day > 0 then 100 / per_day end as cover from v""")
+def cover_thresholds(spark, sf):
+    """The stock that lasts two weeks at the last month's sales, and how long a hundred pieces last."""
+    d = moves(spark, sf).where("l_returnflag = 'N'").groupBy("sku", F.unix_date(F.to_date("ts")).alias("day")).agg(F.sum("q").alias("sold"))
+    v = I.velocity(d, ["sku"], "day", "sold", 30)
+    return v.select("sku", "day", I.cover_threshold(F.col("per_day"), 14).alias("threshold"), I.cover_days(F.lit(100), F.col("per_day")).alias("cover"))
+
+
+@query(f"with m as ({MOVES}) select wh, round(avg(q) + 2 * coalesce(stddev_samp(q), 0), 6) as threshold from m group by all")
+def dynamic_thresholds(spark, sf):
+    return I.dynamic_threshold(moves(spark, sf), ["wh"], "q", 2).select("wh", F.round("threshold", 6).alias("threshold"))
+
+
+@query(f"""with recursive m as ({MOVES}), st as (select *, sum(impact) over (partition by wh, sku order by ts, l_orderkey, l_linenumber rows unbounded preceding) as stock, epoch(ts) as sec from m),
+b as (select *, stock <= 20 as now, coalesce(lag(stock <= 20) over (partition by wh, sku order by sec, l_orderkey, l_linenumber), false) as was from st),
+g as (select *, sum(case when now and not was then 1 else 0 end) over (partition by wh, sku order by sec, l_orderkey, l_linenumber rows unbounded preceding) as run from b),
+o as (select *, row_number() over (partition by wh, sku, run order by sec, l_orderkey, l_linenumber) as n from g where now),
+r as (select wh, sku, run, n, l_orderkey, l_linenumber, sec as last, true as kept from o where n = 1
+  union all select o.wh, o.sku, o.run, o.n, o.l_orderkey, o.l_linenumber, case when o.sec - r.last >= 2592000 then o.sec else r.last end, o.sec - r.last >= 2592000 from r join o on o.wh = r.wh and o.sku = r.sku and o.run = r.run and o.n = r.n + 1)
+select wh, sku, l_orderkey, l_linenumber from r where kept""")
+def cooled_alerts(spark, sf):
+    """Low stock: an alert when it begins, and again a month after the last one while it lasts."""
+    ship(spark)
+    s = I.running_stock(moves(spark, sf), ["wh", "sku"], ["ts", "l_orderkey", "l_linenumber"], "impact")
+    s = s.withColumn("sec", F.unix_timestamp(F.col("ts").cast("timestamp")).cast("double")).select("wh", "sku", "l_orderkey", "l_linenumber", "stock", "sec")
+    return I.alerts(s, ["wh", "sku"], "sec", ["l_orderkey", "l_linenumber"], F.col("stock") <= 20, 86400.0 * 30).select("wh", "sku", "l_orderkey", "l_linenumber")
 
 
 @query("""select p_partkey, cast(case when p_partkey % 10 = 0 then p_size when p_brand = 'Brand#11' then 77 when p_type like 'PROMO%' then 55 else 9 end as bigint) as threshold from part""")
@@ -289,7 +489,7 @@ def threshold_resolution(spark, sf):
     th = row(p.where("p_partkey % 10 = 0"), "sku", F.col("sku"), F.col("p_size"))
     th = th.union(row(p.where("p_brand = 'Brand#11'").select("p_brand").distinct(), "brand", F.col("p_brand"), F.lit(77)))
     th = th.union(row(p.where("p_type like 'PROMO%'").select("p_type").distinct(), "category", F.col("p_type"), F.lit(55)))
-    return I.resolved_thresholds(p, th, {"sku": "sku", "brand": "p_brand", "category": "p_type"}, 9).select("p_partkey", F.col("threshold").cast("bigint").alias("threshold"))
+    return I.resolved_thresholds(p, th, {"sku": "sku", "brand": "p_brand", "category": "p_type"}, 9, ["p_partkey"]).select("p_partkey", F.col("threshold").cast("bigint").alias("threshold"))
 
 
 @query(f"""with m as ({MOVES}), d as (select sku, datediff('day', date '1970-01-01', cast(ts as date)) as day, cast(sum(q) as bigint) as sold from m where l_returnflag = 'N' group by all)
@@ -311,10 +511,10 @@ def stock_alerts(spark, sf):
     return a.select(I.alert_id(F.col("ts"), F.col("wh").cast("string"), F.col("sku").cast("string")).alias("alert_id"), "l_orderkey", "l_linenumber", "kind", I.severity(F.col("kind")).alias("severity"), "s_name")
 
 
-@query(f"with m as ({MOVES}), s as (select wh, sku, sum(impact) as stock from m group by all) select wh, count(*) as items, count(*) filter (where stock <= 0) as out_of_stock, count(*) filter (where stock <= 20) as below from s group by all")
+@query(f"with m as ({MOVES}), s as (select wh, sku, sum(impact) as stock from m group by all) select wh, count(*) as items, count(*) filter (where stock <= 0) as out_of_stock, count(*) filter (where stock <= 20) as below, count(*) filter (where stock <= 0) / count(*) as stockout_rate from s group by all")
 def business_metrics(spark, sf):
     s = moves(spark, sf).groupBy("wh", "sku").agg(F.sum("impact").alias("stock"))
-    return s.groupBy("wh").agg(F.count("*").alias("items"), F.count_if(F.col("stock") <= 0).alias("out_of_stock"), F.count_if(F.col("stock") <= 20).alias("below"))
+    return I.stock_metrics(s, ["wh"], 20)
 
 
 @query("select date_trunc('hour', ts) as start, event_type, count(*) as n from events group by all")
@@ -332,6 +532,7 @@ def user_sessions(spark, sf):
 
 @query("select event_type as collection, count(*) as n from events group by all")
 def fan_in(spark, sf):
+    """Collections from sources of their own."""
     e = t(spark, sf, "events")
-    kinds = sorted(r[0] for r in e.select("event_type").distinct().collect())
+    kinds = ("click", "error", "purchase", "signup", "view")
     return cdc.fan_in([(k, e.where(F.col("event_type") == k)) for k in kinds]).groupBy("collection").agg(F.count("*").alias("n"))

@@ -1,4 +1,4 @@
-"""Change events from files, in batch or as a stream, and sinks for messages."""
+"""Change events from files, in batch or as a stream."""
 
 from __future__ import annotations
 
@@ -27,8 +27,3 @@ def from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     moved = F.struct(F.lit("v1").alias("_schema_version"), F.concat(F.lit("T"), F.col("event_id")).alias("transaction_id"), F.concat(F.lit("P"), F.col("user_id") % 50).alias("product_id"), F.concat(F.lit("W"), F.col("user_id") % 5).alias("warehouse_id"), quantity.alias("quantity"), kind.alias("transaction_type"), stamp.alias("timestamp"))
     body = F.when(collection == "inventory", F.to_json(inventory)).otherwise(F.to_json(moved))
     return e.select(F.lpad(F.col("event_id").cast("string"), 12, "0").alias("resume_token"), collection.alias("collection"), operation.alias("operation_type"), F.col("user_id").cast("string").alias("document_key"), F.col("ts").cast("timestamp").alias("cluster_time"), F.when(operation != "delete", body).alias("full_document"))
-
-
-def write_messages(messages: DataFrame, path: str, checkpoint: str):
-    """A stream of messages to Parquet, a folder for each topic, exactly once by the checkpoint."""
-    return messages.writeStream.format("parquet").option("path", path).option("checkpointLocation", checkpoint).partitionBy("topic").trigger(availableNow=True).start()

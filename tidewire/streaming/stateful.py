@@ -1,4 +1,4 @@
-"""Stateful operators for Structured Streaming: deduplication by time, and running stock."""
+"""Stateful operators for Structured Streaming: deduplication by time, running stock, windows."""
 
 from __future__ import annotations
 
@@ -8,41 +8,59 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql.types import TimestampType
 
 
-def fresh_stream(events: DataFrame, key: str, ts: str, ttl_ms: int | None = 86_400_000) -> DataFrame:
-    """Rows whose ts is above every earlier one of their key. State: the largest ts, kept for ttl_ms of processing time.
+def fresh_stream(events: DataFrame, key: str, ts: str, ttl_ms: int | None = None, late: str = "10 minutes", arrival: str = "arrival") -> DataFrame:
+    """Rows whose ts is above every earlier one of their key; rows with a null key all stay.
 
-    A micro-batch's rows of a key are taken in order of arrival (column arrival). With a ttl Spark runs batches for
-    ever to look for timeouts, so a query triggered by availableNow ends only where ttl_ms is None (state is kept).
+    State: the largest ts of a key. With ttl_ms (ts must then be a timestamp) it is purged once the watermark, `late` behind the
+    newest time, has passed that time by so much; rows behind the watermark are late and left out. A micro-batch's rows of one key are
+    sorted by arrival in memory; the files or offsets of a trigger bound them.
     """
+    timed = isinstance(events.schema[ts].dataType, TimestampType)
+    if ttl_ms is not None:
+        if not timed:
+            raise ValueError(f"a ttl needs {ts} to be a timestamp")
+        events = events.withWatermark(ts, late)
 
     def step(_: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         if state.hasTimedOut:
             state.remove()
             return
         top = state.get[0] if state.exists else None
-        frame = pd.concat(frames).sort_values("arrival", kind="stable")
+        frame = pd.concat(frames).sort_values(arrival, kind="stable")
+        times = frame[ts].astype("datetime64[us]") if timed else frame[ts]
         keep = []
-        for t in frame[ts].astype("int64"):
+        for t in times.astype("int64"):
             keep.append(top is None or t > top)
             top = t if top is None else max(top, t)
         state.update((int(top),))
         if ttl_ms is not None:
-            state.setTimeoutDuration(ttl_ms)
+            state.setTimeoutTimestamp(max(int(top) // 1000 + ttl_ms, state.getCurrentWatermarkMs() + 1))
         yield frame[keep]
 
-    timeout = GroupStateTimeout.NoTimeout if ttl_ms is None else GroupStateTimeout.ProcessingTimeTimeout
-    return events.groupBy(key).applyInPandasWithState(step, events.schema, "top long", "append", timeout)
+    timeout = GroupStateTimeout.NoTimeout if ttl_ms is None else GroupStateTimeout.EventTimeTimeout
+    keyed = events.where(F.col(key).isNotNull()).groupBy(key).applyInPandasWithState(step, events.schema, "top long", "append", timeout)
+    return keyed.union(events.where(F.col(key).isNull()))
 
 
-def stock_stream(changes: DataFrame, key: str, change: str) -> DataFrame:
-    """key, stock, transactions after each micro-batch that touched the key."""
+def stock_stream(changes: DataFrame, key: str, change: str, snapshot: str | None = None, order: str | None = None) -> DataFrame:
+    """key, stock, transactions after each micro-batch that touched the key. snapshot: a column that, where not null, replaces the
+    stock; a micro-batch's rows of a key are then taken in the order of a column."""
+    if snapshot is not None and order is None:
+        raise ValueError("snapshots need an order")
 
     def step(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         stock, n = state.get if state.exists else (0, 0)
-        for f in frames:
-            stock, n = stock + int(f[change].sum()), n + len(f)
+        if snapshot is None:
+            for f in frames:
+                stock, n = stock + int(f[change].sum()), n + len(f)
+        else:
+            rows = pd.concat(frames).sort_values(order, kind="stable")
+            n += len(rows)
+            for c, s in zip(rows[change].fillna(0), rows[snapshot], strict=True):
+                stock = int(s) if pd.notna(s) else stock + int(c)
         state.update((stock, n))
         yield pd.DataFrame({key: [k[0]], "stock": [stock], "transactions": [n]})
 
