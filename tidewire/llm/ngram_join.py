@@ -303,6 +303,7 @@ def near_classes(docs: DataFrame, n: int = 3, percent: int = 90, likely: bool =
         roots = roots.union(mine.select("id", F.col("to").alias("root")))
     root_of = roots.groupBy(F.col("id").alias("class_id")).agg(F.min("root").alias("root"))
 
-    own = digest.select("doc_id", "n_shingles", "high", "low").join(classes.select("high", "low", "class_id"), ["high", "low"], "left")
-    linked = own.join(root_of, "class_id", "left")
-    return linked.select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("root", "class_id", "doc_id").alias("component_id"))
+    # Classes get their roots first, so rows are joined once, by tables that a class with many rows can be split against.
+    rooted = written(classes.join(root_of, "class_id", "left").select("high", "low", "class_id", F.coalesce("root", "class_id").alias("root")), "rooted")
+    linked = digest.select("doc_id", "n_shingles", "high", "low").join(rooted, ["high", "low"], "left")
+    return linked.select("doc_id", "n_shingles", F.coalesce("class_id", "doc_id").alias("class_id"), F.coalesce("root", "doc_id").alias("component_id"))
