@@ -130,10 +130,15 @@ def _with_fields(df: DataFrame, json: str, names: set[str]) -> tuple[DataFrame,
     return df, {n: F.col(f"_field{k}") for k, n in enumerate(names)}
 
 
+def _once(found: Column) -> Column:
+    """As it is, but computed where it stands: a filter on it isn't pushed below, where each use would read the documents again."""
+    return F.when(F.monotonically_increasing_id() >= 0, found)
+
+
 def with_broken(df: DataFrame, json: str, rules: tuple[FieldRule, ...], out: str = "errors") -> DataFrame:
     """df with the broken rules of the JSON documents in a column, as errors() gives them."""
     parsed, fields = _with_fields(df, json, {r.name for r in rules})
-    return parsed.select(*df.columns, F.when(_is_object(F.col("_doc")), _broken_rules(fields, rules)).otherwise(F.array(F.lit("document: object"))).alias(out))
+    return parsed.select(*df.columns, _once(F.when(_is_object(F.col("_doc")), _broken_rules(fields, rules)).otherwise(F.array(F.lit("document: object")))).alias(out))
 
 
 def validated(df: DataFrame, json: str, doc_type: Column, contracts: Contracts | None = None, out: str = "errors") -> DataFrame:
@@ -146,14 +151,15 @@ def validated(df: DataFrame, json: str, doc_type: Column, contracts: Contracts |
     kinds = sorted({t for t, _ in contracts.contracts})
     parsed, fields = _with_fields(df, json, {r.name for rules in contracts.contracts.values() for r in rules} | {VERSION})
     version = F.nullif(F.try_variant_get(fields[VERSION], "$", "string"), F.lit(""))
-    out_column = F.array(F.concat(F.lit("unknown document type: "), doc_type))
-    for kind in kinds:
-        own = F.coalesce(version, F.lit(contracts.latest(kind)))
-        # The version chooses the contract, so its own rule is met.
-        each = [(v, _broken_rules(fields, tuple(r for r in contracts.rules(kind, v) if r.name != VERSION))) for v in contracts.versions(kind)]
-        unknown = F.array(F.concat(F.lit(f"Invalid schema version for {kind}: "), own))
-        out_column = F.when(doc_type == kind, reduce(lambda rest, e, own=own: F.when(own == e[0], e[1]).otherwise(rest), reversed(each), unknown)).otherwise(out_column)
-    return parsed.select(*df.columns, F.when(_is_object(F.col("_doc")), out_column).otherwise(F.array(F.lit("document: object"))).alias(out))
+    latest = reduce(lambda c, kind: F.when(doc_type == kind, contracts.latest(kind)).otherwise(c), kinds, F.lit(None).cast("string"))
+    parsed = parsed.withColumns({"_kind": doc_type, "_version": F.coalesce(version, latest), "_object": _is_object(F.col("_doc"))})
+    # Each contract in a column of its own, read by its documents alone. The version chooses it, so the version's own rule is met.
+    each = {f"_broken{k}": (kind, v) for k, (kind, v) in enumerate((kind, v) for kind in kinds for v in contracts.versions(kind))}
+    mine = lambda kind, v: F.col("_object") & (F.col("_kind") == kind) & (F.col("_version") == v)
+    parsed = parsed.withColumns({name: F.when(mine(kind, v), _broken_rules(fields, tuple(r for r in contracts.rules(kind, v) if r.name != VERSION))) for name, (kind, v) in each.items()})
+    unknown = F.when(F.col("_kind").isin(kinds), F.concat(F.lit("Invalid schema version for "), "_kind", F.lit(": "), "_version")).otherwise(F.concat(F.lit("unknown document type: "), F.coalesce("_kind", F.lit("null"))))
+    found = F.when(~F.col("_object"), F.array(F.lit("document: object"))).otherwise(F.coalesce(*each, F.array(unknown)))
+    return parsed.select(*df.columns, _once(found).alias(out))
 
 
 class Migrations:
