@@ -23,9 +23,16 @@ def local_session(cpus: int = 8, app: str = "tidewire") -> SparkSession:
     )
 
 
+#: Bytes of an Arrow batch that a Python worker gets at once, and Spark's own value: rows of long texts make batches of the same size.
+BATCH_BYTES, BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this package to the executors once per Spark context, so that their Python workers can import it."""
+    """Send this package to the executors once per Spark context, so that their Python workers can import it, and bound what
+    they get at once to 8 MB where the session hasn't a bound of its own."""
     sc = spark.sparkContext
+    if spark.conf.get(BATCH_BYTES) == BATCH_DEFAULT:
+        spark.conf.set(BATCH_BYTES, str(8 << 20))
     if getattr(sc, "_tidewire_shipped", False):
         return spark
     root = Path(__file__).resolve().parent
