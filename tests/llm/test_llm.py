@@ -102,6 +102,25 @@ def test_usual_words_side_by_side_are_not_one_word():
     assert not reader.words("to ad an") and reader.words("to @d") == {"toad"} and reader.words("t oad") == {"toad"}
 
 
+def test_viterbi_finds_the_best_path():
+    """Against every path through short lattices."""
+    rng = np.random.default_rng(19)
+    model = toxicity.LetterModel({"idiot": 40, "toad": 20, "the": 90, "as": 30, "it is": 5})
+
+    def paths(token):
+        out = [("^^", 0.0, "")]
+        for k, c in enumerate(token):
+            options = [(x, toxicity.CHANGE) for x in toxicity.LEET.get(c, "")] + [("", toxicity.DROP_SEPARATOR)] * (c in toxicity.SEPARATORS) + [("", toxicity.DROP_REPEAT)] * (k > 0 and c == token[k - 1]) + [(c, 0.0 if c.isalpha() else toxicity.KEEP_ODD)]
+            out = [(before[1] + toxicity.LetterModel.symbol(x) if x else before, score + cost + (model.score(before, x) if x else 0.0), text + x) for before, score, text in out for x, cost in options]
+        return max((score + model.score(before, "$"), text) for before, score, text in out)
+
+    for _ in range(200):
+        token = "".join(rng.choice(list("idotasthe1034@$. -")) for _ in range(rng.integers(1, 8)))
+        score, text = paths(token)
+        got = toxicity.restore(token, model)
+        assert got == text, (token, got, text, score)
+
+
 def test_skeletons_lose_no_restoration():
     """What Viterbi restores to a lexicon word has that word's skeleton: against decoding without the test."""
     rng = np.random.default_rng(12)
@@ -403,6 +422,38 @@ def test_neighbours_are_alike():
     assert packing.Shard(docs, df, 4, 3.0).neighbours(0)[:2].tolist() == [0, 2]
 
 
+def test_neighbours_are_ranked_by_bm25():
+    """Scores of a shard's index against the formula, document by document."""
+    rng = np.random.default_rng(20)
+    docs = [rng.integers(0, 40, rng.integers(1, 60)).astype(np.uint16) for _ in range(30)]
+    df = np.bincount(np.concatenate([np.unique(d) for d in docs]), minlength=1 << 16).astype(float)
+    mean = float(np.mean([len(d) for d in docs]))
+    shard = packing.Shard(docs, df, len(docs), mean)
+    for k in range(len(docs)):
+        score = np.zeros(len(docs))
+        for o, d in enumerate(docs):
+            for t in set(docs[k].tolist()):
+                c = int((d == t).sum())
+                score[o] += np.log1p((30 - df[t] + 0.5) / (df[t] + 0.5)) * c * (packing.K1 + 1) / (c + packing.K1 * (1 - packing.B + packing.B * len(d) / mean)) if c else 0.0
+        ranked = shard.neighbours(k)
+        assert np.all(np.diff(score[ranked]) < 1e-3)
+
+
+def test_forest_votes_as_its_trees_do():
+    rng = np.random.default_rng(21)
+    x = rng.normal(0, 1, (300, 5))
+    forest = secrets.Forest(x, (x[:, 0] + x[:, 1] > 0).astype(float), trees=5)
+
+    def walk(tree, row):
+        at = 0
+        while tree[at][0] >= 0:
+            at = int(tree[at][2] if row[int(tree[at][0])] <= tree[at][1] else tree[at][3])
+        return tree[at][4]
+
+    assert np.allclose(forest.predict(x), [np.mean([walk(t, row) for t in forest.trees]) for row in x])
+    assert np.mean((forest.predict(x) > 0.5) == (x[:, 0] + x[:, 1] > 0)) > 0.9
+
+
 def test_decontamination_recall(spark):
     rng = np.random.default_rng(3)
     words = [f"w{k}" for k in range(3000)]

@@ -60,7 +60,18 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.scores(table(ship(spark), sf_dir, "documents", "doc_id", "text"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_topk, op2_toxicity, op3_language_id, op4_ngram_join, op5_packing, op6_decontamination, op7_license_scan, op8_secret_scan, op9_url_filter, op10_lm_score)}
+def shingle_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op4's result that SQL can express over whole tables."""
+    return op4_ngram_join(spark, sf_dir).select("doc_id", "n_shingles")
+
+
+def license_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op7's result that SQL can express; -1 where there is no place."""
+    found = op7_license_scan(spark, sf_dir)
+    return found.select("doc_id", "n_words", "n_base", F.coalesce("first_word", F.lit(-1)).alias("first_word"), F.coalesce("last_word", F.lit(-1)).alias("last_word"), "base_labels")
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_topk, op2_toxicity, op3_language_id, op4_ngram_join, op5_packing, op6_decontamination, op7_license_scan, op8_secret_scan, op9_url_filter, op10_lm_score, shingle_sizes, license_base)}
 
 #: Whole-table SQL where it is fast enough and can express the query.
 ORACLE_SQL: dict[str, str] = {
@@ -72,4 +83,17 @@ s as (select q.vec_id as query_id, c.vec_id as vec_id, cast(list_sum(list_transf
 r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from s)
 select query_id, rank, vec_id, score from r where rank <= 20""",
     "op9_url_filter": url_filter.ORACLE,
+    "shingle_sizes": r"""
+with w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents)
+select doc_id, cast(case when len(w) = 0 then 0 when len(w) < 3 then 1 else len(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) end as bigint) as n_shingles from w""",
+    "license_base": r"""
+with w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
+p as (select doc_id, len(w) as n_words,
+  list_filter(range(1, len(w) + 1), lambda i: w[i] = 'gnu' and w[i + 1] = 'general' and w[i + 2] = 'public' and w[i + 3] = 'license') as gpl,
+  list_filter(range(1, len(w) + 1), lambda i: w[i] = 'apache' and w[i + 1] = 'license') as apache,
+  list_filter(range(1, len(w) + 1), lambda i: w[i] = 'cc' and w[i + 1] = 'by') as ccby,
+  list_filter(range(1, len(w) + 1), lambda i: w[i] = 'mit' and w[i + 1] = 'license') as mit from w),
+a as (select *, list_sort(gpl || apache || ccby || mit) as places from p)
+select doc_id, n_words, len(places) as n_base, coalesce(places[1] - 1, -1) as first_word, coalesce(places[-1] - 1, -1) as last_word,
+  array_to_string(list_filter([case when len(apache) > 0 then 'apache' end, case when len(ccby) > 0 then 'cc-by' end, case when len(gpl) > 0 then 'gpl' end, case when len(mit) > 0 then 'mit' end], lambda x: x is not null), ',') as base_labels from a""",
 }
