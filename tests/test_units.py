@@ -206,6 +206,30 @@ def test_no_document(spark, text):
     assert df.select(errors(F.col("j"), Contracts().rules("inventory")).alias("e")).first().e == ["document: object"]
 
 
+TIMES = {True: ["2024-03-14T12:00:00Z", "2024-03-14T12:00:00.123Z", "2024-03-14T12:00:00.123456Z", "2024-03-14T12:00:00+00:00", "2024-03-14T12:00:00.123+00:00", "2024-03-14T12:00:00-05:00"], False: ["2024-03-14", "12:00:00Z", "2024-03-14 12:00:00Z", "2024-03-14T12:00:00", "2024-03-14T12:00:00GMT", "2024-03-14T25:00:00Z", "2024-03-14T12:60:00Z", "2024-03-14T12:00:61Z", "2024-13-14T12:00:00Z", "2024-03-32T12:00:00Z", "not a time", "2024/03/14T12:00:00Z", "2024-03-14T12.00.00Z", "2023-02-29T12:00:00Z"]}
+
+
+def test_times(spark):
+    rows = [(json.dumps(VALID | {"last_updated": t}), fine) for fine, times in TIMES.items() for t in times]
+    found = validated(spark.createDataFrame(rows, "j string, fine boolean"), "j", F.lit("inventory")).collect()
+    assert len(found) == 20 and all((r.errors == []) is r.fine for r in found), [r for r in found if (r.errors == []) is not r.fine]
+
+
+def test_arrays_in_arrays_are_protected(spark):
+    rows = [([{"items": [{"details": {"price": 12.5, "sku": "S"}}], "customer": {"contact": [{"email": "a@b.c"}, {"email": None}]}}],)]
+    df = spark.createDataFrame(rows, "orders array<struct<items:array<struct<details:struct<price:double,sku:string>>>,customer:struct<contact:array<struct<email:string>>>>>")
+    out = json.loads(P.Protector([P.Rule("orders[*].items[*].details.price", "mask", {"right": 0}), P.Rule("orders[*].customer.contact[*].email", "hash")])(df).toJSON().first())
+    assert out["orders"][0]["items"][0]["details"] == {"price": "XXXX", "sku": "S"} and out["orders"][0]["customer"]["contact"][0]["email"].startswith("hash:") and out["orders"][0]["customer"]["contact"][1] == {}
+    assert out["_protected"] == {"orders[*].items[*].details.price": "mask", "orders[*].customer.contact[*].email": "hash"}
+
+
+def test_nested_prefixes(spark):
+    df = spark.createDataFrame([(1, 2, {"field1": 3, "field2": 4}, [1], "m")], "field1 int, field2 int, nested struct<field1:int,field2:int>, other array<int>, _metadata string")
+    out = T.with_prefix("test", ["field1", "nested.field2"])(df).drop("_security_metadata")
+    assert out.columns == ["test_field1", "field2", "nested", "other", "_metadata"] and out.schema["nested"].dataType.names == ["field1", "test_field2"]
+    assert T.with_prefix("test")(df).columns[:5] == ["test_field1", "test_field2", "test_nested", "test_other", "_metadata"]
+
+
 def test_versions():
     c = Contracts({("inventory", f"v{n}"): (FieldRule("a"),) for n in (1, 9, 10)})
     assert c.latest("inventory") == "v10" and c.is_version("inventory", "v9")
@@ -470,3 +494,14 @@ def test_change_source(spark, tmp_path):
     spark.createDataFrame([("1", "inventory", "insert", "k", datetime(2024, 1, 1), "{}")], changes.SCHEMA).write.parquet(str(tmp_path / "in"))
     assert changes.read(spark, str(tmp_path / "in")).count() == 1
     assert changes.read(spark, str(tmp_path / "in"), stream=True, files_a_batch=1).isStreaming
+
+
+def test_collections_of_several_sources(spark, tmp_path):
+    for name in ("inventory", "transactions"):
+        spark.createDataFrame([event(1, "delete", None, collection="other", key=name)], changes.SCHEMA).write.parquet(str(tmp_path / name))
+    paths = {name: str(tmp_path / name) for name in ("inventory", "transactions")}
+    assert sorted((r.collection, r.document_key) for r in changes.read_all(spark, paths).collect()) == [("inventory", "inventory"), ("transactions", "transactions")]
+    stream = changes.read_all(spark, paths, stream=True, files_a_batch=1)
+    topics = {"inventory": "i", "transactions": "t"}
+    assert sinks.publish(stream, str(tmp_path / "out"), str(tmp_path / "c"), topics).awaitTermination(120)
+    assert sorted(r.topic for r in spark.read.parquet(str(tmp_path / "out/messages")).collect()) == ["i", "t"]

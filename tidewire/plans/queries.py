@@ -172,6 +172,17 @@ def dedup_latest_wins(spark, sf):
     return cdc.deduplicated(changes.from_events(spark, sf)).groupBy("collection", "operation_type").agg(F.count("*").alias("n"))
 
 
+@query("""with ev as (select *, case when user_id % 2 = 0 then 'inventory' else 'transactions' end as collection, event_id % 3 as op from events),
+b as (select *, max(ts) over (partition by collection, user_id, op order by event_id rows between unbounded preceding and 1 preceding) as before from ev)
+select lpad(cast(event_id as varchar), 12, '0') as resume_token from b where user_id % 5 = 0 or before is null or ts > before""")
+def dedup_without_keys(spark, sf):
+    """Changes whose key is null or empty are never duplicates."""
+    events = changes.from_events(spark, sf)
+    k = F.col("document_key").cast("long")
+    key = F.when(k % 10 == 0, F.lit(None)).when(k % 5 == 0, F.lit("")).otherwise(F.col("document_key"))
+    return cdc.deduplicated(events.withColumn("document_key", key)).select("resume_token")
+
+
 @query(EVENTS + "select collection, lpad(cast(max(event_id) as varchar), 12, '0') as token from (select collection, event_id from ev qualify rank() over (partition by collection order by ts desc) = 1) group by all")
 def resume_position(spark, sf):
     return cdc.resume_positions(changes.from_events(spark, sf)).select("collection", "token")
@@ -251,6 +262,17 @@ def protect_rules(spark, sf):
     return P.Protector(rules)(doc).select("c_custkey", "contact.name", "contact.segment")
 
 
+@query("select p_partkey, round_even(p_size / 2.0, 0)::double as half, p_type as kind, case when p_size % 2 = 0 then 'XXX' || right('000' || p_partkey, 2) else 'clear' end as code, 1 as n_fields from part")
+def protect_levels(spark, sf):
+    """Rounding, no protection and removal, in a struct and for one index of an array."""
+    p = t(spark, sf, "part", "p_partkey", "p_size", "p_type")
+    code = F.concat(F.lit("000"), F.right(F.concat(F.lit("000"), F.col("p_partkey").cast("string")), F.lit(2)))
+    doc = p.select("p_partkey", "p_size", F.struct((F.col("p_size") / 2).alias("half"), F.col("p_type").alias("kind"), F.lit("x").alias("ssn")).alias("d"), F.array(F.lit("clear"), code).alias("codes"), F.create_map(F.lit("ssn"), F.lit("1"), F.lit("note"), F.lit("2")).alias("m"))
+    rules = [P.Rule("d.half", "generalize", {"places": 0}), P.Rule("d.kind", "none"), P.Rule("codes[1]", "mask", {"right": 2}), *P.PII_RULES]
+    out = P.Protector(rules)(doc)
+    return out.select("p_partkey", "d.half", "d.kind", F.when(F.col("p_size") % 2 == 0, F.element_at("codes", 2)).otherwise(F.element_at("codes", 1)).alias("code"), F.size("m").alias("n_fields"))
+
+
 @query("select event_id, '{\"event_id\":' || event_id || ',\"user_id\":' || user_id || ',\"event_type\":\"' || event_type || '\"}' as body from events")
 def serialize_round_trip(spark, sf):
     ship(spark)

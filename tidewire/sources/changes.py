@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,6 +17,12 @@ def read(spark: SparkSession, path: str, form: str = "parquet", *, stream: bool
     return reader.load(path)
 
 
+def read_all(spark: SparkSession, paths: dict[str, str], form: str = "parquet", *, stream: bool = False, files_a_batch: int | None = None) -> DataFrame:
+    """The changes of several collections, each from a path of its own, whose name they then have."""
+    parts = [read(spark, path, form, stream=stream, files_a_batch=files_a_batch).withColumn("collection", F.lit(name)) for name, path in paths.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
 def from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events table seen as changes of two collections; arrival is event_id."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value")
