@@ -60,18 +60,13 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.scores(table(ship(spark), sf_dir, "documents", "doc_id", "text"))
 
 
-def shingle_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The part of op4's result that SQL can express over whole tables."""
-    return op4_ngram_join(spark, sf_dir).select("doc_id", "n_shingles")
-
-
 def license_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of op7's result that SQL can express; -1 where there is no place."""
     found = op7_license_scan(spark, sf_dir)
     return found.select("doc_id", "n_words", "n_base", F.coalesce("first_word", F.lit(-1)).alias("first_word"), F.coalesce("last_word", F.lit(-1)).alias("last_word"), "base_labels")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_topk, op2_toxicity, op3_language_id, op4_ngram_join, op5_packing, op6_decontamination, op7_license_scan, op8_secret_scan, op9_url_filter, op10_lm_score, shingle_sizes, license_base)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_topk, op2_toxicity, op3_language_id, op4_ngram_join, op5_packing, op6_decontamination, op7_license_scan, op8_secret_scan, op9_url_filter, op10_lm_score, license_base)}
 
 #: Whole-table SQL where it is fast enough and can express the query.
 ORACLE_SQL: dict[str, str] = {
@@ -83,9 +78,17 @@ s as (select q.vec_id as query_id, c.vec_id as vec_id, cast(list_sum(list_transf
 r as (select *, cast(row_number() over (partition by query_id order by score desc, vec_id) as integer) as rank from s)
 select query_id, rank, vec_id, score from r where rank <= 20""",
     "op9_url_filter": url_filter.ORACLE,
-    "shingle_sizes": r"""
-with w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents)
-select doc_id, cast(case when len(w) = 0 then 0 when len(w) < 3 then 1 else len(list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]))) end as bigint) as n_shingles from w""",
+    "op4_ngram_join": r"""
+with recursive w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') as w from documents where doc_id is not null),
+s as (select doc_id, case when len(w) = 0 then [] when len(w) < 3 then [array_to_string(w, ' ')] else list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) end as s from w),
+n as (select doc_id, len(s) as n from s),
+e as (select doc_id, unnest(s) as g from s),
+c as (select a.doc_id as x, b.doc_id as y, count(*) as c from e a join e b on a.g = b.g and a.doc_id < b.doc_id group by all),
+l as (select x, y, c = p.n and c = q.n as same from c join n p on p.doc_id = x join n q on q.doc_id = y where 100 * c >= 90 * (p.n + q.n - c)),
+b as (select x, y from l union select y, x from l),
+r(id, to_id) as (select doc_id, doc_id from n union select r.id, b.y from r join b on b.x = r.to_id)
+select n.doc_id, cast(n.n as bigint) as n_shingles, coalesce(k.class_id, n.doc_id) as class_id, m.component_id from n
+join (select id, min(to_id) as component_id from r group by all) m on m.id = n.doc_id left join (select y, min(x) as class_id from l where same group by all) k on k.y = n.doc_id""",
     "license_base": r"""
 with w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
 p as (select doc_id, len(w) as n_words,
