@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Entries a worker keeps per memo before it starts afresh; bounds the memory of a Python worker.
-MEMO_LIMIT = 400_000
+MEMO_LIMIT = 200_000
 #: Rows of a side that may be broadcast: 16 bytes a row, 16 MB at most.
 BROADCAST_ROWS = 1_000_000
 
