@@ -29,10 +29,10 @@ BATCH_BYTES, BATCH_DEFAULT = "spark.sql.execution.arrow.maxBytesPerBatch", "6710
 
 def ship(spark: SparkSession) -> SparkSession:
     """Send this package to the executors once per Spark context, so that their Python workers can import it, and bound what
-    they get at once to 8 MB where the session hasn't a bound of its own."""
+    they get at once to 4 MB where the session hasn't a bound of its own."""
     sc = spark.sparkContext
     if spark.conf.get(BATCH_BYTES) == BATCH_DEFAULT:
-        spark.conf.set(BATCH_BYTES, str(8 << 20))
+        spark.conf.set(BATCH_BYTES, str(4 << 20))
     if getattr(sc, "_tidewire_shipped", False):
         return spark
     root = Path(__file__).resolve().parent
