@@ -505,3 +505,12 @@ def test_collections_of_several_sources(spark, tmp_path):
     topics = {"inventory": "i", "transactions": "t"}
     assert sinks.publish(stream, str(tmp_path / "out"), str(tmp_path / "c"), topics).awaitTermination(120)
     assert sorted(r.topic for r in spark.read.parquet(str(tmp_path / "out/messages")).collect()) == ["i", "t"]
+
+
+def test_fields_of_any_name(spark):
+    odd = {"a b": 1, "x-y": {"c.d": [1, 2.5, "s"]}, "VOID_DATE": "d", "OBJECT": "o", "q`r": "secret", "\u00e9": True, "n": None}
+    rows = [event(1, "insert", SALE | odd)]
+    plan = cdc.Plan(T.default_registry("W1"), protectors={"transaction": P.Protector([P.Rule("q`r", "mask", {"right": 1})])})
+    messages, _ = cdc.pipeline(spark.createDataFrame(rows, changes.SCHEMA), {"transactions": "t"}, plan=plan)
+    doc = json.loads(messages.first().value)["data"]["fullDocument"]
+    assert doc["a b"] == 1 and doc["x-y"] == {"c.d": [1, 2.5, "s"]} and doc["VOID_DATE"] == "d" and doc["OBJECT"] == "o" and doc["q`r"] == "XXXXXt" and doc["\u00e9"] is True

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, NumericType, StructType
 
+from tidewire.functions.names import column
+
 #: From weakest to strongest.
 LEVELS = ("none", "truncate", "generalize", "mask", "tokenize", "hash", "encrypt", "remove")
 
@@ -342,7 +344,7 @@ class Protector:
         found: dict[str, str] = {}
         cols = []
         for f in df.schema.fields:
-            c = F.col(f"`{f.name}`")
+            c = column(f.name)
             if f.name not in self.keep:
                 c, _ = self._value(c, f.dataType, Path().field(f.name), found)
             if c is not None:

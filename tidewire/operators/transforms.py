@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidewire.functions.names import column
+
 Transform = Callable[[DataFrame], DataFrame]
 STAGES = ("pre_validation", "post_validation", "pre_publish")
 
@@ -66,7 +68,7 @@ def without_fields(paths: Sequence[str], now: datetime | None = None) -> Transfo
         out = []
         for f in kind.fields:
             mine = [p for p in under if p[0] == f.name]
-            c = F.col(f"`{f.name}`") if value is None else value[f.name]
+            c = column(f.name) if value is None else value[f.name]
             if any(len(p) == 1 for p in mine):
                 continue
             if mine and isinstance(f.dataType, StructType):
@@ -89,7 +91,7 @@ def with_prefix(prefix: str, fields: Sequence[str] | None = None, now: datetime
     def rename(kind: StructType, value: Column | None, path: str) -> list[Column]:
         out = []
         for f in kind.fields:
-            c = F.col(f"`{f.name}`") if value is None else value[f.name]
+            c = column(f.name) if value is None else value[f.name]
             own = f"{path}.{f.name}" if path else f.name
             if f.name.startswith("_"):
                 out.append(c.alias(f.name))

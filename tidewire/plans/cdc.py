@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from tidewire.functions.names import column, struct_of
 from tidewire.functions.protection import Protector
 from tidewire.functions.serialization import JSON_OPTIONS, iso_time, serialized
 from tidewire.operators.keyed import fresh
@@ -79,9 +80,7 @@ def schema_of(events: DataFrame, body: str = "full_document") -> StructType:
     if events.isStreaming:
         raise ValueError("a stream's documents need a schema to be transformed")
     found = events.agg(F.schema_of_variant_agg(F.try_parse_json(body))).first()[0]
-    if not found.startswith("OBJECT<"):
-        return StructType()
-    return StructType.fromDDL("doc " + found.replace("OBJECT<", "STRUCT<").replace("VOID", "STRING"))["doc"].dataType
+    return struct_of(found)
 
 
 def reshaped(events: DataFrame, schema: StructType | str | None, steps: Sequence[Callable[[DataFrame], DataFrame]]) -> DataFrame:
@@ -101,9 +100,9 @@ def reshaped(events: DataFrame, schema: StructType | str | None, steps: Sequence
     documents = inside.select(F.struct(*held).alias(HELD), F.from_json("full_document", schema).alias("_doc")).select(HELD, "_doc.*")
     for step in steps:
         documents = step(documents)
-    own = [F.col(f"`{c}`") for c in documents.columns if c not in (HELD, "_migration_error")]
+    own = [column(c) for c in documents.columns if c not in (HELD, "_migration_error")]
     why = F.col("_migration_error") if "_migration_error" in documents.columns else F.lit(None).cast("string")
-    made = documents.select(*(F.col(f"{HELD}.{c}").alias(c) for c in held), F.to_json(F.struct(*own), JSON_OPTIONS).alias("full_document"), why.alias("_migration_error"))
+    made = documents.select(*(F.col(HELD)[c].alias(c) for c in held), F.to_json(F.struct(*own), JSON_OPTIONS).alias("full_document"), why.alias("_migration_error"))
     return made.unionByName(events.where(~F.coalesce(fine, F.lit(False))).withColumn("_migration_error", F.lit(None).cast("string")))
 
 
