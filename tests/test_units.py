@@ -514,3 +514,12 @@ def test_fields_of_any_name(spark):
     messages, _ = cdc.pipeline(spark.createDataFrame(rows, changes.SCHEMA), {"transactions": "t"}, plan=plan)
     doc = json.loads(messages.first().value)["data"]["fullDocument"]
     assert doc["a b"] == 1 and doc["x-y"] == {"c.d": [1, 2.5, "s"]} and doc["VOID_DATE"] == "d" and doc["OBJECT"] == "o" and doc["q`r"] == "XXXXXt" and doc["\u00e9"] is True
+
+
+def test_published_stream_without_duplicates(spark, tmp_path):
+    """A change that comes again in a later batch is published once; changes without a key always are."""
+    batches = [[event(1, "insert", SALE), event(9, "insert", SALE, key=None)], [event(1, "insert", SALE), event(2, "insert", SALE), event(9, "insert", SALE, key=None)]]
+    stream = in_files(spark, tmp_path / "in", batches, changes.SCHEMA)
+    assert sinks.publish(stream, str(tmp_path / "out"), str(tmp_path / "c"), {"transactions": "t"}, dedup=True).awaitTermination(120)
+    got = [json.loads(r.value)["data"]["_id"] for r in spark.read.parquet(str(tmp_path / "out/messages")).collect()]
+    assert sorted(got) == ["001", "002", "009", "009"]

@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewire.functions.serialization import iso_time
 from tidewire.plans import cdc
+from tidewire.streaming.stateful import fresh_stream
 
 
 def status_messages(status: DataFrame, now: Column) -> DataFrame:
@@ -46,8 +47,15 @@ def batch_writer(out: str, topics: dict[str, str], form: str = "json", plan: cdc
     return write
 
 
-def publish(stream: DataFrame, out: str, checkpoint: str, topics: dict[str, str], form: str = "json", plan: cdc.Plan | None = None, every: str | None = None, name: str | None = None) -> StreamingQuery:
-    """Start the change plan on a stream. every: a processing interval; without one it reads what there is and ends."""
+def publish(stream: DataFrame, out: str, checkpoint: str, topics: dict[str, str], form: str = "json", plan: cdc.Plan | None = None, every: str | None = None, name: str | None = None, dedup: bool = False, ttl_ms: int | None = None) -> StreamingQuery:
+    """Start the change plan on a stream. every: a processing interval; without one it reads what there is and ends.
+
+    dedup: changes are held against those of all earlier batches, by state that is kept for ttl_ms of event time (None: for good),
+    not only against those of their own.
+    """
+    if dedup:
+        keyed = stream.withColumn("_key", cdc.dedup_key(F.col("collection"), F.col("document_key"), F.col("operation_type")))
+        stream = fresh_stream(keyed, "_key", "cluster_time", ttl_ms, arrival="resume_token").drop("_key")
     writer = stream.writeStream.foreachBatch(batch_writer(out, topics, form, plan)).option("checkpointLocation", checkpoint)
     writer = writer.queryName(name) if name else writer
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
