@@ -292,6 +292,23 @@ def test_documents_are_transformed_protected_and_set_aside(spark, tmp_path):
     assert {r.resume_token: r.errors for r in dead.collect()} == {"002": ["Invalid schema version for transaction: v999"], "003": ["document: object"], "004": ["transaction_type: enum"]}
 
 
+def test_running_sums_in_buckets(spark):
+    """The same as by one window, with null keys, null values and empty buckets; a snapshot starts anew across buckets."""
+    import random
+
+    r = random.Random(3)
+    rows = [(r.choice(["a", "b", None]), k * r.choice([1, 1, 40]) + k, r.choice([None, 1, -2, 5]), r.choice([None] * 6 + [100])) for k in range(400)]
+    rows = [(k, n, c, s) for n, (k, _, c, s) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "k string, n long, change long, snap long")
+    bucket = F.floor(F.col("n") / 37)
+    for f in (lambda b: K.batched(df, ["k"], ["n"], 7, b), lambda b: K.systematic_sample(df, ["k"], ["n"], 9, b), lambda b: I.running_stock(df, ["k"], ["n"], "change", "snap", b)):
+        one, two = (sorted(map(tuple, f(b).select(sorted(f(b).columns)).collect()), key=str) for b in (None, bucket))
+        assert one == two and one
+    plain = df.fillna(0, ["change"])
+    one, two = (sorted((r.n, r.stock) for r in I.running_stock(plain, ["k"], ["n"], "change", bucket=b).collect()) for b in (None, bucket))
+    assert one == two
+
+
 def test_rows_without_a_key_are_spread(spark):
     rows = [(None, k, k) for k in range(2000)]
     out = K.fresh(spark.createDataFrame(rows, "k string, ts int, n int"), ["k"], "ts", "n")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.operators.keyed import spaced
+from tidewire.operators.keyed import running_sum, spaced
 
 #: From the most to the least specific level of a threshold.
 LEVELS = ("sku", "product", "brand", "category", "department", "global")
@@ -22,14 +22,13 @@ def impact(kind: Column, quantity: Column) -> Column:
     return F.when(kind == "sale", -quantity).when(kind.isin("restock", "return"), quantity).when(kind == "adjustment", quantity)
 
 
-def running_stock(df: DataFrame, keys: Sequence[str], order: Sequence[str], change: str, snapshot: str | None = None) -> DataFrame:
-    """stock after each row: a snapshot (not null) replaces it, changes add up after the last one."""
-    w = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+def running_stock(df: DataFrame, keys: Sequence[str], order: Sequence[str], change: str, snapshot: str | None = None, bucket: Column | None = None) -> DataFrame:
+    """stock after each row: a snapshot (not null) replaces it, changes add up after the last one. bucket: as for keyed.running_sum."""
     if snapshot is None:
-        return df.withColumn("stock", F.sum(change).over(w))
-    df = df.withColumn("_epoch", F.count(snapshot).over(w))
-    inner = Window.partitionBy(*keys, "_epoch").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    return df.withColumn("stock", F.sum(F.coalesce(snapshot, change)).over(inner)).drop("_epoch")
+        return running_sum(df, keys, order, F.col(change), "stock", bucket)
+    # The number of snapshots so far tells apart what adds up.
+    df = running_sum(df, keys, order, F.col(snapshot).isNotNull().cast("long"), "_epoch", bucket)
+    return running_sum(df, [*keys, "_epoch"], order, F.coalesce(snapshot, change), "stock", bucket).drop("_epoch")
 
 
 def current_state(df: DataFrame, keys: Sequence[str], ts: str, change: str) -> DataFrame:

@@ -37,10 +37,36 @@ def newest(df: DataFrame, ts: str, most: int, *ties: str, since: Column | None =
     return kept.orderBy(F.desc(ts), *map(F.desc, ties)).limit(most)
 
 
-def batched(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int) -> DataFrame:
-    """batch_id: consecutive runs of size rows for each key."""
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("batch_id", F.floor((F.row_number().over(w) - 1) / size))
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str, bucket: Column | None = None) -> DataFrame:
+    """The sum of value over a key's rows up to each row.
+
+    bucket: a column that never falls along the order (a day, a range of ids). Then no task has all rows of a key: each bucket is summed
+    apart, and what came before it is added, from one row a key and bucket.
+    """
+    if bucket is None:
+        return df.withColumn(out, F.sum(value).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
+    df = df.withColumn("_bucket", bucket).withColumn("_value", value)
+    names = [*keys, "_bucket"]
+    sums = df.groupBy(*names).agg(F.sum("_value").alias("_sum"))
+    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    before = sums.select(*(F.col(n).alias(f"_of_{n}") for n in names), F.sum("_sum").over(earlier).alias("_before"))
+    same = F.lit(True)
+    for n in names:
+        same &= F.col(n).eqNullSafe(F.col(f"_of_{n}"))
+    inner = Window.partitionBy(*names).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = df.withColumn("_inner", F.sum("_value").over(inner)).join(before, same)
+    # Nulls add nothing; without any value yet the sum is null.
+    return summed.withColumn(out, F.coalesce(F.col("_inner") + F.col("_before"), "_inner", "_before")).drop("_inner", "_before", "_value", "_bucket", *(f"_of_{n}" for n in names))
+
+
+def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, bucket: Column | None = None) -> DataFrame:
+    """The number of each row among its key's, from 1; bucket: as for running_sum."""
+    return running_sum(df, keys, order, F.lit(1).cast("long"), out, bucket)
+
+
+def batched(df: DataFrame, keys: Sequence[str], order: Sequence[str], size: int, bucket: Column | None = None) -> DataFrame:
+    """batch_id: consecutive runs of size rows for each key; bucket: as for running_sum."""
+    return numbered(df, keys, order, "_n", bucket).withColumn("batch_id", F.floor((F.col("_n") - 1) / size)).drop("_n")
 
 
 def batched_in_time(df: DataFrame, keys: Sequence[str], seconds: str, size: int, latency: float, order: Sequence[str] = ()) -> DataFrame:
@@ -174,9 +200,9 @@ def hashed_sample(df: DataFrame, columns: Sequence[str], percent: int) -> DataFr
     return df.where(F.conv(F.substring(digest, 1, 7), 16, 10).cast("long") % 100 < percent)
 
 
-def systematic_sample(df: DataFrame, keys: Sequence[str], order: Sequence[str], every: int) -> DataFrame:
-    w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn("_n", F.row_number().over(w)).where(F.col("_n") % every == 0).drop("_n")
+def systematic_sample(df: DataFrame, keys: Sequence[str], order: Sequence[str], every: int, bucket: Column | None = None) -> DataFrame:
+    """Every so many-th row of a key; bucket: as for running_sum."""
+    return numbered(df, keys, order, "_n", bucket).where(F.col("_n") % every == 0).drop("_n")
 
 
 def random_sample(df: DataFrame, rate: float, seed: int = 0) -> DataFrame:

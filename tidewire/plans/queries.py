@@ -285,9 +285,13 @@ def wall_times(spark, sf):
     return t(spark, sf, "events").select("event_id", S.wall_time(F.unix_timestamp(F.col("ts").cast("timestamp"))).alias("wall_time"))
 
 
+#: Ids of a bucket of events: keys are few, so a key's rows are spread over its buckets.
+IDS = 4096
+
+
 @query("select event_id, cast((row_number() over (partition by user_id order by event_id) - 1) // 5 as bigint) as batch_id from events")
 def message_batches(spark, sf):
-    return K.batched(t(spark, sf, "events", "event_id", "user_id"), ["user_id"], ["event_id"], 5).select("event_id", "batch_id")
+    return K.batched(t(spark, sf, "events", "event_id", "user_id"), ["user_id"], ["event_id"], 5, F.floor(F.col("event_id") / IDS)).select("event_id", "batch_id")
 
 
 def recursive(source: str, key: str, order: str, start: str, step: str, out: str) -> str:
@@ -379,7 +383,7 @@ def deterministic_sample(spark, sf):
 
 @query("select event_id from (select event_id, row_number() over (partition by event_type order by event_id) as n from events) where n % 10 = 0")
 def systematic_sample(spark, sf):
-    return K.systematic_sample(t(spark, sf, "events", "event_id", "event_type"), ["event_type"], ["event_id"], 10).select("event_id")
+    return K.systematic_sample(t(spark, sf, "events", "event_id", "event_type"), ["event_type"], ["event_id"], 10, F.floor(F.col("event_id") / IDS)).select("event_id")
 
 
 @query("select event_id, case when event_type = 'click' and user_id % 2 = 0 then 0.5 when event_type = 'click' then 0.25 else 1.0 end as rate from events")
