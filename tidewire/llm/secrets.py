@@ -22,15 +22,18 @@ from pyspark.sql import functions as F
 
 from tidewire.llm.common import chosen_by_hash
 
-CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/=.@-])(?=[A-Za-z_+/=.@-]*[0-9]|(?:[A-Za-z_+/=.@-]*?[a-z][A-Z]){3})[A-Za-z0-9_+/=.@-]{16,}(?![A-Za-z0-9_+/=@-])")
+CANDIDATE = re.compile(r"(?<![A-Za-z0-9_+/=.@-])[A-Za-z0-9_+/=.@-]{16,}(?![A-Za-z0-9_+/=@-])")
 #: What makes a part of a candidate one: a digit, or three changes from a small to a capital letter.
 KEYLIKE = re.compile(r"[0-9]|(?:[^0-9]*?[a-z][A-Z]){3}")
 #: Values that are told by their head.
 PREFIXED = re.compile(r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{12,}|gh[pousr]_[A-Za-z0-9]{20,}|sk_live_[A-Za-z0-9]{16,}|sk-[A-Za-z0-9]{16,}|xox[bp]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{20,}|glpat-[A-Za-z0-9_-]{16,}|eyJ[A-Za-z0-9_.-]{16,})(?![A-Za-z0-9_+/=@-])")
 #: A name and its '=' at the head of a candidate; the value is what follows.
 NAMED = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*=(?=[^=])")
-#: Values assigned to key-like names.
-ASSIGNED = re.compile(r"(?i)(?:token|secret|password|passwd|passphrase|pwd|api[_-]?key|auth|bearer|credential|(?:private|access|secret|signing|encryption)[_-]?key)(?:s|[_-][a-z0-9_-]{0,32})?[\"']?[ \t]{0,3}(?:=>|=|:)[ \t]{0,3}[\"'`]?([A-Za-z0-9_+/=.@-]{8,})")
+#: Values assigned to key-like names: a sign, the end of what stands before it, what stands behind it, and the most characters before.
+SIGN = re.compile(r"=>|[=:]")
+KEY_NAME = re.compile(r"(?i)(?:token|secret|password|passwd|passphrase|pwd|api[_-]?key|auth|bearer|credential|(?:private|access|secret|signing|encryption)[_-]?key)(?:s|[_-][a-z0-9_-]{0,32})?[\"']?[ \t]{0,3}\Z")
+VALUE = re.compile(r"[ \t]{0,3}[\"'`]?([A-Za-z0-9_+/=.@-]{8,})")
+BEFORE = 64
 #: Neighbouring words that speak for or against a secret, and word parts of ordinary names besides the dictionary's.
 FOR = {"token", "secret", "password", "passwd", "pwd", "key", "apikey", "api_key", "api", "auth", "bearer", "credential", "credentials", "private", "access", "access_key", "secret_key", "access_token", "client_secret"}
 AGAINST = {"commit", "sha", "sha1", "sha256", "md5", "checksum", "digest", "hash", "uuid", "id", "rev", "revision", "version", "isbn", "phone", "example", "sample", "dummy", "placeholder", "test", "mail", "email", "see", "file", "path", "etag", "build"}
@@ -183,9 +186,19 @@ def example_findings(n: int = 3_000, seed: int = 13) -> list[tuple[str, int, int
     return out
 
 
+def assigned(text: str) -> list[tuple[int, int]]:
+    """Start and end of each value that is assigned to a key-like name. Signs are few, so names are looked for before them alone."""
+    out, end = [], 0
+    for m in SIGN.finditer(text):
+        if m.start() >= end and KEY_NAME.search(text, max(end, m.start() - BEFORE), m.start()) and (v := VALUE.match(text, m.end())):
+            out.append(v.span(1))
+            end = v.end()
+    return out
+
+
 def candidates(text: str) -> list[tuple[int, int]]:
     """Start and end of each candidate, in order and apart from each other."""
-    out = [m.span(1) for m in ASSIGNED.finditer(text)]
+    out = assigned(text)
     # Values told by their heads, where they don't overlap those.
     heads, k = [], 0
     for m in PREFIXED.finditer(text):
