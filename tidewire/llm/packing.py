@@ -26,6 +26,8 @@ from tidewire.llm.common import written
 WINDOW = 2048
 #: A shard closes at so many documents or tokens.
 SHARD_DOCS, SHARD_TOKENS = 512, 1_000_000
+#: Bytes of tokens of a task, on average: documents are dealt out by number, and long ones lie close together in the order.
+TASK_BYTES = 8 << 20
 END = 1
 #: The tokenizer's special token; its string in a text is that one id.
 SPECIAL, SPECIAL_ID = "<|endoftext|>", 50256
@@ -198,8 +200,9 @@ def packed(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
             keys = [place(first[distinct.terms(np.frombuffer(raw.as_buffer(), np.uint16))]) for raw in batch.column(3)]
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *batch.columns], ["place", "row", "id", "size", "tokens"])
 
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-2 * (size or 0) // TASK_BYTES))
     # Rows are told apart, so many documents of one place are split too. Spark reads the written tokens twice, to sample the order and to shuffle.
-    placed = kept.mapInArrow(keyed, "place long, row long, id long, size long, tokens binary").repartitionByRange("place", "row").sortWithinPartitions("place", "row")
+    placed = kept.mapInArrow(keyed, "place long, row long, id long, size long, tokens binary").repartitionByRange(tasks, "place", "row").sortWithinPartitions("place", "row")
 
     def pack(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"]
