@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import decontaminate, language_id, licenses, lm_score, ngram_join, packing, secrets, topk, toxicity, url_filter
+from tidewire.llm import decontaminate, language_id, licenses, lm_score, ngram_join, packing, prefix_trie, secrets, topk, toxicity, url_filter
 from tidewire.llm.common import table
 from tidewire.session import ship
 
@@ -60,13 +60,26 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.scores(table(ship(spark), sf_dir, "documents", "doc_id", "text"))
 
 
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = prefix_trie.ordered(table(ship(spark), sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+    rebuilt, convs = prefix_trie.grafted(turns, F.col("conv_id") - F.col("conv_id") % 5, fold("conv_id", 9))
+    return prefix_trie.trie(rebuilt, convs).drop("digest")
+
+
 def license_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of op7's result that SQL can express; -1 where there is no place."""
     found = op7_license_scan(spark, sf_dir)
     return found.select("doc_id", "n_words", "n_base", F.coalesce("first_word", F.lit(-1)).alias("first_word"), F.coalesce("last_word", F.lit(-1)).alias("last_word"), "base_labels")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_topk, op2_toxicity, op3_language_id, op4_ngram_join, op5_packing, op6_decontamination, op7_license_scan, op8_secret_scan, op9_url_filter, op10_lm_score, license_base)}
+def crc32_sql(text: str) -> str:
+    """DuckDB SQL of the unsigned CRC-32 of a text's UTF-8 bytes: eight shifts a byte."""
+    octets = f"list_transform(range(1, strlen({text}) + 1), lambda i: cast('0x' || substr(hex(encode({text})), cast(2 * i - 1 as bigint), 2) as bigint))"
+    shifted = "list_reduce([xor(a, b)] || [0, 0, 0, 0, 0, 0, 0, 0]::bigint[], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))"
+    return f"xor(list_reduce([4294967295::bigint] || {octets}, lambda a, b: {shifted}), 4294967295)"
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_topk, op2_toxicity, op3_language_id, op4_ngram_join, op5_packing, op6_decontamination, op7_license_scan, op8_secret_scan, op9_url_filter, op10_lm_score, op12_prefix_trie, license_base)}
 
 #: Whole-table SQL where it is fast enough and can express the query.
 ORACLE_SQL: dict[str, str] = {
@@ -89,6 +102,18 @@ b as (select x, y from l union select y, x from l),
 r(id, to_id) as (select doc_id, doc_id from n union select r.id, b.y from r join b on b.x = r.to_id)
 select n.doc_id, cast(n.n as bigint) as n_shingles, coalesce(k.class_id, n.doc_id) as class_id, m.component_id from n
 join (select id, min(to_id) as component_id from r group by all) m on m.id = n.doc_id left join (select y, min(x) as class_id from l where same group by all) k on k.y = n.doc_id""",
+    "op12_prefix_trie": f"""
+with o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(strlen(role) || ':' || role || text)) as p from (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null)),
+k as (select conv_id, conv_id - conv_id % 5 as base, {crc32_sql('cast(conv_id as varchar)')} % 9 as h from (select distinct conv_id from o)),
+s as (select k.conv_id, coalesce((select list({{'r': o.role, 't': o.text}} order by p) from o where o.conv_id = k.base and p <= h), []) || coalesce((select list({{'r': o.role, 't': o.text}} order by p) from o where o.conv_id = k.conv_id and p > h), []) as w from k),
+f as (select conv_id, unnest(range(0, len(w) + 1)) as d, w from s),
+x as (select conv_id, d, w[:d] as q, d = len(w) as ended, case when d = 0 then 0 else strlen(w[d].t) end as b, case when d > 0 then w[:d - 1] end as up from f),
+n as (select d, q, any_value(up) as up, min(conv_id) as conv_id, count(*) as n_convs, max(b) as b, coalesce(string_agg(cast(conv_id as varchar), ',' order by conv_id) filter (where ended), '') as ends from x group by d, q),
+c as (select d - 1 as d, up as q, count(*) as n from n where d > 0 group by all),
+m as (select n.*, coalesce(c.n, 0) as n_children from n left join c on c.d = n.d and c.q = n.q),
+u as (select a.d, a.q, cast(sum(case when e.n_children = 0 then 1 else 0 end) as bigint) as n_leaves, cast(sum((e.n_convs - 1) * e.b) as bigint) as saved from m a join m e on e.d >= a.d and e.q[:a.d] = a.q group by all)
+select m.conv_id, cast(m.d as bigint) as depth, p.conv_id as parent_conv_id, m.n_convs, cast(m.n_children as bigint) as n_children, u.n_leaves, u.saved as saved_tokens, sha256(m.ends) as ends_sha256
+from m join u on u.d = m.d and u.q = m.q left join m p on p.d = m.d - 1 and p.q = m.up""",
     "license_base": r"""
 with w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
 p as (select doc_id, len(w) as n_words,
