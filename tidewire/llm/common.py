@@ -13,11 +13,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
 #: Entries a worker keeps per memo before it starts afresh; bounds the memory of a Python worker.
 MEMO_LIMIT = 200_000
-#: Rows of a side that may be broadcast: 16 bytes a row, 16 MB at most.
-BROADCAST_ROWS = 1_000_000
+#: Bytes of a side that may be broadcast, as `row_bytes` reckons them.
+BROADCAST_BYTES = 48 << 20
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -46,9 +47,20 @@ def written(df: DataFrame, name: str, partitions_hint: int | None = None) -> Dat
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_bytes(schema: StructType) -> Column:
+    """What a row takes: 16 bytes a value, and what texts and nested values have as text."""
+    total = F.lit(16 * len(schema.fields))
+    for f in schema.fields:
+        if isinstance(f.dataType, StringType | BinaryType):
+            total += F.coalesce(F.octet_length(f.name), F.lit(0))
+        elif isinstance(f.dataType, ArrayType | MapType | StructType):
+            total += F.coalesce(F.octet_length(F.to_json(f.name)), F.lit(0))
+    return total
+
+
 def small(df: DataFrame) -> DataFrame:
-    """df, which must be written, marked to be broadcast if it has no more than BROADCAST_ROWS rows; joined by a shuffle beyond."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+    """df, which must be written, marked to be broadcast if its rows have no more than BROADCAST_BYTES; joined by a shuffle beyond."""
+    return F.broadcast(df) if (df.agg(F.sum(row_bytes(df.schema))).first()[0] or 0) <= BROADCAST_BYTES else df
 
 
 def removed(spark: SparkSession, path: str) -> None:
@@ -156,6 +168,6 @@ def components(edges: DataFrame) -> DataFrame:
     while size := now.count():
         if not unfinished(now):
             break
-        few = 2 * size <= BROADCAST_ROWS  # an edge has two nodes
+        few = 2 * size * 32 <= BROADCAST_BYTES  # an edge has two nodes, each with its least neighbour
         now = written(star(star(now, True, few), False, few).coalesce(max(8, size // EDGES_A_TASK)), "stars")
     return now.select(F.col("a").alias("id"), F.col("b").alias("root")).union(now.select(F.col("b").alias("id"), F.col("b").alias("root")).distinct())

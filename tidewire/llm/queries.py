@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import decontaminate, language_id, licenses, lm_score, ngram_join, packing, prefix_trie, secrets, topk, toxicity, url_filter
+from tidewire.llm import decontaminate, language_id, licenses, lm_score, ngram_join, packing, pii, prefix_trie, secrets, topk, toxicity, url_filter
 from tidewire.llm.common import table
 from tidewire.session import ship
 
@@ -66,6 +66,15 @@ def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.trie(rebuilt, convs).drop("digest")
 
 
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.found_in(table(ship(spark), sf_dir, "documents", "doc_id", "text"))
+
+
+def pii_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The part of op13's result that SQL can express."""
+    return op13_pii(spark, sf_dir).drop("spans", "n_added")
+
+
 def license_base(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The part of op7's result that SQL can express; -1 where there is no place."""
     found = op7_license_scan(spark, sf_dir)
@@ -79,7 +88,7 @@ def crc32_sql(text: str) -> str:
     return f"xor(list_reduce([4294967295::bigint] || {octets}, lambda a, b: {shifted}), 4294967295)"
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_topk, op2_toxicity, op3_language_id, op4_ngram_join, op5_packing, op6_decontamination, op7_license_scan, op8_secret_scan, op9_url_filter, op10_lm_score, op12_prefix_trie, license_base)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_topk, op2_toxicity, op3_language_id, op4_ngram_join, op5_packing, op6_decontamination, op7_license_scan, op8_secret_scan, op9_url_filter, op10_lm_score, op12_prefix_trie, op13_pii, license_base, pii_base)}
 
 #: Whole-table SQL where it is fast enough and can express the query.
 ORACLE_SQL: dict[str, str] = {
@@ -114,6 +123,18 @@ m as (select n.*, coalesce(c.n, 0) as n_children from n left join c on c.d = n.d
 u as (select a.d, a.q, cast(sum(case when e.n_children = 0 then 1 else 0 end) as bigint) as n_leaves, cast(sum((e.n_convs - 1) * e.b) as bigint) as saved from m a join m e on e.d >= a.d and e.q[:a.d] = a.q group by all)
 select m.conv_id, cast(m.d as bigint) as depth, p.conv_id as parent_conv_id, m.n_convs, cast(m.n_children as bigint) as n_children, u.n_leaves, u.saved as saved_tokens, sha256(m.ends) as ends_sha256
 from m join u on u.d = m.d and u.q = m.q left join m p on p.d = m.d - 1 and p.q = m.up""",
+    "pii_base": r"""
+with t as (select row_number() over () as r, doc_id, coalesce(text, '') as text from documents),
+k as (select * from (values (0, 'email', '[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+'), (1, 'ip', '[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)'), (2, 'card', '[0-9](?:[\x20-]?[0-9])+'), (3, 'phone', '\+[0-9][\x20().0-9-]+[0-9]')) as v(k, name, re)),
+s as (select r, k, name, string_split_regex(text, re) as gaps, regexp_extract_all(text, re) as hits from t cross join k),
+m as (select r, k, name, i, gaps, hits, hits[i] as hit, regexp_replace(hits[i], '[^0-9]', '', 'g') as digits from (select *, unnest(range(1, len(hits) + 1)) as i from s)),
+p as (select r, k, name, cast(list_sum(list_transform(gaps[:i], lambda x: length(x))) + coalesce(list_sum(list_transform(hits[:i - 1], lambda x: length(x))), 0) as bigint) as a, length(hit) as n from m
+  where case k when 0 then true when 1 then len(list_filter(string_split(hit, '.'), lambda x: length(ltrim(x, '0')) > 3 or cast('0' || right(x, 3) as integer) > 255)) = 0
+  when 2 then length(digits) between 16 and 19 and list_sum(list_transform(range(0, length(digits)), lambda j: case when j % 2 = 0 then cast(substr(digits, length(digits) - j, 1) as integer)
+    else (2 * cast(substr(digits, length(digits) - j, 1) as integer)) // 10 + (2 * cast(substr(digits, length(digits) - j, 1) as integer)) % 10 end)) % 10 = 0
+  else length(digits) between 8 and 15 end),
+g as (select r, count(*) filter (where k = 0) as n_email, count(*) filter (where k = 1) as n_ip, count(*) filter (where k = 2) as n_card, count(*) filter (where k = 3) as n_phone, string_agg(name || ':' || a || ':' || (a + n), ',' order by k, a) as spans from p group by r)
+select doc_id, coalesce(n_email, 0) as n_email, coalesce(n_ip, 0) as n_ip, coalesce(n_card, 0) as n_card, coalesce(n_phone, 0) as n_phone, sha256(coalesce(spans, '')) as base_sha256 from t left join g on g.r = t.r""",
     "license_base": r"""
 with w as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
 p as (select doc_id, len(w) as n_words,
