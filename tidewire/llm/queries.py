@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewire.llm import decontaminate, language_id, licenses, lm_score, ngram_join, packing, pii, prefix_trie, secrets, topk, toxicity, url_filter
+from tidewire.llm import decontaminate, language_id, licenses, lm_score, ngram_join, packing, pii, prefix_trie, secrets, spelling, topk, toxicity, url_filter
 from tidewire.llm.common import table
 from tidewire.session import ship
 
@@ -60,6 +60,10 @@ def op10_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_score.scores(table(ship(spark), sf_dir, "documents", "doc_id", "text"))
 
 
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.counted(table(ship(spark), sf_dir, "documents", "doc_id", "text"), letters=6, least=5, every=199))
+
+
 def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = prefix_trie.ordered(table(ship(spark), sf_dir, "conversations", "conv_id", "turn", "role", "text"))
     rebuilt, convs = prefix_trie.grafted(turns, F.col("conv_id") - F.col("conv_id") % 5, fold("conv_id", 9))
@@ -88,7 +92,7 @@ def crc32_sql(text: str) -> str:
     return f"xor(list_reduce([4294967295::bigint] || {octets}, lambda a, b: {shifted}), 4294967295)"
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_topk, op2_toxicity, op3_language_id, op4_ngram_join, op5_packing, op6_decontamination, op7_license_scan, op8_secret_scan, op9_url_filter, op10_lm_score, op12_prefix_trie, op13_pii, license_base, pii_base)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_exact_topk, op2_toxicity, op3_language_id, op4_ngram_join, op5_packing, op6_decontamination, op7_license_scan, op8_secret_scan, op9_url_filter, op10_lm_score, op11_spelling, op12_prefix_trie, op13_pii, license_base, pii_base)}
 
 #: Whole-table SQL where it is fast enough and can express the query.
 ORACLE_SQL: dict[str, str] = {
@@ -111,6 +115,20 @@ b as (select x, y from l union select y, x from l),
 r(id, to_id) as (select doc_id, doc_id from n union select r.id, b.y from r join b on b.x = r.to_id)
 select n.doc_id, cast(n.n as bigint) as n_shingles, coalesce(k.class_id, n.doc_id) as class_id, m.component_id from n
 join (select id, min(to_id) as component_id from r group by all) m on m.id = n.doc_id left join (select y, min(x) as class_id from l where same group by all) k on k.y = n.doc_id""",
+    "op11_spelling": f"""
+with recursive t as (select doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\u00C0-\u00FF]+')) as w from documents),
+d as (select doc_id, w, count(*) as n from t where length(w) >= 6 group by all),
+h as (select w, n, {crc32_sql("(coalesce(cast(doc_id as varchar), '') || ':' || w)")} as h from d),
+c as (select case when h % 199 = 0 then w[:h % length(w)] || w[h % length(w) + 2:] else w end as word, cast(sum(n) as bigint) as n from h group by all),
+v as (select word, n from c where length(word) >= 6 and n >= 5),
+p as (select word, n, unnest(range(0, length(word))) as i from v),
+q as (select word, n, i, word[:i] || '_' || word[i + 2:] as replaced, word[:i] || word[i + 2:] as shorter from p),
+e as (select a.word as x, b.word as y, b.n as m from q a join q b on a.replaced = b.replaced and a.word <> b.word
+  union select q.word, v.word, v.n from q join v on q.shorter = v.word union select v.word, q.word, q.n from q join v on q.shorter = v.word),
+b as (select x, count(*) as n_near, first(y order by m desc, y) as y, max(m) as m from e group by x),
+f as (select word, n, coalesce(n_near, 0) as n_near, case when m >= 5 * n then y end as form, case when m >= 5 * n then m end as form_n from v left join b on x = word),
+r(word, to_word) as (select word, coalesce(form, word) from f union select r.word, f.form from r join f on f.word = r.to_word where f.form is not null)
+select f.word, f.form, (select first(r.to_word) from r join f g on g.word = r.to_word where r.word = f.word and g.form is null) as root, f.n, f.n_near, f.form_n from f""",
     "op12_prefix_trie": f"""
 with o as (select *, row_number() over (partition by conv_id order by turn nulls first, role, sha256(strlen(role) || ':' || role || text)) as p from (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations where conv_id is not null)),
 k as (select conv_id, conv_id - conv_id % 5 as base, {crc32_sql('cast(conv_id as varchar)')} % 9 as h from (select distinct conv_id from o)),
