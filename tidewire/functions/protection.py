@@ -6,6 +6,7 @@ several matching rules wins by rank, and the first added on ties.
 
 from __future__ import annotations
 
+import base64
 import hashlib
 import re
 from collections.abc import Callable, Iterator, Sequence
@@ -15,8 +16,9 @@ from functools import reduce
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, MapType, NumericType, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, NumericType, StringType, StructType, VariantType
 
+from tidewire.functions import documents as D
 from tidewire.functions.names import column
 
 #: From weakest to strongest.
@@ -236,11 +238,44 @@ class Path:
         raise ValueError(f"a function can't tell the paths below {self.text()!r}, which each row has its own of: give a path or a pattern")
 
 
+#: Paths whose rule a worker remembers.
+PATHS = 100_000
+LEAF = "struct<rule:int,path:string,text:string>"
+
+
+class Rules:
+    """Which rule holds for a path of a document, as a place in `rules`, strongest first; remembered."""
+
+    def __init__(self, rules: Sequence[Rule]):
+        self.rules = by_strength(rules)
+        self._known: dict[tuple[str, bool], int] = {}
+
+    def of(self, path: str, leaf: bool) -> int:
+        """-1: none. Of objects and arrays only a rule that names them holds."""
+        if (found := self._known.get((path, leaf))) is None:
+            if len(self._known) >= PATHS:
+                self._known.clear()
+            fits = (k for k, r in enumerate(self.rules) if path_matches(path, r.matcher) and (leaf or _names(r, path)))
+            found = next(fits, -1)
+            found = self._known[path, leaf] = found if found < 0 or self.rules[found].level != "none" else -1
+        return found
+
+
+def _names(rule: Rule, path: str) -> bool:
+    """Whether a rule is a path whose last segment is no * or [*]."""
+    return isinstance(rule.matcher, str) and segments(rule.matcher)[-1] not in ("*", "[*]")
+
+
 class Protector:
-    """Applies rules to the leaves of a DataFrame's schema: fields of structs, elements of arrays, values of maps.
+    """Applies rules to the leaves of a DataFrame's schema: fields of structs, elements of arrays, values of maps; and to those of documents of any
+    shape: JSON text by documents(), columns of VARIANT as they stand.
+
+    What a schema tells is made of Column expressions alone. There a rule whose path names an object, an array or a map raises, as only leaves are
+    protected; so does a function as matcher where a path depends on the row, and a VARIANT inside an array or a map. keep: columns, or first
+    names of documents, that aren't looked into.
 
-    The plan is made of Column expressions alone. A rule whose path names an object, an array or a map raises, as only leaves are
-    protected; so does a function as matcher where a path depends on the row. keep: columns that aren't looked into.
+    Documents and VARIANTs are walked one by one, whatever types their fields have: each leaf by the rule of its own path. An object or an array
+    whose path a rule names can't be protected and is left out.
     """
 
     def __init__(self, rules: Sequence[Rule], key: bytes | None = None, keep: Sequence[str] = ()):
@@ -274,6 +309,83 @@ class Protector:
                 return categorised(value, o.get("categories", {}), o.get("rules", ()))
         return value
 
+    def documents(self, text: Column, prefix: str = "", noted: bool = False) -> Column:
+        """text: JSON with its leaves protected; fields: path -> level of those that a rule held for, also written to the document as _protected where
+        noted. prefix: where the value itself stands.
+
+        Leaves with a rule are taken out, protected by Column expressions, and put in again. Null and what is no JSON become null.
+        """
+        if self.key is None and any(r.level == "encrypt" for r in self.rules):
+            raise ValueError("encryption needs a key")
+        rules, keep = Rules(self.rules), frozenset(self.keep)
+
+        def walked(x: str, put: Callable[[Rule, str, object], object]) -> object:
+            """A document with what put() makes of each value with a rule; the value itself stands below prefix."""
+
+            def visit(path: str, v: object, leaf: bool) -> object:
+                k = rules.of(path, leaf)
+                return D.STAYS if k < 0 else put(rules.rules[k], path, v)
+
+            value = D.loads(x)
+            return D.rewritten({prefix: value}, visit).get(prefix, D.GONE) if prefix else D.rewritten(value, visit, keep=keep)
+
+        @F.pandas_udf(f"array<{LEAF}>")
+        def taken(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            def one(x: str | None) -> list[dict]:
+                found: list[dict] = []
+
+                def note(rule: Rule, path: str, v: object) -> object:
+                    found.append({"rule": rules.rules.index(rule), "path": path, "text": _own_hash(rule, path, _text(v))})
+                    return None
+
+                if x is not None and _is_json(x):
+                    walked(x, note)
+                return found
+
+            for s in texts:
+                yield s.map(one)
+
+        @F.pandas_udf("struct<text:string,fields:map<string,string>>")
+        def put(frames: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
+            def one(x: str | None, made: Sequence[str | None]) -> tuple[str | None, dict[str, str]]:
+                fields, new = {}, iter(made)
+
+                def fill(rule: Rule, path: str, v: object) -> object:
+                    out = _put(rule, v, next(new))
+                    fields[path] = "remove" if out is D.GONE else rule.level
+                    return out
+
+                if x is None or not _is_json(x):
+                    return None, {}
+                value = walked(x, fill)
+                if noted and fields and isinstance(value, dict):
+                    value["_protected"] = dict(sorted(fields.items()))
+                return None if value is D.GONE else D.dumps(value), fields
+
+            for texts, made in frames:
+                rows = [one(x, n) for x, n in zip(texts, made, strict=True)]
+                yield pd.DataFrame({"text": [r[0] for r in rows], "fields": [r[1] for r in rows]})
+
+        def one(leaf: Column) -> Column:
+            new = F.lit(None).cast("string")
+            for k, rule in enumerate(rules.rules):
+                if rule.level in ("none", "remove"):
+                    continue
+                made = leaf["text"] if _by_hand(rule) else self._leaf(leaf["text"], StringType(), leaf["path"], rule).cast("string")
+                if "places" in rule.options:
+                    whole = leaf["text"].try_cast("bigint")
+                    made = F.when(leaf["text"].rlike("^-?[0-9]{1,18}$"), rounded(whole, rule.options["places"]).cast("string")).otherwise(made)
+                new = F.when(leaf["rule"] == k, made).otherwise(new)
+            return new
+
+        return put(text, F.transform(taken(text), one))
+
+    def protected_documents(self, df: DataFrame, name: str, where: Column | None = None) -> DataFrame:
+        """df with the JSON documents of a column protected (where: only these), _protected among their fields where a rule held."""
+        at = F.lit(True) if where is None else F.coalesce(where, F.lit(False))
+        made = self.documents(F.when(at, column(name)), noted=True)["text"]
+        return df.withColumn(name, F.when(at, made).otherwise(column(name)))
+
     def _options(self, path: Path) -> list[tuple[Rule, bool | Column]]:
         """Rules that fit or may fit, strongest first, up to the first that surely does."""
         out = []
@@ -292,6 +404,12 @@ class Protector:
             if named:
                 raise ValueError(f"rule {named[0].matcher!r} names {path.text()!r}, which is no leaf: give rules for what is in it")
             return self._inner(value, kind, path, found), None
+        if isinstance(kind, VariantType):
+            if not path.fixed:
+                raise ValueError(f"{path.text()!r} is a VARIANT inside an array or a map, which can't be looked into: give the document as JSON text")
+            made = self.documents(F.to_json(value), path.text())
+            self._walked.append(made["fields"])
+            return F.try_parse_json(made["text"]), None
         options = self._options(path)
         if not options or options[0][0].level == "none" and options[0][1] is True:
             return value, None
@@ -342,6 +460,7 @@ class Protector:
     def __call__(self, df: DataFrame) -> DataFrame:
         """Protected columns, and _protected: path -> level, when some rule applies."""
         found: dict[str, str] = {}
+        self._walked: list[Column] = []
         cols = []
         for f in df.schema.fields:
             c = column(f.name)
@@ -349,11 +468,47 @@ class Protector:
                 c, _ = self._value(c, f.dataType, Path().field(f.name), found)
             if c is not None:
                 cols.append(c.alias(f.name))
-        if found:
-            cols.append(F.create_map(*(F.lit(x) for kv in sorted(found.items()) for x in kv)).alias("_protected"))
+        if found or self._walked:
+            known = F.create_map(*(F.lit(x) for kv in sorted(found.items()) for x in kv)).cast("map<string,string>")
+            cols.append(F.map_concat(known, *self._walked).alias("_protected"))
         return df.select(*cols)
 
 
+def _by_hand(rule: Rule) -> bool:
+    """Whether a rule's hash has no built-in function."""
+    return rule.level == "hash" and rule.options.get("algorithm", "sha256") not in BUILT_IN
+
+
+def _own_hash(rule: Rule, path: str, text: str | None) -> str | None:
+    """text, or its hash where no built-in function makes it."""
+    if text is None or not _by_hand(rule):
+        return text
+    digest = hashlib.new(rule.options["algorithm"], ((path if rule.options.get("salt", True) else "") + text).encode()).digest()
+    return "hash:" + base64.b64encode(digest).decode()
+
+
+def _text(value: object) -> str | None:
+    """A leaf as text; null for objects, arrays and null."""
+    return None if value is None or isinstance(value, dict | list) else str(value).lower() if isinstance(value, bool) else str(value)
+
+
+def _is_json(text: str) -> bool:
+    try:
+        D.loads(text)
+    except ValueError:
+        return False
+    return True
+
+
+def _put(rule: Rule, old: object, new: str | None) -> object:
+    """What stands in a document for a protected value: nothing for what is removed and for objects and arrays, null for what can't be protected."""
+    if rule.level == "remove" or isinstance(old, dict | list):
+        return D.GONE
+    if old is None or new is None:
+        return None
+    return D.Number(new) if "places" in rule.options else new
+
+
 def contains(names: str) -> re.Pattern:
     """A path with one of these names anywhere in it, in small letters or capitals."""
     return re.compile(f".*({names}).*", re.IGNORECASE)

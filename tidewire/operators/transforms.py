@@ -8,11 +8,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructType, VariantType
 
+from tidewire.functions import documents as D
 from tidewire.functions.names import column
 
 Transform = Callable[[DataFrame], DataFrame]
+#: A document's fields that its schema lacks, as JSON text of an object. What the transformations here do to fields they do to these, too.
+REST = "_rest_of_document"
 STAGES = ("pre_validation", "post_validation", "pre_publish")
 
 
@@ -71,14 +74,19 @@ def without_fields(paths: Sequence[str], now: datetime | None = None) -> Transfo
             c = column(f.name) if value is None else value[f.name]
             if any(len(p) == 1 for p in mine):
                 continue
+            inner = [p[1:] for p in mine]
             if mine and isinstance(f.dataType, StructType):
-                c = F.when(c.isNotNull(), F.struct(*drop(f.dataType, c, [p[1:] for p in mine])))
+                c = F.when(c.isNotNull(), F.struct(*drop(f.dataType, c, inner)))
+            if mine and isinstance(f.dataType, VariantType):
+                c = D.edited_variant(c, lambda v: D.without(v, inner))
+            if value is None and f.name == REST and (rest := [p for p in under if p[0] not in kind.names]):
+                c = D.edited(c, lambda v: D.without(v, rest))
             out.append(c.alias(f.name))
         return out
 
     def remove_fields(df: DataFrame) -> DataFrame:
         at = F.lit(now) if now else F.current_timestamp()
-        kept = df.select(*drop(df.schema, None, [p.split(".") for p in paths]))
+        kept = df.select(*drop(df.schema, None, [p.split(".") for p in paths if p != REST]))
         return kept.withColumn("_security_metadata", F.struct(F.array(*map(F.lit, paths)).alias("removed_fields"), at.alias("sanitized_at")))
 
     return remove_fields
@@ -93,11 +101,15 @@ def with_prefix(prefix: str, fields: Sequence[str] | None = None, now: datetime
         for f in kind.fields:
             c = column(f.name) if value is None else value[f.name]
             own = f"{path}.{f.name}" if path else f.name
+            if f.name == REST and value is None and (fields is None or any(p.split(".")[0] not in kind.names for p in fields)):
+                c = D.edited(c, lambda v: D.with_prefixes(v, prefix, fields))
             if f.name.startswith("_"):
                 out.append(c.alias(f.name))
                 continue
             if isinstance(f.dataType, StructType):
                 c = F.when(c.isNotNull(), F.struct(*rename(f.dataType, c, own)))
+            if isinstance(f.dataType, VariantType):
+                c = D.edited_variant(c, lambda v, own=own: D.with_prefixes(v, prefix, fields, own))
             out.append(c.alias(f"{prefix}_{f.name}" if fields is None or own in fields else f.name))
         return out
 

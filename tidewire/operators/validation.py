@@ -108,7 +108,7 @@ def _broken_rules(fields: dict[str, Column], rules: tuple[FieldRule, ...], stric
         if r.required:
             found.append(F.when(value.isNull(), F.lit(f"{r.name}: required")))
         if r.kind == "integer":
-            numeric = kind.rlike("^(BIGINT|DECIMAL.*|DOUBLE)$") & (number == F.floor(number))
+            numeric = kind.rlike("^(BIGINT|DECIMAL.*|DOUBLE)$") & (number % 1 == 0)
             found.append(F.when(here & ~F.coalesce(numeric, F.lit(False)), F.lit(f"{r.name}: integer")))
             if r.minimum is not None:
                 found.append(F.when(here & numeric & (number < r.minimum), F.lit(f"{r.name}: minimum")))

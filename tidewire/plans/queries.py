@@ -110,6 +110,39 @@ def protected_documents(spark, sf):
     return found
 
 
+MIXED = EVENTS + """, n as (select *, event_id % 6 as n, case when quantity < 0 then 'quantity: minimum' end as low from dd where collection = 'inventory' and operation_type <> 'delete'),
+w as (select *, concat_ws(';', case when n = 3 then 'quantity: integer' else low end, case when n = 4 then 'brand: string' end, case when n = 5 then 'threshold_min: integer' end) as error from n)
+select lpad(cast(event_id as varchar), 12, '0') as resume_token, case when error <> '' then '' else case n when 0 then '{"email":"so***********"}' when 1 then 'x' when 2 then '["a",{}]' else '' end end as customer, error from w"""
+
+
+def mixed(spark: SparkSession, sf: str, schemas: dict[str, str]) -> DataFrame:
+    """Documents whose fields have several types, wrong ones and nulls among them, through a transformation before validation and the rules for personal data."""
+    registry = T.Registry()
+    registry.register("pre_validation", "inventory", lambda d: d)
+    plan = cdc.Plan(registry, protectors={"inventory": P.Protector(P.PII_RULES)}, schemas=schemas)
+    n = F.col("resume_token").cast("long") % 6
+    more = F.element_at(F.array(*map(F.lit, ('"customer":{"ssn":"1","email":"someone@x.org"}', '"customer":"x"', '"customer":["a",{"ssn":"2"}]', '"extra":1', '"brand":null', '"threshold_min":"abc"'))), (n + 1).cast("int"))
+    body = F.concat(F.lit("{"), more, F.lit(","), F.substring("full_document", 2, 2**30))
+    body = F.when(n == 3, F.regexp_replace(body, '"quantity":-?[0-9]+', '"quantity":"x"')).otherwise(body)
+    events = changes.from_events(spark, sf).where("collection = 'inventory' and operation_type <> 'delete'").withColumn("full_document", body)
+    messages, dead = cdc.pipeline(events, TOPICS, plan=plan)
+    found = lambda path: F.coalesce(F.get_json_object(F.decode("value", "UTF-8"), "$.data" + path), F.lit(""))
+    fine = messages.select(found("._id").alias("resume_token"), found(".fullDocument.customer").alias("customer"), F.lit("").alias("error"))
+    return fine.union(dead.select("resume_token", F.lit(""), F.concat_ws(";", "errors")))
+
+
+@query(MIXED)
+def mixed_documents(spark, sf):
+    """Read by the fields of their contract."""
+    return mixed(spark, sf, {})
+
+
+@query(MIXED)
+def mixed_documents_by_schema(spark, sf):
+    """Read by a schema that the plan gives."""
+    return mixed(spark, sf, {"inventory": "product_id string, quantity bigint, threshold_min bigint, brand string, customer variant"})
+
+
 @query(EVENTS + """, vs as (select *, case event_id % 11 when 0 then 'v999' when 3 then 'v2' else 'v1' end as version from dd where operation_type <> 'delete')
 select lpad(cast(event_id as varchar), 12, '0') as resume_token, case when version = 'v999' then 'no migration of ' || case collection when 'inventory' then 'inventory' else 'transaction' end || ' from v999 to v2'
   when collection = 'inventory' then case when quantity < 0 then 'quantity: minimum' end when kind = 'gift' then 'transaction_type: enum' end as error,
@@ -193,9 +226,10 @@ def heartbeat_status(spark, sf):
     return cdc.heartbeat(changes.from_events(spark, sf), F.lit("2030-01-01").cast("timestamp")).select("collection", F.col("last_change_time").cast("timestamp_ntz").alias("last_change_time"), "changes")
 
 
-@query(EVENTS + """select lpad(cast(e.event_id as varchar), 12, '0') as resume_token, c.c_name as document from ev e left join customer c on c.c_custkey = e.user_id where operation_type = 'update'""")
+@query(EVENTS + """select lpad(cast(e.event_id as varchar), 12, '0') as resume_token, case when collection = 'inventory' then 'stock of ' || c.c_name else c.c_name end as document from ev e left join customer c on c.c_custkey = e.user_id where operation_type = 'update'""")
 def update_lookup(spark, sf):
-    now = t(spark, sf, "customer", "c_custkey", "c_name").select(F.col("c_custkey").cast("string").alias("document_key"), F.col("c_name").alias("document"))
+    now = t(spark, sf, "customer", "c_custkey", "c_name").select(F.explode(F.array(F.lit("inventory"), F.lit("transactions"))).alias("collection"), F.col("c_custkey").cast("string").alias("document_key"), F.col("c_name").alias("document"))
+    now = now.withColumn("document", F.when(F.col("collection") == "inventory", F.concat(F.lit("stock of "), "document")).otherwise(F.col("document")))
     ev = changes.from_events(spark, sf).where("operation_type = 'update'").withColumn("full_document", F.lit(None).cast("string"))
     return cdc.looked_up(ev, now).select("resume_token", F.col("full_document").alias("document"))
 
@@ -556,9 +590,8 @@ def user_sessions(spark, sf):
     return sessions(e, "ts", "user_id").select("user_id", F.col("start").cast("timestamp_ntz").alias("start"), "n")
 
 
-@query("select event_type as collection, count(*) as n from events group by all")
+@query("select 'orders' as collection, count(*) as n, count(o_orderkey) as keys from orders union all select 'customers', count(*), 0 from customer union all select 'events', count(*), 0 from events")
 def fan_in(spark, sf):
-    """Collections from sources of their own."""
-    e = t(spark, sf, "events")
-    kinds = ("click", "error", "purchase", "signup", "view")
-    return cdc.fan_in([(k, e.where(F.col("event_type") == k)) for k in kinds]).groupBy("collection").agg(F.count("*").alias("n"))
+    """Collections from sources of their own, each with its own columns."""
+    parts = [("orders", t(spark, sf, "orders", "o_orderkey")), ("customers", t(spark, sf, "customer", "c_name")), ("events", t(spark, sf, "events", "event_id", "event_type"))]
+    return cdc.fan_in(parts).groupBy("collection").agg(F.count("*").alias("n"), F.count("o_orderkey").alias("keys"))

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidewire.functions.serialization import iso_time
 from tidewire.plans import cdc
+from tidewire.sources import scratch
 from tidewire.streaming.stateful import fresh_stream
 
 
@@ -31,18 +31,15 @@ def batch_writer(out: str, topics: dict[str, str], form: str = "json", plan: cdc
     """For foreachBatch: out/messages, out/dead and out/status, a folder for each batch and topic.
 
     A batch that is done again, after a lost driver, overwrites its own folders: every message is there once. Its rows are
-    deduplicated and validated once for all three; what a lost executor held is computed again.
+    deduplicated and validated once for all three, and written to the shared folder meanwhile.
     """
 
     def write(batch: DataFrame, number: int) -> None:
-        rows = cdc.checked(batch, plan).persist(StorageLevel.DISK_ONLY)
-        try:
-            messages, dead = cdc.split(rows, topics, form, plan)
+        with scratch.cleared(batch.sparkSession):
+            messages, dead = cdc.split(scratch.written(cdc.checked(batch, plan), "checked"), topics, form, plan)
             messages.write.mode("overwrite").partitionBy("topic").parquet(f"{out}/messages/batch={number}")
             dead.write.mode("overwrite").parquet(f"{out}/dead/batch={number}")
             status_messages(cdc.heartbeat(batch, now()), now()).write.mode("overwrite").parquet(f"{out}/status/batch={number}")
-        finally:
-            rows.unpersist()
 
     return write
 
