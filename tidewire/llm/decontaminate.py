@@ -96,9 +96,10 @@ class Index:
     def __init__(self, items: list[tuple[int, bytes | None]], rate: float, least: int):
         words = WordHash()
         seqs = [(i, sequence(t, words)) for i, t in items]
-        self.items = [(i, s) for i, s in seqs if len(s) >= least]
+        self.items = [(i, s) for i, s in seqs if len(s) >= min(least, ANCHOR)]
         self.rate = rate
-        self.edits = [int(len(s) * rate) for _, s in self.items]
+        # Shorter items have to stand as they are.
+        self.edits = [int(len(s) * rate) if len(s) >= least else 0 for _, s in self.items]
         #: The pieces: item, and place in it.
         self.pieces: list[tuple[int, int]] = []
         self.anchors: dict[int, dict[int, list[int]]] = {}
@@ -181,8 +182,8 @@ class Index:
 def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.2, least: int = 8) -> DataFrame:
     """doc_id, item_id, edits, first_word, n_words: the best window of each item that a document leaks.
 
-    docs: doc_id, text; benchmark: item_id, text. rate: word edits allowed per word of the item. Items of fewer than
-    `least` words and null texts leak nothing; empty tables give no rows; repeated items and documents
+    docs: doc_id, text; benchmark: item_id, text. rate: word edits allowed per word of the item; items of fewer than
+    `least` words leak where they stand as they are. Items of fewer than ANCHOR words, which stand everywhere, and null texts leak nothing; empty tables give no rows; repeated items and documents
     each have their rows, and of windows of equally many edits the first is given. Texts of any length are searched whole; further
     columns aren't read. The benchmark is searched in passes of about ITEMS_A_PASS items or BYTES_A_PASS bytes, which bounds the index.
     """
