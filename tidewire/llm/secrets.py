@@ -1,7 +1,8 @@
 """Secret scans: a random forest removes the false positives of a wide candidate pattern.
 
 Candidates are long runs of key-like characters with a digit or a key's change of case, without the NAME= before them; values of
-known prefixes; and shorter ones, of any characters, that are assigned to a key-like name. The forest sees length, character
+known prefixes; what is assigned to a key-like name, of any characters, up to its closing quote or the next white space; what follows
+`Bearer`; and blocks of private keys. The forest sees length, character
 transitions, dictionary coverage, surroundings that look like a path, and neighbouring words, and is
 trained from labelled findings: (text, start, end, secret).
 """
@@ -31,11 +32,14 @@ PREFIXED = re.compile(r"(?<![A-Za-z0-9])(?:AKIA[A-Z0-9]{12,}|gh[pousr]_[A-Za-z0-
 NAMED = re.compile(r"[A-Za-z_][A-Za-z0-9_.-]*=(?=[^=])")
 #: Values assigned to key-like names: a sign, the end of what stands before it, what stands behind it, and the most characters before.
 SIGN = re.compile(r"=>|[=:]")
-KEY_NAME = re.compile(r"(?i)(?:token|secret|password|passwd|passphrase|pwd|api[_-]?key|auth|bearer|credential|(?:private|access|secret|signing|encryption)[_-]?key)(?:s|[_-][a-z0-9_-]{0,32})?[\"']?[ \t]{0,3}\Z")
-VALUE = re.compile(r"[ \t]{0,3}[\"'`]?([A-Za-z0-9_+/=.@-]{8,})")
+KEY_NAME = re.compile(r"(?i)(?:token|secret|password|passwd|passphrase|pwd|api[_-]?key|auth|bearer|credential|(?:private|access|secret|signing|encryption)[_-]?key|(?<![A-Za-z])pass)(?:s|[_-][a-z0-9_-]{0,32})?[\"']?[ \t]{0,3}\Z")
+#: A quoted value to its closing quote, another one to white space, a quote, or the next name of a query string.
+VALUE = re.compile(r"[ \t]{0,3}[\"'`]?((?<=\")[^\"\n]{8,}(?=\")|(?<=')[^'\n]{8,}(?=')|(?<=`)[^`\n]{8,}(?=`)|(?!>)(?:(?!&[A-Za-z_][A-Za-z0-9_.-]*=)[^\s\"'`]){7,}(?!&[A-Za-z_][A-Za-z0-9_.-]*=)[^\s\"'`,;:.)\]}>])")
+BEARER = re.compile(r"(?i)(?<![A-Za-z])bearer[ \t]{1,3}([^\s\"'`]{7,}[^\s\"'`,;:.)\]}>])")
+PEM, PEM_END = re.compile(r"-----BEGIN [A-Z0-9 ]{0,40}PRIVATE KEY-----"), re.compile(r"-----END [A-Z0-9 ]{0,40}PRIVATE KEY-----")
 BEFORE = 64
 #: Neighbouring words that speak for or against a secret, and word parts of ordinary names besides the dictionary's.
-FOR = {"token", "secret", "password", "passwd", "pwd", "key", "apikey", "api_key", "api", "auth", "bearer", "credential", "credentials", "private", "access", "access_key", "secret_key", "access_token", "client_secret"}
+FOR = {"token", "secret", "password", "pass", "passwd", "pwd", "key", "apikey", "api_key", "api", "auth", "bearer", "credential", "credentials", "private", "access", "access_key", "secret_key", "access_token", "client_secret"}
 AGAINST = {"commit", "sha", "sha1", "sha256", "md5", "checksum", "digest", "hash", "uuid", "id", "rev", "revision", "version", "isbn", "phone", "example", "sample", "dummy", "placeholder", "test", "mail", "email", "see", "file", "path", "etag", "build"}
 #: Labelled findings that a forest is trained from, about, if a table of them is given.
 LABELLED = 20_000
@@ -150,18 +154,26 @@ def example_findings(n: int = 3_000, seed: int = 13) -> list[tuple[str, int, int
     hexa, alnum = "0123456789abcdef", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
     word = lambda: "".join(r.choice(["th", "er", "on", "an", "re", "he", "in", "ed", "nd", "ti", "es", "or", "te", "of", "ción", "sch"]) for _ in range(r.randint(1, 4)))
     prose = lambda: " ".join(word() for _ in range(r.randint(2, 6)))
+    pieces = sorted(dictionary())
     out = []
     for k in range(n):
         if k % 2:
-            name = r.choice(["token", "api_key", "secret", "password", "auth_token", "access_token", "client_secret", "private_key", "SECRET_KEY", "TOKEN", "API_KEY"])
-            value = r.choice([lambda: chars(hexa, r.choice([32, 40, 40, 48, 64])), lambda: chars(hexa, 40).upper(), lambda: chars(alnum, r.randint(20, 64)), lambda: "AKIA" + chars("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16), lambda: "ghp_" + chars(alnum, 36), lambda: "sk_live_" + chars(alnum, 24), lambda: chars(alnum + "+/", 40) + "==", lambda: chars(alnum, r.randint(8, 15)), lambda: chars(alnum[:52], r.randint(12, 28)), lambda: "AKIA" + chars(alnum[:26], 16), lambda: word() + str(r.randint(1, 9999)) + word()])()
+            name = r.choice(["token", "api_key", "secret", "password", "auth_token", "access_token", "client_secret", "private_key", "SECRET_KEY", "TOKEN", "API_KEY", "DB_PASS", "pass", "DB_PASSWORD", "pwd"])
+            value = r.choice([lambda: chars(hexa, r.choice([32, 40, 40, 48, 64])), lambda: chars(hexa, 40).upper(), lambda: chars(alnum, r.randint(20, 64)), lambda: "AKIA" + chars("ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", 16), lambda: "ghp_" + chars(alnum, 36), lambda: "sk_live_" + chars(alnum, 24), lambda: chars(alnum + "+/", 40) + "==", lambda: chars(alnum, r.randint(8, 15)), lambda: chars(alnum[:52], r.randint(12, 28)), lambda: "AKIA" + chars(alnum[:26], 16), lambda: word() + str(r.randint(1, 9999)) + word(), lambda: chars(alnum + "!&#$%^*?", r.randint(10, 24)), lambda: word() + r.choice("!&#$%") + chars(alnum + "!&#$%", r.randint(6, 12)), lambda: r.choice(pieces) + str(r.randint(0, 999)) + r.choice(["", "!", "#", "$"]) + r.choice(pieces), lambda: chars(alnum[26:], r.randint(9, 14))])()
             join = r.choice([' = "', '="', ": ", "=", ": '", " = '", ' = "', ' = "', "=", "="])
             if r.random() < 0.15 and (re.match("AKIA|ghp_|sk_live_", value) or len(value) >= 24 and value.isalpha()):
                 name, join = word(), " "
+            if r.random() < 0.05:
+                name, join = r.choice(["Authorization: Bearer", "bearer"]), " "
             lead = r.choice(["", "", "", "export ", "http://" + word() + ".example.com/" + word() + "?", "x=1&"]) if join == "=" else ""
             before, after = f"{prose()} {lead}{name}{join}", join[-1].strip(" =:") + " " + prose()
+            if r.random() < 0.03:
+                lines = "\n".join(chars(alnum + "+/", 64) for _ in range(r.randint(2, 26)))
+                label = r.choice(["", "RSA ", "EC ", "OPENSSH ", "ENCRYPTED "])
+                before, value, after = prose() + " ", f"-----BEGIN {label}PRIVATE KEY-----\n{lines}\n-----END {label}PRIVATE KEY-----", "\n" + prose()
         else:
             before, value, after = r.choice([
+                lambda: (prose() + ' the secret: "', prose(), '" '),
                 lambda: (prose() + " ", f"{word()}.{r.randint(1, 99)}@mail{r.randint(1, 9)}.example.com", " "),
                 lambda: (prose() + " ", chars("0123456789", r.choice([16, 16, 19, 20])), " "),
                 lambda: (prose() + " commit ", chars(hexa, 40), " "),
@@ -196,17 +208,35 @@ def assigned(text: str) -> list[tuple[int, int]]:
     return out
 
 
+def private_keys(text: str) -> list[tuple[int, int]]:
+    """Blocks of private keys, to their last line; to the end of the text where that is missing."""
+    out, end = [], 0
+    while m := PEM.search(text, end):
+        last = PEM_END.search(text, m.end())
+        end = last.end() if last else len(text)
+        out.append((m.start(), end))
+    return out
+
+
+def merged(first: list[tuple[int, int]], more: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Spans in order; of the second list those that overlap none of the first. Each list is in order."""
+    free, k = [], 0
+    for a, b in more:
+        while k < len(first) and first[k][1] <= a:
+            k += 1
+        if k == len(first) or b <= first[k][0]:
+            free.append((a, b))
+    return sorted(first + free)
+
+
 def candidates(text: str) -> list[tuple[int, int]]:
     """Start and end of each candidate, in order and apart from each other."""
     out = assigned(text)
-    # Values told by their heads, where they don't overlap those.
-    heads, k = [], 0
-    for m in PREFIXED.finditer(text):
-        while k < len(out) and out[k][1] <= m.start():
-            k += 1
-        if k == len(out) or m.end() <= out[k][0]:
-            heads.append(m.span())
-    out = sorted(out + heads)
+    for found in ([m.span(1) for m in BEARER.finditer(text)] if "earer" in text.lower() else [], [m.span() for m in PREFIXED.finditer(text)]):
+        out = merged(out, found)
+    if "PRIVATE KEY-----" in text:
+        blocks = private_keys(text)
+        out = merged(blocks, merged([], out))
     values, k = list(out), 0
     for m in CANDIDATE.finditer(text):
         a, end = m.span()
@@ -265,8 +295,8 @@ def findings(docs: DataFrame, labelled: DataFrame | Findings | None = None, thre
     """doc_id, start, length, score, is_secret for each candidate in docs (doc_id, text); start counts characters from 0.
 
     labelled: findings the forest is trained from: a table (text, start, length, secret), of which about LABELLED rows are used, a list,
-    or by default those of example_findings. Candidates have 16 characters at least, 8 after a key-like name, and 16 or more of
-    them a digit or three changes of case; values of known prefixes are candidates too. Null and empty texts and empty
+    or by default those of example_findings. Candidates have 16 characters at least, with a digit or three changes of case, or 8 of any kind after a key-like
+    name or `Bearer`; values of known prefixes and blocks of private keys are candidates too. Null and empty texts and empty
     tables have no candidates. Repeated rows have theirs each; texts of any length are scanned whole; further columns aren't read.
     """
     forest = docs.sparkSession.sparkContext.broadcast(forest_of(labelled))
