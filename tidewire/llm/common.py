@@ -1,11 +1,7 @@
-"""Shared plumbing: reading tables, written scratch tables, Arrow text access, group streaming, components."""
+"""Shared plumbing: reading tables, sizes of what is broadcast, Arrow text access, group streaming, components."""
 
 from __future__ import annotations
 
-import atexit
-import re
-import tempfile
-import uuid
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -15,6 +11,10 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
+from tidewire.sources.scratch import removed, shared_root, written
+
+__all__ = ["removed", "shared_root", "written"]
+
 #: Entries a worker keeps per memo before it starts afresh; bounds the memory of a Python worker.
 MEMO_LIMIT = 200_000
 #: Bytes of a side that may be broadcast, as `row_bytes` reckons them.
@@ -26,27 +26,6 @@ def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFra
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet").select(*columns)
 
 
-def shared_root(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; a local one only where the session names none and all runs in one machine."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        if not re.fullmatch(r"local(\[[^-]*\])?", spark.sparkContext.master):
-            raise ValueError("spark.checkpoint.dir must name a folder that the driver and all executors share")
-        root = getattr(spark, "_tidewire_scratch", None)
-        if root is None:
-            root = spark._tidewire_scratch = "file://" + tempfile.mkdtemp(prefix="tidewire-")
-    return root.rstrip("/") + "/tidewire"
-
-
-def written(df: DataFrame, name: str, partitions_hint: int | None = None) -> DataFrame:
-    """Write df to the shared folder and read it again: cuts lineage and survives lost executors."""
-    spark = df.sparkSession
-    path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
-    atexit.register(removed, spark, path)
-    df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def row_bytes(schema: StructType) -> Column:
     """What a row takes: 16 bytes a value, and what texts and nested values have as text."""
     total = F.lit(16 * len(schema.fields))
@@ -63,15 +42,6 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if (df.agg(F.sum(row_bytes(df.schema))).first()[0] or 0) <= BROADCAST_BYTES else df
 
 
-def removed(spark: SparkSession, path: str) -> None:
-    """Delete a folder, if the session still runs."""
-    jvm = getattr(spark.sparkContext, "_jvm", None)
-    if jvm is None or spark.sparkContext._jsc is None or spark.sparkContext._jsc.sc().isStopped():
-        return
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-
-
 def chosen_by_hash(h: Column, rows: int, whole: int) -> Column:
     """Whether a row is among about `rows` of `whole`, by its 64-bit hash; even of more rows than there are hashes of 32 bits some are chosen."""
     share = rows / max(1, whole)
