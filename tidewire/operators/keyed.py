@@ -13,6 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewire.sources.scratch import written
 
 #: Parts that rows without a key are dealt into, as no key needs them together.
 KEYLESS = 1024
@@ -118,14 +119,80 @@ def token_bucket(df: DataFrame, keys: Sequence[str], seconds: str, rate: float,
     return folded(df, keys, [seconds, *order], lambda: (burst, None), step, "granted", "boolean")
 
 
-def spaced(df: DataFrame, keys: Sequence[str], seconds: str, gap: float, order: Sequence[str] = ()) -> DataFrame:
-    """kept: at least gap seconds since the last kept row of the key (rate-limited samples, alert cooldowns)."""
+#: Rows of a key that may pass through one task as a sorted stream; the rows of larger keys are spaced by many.
+FOLD_ROWS = 5_000_000
+
+
+def spaced(df: DataFrame, keys: Sequence[str], seconds: str, gap: float, order: Sequence[str] = (), most: int = FOLD_ROWS) -> DataFrame:
+    """kept: at least gap seconds since the last kept row of the key (rate-limited samples, alert cooldowns).
+
+    Keys of up to `most` rows pass through a task each; for larger ones see `spaced_widely`, with the same result. Rows without seconds aren't kept.
+    """
 
     def step(last: float | None, row: Any) -> tuple[float | None, bool]:
         now = float(getattr(row, seconds))
-        return (now, True) if last is None or now - last >= gap else (last, False)
+        if now != now:
+            return last, False
+        return (now, True) if last is None or now >= last + gap else (last, False)
+
+    large = df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > most).drop("_rows")
+    if gap <= 0 or not large.limit(1).count():
+        return folded(df, keys, [seconds, *order], lambda: None, step, "kept", "boolean")
+    large = written(large.select(*(F.col(k).alias(f"_of_{k}") for k in keys)), "large-keys")
+    same = F.lit(True)
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_of_{k}"))
+    return folded(df.join(large, same, "left_anti"), keys, [seconds, *order], lambda: None, step, "kept", "boolean").unionByName(spaced_widely(df.join(large, same, "left_semi"), keys, seconds, gap, order))
 
-    return folded(df, keys, [seconds, *order], lambda: None, step, "kept", "boolean")
+
+#: Buckets, of a gap each, that a task looks through for the next one with a row.
+RANGE = 4096
+
+
+def spaced_widely(df: DataFrame, keys: Sequence[str], seconds: str, gap: float, order: Sequence[str] = ()) -> DataFrame:
+    """As spaced, where no task holds a key.
+
+    After each time the next that could be kept is the first at least a gap later. In buckets as long as a gap it lies in the bucket after, or is the first of the next bucket
+    with a time: a pointer that a window over one bucket, and one over ranges of buckets, finds. The kept times are those that the pointers lead to
+    from a key's first: pointers are doubled, and what is reached doubles with them, in rounds of the logarithm of their number. Each round is a written table.
+    """
+    keys = list(keys)
+    names = [f"_k{n}" for n in range(len(keys))]
+    bucket = lambda t: F.floor(t / F.lit(float(gap))).cast("long")
+    timed = df.where(F.col(seconds).isNotNull() & ~F.isnan(F.col(seconds).cast("double")))
+    # Keys may be null, which no join meets: a struct of them isn't.
+    key = F.struct(*(F.col(k).alias(n) for k, n in zip(keys, names, strict=True)))
+    at = written(timed.select(F.to_json(key, {"ignoreNullFields": "false"}).alias("k"), F.col(seconds).cast("double").alias("t")).distinct(), "times")
+    targets = at.select("k", "t", bucket(F.col("t")).alias("b"))
+    asks = at.select("k", F.col("t").alias("from"), (F.col("t") + F.lit(float(gap))).alias("t"))
+    # The bucket of t + gap is never before that of the next time, as both are rounded alike.
+    both = asks.select("k", "from", "t", bucket(F.col("t")).alias("b")).unionByName(targets.withColumn("from", F.lit(None).cast("double")))
+    ahead = Window.partitionBy("k", "b").orderBy("t", F.col("from").isNull()).rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    found = both.withColumn("here", F.first(F.when(F.col("from").isNull(), F.col("t")), ignorenulls=True).over(ahead)).where(F.col("from").isNotNull())
+    # The first time of the next bucket that has any, for each bucket that is asked in.
+    firsts = targets.groupBy("k", "b").agg(F.min("t").alias("first"))
+    marks = firsts.unionByName(found.where("here is null").select("k", "b", F.lit(None).cast("double").alias("first")).distinct()).withColumn("r", F.floor(F.col("b") / RANGE))
+    within = Window.partitionBy("k", "r").orderBy("b").rangeBetween(1, Window.unboundedFollowing)
+    ranges = firsts.withColumn("r", F.floor(F.col("b") / RANGE)).groupBy("k", "r").agg(F.min("first").alias("range_first"))
+    asked_ranges = ranges.unionByName(marks.select("k", "r", F.lit(None).cast("double").alias("range_first")).distinct()).groupBy("k", "r").agg(F.min("range_first").alias("range_first"))
+    later = asked_ranges.select("k", "r", F.min("range_first").over(Window.partitionBy("k").orderBy("r").rowsBetween(1, Window.unboundedFollowing)).alias("later"))
+    nexts = marks.withColumn("inside", F.min("first").over(within)).join(later, ["k", "r"]).groupBy("k", "b").agg(F.min(F.coalesce("inside", "later")).alias("next"))
+    pointers = found.join(nexts, ["k", "b"], "left").select("k", F.col("from").alias("t"), F.coalesce("here", "next").alias("to")).where("to is not null")
+    pointers = written(pointers, "pointers")
+    reached = written(at.groupBy("k").agg(F.min("t").alias("t")), "reached")
+    size = reached.count()
+    while True:
+        more = written(reached.union(reached.join(pointers, ["k", "t"]).select("k", F.col("to").alias("t"))).distinct(), "reached")
+        grown = more.count()
+        if grown == size:
+            break
+        reached, size = more, grown
+        twice = pointers.select("k", F.col("t").alias("to"), F.col("to").alias("_to"))
+        pointers = written(pointers.join(twice, ["k", "to"]).select("k", "t", F.col("_to").alias("to")), "pointers")
+    first = Window.partitionBy("_k", "_t").orderBy(*order) if order else Window.partitionBy("_k", "_t").orderBy(F.lit(0))
+    rows = df.withColumns({"_k": F.to_json(key, {"ignoreNullFields": "false"}), "_t": F.col(seconds).cast("double")}).withColumn("_first", F.row_number().over(first) == 1)
+    kept = reached.select(F.col("k").alias("_k"), F.col("t").alias("_t"), F.lit(True).alias("_kept"))
+    return rows.join(kept, ["_k", "_t"], "left").withColumn("kept", F.coalesce("_kept", F.lit(False)) & F.col("_first")).drop("_k", "_t", "_first", "_kept")
 
 
 def circuit_breaker(df: DataFrame, keys: Sequence[str], seconds: str, ok: str, failures: int = 3, reset: float = 1.0, trials: int = 3) -> DataFrame:

@@ -8,10 +8,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, VariantType
+from pyspark.sql.types import ArrayType, MapType, StringType, StructType, VariantType
 
 from tidewire.functions import documents as D
 from tidewire.functions.names import column
+from tidewire.operators.matching import matched, reached
 
 Transform = Callable[[DataFrame], DataFrame]
 #: A document's fields that its schema lacks, as JSON text of an object. What the transformations here do to fields they do to these, too.
@@ -156,22 +157,62 @@ def normalised_numbers(df: DataFrame, columns: Sequence[str], kind: str = "doubl
     return df.withColumns({c: F.translate(F.trim(F.col(c).cast("string")), ",", "").try_cast(kind) for c in columns})
 
 
-def watch_filter(df: DataFrame, pipeline: Sequence[dict]) -> DataFrame:
-    """A list of $match, $project, $unset, $addFields, $set and $replaceRoot stages as DataFrame operations."""
-
-    def condition(spec: dict) -> Column:
-        tests = {"$eq": lambda c, v: c.eqNullSafe(F.lit(v)), "$ne": lambda c, v: ~c.eqNullSafe(F.lit(v)), "$gt": lambda c, v: c > v, "$gte": lambda c, v: c >= v, "$lt": lambda c, v: c < v, "$lte": lambda c, v: c <= v, "$in": lambda c, v: c.isin(list(v)), "$nin": lambda c, v: ~c.isin(list(v)), "$exists": lambda c, v: c.isNotNull() if v else c.isNull(), "$regex": lambda c, v: c.rlike(v)}
+#: Names that change streams use, and the columns and paths that they stand for here.
+EVENT_PATHS = {"operationType": ["operation_type"], "fullDocument": ["full_document"], "documentKey._id": ["document_key"], "ns.coll": ["collection"], "clusterTime": ["cluster_time"]}
+#: Operators on a column of a plain type, as conditions that a scan can be given.
+PLAIN = {"$eq": lambda c, v: c.eqNullSafe(F.lit(v)), "$ne": lambda c, v: ~c.eqNullSafe(F.lit(v)), "$gt": lambda c, v: c > v, "$gte": lambda c, v: c >= v, "$lt": lambda c, v: c < v, "$lte": lambda c, v: c <= v, "$in": lambda c, v: c.isin(list(v)), "$nin": lambda c, v: ~F.coalesce(c.isin(list(v)), F.lit(False)), "$exists": lambda c, v: c.isNotNull() if v else c.isNull(), "$regex": lambda c, v: c.rlike(v)}
+
+
+def condition(df: DataFrame, spec: dict) -> Column:
+    """The condition of a $match stage on a DataFrame's columns: those of plain types by their own comparisons, paths into documents (VARIANT, structs,
+    maps, arrays, and the JSON of full_document) as in operators.matching."""
+
+    def placed(path: list[str]) -> tuple[str, list[str]]:
+        for name, at in EVENT_PATHS.items():
+            own = name.split(".")
+            if path[: len(own)] == own and own[0] not in df.columns and at[0] in df.columns:
+                return at[0], path[len(own) :]
+        return path[0], path[1:]
+
+    def values(path: list[str]) -> Column:
+        name, rest = placed(path)
+        if name not in df.columns:
+            return F.array().cast("array<variant>")
+        kind, c = df.schema[name].dataType, column(name)
+        if isinstance(kind, StructType | MapType | ArrayType):
+            c = F.to_variant_object(c)
+        elif isinstance(kind, StringType) and (name == "full_document" or rest):
+            c = F.try_parse_json(c)
+        elif not isinstance(kind, VariantType):
+            c = c.cast("variant")
+        return reached(c, rest)
+
+    def plain(spec: dict, surely: bool) -> Column:
+        """surely: never null, as a condition that is negated has to be."""
         out = F.lit(True)
         for key, want in spec.items():
-            if key in ("$and", "$or"):
-                out &= reduce(lambda a, b, k=key: a & b if k == "$and" else a | b, map(condition, want))
-            elif isinstance(want, dict):
-                for op, v in want.items():
-                    out &= tests[op](F.col(key), v)
+            if key in ("$and", "$or", "$nor"):
+                parts = [plain(s, surely or key == "$nor") for s in want]
+                if not parts:
+                    raise ValueError(f"{key} needs a list of conditions")
+                out &= reduce(lambda a, b: a & b, parts) if key == "$and" else reduce(lambda a, b: a | b, parts) if key == "$or" else ~reduce(lambda a, b: a | b, parts)
+                continue
+            name, rest = placed(key.split("."))
+            tests = want if isinstance(want, dict) and any(k.startswith("$") for k in want) else {"$eq": want}
+            atomic = not rest and name in df.columns and name != "full_document" and not isinstance(df.schema[name].dataType, StructType | MapType | ArrayType | VariantType)
+            if atomic and "$options" not in tests and all(op in PLAIN or op == "$not" and isinstance(v, dict) and set(v) <= set(PLAIN) for op, v in tests.items()):
+                for op, v in tests.items():
+                    made = ~reduce(lambda a, b: a & b, (F.coalesce(PLAIN[o](column(name), x), F.lit(False)) for o, x in v.items())) if op == "$not" else PLAIN[op](column(name), v)
+                    out &= F.coalesce(made, F.lit(False)) if surely else made
             else:
-                out &= tests["$eq"](F.col(key), want)
+                out &= matched({key: want}, values)
         return out
 
+    return plain(spec, False)
+
+
+def watch_filter(df: DataFrame, pipeline: Sequence[dict]) -> DataFrame:
+    """A list of $match, $project, $unset, $addFields, $set and $replaceRoot stages as DataFrame operations."""
     value = lambda v: F.col(v[1:]) if isinstance(v, str) and v.startswith("$") else F.lit(v)
     for stage in pipeline:
         if not isinstance(stage, dict) or len(stage) != 1:
@@ -179,7 +220,7 @@ def watch_filter(df: DataFrame, pipeline: Sequence[dict]) -> DataFrame:
         (name, spec), = stage.items()
         match name:
             case "$match":
-                df = df.where(condition(spec))
+                df = df.where(condition(df, spec))
             case "$project":
                 df = df.select(*(F.col(k) if v in (1, True) else value(v).alias(k) for k, v in spec.items())) if any(v not in (0, False) for v in spec.values()) else df.drop(*spec)
             case "$unset":

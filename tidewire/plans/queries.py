@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidewire.functions import protection as P
 from tidewire.functions import serialization as S
+from tidewire.operators import history as H
 from tidewire.operators import inventory as I
 from tidewire.operators import keyed as K
 from tidewire.operators import transforms as T
@@ -239,6 +240,40 @@ def watch_filter(spark, sf):
     return T.watch_filter(t(spark, sf, "events"), [{"$match": {"event_type": "click", "value": {"$gt": 10}, "user_id": {"$nin": [1, 2, 3]}}}, {"$project": {"event_id": 1, "event_type": 1, "value": 1}}])
 
 
+@query(EVENTS + "select lpad(cast(event_id as varchar), 12, '0') as resume_token from ev where collection = 'inventory' and operation_type <> 'delete' and quantity < 10 and not quantity < -990 and 'P' || user_id % 50 like 'P1%'")
+def watch_documents(spark, sf):
+    """Changes by conditions on their documents."""
+    match = {"ns.coll": "inventory", "fullDocument.quantity": {"$lt": 10, "$not": {"$lt": -990}}, "fullDocument.product_id": {"$regex": "^p1", "$options": "i"}, "$nor": [{"operationType": "delete"}, {"fullDocument.quantity": {"$exists": False}}]}
+    return T.watch_filter(changes.from_events(spark, sf), [{"$match": match}]).select("resume_token")
+
+
+@query("""with e as (select *, case event_id % 2 when 0 then 'a' else 'b' end as c, user_id % 50 as k from events),
+v as (select c, k, ts, arg_max(case event_type when 'signup' then '' else 'bought ' || event_id end, event_id) as doc from e where event_type in ('purchase', 'signup') group by all)
+select lpad(cast(e.event_id as varchar), 12, '0') as resume_token, coalesce(v.doc, '') as document from (select * from e where event_type = 'view') e asof left join v on e.c = v.c and e.k = v.k and e.ts >= v.ts""")
+def lookup_as_of(spark, sf):
+    """Views with their user group's last purchase at that time, in two collections that share keys; a signup deletes it."""
+    e = t(spark, sf, "events", "event_id", "event_type", "user_id", "ts")
+    kind = F.col("event_type")
+    operation = F.when(kind == "purchase", "insert").when(kind == "signup", "delete").when(kind == "view", "update")
+    rows = e.select(F.lpad(F.col("event_id").cast("string"), 12, "0").alias("resume_token"), F.when(F.col("event_id") % 2 == 0, "a").otherwise("b").alias("collection"), operation.alias("operation_type"), (F.col("user_id") % 50).cast("string").alias("document_key"), F.col("ts").cast("timestamp").alias("cluster_time"), F.when(kind == "purchase", F.concat(F.lit("bought "), F.col("event_id").cast("string"))).alias("full_document"))
+    found = H.looked_up_as_of(rows.where("operation_type = 'update'"), H.versions(rows.where("operation_type in ('insert', 'delete')")))
+    return found.select("resume_token", F.coalesce("full_document", F.lit("")).alias("document"))
+
+
+@query(EVENTS + """, last as (select * from ev where collection = 'inventory' qualify row_number() over (partition by user_id order by event_id desc) = 1),
+d as (select 'W' || user_id % 5 as w, 'P' || user_id % 50 as p, quantity from last where operation_type <> 'delete')
+select coalesce(w, '') as warehouse, coalesce(p, '') as product, cast(2 - grouping(w) - grouping(p) as integer) as level, cast(sum(quantity) as bigint) as total, count(*) as n from d group by rollup (w, p)""")
+def stock_by_retractions(spark, sf):
+    """Totals kept up over three batches of changes: old images are taken out, new ones put in."""
+    rows = H.retracted(H.images(changes.from_events(spark, sf).where("collection = 'inventory'")))
+    doc = lambda name: F.get_json_object("document", f"$.{name}")
+    rows = rows.select("resume_token", "sign", doc("warehouse_id").alias("warehouse"), doc("product_id").alias("product"), doc("quantity").cast("long").alias("quantity"))
+    levels, batch = ["warehouse", "product"], F.pmod(F.floor(F.col("resume_token").cast("long") / IDS), F.lit(3))
+    parts = [H.deltas(rows.where(batch == k), levels, F.col("quantity")) for k in range(3)]
+    totals = H.merged(levels, H.merged(levels, *parts[:2]), parts[2])
+    return totals.select(*(F.coalesce(c, F.lit("")).alias(c) for c in levels), "level", "total", "n")
+
+
 @query("select c_custkey as wh_c_custkey, c_mktsegment as wh_c_mktsegment from customer")
 def remove_and_prefix(spark, sf):
     chain = T.compose(T.without_fields(["c_acctbal", "c_name", "c_nationkey"]), T.with_prefix("wh"))
@@ -357,6 +392,16 @@ def rate_limited_sample(spark, sf):
     return K.spaced(timed(spark, sf), ["event_type"], "s", 600.0, ["event_id"]).where("kept").select("event_id", "event_type")
 
 
+@query("""with recursive e as (select event_id, cast(floor(epoch(ts)) as double) as s from events),
+k(s) as (select min(s) from e union all select (select min(e.s) from e where e.s >= k.s + 600) from k where exists (select 1 from e where e.s >= k.s + 600))
+select min(event_id) as event_id from e join k on e.s = k.s group by k.s""")
+def spaced_hot_key(spark, sf):
+    """One sample in ten minutes of all events: a key that no task holds."""
+    ship(spark)
+    rows = timed(spark, sf).withColumn("all", F.lit("all"))
+    return K.spaced(rows, ["all"], "s", 600.0, ["event_id"], most=1000).where("kept").select("event_id")
+
+
 @query(recursive("select event_id, event_type, cast(event_id as double) as s, value < 50 as ok from events", "event_type", "s", "'closed' as state, 0 as fails, 0.0::double as since",
     "case when r.state = 'open' and o.s - r.since >= 20 then 'half_open' else r.state end as was; case when r.state = 'open' then 0 else r.fails end as had; r.since as before | "
     "case when was = 'open' then 'open' when was = 'half_open' then case when not ok then 'open' when had + 1 >= 3 then 'closed' else 'half_open' end when ok or had + 1 < 3 then 'closed' else 'open' end, "
