@@ -200,10 +200,10 @@ def by_type(events: DataFrame, plan: Plan, steps_of: Callable[[str], list]) -> D
     return reduce(lambda a, b: a.unionByName(b), (reshaped(rows, t, plan.schema(t), steps_of(t), held) for t in kinds), aside)
 
 
-def checked(events: DataFrame, plan: Plan | None = None) -> DataFrame:
+def checked(events: DataFrame, plan: Plan | None = None, dedup: bool = True) -> DataFrame:
     """events after deduplication and migration, with errors: broken rules of inserted and updated documents."""
     plan = plan or Plan()
-    fresh = deduplicated(events)
+    fresh = deduplicated(events) if dedup else events
     if any(plan.before_validation(t) for t in plan.types()):
         ship(events.sparkSession)
     columns = fresh.columns

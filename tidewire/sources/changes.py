@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SCHEMA = "resume_token string, collection string, operation_type string, document_key string, cluster_time timestamp, full_document string"
+NAMES = [c.split()[0] for c in SCHEMA.split(", ")]
 
 
 def read(spark: SparkSession, path: str, form: str = "parquet", *, stream: bool = False, files_a_batch: int | None = None) -> DataFrame:

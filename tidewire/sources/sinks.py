@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidewire.functions.serialization import iso_time
 from tidewire.plans import cdc
-from tidewire.sources import scratch
+from tidewire.sources import ledger, scratch
 from tidewire.streaming.stateful import fresh_stream
 
 
@@ -28,7 +28,7 @@ def kafka_rows(messages: DataFrame) -> DataFrame:
 
 
 def batch_writer(out: str, topics: dict[str, str], form: str = "json", plan: cdc.Plan | None = None, now: Callable[[], Column] = F.current_timestamp) -> Callable[[DataFrame, int], None]:
-    """For foreachBatch: out/messages, out/dead and out/status, a folder for each batch and topic.
+    """For foreachBatch: out/messages, out/dead and out/status, a folder for each batch and topic, then its row in out/ledger, which commits it.
 
     A batch that is done again, after a lost driver, overwrites its own folders: every message is there once. Its rows are
     deduplicated and validated once for all three, and written to the shared folder meanwhile.
@@ -38,8 +38,10 @@ def batch_writer(out: str, topics: dict[str, str], form: str = "json", plan: cdc
         with scratch.cleared(batch.sparkSession):
             messages, dead = cdc.split(scratch.written(cdc.checked(batch, plan), "checked"), topics, form, plan)
             messages.write.mode("overwrite").partitionBy("topic").parquet(f"{out}/messages/batch={number}")
+            dead = scratch.written(dead, "dead")
             dead.write.mode("overwrite").parquet(f"{out}/dead/batch={number}")
             status_messages(cdc.heartbeat(batch, now()), now()).write.mode("overwrite").parquet(f"{out}/status/batch={number}")
+            ledger.commit(out, number, batch, dead, now())
 
     return write
 
