@@ -122,3 +122,26 @@ def test_watch_filter_on_changes(spark):
             T.watch_filter(df, [{"$match": wrong}])
     plan = T.watch_filter(df, [{"$match": {"operationType": "insert", "clusterTime": {"$gt": at(0)}}}])._jdf.queryExecution().optimizedPlan().toString()
     assert "variant" not in plan.lower() and "operation_type" in plan
+
+
+def test_sketches_add_up(spark):
+    """Daily sketches, merged by weekday and those again, keep quantiles within the stated error of their rank."""
+    from tidewire.operators import seasonal as S
+
+    rng = random.Random(9)
+    rows = [("a", datetime(2024, 1, 1 + k % 28).date(), rng.gauss(100 + 10 * (k % 7), 30)) for k in range(20_000)] + [("b", datetime(2024, 1, 1).date(), None), ("b", datetime(2024, 1, 2).date(), 7.0)]
+    df = spark.createDataFrame(rows, "item string, day date, value double").repartition(6)
+    daily = S.daily(df, ["item"], F.col("day"), F.col("value"))
+    weekly = S.seasons(daily, ["item"], S.weekday(F.col("day")))
+    whole = S.seasons(weekly, ["item"], F.lit(0)).where("item = 'a'")
+    values = {s: sorted(v for i, d, v in rows if i == "a" and s in (0, d.isoweekday())) for s in range(8)}
+    for sketches in (weekly, whole):
+        for share in (0.05, 0.5, 0.9, 0.99):
+            for r in S.quantile(sketches.where("item = 'a'"), share).collect():
+                own = values[r.season]
+                rank = sum(v <= r.threshold for v in own) / len(own)
+                assert r.n == len(own) and abs(rank - share) <= S.RANK_ERROR + 1 / len(own)
+    few = S.quantile(weekly, 0.9).where("item = 'b'").collect()
+    assert [(r.season, r.n, r.threshold) for r in few] == [(2, 1, 7.0)]
+    above = S.above(df, S.quantile(weekly, 0.9), ["item"], S.weekday(F.col("day")), F.col("value"))
+    assert abs(above.where("item = 'a'").count() / 20_000 - 0.1) < 0.02

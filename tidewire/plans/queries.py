@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime
 
@@ -13,11 +15,12 @@ from tidewire.functions import serialization as S
 from tidewire.operators import history as H
 from tidewire.operators import inventory as I
 from tidewire.operators import keyed as K
+from tidewire.operators import seasonal
 from tidewire.operators import transforms as T
 from tidewire.operators.validation import CONTRACTS, Contracts, FieldRule, Migrations, with_broken
 from tidewire.plans import cdc
 from tidewire.session import ship
-from tidewire.sources import changes, sinks
+from tidewire.sources import changes, ledger, scratch, sinks
 from tidewire.streaming.stateful import sessions, windowed_counts
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -222,6 +225,23 @@ def resume_position(spark, sf):
     return cdc.resume_positions(changes.from_events(spark, sf)).select("collection", "token")
 
 
+@query("""with ev as (select *, event_id % 3 as batch, case when user_id % 2 = 0 then 'inventory' else 'transactions' end as collection, case event_id % 3 when 0 then 'insert' when 1 then 'update' else 'delete' end as op,
+  cast(floor(value) as bigint) - case when event_id % 7 = 0 then 1000 else 0 end as quantity, event_id % 5 = 4 as gift from events),
+dd as (select *, max(ts) over (partition by batch, collection, user_id, op order by event_id rows between unbounded preceding and 1 preceding) as before from ev),
+er as (select *, op <> 'delete' and case when collection = 'inventory' then quantity < 0 else gift end as bad from dd where before is null or ts > before),
+n as (select collection, batch, count(*) filter (where not bad) as messages, count(*) filter (where bad) as dead from er group by all),
+s as (select collection, batch, count(*) as changes, lpad(cast(arg_max(event_id, (ts, event_id)) as varchar), 12, '0') as position from ev group by all)
+select s.collection, cast(s.batch as bigint) as batch, changes, messages, dead, position from s join n on n.collection = s.collection and n.batch = s.batch""")
+def ledger_of_batches(spark, sf):
+    """Three batches written and committed, one of them twice."""
+    out = f"{scratch.shared_root(spark)}/sink-{uuid.uuid4().hex}"
+    atexit.register(scratch.removed, spark, out)
+    events, write = changes.from_events(spark, sf), sinks.batch_writer(out, TOPICS)
+    for number in (0, 1, 1, 2):
+        write(events.where(F.col("resume_token").cast("long") % 3 == number), number)
+    return ledger.rows(spark, out).select("collection", "batch", "changes", "messages", "dead", "position")
+
+
 @query(EVENTS + "select collection, max(ts) as last_change_time, count(*) as changes from ev group by all")
 def heartbeat_status(spark, sf):
     return cdc.heartbeat(changes.from_events(spark, sf), F.lit("2030-01-01").cast("timestamp")).select("collection", F.col("last_change_time").cast("timestamp_ntz").alias("last_change_time"), "changes")
@@ -482,6 +502,15 @@ def reservoir(spark, sf):
     return K.reservoir_sample(t(spark, sf, "events", "event_id", "event_type"), 50, ["event_id", "event_type"], 7)
 
 
+@query("select true as as_many, true as each_once from (select 1)")
+def random_share(spark, sf):
+    """A random fifth of events has that share, within five deviations, and no event twice."""
+    e = t(spark, sf, "events", "event_id")
+    n, got = e.agg(F.count("*").alias("n")), K.random_sample(e, 0.2, 7).agg(F.count("*").alias("got"), F.count_distinct("event_id").alias("ids"))
+    both = n.crossJoin(got)  # one row each
+    return both.select((F.abs(F.col("got") - 0.2 * F.col("n")) <= 5 * F.sqrt(0.16 * F.col("n"))).alias("as_many"), (F.col("got") == F.col("ids")).alias("each_once"))
+
+
 @query("select o_orderkey, o_orderstatus, cast(round(o_totalprice) as bigint) as price from orders where o_orderstatus <> 'F'")
 def not_cancelled(spark, sf):
     """Cancelled events are left out, numbers are read from text with commas."""
@@ -572,6 +601,20 @@ def dynamic_thresholds(spark, sf):
     return I.dynamic_threshold(moves(spark, sf), ["wh"], "q", 2).select("wh", F.round("threshold", 6).alias("threshold"))
 
 
+@query("select l_returnflag as flag, cast(isodow(l_shipdate) as integer) as season, count(*) as n, true as within from lineitem group by all")
+def seasonal_thresholds(spark, sf):
+    """The nine-tenths quantile of each weekday's prices from daily sketches merged over all days, held against the exact ranks."""
+    l = t(spark, sf, "lineitem", "l_returnflag", "l_shipdate", "l_extendedprice").withColumnRenamed("l_returnflag", "flag")  # noqa: E741
+    season, price = seasonal.weekday(F.to_date("l_shipdate")), F.col("l_extendedprice")
+    sketches = seasonal.daily(l, ["flag"], F.to_date("l_shipdate"), price)
+    found = seasonal.quantile(seasonal.seasons(sketches, ["flag"], seasonal.weekday(F.col("day"))), 0.9)
+    ranked = l.withColumn("season", season).join(found.select("flag", "season", "threshold", "n"), ["flag", "season"]).groupBy("flag", "season", "n")
+    exact = ranked.agg(F.count("*").alias("rows"), F.avg((price < F.col("threshold")).cast("int")).alias("low"), F.avg((price <= F.col("threshold")).cast("int")).alias("high"))
+    # Of few values one is more than the sketch's error.
+    error = F.lit(seasonal.RANK_ERROR) + 1 / F.col("rows")
+    return exact.select("flag", F.col("season").cast("int").alias("season"), "n", ((F.col("rows") == F.col("n")) & (F.col("low") <= 0.9 + error) & (F.col("high") >= 0.9 - error)).alias("within"))
+
+
 @query(f"""with recursive m as ({MOVES}), st as (select *, sum(impact) over (partition by wh, sku order by ts, l_orderkey, l_linenumber rows unbounded preceding) as stock, epoch(ts) as sec from m),
 b as (select *, stock <= 20 as now, coalesce(lag(stock <= 20) over (partition by wh, sku order by sec, l_orderkey, l_linenumber), false) as was from st),
 g as (select *, sum(case when now and not was then 1 else 0 end) over (partition by wh, sku order by sec, l_orderkey, l_linenumber rows unbounded preceding) as run from b),
