@@ -145,3 +145,25 @@ def test_sketches_add_up(spark):
     assert [(r.season, r.n, r.threshold) for r in few] == [(2, 1, 7.0)]
     above = S.above(df, S.quantile(weekly, 0.9), ["item"], S.weekday(F.col("day")), F.col("value"))
     assert abs(above.where("item = 'a'").count() / 20_000 - 0.1) < 0.02
+
+
+@pytest.mark.parametrize("how", ["sum", "max", "last"])
+@pytest.mark.parametrize("earlier", [False, True])
+def test_running_values_in_buckets(spark, how, earlier):
+    """The same as by one window, with null keys and values, and empty buckets."""
+    rng = random.Random(len(how))
+    rows = [(rng.choice(["a", "b", None]), 3 * k + 50 * (k // 40), rng.choice([None, None, 1, -2, 5])) for k in range(200)]
+    df = spark.createDataFrame(rows, "k string, n long, v int").repartition(4)
+    plain = K.running(df, ["k"], ["n"], F.col("v"), "out", None, how, earlier)
+    parts = K.running(df, ["k"], ["n"], F.col("v"), "out", F.floor(F.col("n") / 17), how, earlier)
+    assert sorted(map(str, map(tuple, plain.select("k", "n", "v", "out").collect()))) == sorted(map(str, map(tuple, parts.select("k", "n", "v", "out").collect())))
+
+
+def test_histories_in_buckets(spark):
+    rows, _ = made_changes(3, 90, 1)
+    df = spark.createDataFrame(rows, changes.SCHEMA)
+    bucket = F.floor(F.col("resume_token").cast("int") / 7)
+    images = lambda b: {r.resume_token: (r.before, r.after) for r in H.images(df, bucket=b).collect()}
+    assert images(None) == images(bucket)
+    found = lambda b: sorted((r.resume_token, r.document or "") for r in H.as_of(df, H.versions(df), bucket=b).collect())
+    assert found(None) == found(F.floor(F.unix_timestamp("cluster_time") / 5))

@@ -96,3 +96,40 @@ def test_counts_of_a_stream(spark, tmp_path):
     assert q.awaitTermination(120)
     assert [(r.start, r.k, r.n) for r in window_counts(spark, str(tmp_path / "out")).collect()] == [(at(0), "a", 2)]
     assert accounted(spark, str(tmp_path / "out")).agg(F.sum("rows")).first()[0] == 2
+
+
+def test_a_stream_that_fails_is_started_anew(spark, tmp_path):
+    """From its checkpoint: what failed is done again, what was done isn't."""
+    from tidewire.streaming.control import kept_running
+
+    for k in range(3):
+        spark.createDataFrame([(k,)], "n long").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    seen, waits, told, broken = [], [], [], {1: 2}
+
+    def write(batch, number):
+        if broken.get(number, 0):
+            broken[number] -= 1
+            raise OSError("the sink is away")
+        seen.append(number)
+
+    def start(fn=write, name="c"):
+        stream = spark.readStream.schema("n long").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+        return stream.writeStream.foreachBatch(fn).option("checkpointLocation", str(tmp_path / name)).trigger(availableNow=True).start()
+
+    kept_running(start, first=0.5, told=told.append, sleep=waits.append)
+    assert seen == [0, 1, 2] and waits == [0.5, 1.0] or waits == [0.5, 0.5]
+    assert len(told) == 2 and "away" in told[0]["error"]
+
+    def hopeless(batch, number):
+        raise OSError("never")
+
+    with pytest.raises(Exception, match="never"):
+        kept_running(lambda: start(hopeless, "d"), tries=2, sleep=waits.append)
+
+    def wrong(batch, number):
+        raise ValueError("no such field")
+
+    count = len(waits)
+    with pytest.raises(Exception, match="no such field"):
+        kept_running(lambda: start(wrong, "e"), sleep=waits.append)
+    assert len(waits) == count

@@ -7,39 +7,42 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewire.operators.keyed import running
+
 KEYS = ("collection", "document_key")
 TIME, ARRIVAL = "cluster_time", "resume_token"
 
 
-def images(changes: DataFrame, keys: Sequence[str] = KEYS, arrival: str = ARRIVAL) -> DataFrame:
+def images(changes: DataFrame, keys: Sequence[str] = KEYS, arrival: str = ARRIVAL, bucket: Column | None = None) -> DataFrame:
     """changes with the document before and after each, in order of arrival: null before the first and after a delete. A change that brings no
-    document, but is no delete, leaves it as it was. A document's changes pass through one task as a sorted stream."""
+    document, but is no delete, leaves it as it was. A document's changes pass through one task as a sorted stream, or through many by a bucket (as for
+    keyed.running)."""
     gone = F.col("operation_type") == "delete"
     now = F.when(gone | F.col("full_document").isNotNull(), F.struct(F.when(~gone, F.col("full_document")).alias("d")))
-    order = Window.partitionBy(*keys).orderBy(arrival)
-    known = changes.withColumn("_now", F.last(now, ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    return known.withColumns({"after": F.col("_now.d"), "before": F.lag(F.col("_now.d")).over(order)}).drop("_now")
+    known = running(changes, keys, [arrival], now, "_earlier", bucket, "last", earlier=True)
+    return known.withColumns({"before": F.col("_earlier.d"), "after": F.coalesce(now, F.col("_earlier"))["d"]}).drop("_earlier")
 
 
-def versions(changes: DataFrame, keys: Sequence[str] = KEYS, ts: str = TIME, arrival: str = ARRIVAL) -> DataFrame:
+def versions(changes: DataFrame, keys: Sequence[str] = KEYS, ts: str = TIME, arrival: str = ARRIVAL, bucket: Column | None = None) -> DataFrame:
     """keys, document, valid_from, valid_to: the intervals in which a document was the same, from its changes in order of time (of equal times the last counts).
     valid_to is null for the present version; a deleted document is null while it is gone."""
-    last = images(changes, keys, arrival).groupBy(*keys, F.col(ts).alias("valid_from")).agg(F.max_by("after", arrival).alias("document"))
+    last = images(changes, keys, arrival, bucket).groupBy(*keys, F.col(ts).alias("valid_from")).agg(F.max_by("after", arrival).alias("document"))
     return last.withColumn("valid_to", F.lead("valid_from").over(Window.partitionBy(*keys).orderBy("valid_from")))
 
 
-def as_of(events: DataFrame, versions: DataFrame, keys: Sequence[str] = KEYS, ts: str = TIME, out: str = "document") -> DataFrame:
+def as_of(events: DataFrame, versions: DataFrame, keys: Sequence[str] = KEYS, ts: str = TIME, out: str = "document", bucket: Column | None = None) -> DataFrame:
     """events with the document of their keys as it was at their time: that of the version with valid_from <= ts < valid_to, null for none.
 
-    Versions and events of a document are read in the order of time: no join by ranges. Rows without a key have no document.
+    Versions and events of a document are read in the order of time: no join by ranges. Rows without a key have no document. bucket: of ts, as for
+    keyed.running, so that no task has all rows of a document.
     """
     rows = events.withColumn("_version", F.lit(None).cast("struct<d:string>")).withColumn("_event", F.lit(True))
     begun = versions.select(*keys, F.col("valid_from").alias(ts), F.struct(F.col("document").alias("d")).alias("_version"), F.lit(False).alias("_event"))
     known = F.lit(True)
     for k in keys:
         known &= F.col(k).isNotNull()
-    order = Window.partitionBy(*keys).orderBy(ts, "_event").rowsBetween(Window.unboundedPreceding, 0)
-    both = rows.where(known).unionByName(begun.where(known), allowMissingColumns=True).withColumn(out, F.last("_version", ignorenulls=True).over(order)["d"])
+    both = running(rows.where(known).unionByName(begun.where(known), allowMissingColumns=True), keys, [ts, "_event"], F.col("_version"), "_held", bucket, "last")
+    both = both.withColumn(out, F.col("_held.d")).drop("_held")
     keyless = rows.where(~known).withColumn(out, F.lit(None).cast("string"))
     return both.where("_event").unionByName(keyless).drop("_event", "_version")
 

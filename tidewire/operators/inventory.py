@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidewire.operators.keyed import running_sum, spaced
+from tidewire.operators.keyed import running, running_sum, spaced
 
 #: From the most to the least specific level of a threshold.
 LEVELS = ("sku", "product", "brand", "category", "department", "global")
@@ -64,15 +64,15 @@ def resolved_thresholds(items: DataFrame, thresholds: DataFrame, columns: dict[s
     return items.join(best, list(key), "left").withColumn("threshold", F.coalesce("threshold", F.lit(default)))
 
 
-def current_thresholds(events: DataFrame, updates: DataFrame, keys: Sequence[str], ts: str, column: str = "threshold") -> DataFrame:
+def current_thresholds(events: DataFrame, updates: DataFrame, keys: Sequence[str], ts: str, column: str = "threshold", bucket: Column | None = None) -> DataFrame:
     """events with the threshold that was last set for their keys at or before their time (updates: keys, ts, column); null before the first.
 
-    Updates and events of a key are read in the order of time, an update before events of the same time: no join by ranges.
+    Updates and events of a key are read in the order of time, an update before events of the same time: no join by ranges. bucket: of ts, as for
+    keyed.running, so that no task has all rows of a key.
     """
     rows = events.withColumn("_set", F.lit(None).cast(updates.schema[column].dataType)).withColumn("_event", F.lit(True))
     sets = updates.select(*keys, ts, F.col(column).alias("_set"), F.lit(False).alias("_event"))
-    w = Window.partitionBy(*keys).orderBy(ts, "_event").rowsBetween(Window.unboundedPreceding, 0)
-    both = rows.unionByName(sets, allowMissingColumns=True).withColumn(column, F.last("_set", ignorenulls=True).over(w))
+    both = running(rows.unionByName(sets, allowMissingColumns=True), keys, [ts, "_event"], F.col("_set"), column, bucket, "last")
     return both.where("_event").drop("_event", "_set")
 
 

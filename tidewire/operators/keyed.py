@@ -19,17 +19,17 @@ from tidewire.sources.scratch import written
 KEYLESS = 1024
 
 
-def fresh(df: DataFrame, keys: Sequence[str], ts: str, arrival: str) -> DataFrame:
+def fresh(df: DataFrame, keys: Sequence[str], ts: str, arrival: str, bucket: Column | None = None) -> DataFrame:
     """Rows whose ts is above every earlier one of their key, in order of arrival; rows with a null key all stay.
 
-    One key's rows pass through one task, a sorted stream that isn't held; rows without a key are spread.
+    One key's rows pass through one task, a sorted stream that isn't held, or through many by a bucket (as for `running`); rows without a key are spread.
     """
     keyless = F.lit(False)
     for k in keys:
         keyless |= F.col(k).isNull()
     df = df.withColumn("_part", F.when(keyless, F.pmod(F.xxhash64(arrival), F.lit(KEYLESS))))
-    w = Window.partitionBy(*keys, "_part").orderBy(arrival).rowsBetween(Window.unboundedPreceding, -1)
-    return df.withColumn("_before", F.max(ts).over(w)).where(F.col("_part").isNotNull() | F.col("_before").isNull() | (F.col(ts) > F.col("_before"))).drop("_before", "_part")
+    df = running(df, [*keys, "_part"], [arrival], F.col(ts), "_before", bucket, "max", earlier=True)
+    return df.where(F.col("_part").isNotNull() | F.col("_before").isNull() | (F.col(ts) > F.col("_before"))).drop("_before", "_part")
 
 
 def newest(df: DataFrame, ts: str, most: int, *ties: str, since: Column | None = None) -> DataFrame:
@@ -38,26 +38,39 @@ def newest(df: DataFrame, ts: str, most: int, *ties: str, since: Column | None =
     return kept.orderBy(F.desc(ts), *map(F.desc, ties)).limit(most)
 
 
-def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str, bucket: Column | None = None) -> DataFrame:
-    """The sum of value over a key's rows up to each row.
+#: How what came before a bucket and what came in it are one: of a sum, a maximum, the last value that isn't null.
+COMBINED: dict[str, Callable[[Column, Column], Column]] = {"sum": lambda b, i: F.coalesce(b + i, b, i), "max": F.greatest, "last": lambda b, i: F.coalesce(i, b)}
+
+
+def running(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column], value: Column, out: str, bucket: Column | None = None, how: str = "sum", earlier: bool = False) -> DataFrame:
+    """The sum, maximum or last (not null) value over a key's rows up to each row, or with earlier up to the one before it.
 
-    bucket: a column that never falls along the order (a day, a range of ids). Then no task has all rows of a key: each bucket is summed
+    bucket: a column that never falls along the order (a day, a range of ids). Then no task has all rows of a key: each bucket is taken
     apart, and what came before it is added, from one row a key and bucket.
     """
+    over = {"sum": F.sum, "max": F.max, "last": lambda c: F.last(c, ignorenulls=True)}[how]
+    until = -1 if earlier else 0
     if bucket is None:
-        return df.withColumn(out, F.sum(value).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)))
+        return df.withColumn(out, over(value).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, until)))
     df = df.withColumn("_bucket", bucket).withColumn("_value", value)
     names = [*keys, "_bucket"]
-    sums = df.groupBy(*names).agg(F.sum("_value").alias("_sum"))
-    earlier = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    before = sums.select(*(F.col(n).alias(f"_of_{n}") for n in names), F.sum("_sum").over(earlier).alias("_before"))
+    at = [F.col(c) if isinstance(c, str) else c for c in order]
+    whole = F.max_by("_value", F.when(F.col("_value").isNotNull(), F.struct(*(c.alias(f"o{n}") for n, c in enumerate(at))))) if how == "last" else over(F.col("_value"))
+    sums = df.groupBy(*names).agg(whole.alias("_whole"))
+    before = Window.partitionBy(*keys).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    known = sums.select(*(F.col(n).alias(f"_of_{n}") for n in names), over(F.col("_whole")).over(before).alias("_before"))
     same = F.lit(True)
     for n in names:
         same &= F.col(n).eqNullSafe(F.col(f"_of_{n}"))
-    inner = Window.partitionBy(*names).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    summed = df.withColumn("_inner", F.sum("_value").over(inner)).join(before, same)
-    # Nulls add nothing; without any value yet the sum is null.
-    return summed.withColumn(out, F.coalesce(F.col("_inner") + F.col("_before"), "_inner", "_before")).drop("_inner", "_before", "_value", "_bucket", *(f"_of_{n}" for n in names))
+    inner = Window.partitionBy(*names).orderBy(*order).rowsBetween(Window.unboundedPreceding, until)
+    both = df.withColumn("_inner", over(F.col("_value")).over(inner)).join(known, same)
+    # Nulls add nothing; without any value yet the result is null.
+    return both.withColumn(out, COMBINED[how](F.col("_before"), F.col("_inner"))).drop("_inner", "_before", "_value", "_bucket", *(f"_of_{n}" for n in names))
+
+
+def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, out: str, bucket: Column | None = None) -> DataFrame:
+    """The sum of value over a key's rows up to each row; bucket: as for running."""
+    return running(df, keys, order, value, out, bucket)
 
 
 def numbered(df: DataFrame, keys: Sequence[str], order: Sequence[str], out: str, bucket: Column | None = None) -> DataFrame:

@@ -32,9 +32,11 @@ def dedup_key(collection: Column, key: Column, operation: Column) -> Column:
     return F.when(key.isNotNull() & (key != ""), F.concat_ws(":", collection, key, operation))
 
 
-def deduplicated(events: DataFrame, arrival: str = "resume_token") -> DataFrame:
+def deduplicated(events: DataFrame, arrival: str = "resume_token", bucket: Column | None = None) -> DataFrame:
+    """The first change of each key and operation, and those newer than all before them; bucket: of arrival, as for keyed.running, where a key has too
+    many changes for one task."""
     keyed = events.withColumn("_key", dedup_key(F.col("collection"), F.col("document_key"), F.col("operation_type")))
-    return fresh(keyed, ["_key"], "cluster_time", arrival).drop("_key")
+    return fresh(keyed, ["_key"], "cluster_time", arrival, bucket).drop("_key")
 
 
 def looked_up(events: DataFrame, current: DataFrame) -> DataFrame:

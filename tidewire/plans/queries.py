@@ -209,6 +209,14 @@ def dedup_latest_wins(spark, sf):
     return cdc.deduplicated(changes.from_events(spark, sf)).groupBy("collection", "operation_type").agg(F.count("*").alias("n"))
 
 
+@query("""with b as (select *, max(ts) over (partition by event_id % 3 order by event_id rows between unbounded preceding and 1 preceding) as before from events)
+select lpad(cast(event_id as varchar), 12, '0') as resume_token from b where before is null or ts > before""")
+def dedup_hot_key(spark, sf):
+    """All changes are of one document; their tokens' ranges are buckets that no task has all of."""
+    events = changes.from_events(spark, sf).withColumns({"document_key": F.lit("k"), "collection": F.lit("inventory")})
+    return cdc.deduplicated(events, bucket=F.floor(F.col("resume_token").cast("long") / IDS)).select("resume_token")
+
+
 @query("""with ev as (select *, case when user_id % 2 = 0 then 'inventory' else 'transactions' end as collection, event_id % 3 as op from events),
 b as (select *, max(ts) over (partition by collection, user_id, op order by event_id rows between unbounded preceding and 1 preceding) as before from ev)
 select lpad(cast(event_id as varchar), 12, '0') as resume_token from b where user_id % 5 = 0 or before is null or ts > before""")

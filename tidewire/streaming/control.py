@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import time
 from collections.abc import Callable
 from typing import Any
 
@@ -61,6 +62,36 @@ def send_heartbeats(callbacks: Callbacks, send: Callback) -> None:
     callbacks.register("idle", lambda p: send({"type": "heartbeat", "timestamp": p["timestamp"], "status": {"is_running": True, "rows": 0}}))
 
 
+#: What an error's text says of itself: these don't go away by trying again.
+LASTING = ("PATH_NOT_FOUND", "UNRESOLVED_COLUMN", "TransformError", "PERMISSION", "AnalysisException", "ValueError", "STATE_STORE_KEY_SCHEMA", "INCOMPATIBLE")
+
+
+def lasting(error: Exception) -> bool:
+    return any(word in str(error) for word in LASTING)
+
+
+def kept_running(start: Callable[[], StreamingQuery], tries: int = 5, first: float = 1.0, factor: float = 2.0, most: float = 60.0, fatal: Callable[[Exception], bool] = lasting, told: Callback | None = None, sleep: Callable[[float], None] = time.sleep) -> StreamingQuery:
+    """Wait for a stream, and start it anew from its checkpoint each time that it fails: after a delay that grows, and is the first again once it made
+    progress. An error that won't go away, or the last of `tries` without progress, is raised. The query that ended without one.
+
+    start: makes and starts the stream, the same each time. told: is told of every failure.
+    """
+    failures = 0
+    while True:
+        query = start()
+        try:
+            query.awaitTermination()
+            return query
+        except Exception as e:
+            advanced = any(p["numInputRows"] > 0 for p in query.recentProgress)
+            failures = 1 if advanced else failures + 1
+            if told is not None:
+                told({"type": "failure", "collection": query.name, "attempt": failures, "error": str(e)})
+            if fatal(e) or failures >= tries:
+                raise
+            sleep(min(most, first * factor ** (failures - 1)))
+
+
 def stop_all(spark: SparkSession, drain: bool = True, seconds: float = 60.0) -> list[str]:
     """Stop every stream of a session; with drain, first let each finish what it can read now. Names or ids of those that failed before."""
     failed = []
