@@ -12,6 +12,7 @@ repetitions for the target recall at the full edit allowance. Windows that meet
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -25,6 +26,8 @@ WORD = bytes(c if chr(c).isdigit() and c < 128 or 97 <= c <= 122 or c >= 128 els
 #: Items and bytes of item texts of one index; what is more is searched in further passes, so an index stays small.
 ITEMS_A_PASS, BYTES_A_PASS = 20_000, 8 << 20
 ANCHOR = 4
+#: Places of pieces whose windows are compared at once.
+HITS = 2048
 #: Pieces whose LSH keys a worker remembers.
 REMEMBERED = 20_000
 #: Walks, tables drawn from each, positions of a table, and the steps of a walk.
@@ -136,21 +139,19 @@ class Index:
             self.keys |= zip(new, self._keys([(self.items[k][1], k, lo, lo) for k, lo in map(self.pieces.__getitem__, new)]), strict=True)
         return np.stack([self.keys[p] for p in pieces])
 
-    def _hits(self, s: np.ndarray) -> list[tuple[int, int]]:
-        """Places of pieces' first words: (piece, place in the text)."""
-        out = []
+    def _hits(self, s: np.ndarray) -> Iterator[tuple[int, int]]:
+        """Places of pieces' first words, one by one: (piece, place in the text)."""
         for n, table in self.anchors.items():
             grams = gram_hashes(s, n)
             for at in np.flatnonzero(self.bits[n][(grams >> np.uint64(44)).astype(np.int64)]).tolist():
-                out += [(p, at) for p in table.get(int(grams[at]), ())]
-        return out
+                for p in table.get(int(grams[at]), ()):
+                    yield p, at
 
     def leaks(self, s: np.ndarray) -> dict[int, tuple[int, int, int]]:
         """item position -> (edits, first word, words) of its best window in s."""
         hits = self._hits(s)
         starts: dict[int, set[int]] = {}
-        for at in range(0, len(hits), 2048):
-            part = hits[at : at + 2048]
+        while part := list(islice(hits, HITS)):
             same = (self._keys([(s, *self.pieces[p], place) for p, place in part]) == self._item_keys([p for p, _ in part])).any(axis=2)
             for (p, place), (behind, before) in zip(part, same.tolist(), strict=True):
                 k, lo = self.pieces[p]
