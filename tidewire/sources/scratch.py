@@ -28,8 +28,8 @@ def shared_root(spark: SparkSession) -> str:
     return root.rstrip("/") + "/tidewire"
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """Write df to the shared folder and read it again. It is deleted with the `cleared` block that it is written in, or when Python ends."""
+def stored(df: DataFrame, name: str) -> str:
+    """Write df to the shared folder; its path. It is deleted with the `cleared` block that it is written in, or when Python ends."""
     spark = df.sparkSession
     path = f"{shared_root(spark)}/{name}-{uuid.uuid4().hex}"
     paths = getattr(_open, "paths", None)
@@ -38,7 +38,12 @@ def written(df: DataFrame, name: str) -> DataFrame:
     else:
         paths.append(path)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """df, written as by stored, and read again."""
+    return df.sparkSession.read.schema(df.schema).parquet(stored(df, name))
 
 
 @contextmanager
