@@ -87,6 +87,33 @@ def test_topk_brute_force(spark):
     assert got == brute_topk(rows, 7, lambda i: i % 20 == 0)
 
 
+def test_topk_in_ten_passes(spark, monkeypatch):
+    """Each pass's queries are gone before the next one's are sent, and the result is that of one pass."""
+    rng = np.random.default_rng(4)
+    rows = [(k, [float(x) for x in rng.normal(0, 1, 4).round(1)]) for k in range(400)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    context, sent = spark.sparkContext, []
+    broadcast = type(context).broadcast
+
+    def counted(self, value):
+        sent.append(broadcast(self, value))
+        assert all(b._jbroadcast is None or not b._jbroadcast.isValid() for b in sent[:-1])
+        return sent[-1]
+
+    monkeypatch.setattr(topk, "QUERIES_A_PASS", 2)
+    monkeypatch.setattr(type(context), "broadcast", counted)
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in topk.search(df, F.col("vec_id") % 20 == 0, k=5).collect())
+    assert len(sent) == 10 and got == brute_topk(rows, 5, lambda i: i % 20 == 0)
+
+
+def test_decontamination_in_passes(spark, monkeypatch):
+    items = [(k, " ".join(f"w{k}x{j}" for j in range(12))) for k in range(9)]
+    docs = [(k, f"before it {t} and behind") for k, t in items] + [(50, None)]
+    monkeypatch.setattr(decontaminate, "ITEMS_A_PASS", 2)
+    got = decontaminate.leaks(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert sorted((r.doc_id, r.item_id, r.edits) for r in got) == [(k, k, 0) for k in range(9)]
+
+
 def test_topk_wide_vectors(spark, monkeypatch):
     monkeypatch.setattr(topk, "WEIGHTS_A_PASS", 50_000)
     rows = [(k, [float((k * j) % 7) - 3 for j in range(40_000)]) for k in range(0, 60, 5)]

@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType
 
-from tidewire.sources.scratch import removed, shared_root, written
+from tidewire.sources.scratch import removed, shared_root, stored, written
 
-__all__ = ["removed", "shared_root", "written"]
+__all__ = ["removed", "shared_root", "stored", "written"]
 
 #: Entries a worker keeps per memo before it starts afresh; bounds the memory of a Python worker.
 MEMO_LIMIT = 200_000

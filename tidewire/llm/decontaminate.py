@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import WordHash, gram_hashes, mix, utf8
+from tidewire.llm.common import WordHash, gram_hashes, mix, stored, utf8
 
 #: Bytes that belong to a word; others separate words.
 WORD = bytes(c if chr(c).isdigit() and c < 128 or 97 <= c <= 122 or c >= 128 else c + 32 if 65 <= c <= 90 else 32 for c in range(256))
@@ -180,6 +180,9 @@ class Index:
         return found
 
 
+LEAK = "doc_id long, item_id long, edits long, first_word long, n_words long"
+
+
 def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.2, least: int = 8) -> DataFrame:
     """doc_id, item_id, edits, first_word, n_words: the best window of each item that a document leaks.
 
@@ -193,7 +196,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.2, least: int =
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")).where("text is not null")
     count, size = items.agg(F.count("*"), F.sum(F.octet_length("text"))).first()
     passes = max(1, -(-count // ITEMS_A_PASS), -(-(size or 0) // BYTES_A_PASS))
-    out = None
+    paths: list[str] = []
     for p in range(passes):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == p)
         index = spark.sparkContext.broadcast(Index([(r.item_id, r.text.encode("utf-8", "surrogatepass")) for r in part.collect()], rate, least))
@@ -208,6 +211,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, rate: float = 0.2, least: int =
                 cols = list(zip(*rows, strict=True)) or [[]] * 5
                 yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], ["doc_id", "item_id", "edits", "first_word", "n_words"])
 
-        found = docs.mapInArrow(scan, "doc_id long, item_id long, edits long, first_word long, n_words long")
-        out = found if out is None else out.union(found)
-    return out
+        found = docs.mapInArrow(scan, LEAK)
+        if passes > 1:
+            # Written before the next pass, so that no more than one index is held anywhere.
+            paths.append(stored(found, "leaks"))
+            index.destroy()
+    return spark.read.schema(LEAK).parquet(*paths) if paths else found

@@ -16,6 +16,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidewire.llm.common import stored, written
+
 #: Queries, and their weights, of one pass over the rows (they are broadcast: 16 MB), and the score array's sides.
 QUERIES_A_PASS, WEIGHTS_A_PASS = 32_768, 1 << 21
 QUERY_BLOCK, ROW_BLOCK = 256, 4_096
@@ -110,6 +112,10 @@ class Best:
                 self._offer(own, row, ids)
 
 
+#: What a pass gives: the best of each task for each of its queries.
+FOUND = "key long, query_id long, vec_id long, score long"
+
+
 def bounded(scores: Iterable[int]) -> np.ndarray:
     """As longs; what is beyond them at their bounds."""
     return np.array([min(max(int(s), NONE + 1), 2**63 - 1) for s in scores], np.int64)
@@ -128,7 +134,10 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0)
     asked = rows.where(is_query).distinct()
     count, size = asked.agg(F.count("*"), F.sum(F.size("embedding"))).first()
     passes = max(1, -(-count // QUERIES_A_PASS), -(-(size or 0) // WEIGHTS_A_PASS))
-    spark, out = rows.sparkSession, None
+    spark, found = rows.sparkSession, None
+    if passes > 1:
+        asked = written(asked, "queries")
+    paths: list[str] = []
     for p in range(passes):
         part = asked.where(F.pmod(F.xxhash64("vec_id", "embedding"), F.lit(passes)) == p).select(F.xxhash64("vec_id", "embedding").alias("key"), "vec_id", "embedding")
         got = part.toArrow()
@@ -147,7 +156,12 @@ def search(rows: DataFrame, is_query: Column, k: int = 20, scale: float = 64.0)
             at = np.repeat(np.arange(len(ids)), found.sum(axis=1))
             yield pa.RecordBatch.from_arrays([pa.array(keys[at]), pa.array(ids[at]), pa.array(best.id[found]), pa.array(best.score[found])], ["key", "query_id", "vec_id", "score"])
 
-        found = rows.mapInArrow(scan, "key long, query_id long, vec_id long, score long")
-        out = found if out is None else out.union(found)
-    ranked = out.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "key").orderBy(F.desc("score"), "vec_id")))
+        found = rows.mapInArrow(scan, FOUND)
+        if passes > 1:
+            # Written before the next pass, so that no more than one pass's queries are held anywhere.
+            paths.append(stored(found, "top"))
+            queries.destroy()
+    if paths:
+        found = spark.read.schema(FOUND).parquet(*paths)
+    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("query_id", "key").orderBy(F.desc("score"), "vec_id")))
     return ranked.where(F.col("rank") <= k).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
