@@ -94,3 +94,20 @@ def test_every_message_once_over_restarts(spark, tmp_path):
     q.stop()
     got = spark.read.parquet(copy).select(F.get_json_object(F.col("value").cast("string"), "$.data._id")).collect()
     assert sorted(r[0] for r in got) == [f"{k:03}" for k in range(1, 7)]
+
+
+def test_published_to_topics_and_to_kafkas_rows(spark, tmp_path):
+    """The plan's messages in topics, once each, also when a batch is done again; and in the rows that Kafka's sink takes."""
+    from tidewire.sources import sinks
+
+    stock = {"_schema_version": "v1", "product_id": "P1", "warehouse_id": "W1", "quantity": 10, "last_updated": "2024-01-01T00:00:00Z"}
+    rows = [("1", "inventory", "insert", "a", datetime(2024, 1, 1), json.dumps(stock)), ("2", "inventory", "insert", "b", datetime(2024, 1, 1), "{}")]
+    batch = spark.createDataFrame(rows, changes.SCHEMA)
+    write = sinks.batch_writer(str(tmp_path / "out"), {"inventory": "stock"}, sink=sinks.to_topics(str(tmp_path / "topics")))
+    write(batch, 0)
+    write(batch, 0)
+    got = spark.read.format("tidewire_topics").option("path", str(tmp_path / "topics")).load().collect()
+    assert [(r.topic, json.loads(bytes(r.value))["data"]["_id"], r.attributes["operation"]) for r in got] == [("stock", "1", "insert")]
+    sinks.batch_writer(str(tmp_path / "again"), {"inventory": "stock"}, sink=sinks.to_kafka(format="parquet", path=str(tmp_path / "kafka")))(batch, 0)
+    row = spark.read.parquet(str(tmp_path / "kafka")).first()
+    assert row.topic == "stock" and json.loads(bytes(row.value))["operation"] == "insert" and {h.key for h in row.headers} >= {"collection", "operation"}

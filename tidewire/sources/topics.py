@@ -131,11 +131,14 @@ class StreamWriter(_Write, DataSourceStreamWriter):
 
 
 class BatchWriter(_Write, DataSourceWriter):
-    """A write is one manifest, under the next number."""
+    """A write is one manifest, under a given number, where it is there once however often it is written, or under the next."""
+
+    number: int | None = None
 
     def commit(self, messages: list[Part | None]) -> None:
         log = Log(self.path)
-        log.commit(log.last() + 1, [m for m in messages if m is not None])
+        if not log.commit(log.last() + 1 if self.number is None else self.number, [m for m in messages if m is not None]):
+            log.remove(messages)
 
     def abort(self, messages: list[Part | None]) -> None:
         Log(self.path).remove(messages)
@@ -186,7 +189,7 @@ class StreamReader(DataSourceStreamReader):
 
 
 class Topics(DataSource):
-    """Options: path; batches_a_trigger: how many committed batches a stream reads at once (0: all there are)."""
+    """Options: path; batch: the number that a batch write is committed under; batches_a_trigger: how many committed batches a stream reads at once (0: all there are)."""
 
     @classmethod
     def name(cls) -> str:
@@ -209,7 +212,9 @@ class Topics(DataSource):
     def writer(self, schema: StructType, overwrite: bool) -> BatchWriter:
         if overwrite:
             raise ValueError("topics are appended to")
-        return BatchWriter(self._path(), schema)
+        writer = BatchWriter(self._path(), schema)
+        writer.number = int(self.options["batch"]) if "batch" in self.options else None
+        return writer
 
     def streamWriter(self, schema: StructType, overwrite: bool) -> StreamWriter:  # noqa: N802
         return StreamWriter(self._path(), schema)
