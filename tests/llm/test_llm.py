@@ -825,6 +825,17 @@ def test_merging_like_branches_decides(spark, monkeypatch, alike, verdict):
     assert verdicts(spark, rules, [*urls, page])[page] == (verdict, "/x/d/other")
 
 
+@pytest.mark.parametrize(("alike", "verdict"), [(2.706, "block"), (-1.0, "allow")])
+def test_a_merged_branchs_child_decides(spark, monkeypatch, alike, verdict):
+    """Branches /u and /v are alike, so what is below them meets: /u/spam, which has no labelled page of its own, is judged by those of /v/spam."""
+    monkeypatch.setattr(url_filter, "ALIKE", alike)
+    rule = url_filter.Rule
+    rules = (rule("a.org", "/u/news", True), rule("a.org", "/v/news", True), rule("a.org", "/v/spam", False), rule("a.org", "/u/adverts", False))
+    urls = [f"http://a.org/{b}/news/{c}" for b in "uv" for c in "abcdefgh"] + [f"http://a.org/v/spam/{c}" for c in "abcd"] + [f"http://a.org/u/adverts/{c}" for c in "abcd"]
+    page = "http://a.org/u/spam/z"
+    assert verdicts(spark, rules, [*urls, page])[page] == (verdict, "/u/spam/z")
+
+
 @pytest.mark.parametrize(("strength", "verdict"), [(2, "block"), (0, "allow")])
 def test_smoothing_decides(spark, monkeypatch, strength, verdict):
     monkeypatch.setattr(url_filter, "STRENGTH", strength)
