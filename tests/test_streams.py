@@ -120,3 +120,31 @@ def test_thresholds_that_change_while_stock_streams(spark, tmp_path):
     best = spark.createDataFrame(updates, shapes[1]).groupBy("item", "ts").agg(F.max("threshold").alias("threshold"))
     want = I.current_thresholds(spark.createDataFrame(events, shapes[0]), best, ["item"], "ts")
     assert sorted((r.id, r.threshold) for r in got.collect()) == sorted((r.id, r.threshold) for r in want.collect())
+
+
+def test_totals_are_kept_up_batch_by_batch(spark, tmp_path):
+    """After each batch the totals are those of the documents that are there; a batch that is done again changes nothing; merges neither."""
+    from tidewire.streaming.rollups import Totals, totals
+
+    batches = [[r for r in b if r[3]] for b in BATCHES]
+    stream, out = source(spark, tmp_path / "in", changes.SCHEMA), str(tmp_path / "out")
+    measure = F.get_json_object("document", "$.n").cast("long")
+    keep = Totals(out, {"collection": F.col("collection"), "odd": measure % 2 == 1}, measure, merge_after=2)
+    twice = lambda batch, number: [keep(batch, number) for _ in range(2)] and None
+    for number, rows in enumerate(batches):
+        add_file(spark, tmp_path / "in", rows, changes.SCHEMA, number)
+        q = S.images_stream(stream).writeStream.foreachBatch(twice).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        assert q.awaitTermination(180)
+        present = {}
+        for _, c, op, key, _, doc in [r for b in batches[: number + 1] for r in b]:
+            if op == "delete":
+                present.pop((c, key), None)
+            elif doc is not None:
+                present[c, key] = json.loads(doc)["n"]
+        want = {}
+        for (c, _), n in present.items():
+            for names in ((None, None), (c, None), (c, n % 2 == 1)):
+                total, k = want.get(names, (0, 0))
+                want[names] = total + n, k + 1
+        assert {(r.collection, r.odd): (r.total, r.n) for r in totals(spark, out, ["collection", "odd"]).collect()} == want
+    assert (tmp_path / "out" / "merged").exists()
