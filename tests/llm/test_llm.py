@@ -211,6 +211,17 @@ def test_toxicity_learns_rare_words_of_many_toxic_texts(spark):
     assert set(toxicity.learn(docs, labels, F.lit(True))[0]) == {"vile", "ruin"}
 
 
+def test_toxicity_learns_from_all_labelled_rows(spark):
+    name = lambda k: "".join(chr(97 + k // 26**j % 26) for j in range(4))
+    rare = [f"odd{c}" for c in "abcdefgh"]
+    word = lambda k: rare[k // 5] if k < 40 else "vile" if k < 4_000 else "fine"
+    rows = [(k, f"p{name(k)} {word(k)} q{name(k)} r{name(k)} s{name(k)}") for k in range(40_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") < 4_000).cast("int").alias("toxic"))
+    # Five toxic texts have each of the rare words, the fewest that may be learned from: all of them must be read.
+    assert set(toxicity.learn(docs, labels, F.lit(True))[0]) == {"vile", *rare}
+
+
 def test_toxicity_learns_only_what_it_may(spark):
     fill = ["alpha", "beta", "gamma", "delta", "omega", "sigma", "kappa"]
     rows = [(k, " ".join(fill[(k * j + j) % 7] + str(k) for j in range(9)) + f" {fill[k % 7]}{k} {'vile' if k % 3 == 0 else 'fine'} {fill[k % 5]}{k}") for k in range(300)]

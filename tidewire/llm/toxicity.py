@@ -20,10 +20,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidewire.llm.common import MEMO_LIMIT, WordHash, chosen_by_hash, gram_hashes, written
+from tidewire.llm.common import MEMO_LIMIT, WordHash, gram_hashes, small, written
 
-#: Labelled documents that are learned from, about; words of the lexicon and of the letter model.
-LEARN_ROWS, LEXICON, MODEL_WORDS = 20_000, 5_000, 20_000
+#: Words of the lexicon and of the letter model.
+LEXICON, MODEL_WORDS = 5_000, 20_000
 #: Letters of a word at the least; a single letter is none.
 LEAST = 2
 #: Letters of a token that are looked at before its skeleton is made.
@@ -219,36 +219,44 @@ class Reader:
         return found
 
 
-def learn(docs: DataFrame, labels: DataFrame, allowed: Column, rows: int = LEARN_ROWS) -> tuple[dict[str, float], dict[str, int], float, frozenset[str], dict[str, float]]:
+def learn(docs: DataFrame, labels: DataFrame, allowed: Column) -> tuple[dict[str, float], dict[str, int], float, frozenset[str], dict[str, float]]:
     """Lexicon (word -> lower confidence bound of its log-odds), words of the letter model with counts, prior log-odds, usual words,
     calm words (word -> upper confidence bound of its log-odds).
 
-    Copies, exact or near, count once: texts that share the least hash of their five-word shingles are one,
+    All labelled rows are learned from. Copies, exact or near, count once: texts that share the least hash of their five-word shingles are one,
     and a word counts once for each pair of neighbours that it first stands between in a text of a label.
     """
     usable = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).where("toxic in (0, 1)").where(allowed)
-    chosen = usable.where(chosen_by_hash(F.xxhash64("doc_id"), rows, usable.count())).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    given = docs.select("doc_id", "text").where("text is not null").join(F.broadcast(chosen), "doc_id").select("toxic", "text")
+    chosen = small(written(usable.groupBy("doc_id").agg(F.max("toxic").alias("toxic")), "toxic-labels"))
+    given = docs.select("doc_id", "text").where("text is not null").where(allowed).join(chosen, "doc_id").select("toxic", "text")
 
-    def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def keyed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHash()
         for batch in batches:
-            keys, words = [], []
+            keys, sizes = [], []
             for text in batch.column(1).to_pylist():
-                split = text.lower().split()
-                h = hashes.of([w.encode("utf-8", "surrogatepass") for w in split])
+                h = hashes.of([w.encode("utf-8", "surrogatepass") for w in text.lower().split()])
                 keys.append(int(gram_hashes(h, min(5, len(h))).min().view(np.int64)) if len(h) else 0)
-                read_words = ["", *WORD.findall(text.lower()), ""]
+                sizes.append(len(h))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(sizes, pa.int64()), batch.column(1)], ["toxic", "key", "size", "text"])
+
+    def placed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            # Many words of one label stand in several texts of a batch.
+            found = set()
+            for toxic, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                words = ["", *WORD.findall(text.lower()), ""]
                 first: dict[str, int] = {}
-                for k in range(1, len(read_words) - 1):
-                    if len(w := read_words[k]) >= LEAST and w not in first:
-                        first[w] = zlib.crc32(f"{read_words[k - 1]} {read_words[k + 1]}".encode("utf-8", "surrogatepass"))
-                words.append([{"word": w, "near": c} for w, c in first.items()])
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(keys, pa.int64()), pa.array(words, pa.list_(pa.struct([("word", pa.string()), ("near", pa.int64())])))], ["toxic", "key", "words"])
-
-    texts = given.mapInArrow(read, "toxic int, key long, words array<struct<word:string,near:bigint>>").groupBy("key").agg(F.max_by("words", F.struct("toxic", F.size("words"))).alias("words"), F.max("toxic").alias("toxic"))
-    texts = written(texts, "toxic-texts")
-    places = texts.select("toxic", F.explode("words").alias("w")).select("toxic", "w.word", "w.near").distinct()
+                for k in range(1, len(words) - 1):
+                    if len(w := words[k]) >= LEAST and w not in first:
+                        first[w] = zlib.crc32(f"{words[k - 1]} {words[k + 1]}".encode("utf-8", "surrogatepass"))
+                found.update((toxic, w, near) for w, near in first.items())
+            columns = zip(*found, strict=True) if found else ((), (), ())
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.int32(), pa.string(), pa.int64()), strict=True)], ["toxic", "word", "near"])
+
+    texts = given.mapInArrow(keyed, "toxic int, key long, size long, text string").groupBy("key").agg(F.max_by("text", F.struct("toxic", "size", "text")).alias("text"), F.max("toxic").alias("toxic"))
+    texts = written(texts.select("toxic", "text"), "toxic-texts")
+    places = texts.mapInArrow(placed, "toxic int, word string, near long").distinct()
     counts = written(places.groupBy("word").agg(F.sum("toxic").alias("a"), F.count("*").alias("n")), "toxic-words")
     whole = texts.agg(F.sum("toxic"), F.count("*")).first()
     toxic, clean = whole[0] or 0, (whole[1] or 0) - (whole[0] or 0)
@@ -265,7 +273,7 @@ def learn(docs: DataFrame, labels: DataFrame, allowed: Column, rows: int = LEARN
     return {w: o for w, (o, _) in lexicon.items()}, model, math.log((toxic + 1) / (clean + 1)), usual, calm
 
 
-def score(docs: DataFrame, labels: DataFrame, allowed: Column, threshold: float = 0.7, rows: int = LEARN_ROWS) -> DataFrame:
+def score(docs: DataFrame, labels: DataFrame, allowed: Column, threshold: float = 0.7) -> DataFrame:
     """doc_id, score (0 to 1), predicted, n_hits for each row of docs (doc_id, text).
 
     labels: doc_id, toxic; allowed: condition on doc_id for the rows that may be learned from. Null and empty texts have
@@ -273,7 +281,7 @@ def score(docs: DataFrame, labels: DataFrame, allowed: Column, threshold: float
     Repeated rows are scored alike; of words of equal odds the first by name come into the lexicon; further columns aren't read; an
     empty table gives no rows.
     """
-    model = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, allowed, rows))
+    model = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, allowed))
 
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lexicon, words, prior, usual, calm = model.value
