@@ -1068,3 +1068,19 @@ def test_scratch_must_be_shared():
         with pytest.raises(ValueError, match="checkpoint.dir"):
             shared_root(session(master, None))
     assert shared_root(session("local[4]", None)).startswith("file:")
+
+
+def test_packing_ids_without_lookahead():
+    import random
+
+    import public_tokenizers
+    import tiktoken
+
+    tokens, rng = packing.Tokens(), random.Random(5)
+    assert "(?!" not in tokens.encoding._pat_str
+    whole = tiktoken.Encoding("whole", pat_str=public_tokenizers.PATTERN, mergeable_ranks=tokens.encoding._mergeable_ranks, special_tokens={})
+    parts = [*packing.SPACES, *[" ", "\n"] * 20, "\x1c", "\u200b", *["a", "b", "'s", "'ll", "1", "23", ".", "é", "漢", "😀", "<|"] * 3]
+    for _ in range(20_000):
+        text = "".join(rng.choice(parts) for _ in range(rng.randint(1, 14)))
+        assert np.frombuffer(tokens.packed(text), np.uint16).tolist() == whole.encode_ordinary(text), repr(text)
+    assert np.frombuffer(tokens.packed("a  <|endoftext|> \n b"), np.uint16).tolist() == whole.encode_ordinary("a  ") + [packing.SPECIAL_ID] + whole.encode_ordinary(" \n b")
