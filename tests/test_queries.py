@@ -4,8 +4,11 @@ from pathlib import Path
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
-from tidewire.plans import queries
+from tidewire.functions import serialization
+from tidewire.plans import cdc, queries
+from tidewire.sources import changes
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF).is_dir(), reason="no test tables")
@@ -32,3 +35,11 @@ def test_oracle(spark, duck, name):
 @pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLE_SQL)))
 def test_runs(spark, name):
     assert queries.QUERIES[name](spark, SF).count() > 0
+
+
+def test_messages_are_packed_once(spark):
+    events = spark.createDataFrame([("1", "inventory", "insert", "k", None, '{"product_id":"P1","warehouse_id":"W1","quantity":70000,"last_updated":"2024-01-01T00:00:00Z"}')], changes.SCHEMA)
+    messages, _ = cdc.split(cdc.checked(events), queries.TOPICS, "msgpack")
+    read = messages.select(serialization.parsed(F.col("value"), "msgpack", "data struct<fullDocument:struct<quantity:bigint>>").alias("m"), "attributes")
+    assert read.first().m.data.fullDocument.quantity == 70000
+    assert read._jdf.queryExecution().optimizedPlan().toString().count("json_to_msgpack(") == 1

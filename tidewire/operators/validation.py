@@ -130,15 +130,16 @@ def _with_fields(df: DataFrame, json: str, names: set[str]) -> tuple[DataFrame,
     return df, {n: F.col(f"_field{k}") for k, n in enumerate(names)}
 
 
-def _once(found: Column) -> Column:
-    """As it is, but computed where it stands: a filter on it isn't pushed below, where each use would read the documents again."""
+def once(found: Column) -> Column:
+    """As it is, but computed where it stands: a filter on it isn't pushed below, where each use would read the documents again,
+    and a function of Python isn't called again by each use."""
     return F.when(F.monotonically_increasing_id() >= 0, found)
 
 
 def with_broken(df: DataFrame, json: str, rules: tuple[FieldRule, ...], out: str = "errors") -> DataFrame:
     """df with the broken rules of the JSON documents in a column, as errors() gives them."""
     parsed, fields = _with_fields(df, json, {r.name for r in rules})
-    return parsed.select(*df.columns, _once(F.when(_is_object(F.col("_doc")), _broken_rules(fields, rules)).otherwise(F.array(F.lit("document: object")))).alias(out))
+    return parsed.select(*df.columns, once(F.when(_is_object(F.col("_doc")), _broken_rules(fields, rules)).otherwise(F.array(F.lit("document: object")))).alias(out))
 
 
 def validated(df: DataFrame, json: str, doc_type: Column, contracts: Contracts | None = None, out: str = "errors") -> DataFrame:
@@ -159,7 +160,7 @@ def validated(df: DataFrame, json: str, doc_type: Column, contracts: Contracts |
     parsed = parsed.withColumns({name: F.when(mine(kind, v), _broken_rules(fields, tuple(r for r in contracts.rules(kind, v) if r.name != VERSION))) for name, (kind, v) in each.items()})
     unknown = F.when(F.col("_kind").isin(kinds), F.concat(F.lit("Invalid schema version for "), "_kind", F.lit(": "), "_version")).otherwise(F.concat(F.lit("unknown document type: "), F.coalesce("_kind", F.lit("null"))))
     found = F.when(~F.col("_object"), F.array(F.lit("document: object"))).otherwise(F.coalesce(*each, F.array(unknown)))
-    return parsed.select(*df.columns, _once(found).alias(out))
+    return parsed.select(*df.columns, once(found).alias(out))
 
 
 class Migrations:

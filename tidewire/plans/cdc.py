@@ -19,7 +19,7 @@ from tidewire.functions.protection import Protector
 from tidewire.functions.serialization import JSON_OPTIONS, iso_time, serialized
 from tidewire.operators.keyed import fresh
 from tidewire.operators.transforms import REST, Registry
-from tidewire.operators.validation import VERSION, Contracts, Migrations, doc_type_of, validated
+from tidewire.operators.validation import VERSION, Contracts, Migrations, doc_type_of, once, validated
 from tidewire.session import ship
 from tidewire.sources.scratch import written
 
@@ -255,7 +255,8 @@ def _envelope(topics: dict[str, str], form: str, tags: bool) -> list[Column]:
     body = F.struct(F.col("collection"), F.col("operation_type").alias("operation"), seconds.alias("timestamp"), data.alias("data"))
     version = F.coalesce(F.nullif(F.get_json_object("full_document", f"$.{VERSION}"), F.lit("")), F.lit("v1"))
     attributes = F.create_map(*(x for k, v in (("collection", F.col("collection")), ("operation", F.col("operation_type")), ("schema_version", version), ("serialization_format", F.lit(form))) for x in (F.lit(k), v)))
-    return [topic.alias("topic"), serialized(body, form).alias("value"), attributes.alias("attributes")]
+    value = serialized(body, form)
+    return [topic.alias("topic"), (value if form == "json" else once(value)).alias("value"), attributes.alias("attributes")]
 
 
 def split(rows: DataFrame, topics: dict[str, str], form: str = "json", plan: Plan | None = None, tags: bool = True) -> tuple[DataFrame, DataFrame]:
