@@ -6,7 +6,7 @@ import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from tidewire.functions import serialization
+from tidewire.functions import protection, serialization
 from tidewire.plans import cdc, queries
 from tidewire.sources import changes
 
@@ -43,3 +43,9 @@ def test_messages_are_packed_once(spark):
     read = messages.select(serialization.parsed(F.col("value"), "msgpack", "data struct<fullDocument:struct<quantity:bigint>>").alias("m"), "attributes")
     assert read.first().m.data.fullDocument.quantity == 70000
     assert read._jdf.queryExecution().optimizedPlan().toString().count("json_to_msgpack(") == 1
+
+
+def test_documents_are_walked_in_parts(spark):
+    rows = spark.range(0, 3 * protection.WALKED - 1, 1, 1).select("id", F.format_string('{"ssn":"%d","n":%d}', "id", "id").alias("doc"))
+    got = protection.Protector([protection.Rule("ssn", "hash")]).protected_documents(rows, "doc").withColumn("want", protection.hashed(F.col("id"), "ssn"))
+    assert got.where((F.get_json_object("doc", "$.ssn") == F.col("want")) & (F.get_json_object("doc", "$.n") == F.col("id").cast("string"))).count() == rows.count()

@@ -238,8 +238,8 @@ class Path:
         raise ValueError(f"a function can't tell the paths below {self.text()!r}, which each row has its own of: give a path or a pattern")
 
 
-#: Paths whose rule a worker remembers.
-PATHS = 100_000
+#: Paths whose rule a worker remembers; documents whose leaves it holds at once.
+PATHS, WALKED = 100_000, 1_000
 LEAF = "struct<rule:int,path:string,text:string>"
 
 
@@ -343,7 +343,8 @@ class Protector:
                 return found
 
             for s in texts:
-                yield s.map(one)
+                for k in range(0, len(s), WALKED):
+                    yield s.iloc[k : k + WALKED].map(one)
 
         @F.pandas_udf("struct<text:string,fields:map<string,string>>")
         def put(frames: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -363,8 +364,9 @@ class Protector:
                 return None if value is D.GONE else D.dumps(value), fields
 
             for texts, made in frames:
-                rows = [one(x, n) for x, n in zip(texts, made, strict=True)]
-                yield pd.DataFrame({"text": [r[0] for r in rows], "fields": [r[1] for r in rows]})
+                for k in range(0, len(texts), WALKED):
+                    rows = [one(x, n) for x, n in zip(texts.iloc[k : k + WALKED], made.iloc[k : k + WALKED], strict=True)]
+                    yield pd.DataFrame({"text": [r[0] for r in rows], "fields": [r[1] for r in rows]})
 
         def one(leaf: Column) -> Column:
             new = F.lit(None).cast("string")
