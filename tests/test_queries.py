@@ -45,6 +45,12 @@ def test_messages_are_packed_once(spark):
     assert read._jdf.queryExecution().optimizedPlan().toString().count("json_to_msgpack(") == 1
 
 
+def test_published_documents_are_made_once(spark):
+    plan = queries.published_documents(spark, SF)._jdf.queryExecution().optimizedPlan().toString().split("\n")
+    walks = [line for line in plan if "ArrowEvalPython [taken(" in line or "ArrowEvalPython [put(" in line]
+    assert walks and not any("StructsToJson" in line for line in walks)
+
+
 def test_documents_are_walked_in_parts(spark):
     rows = spark.range(0, 3 * protection.WALKED - 1, 1, 1).select("id", F.format_string('{"ssn":"%d","n":%d}', "id", "id").alias("doc"))
     got = protection.Protector([protection.Rule("ssn", "hash")]).protected_documents(rows, "doc").withColumn("want", protection.hashed(F.col("id"), "ssn"))

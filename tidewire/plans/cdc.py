@@ -183,7 +183,8 @@ def reshaped(rows: DataFrame, doc_type: str, schema: StructType, steps: Sequence
         F.map_filter("_new", lambda k, _: ~F.array_contains("_stays", k)), F.map_filter("_was", lambda k, _: F.array_contains("_stays", k)),
         F.coalesce(_without(F.col("_others"), own), empty),
     )
-    return made.select(*held, F.to_json(F.map_concat(*parts)).alias("full_document"), "_migration_error", F.lit(None).cast("array<string>").alias("_misfit"))
+    # The protectors' functions and the envelope read the document, which is made once for all of them.
+    return made.select(*held, once(F.to_json(F.map_concat(*parts))).alias("full_document"), "_migration_error", F.lit(None).cast("array<string>").alias("_misfit"))
 
 
 def by_type(events: DataFrame, plan: Plan, steps_of: Callable[[str], list]) -> DataFrame:
