@@ -256,8 +256,7 @@ def _envelope(topics: dict[str, str], form: str, tags: bool) -> list[Column]:
     body = F.struct(F.col("collection"), F.col("operation_type").alias("operation"), seconds.alias("timestamp"), data.alias("data"))
     version = F.coalesce(F.nullif(F.get_json_object("full_document", f"$.{VERSION}"), F.lit("")), F.lit("v1"))
     attributes = F.create_map(*(x for k, v in (("collection", F.col("collection")), ("operation", F.col("operation_type")), ("schema_version", version), ("serialization_format", F.lit(form))) for x in (F.lit(k), v)))
-    value = serialized(body, form)
-    return [topic.alias("topic"), (value if form == "json" else once(value)).alias("value"), attributes.alias("attributes")]
+    return [topic.alias("topic"), serialized(body, form).alias("value"), attributes.alias("attributes")]
 
 
 def split(rows: DataFrame, topics: dict[str, str], form: str = "json", plan: Plan | None = None, tags: bool = True) -> tuple[DataFrame, DataFrame]:
@@ -270,7 +269,7 @@ def split(rows: DataFrame, topics: dict[str, str], form: str = "json", plan: Pla
         out = out.where(F.size("errors") == 0)
     if form == "json":
         return enveloped(out, topics, form, tags), bad
-    both = out.select("*", *_envelope(topics, form, tags))
+    both = out.select("*", *_envelope(topics, form, tags)).withColumn("value", once(F.col("value")))
     lost = both.where(F.col("value").isNull()).select(*out.columns).withColumn("errors", F.array(F.lit(f"message: no {form} form")))
     return both.where(F.col("value").isNotNull()).select("topic", "value", "attributes"), bad.unionByName(lost)
 
